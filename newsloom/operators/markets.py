@@ -144,7 +144,7 @@ def best_events(searches: DataFrame, key: str, terms: str, events: DataFrame, mi
         .where(F.col("_half") >= int(min_score * 2))
     )
     packed = scored.groupBy(key).agg(F.max(F.col("_half") * shift - F.col("event_pos")).alias("_best"))
-    half = F.ceil(F.col("_best") / shift).cast("bigint")
+    half = F.shiftright(F.col("_best") + (shift - 1), 40)
     return packed.select(
         key,
         (half / 2.0).alias("score"),

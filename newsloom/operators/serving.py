@@ -140,7 +140,7 @@ def log_step(line: Column) -> Column:
 def log_severity(line: Column) -> Column:
     chain = F
     for name, pattern in rules.LOG_SEVERITY:
-        chain = chain.when(line.rlike(f"(?i){pattern}"), F.lit(name))
+        chain = chain.when(line.rlike(f"(?iu){pattern}"), F.lit(name))
     return chain.otherwise(F.lit("other"))
 
 

@@ -57,8 +57,10 @@ def api_articles(table: DataFrame, now: Column) -> DataFrame:
     return article_defaults(raw, now).select(*rules.RAW_COLUMNS)
 
 
-def first_entries(items: DataFrame, max_per_feed: int) -> DataFrame:
-    """The first entries of every feed; cut before links are compared."""
+def first_entries(items: DataFrame, max_per_feed: int | None) -> DataFrame:
+    """The first entries of every feed; cut before links are compared. None keeps all."""
+    if max_per_feed is None:
+        return items
     return top_n_per_key(items, ["source_key", "feed"], [F.col("pos")], max_per_feed, "entry_no").drop("entry_no")
 
 
@@ -76,7 +78,7 @@ def is_arabic_title(title: Column, source_key: Column) -> Column:
     return source_key.isin(list(rules.MOROCCAN_SOURCES)) & text.has_arabic(title)
 
 
-def feed_articles(items: DataFrame, catalogue: DataFrame, now: Column, max_per_feed: int = 20) -> DataFrame:
+def feed_articles(items: DataFrame, catalogue: DataFrame, now: Column, max_per_feed: int | None = None) -> DataFrame:
     """Feed items (`source_key, feed, feed_pos, pos, title, link, published, summary,
     full_text, author, tags`) to raw articles. The source decides language, country
     and origin; the catalogue is a fixed list and may be broadcast."""

@@ -93,13 +93,3 @@ def run(events: DataFrame, apply: Callable, checkpoint: str, available_now: bool
     """Start the query; `available_now` works off what there is and stops."""
     writer = events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start() if available_now else writer.start()
-
-
-def hourly_counts(events: DataFrame, time: str = "ts", key: str = "event_type", late: str = "2 hours") -> DataFrame:
-    """Counts per hour; state is dropped once the watermark has passed an hour."""
-    return (
-        events.withWatermark(time, late)
-        .groupBy(F.window(time, "1 hour").alias("w"), key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("w.start").alias("hour"), key, "n")
-    )
