@@ -56,7 +56,7 @@ def compare(spark_df, con, sql: str) -> str | None:
     diff = [(a, b) for a, b in zip(left, right) if a != b]
     if diff:
         return f"{len(diff)} of {len(left)} rows differ, e.g. {str(diff[0])[:800]}"
-    return None
+    return None if left else "no rows to compare"
 
 
 def main() -> None:
