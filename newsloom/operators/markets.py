@@ -131,7 +131,8 @@ def best_events(searches: DataFrame, key: str, terms: str, events: DataFrame, mi
     (half points above, position below): choosing is then a plain max.
     """
     index = broadcast_if_small(title_index(events))
-    one_term = searches.select(key, terms).repartition(F.col(key)).select(key, F.explode(terms).alias("term"))
+    # explode_outer: plain explode would have Spark work out the terms a second time, as a filter
+    one_term = searches.select(key, terms).repartition(F.col(key)).select(key, F.explode_outer(terms).alias("term"))
     shift = F.lit(1 << 40)
     long_term = F.length("term") > GRAM
     hits = one_term.join(index, F.substring("term", 1, GRAM) == F.col("gram")).where(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom import rules
-from newsloom.operators.skew import join_per_key
+from newsloom.operators.skew import broadcast_if_small, join_per_key
 
 
 def flag_histogram(silver: DataFrame) -> DataFrame:
@@ -111,7 +111,7 @@ def kpis(bronze: DataFrame, gold: DataFrame) -> DataFrame:
 
 def country_consistency(silver: DataFrame, expected: DataFrame) -> DataFrame:
     """Articles whose country differs from the one their source is known for."""
-    return silver.join(expected, "source").where(
+    return silver.join(broadcast_if_small(expected), "source").where(
         F.col("expected_country").isNotNull() & ~F.col("pays").eqNullSafe(F.col("expected_country"))
     )
 

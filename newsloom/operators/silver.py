@@ -62,8 +62,9 @@ def clean_fields(df: DataFrame) -> DataFrame:
 
 def derive(df: DataFrame) -> DataFrame:
     clean = F.col("contenu_clean")
-    return text.with_language(df).withColumns(
+    return df.withColumns(
         {
+            "langue_detectee": text.detect_language(clean),
             "content_length": F.length(clean),
             "content_hash": text.content_hash(clean),
         }

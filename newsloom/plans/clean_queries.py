@@ -29,8 +29,8 @@ TEXTS = "SELECT 'd' || doc_id AS id, text AS body FROM documents UNION ALL SELEC
 
 
 def texts(spark, sf):
-    docs = tables.table(spark, sf, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), F.col("text").alias("body"))
-    pages = tables.table(spark, sf, "pages").select(F.concat(F.lit("p"), "page_id").alias("id"), F.col("html").alias("body"))
+    docs = tables.texts(spark, sf, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), F.col("text").alias("body"))
+    pages = tables.texts(spark, sf, "pages").select(F.concat(F.lit("p"), "page_id").alias("id"), F.col("html").alias("body"))
     return docs.union(pages)
 
 
@@ -189,7 +189,8 @@ def rfc822_timestamps(spark, sf):
 )
 def language_profile(spark, sf):
     raw = silver_ops.clean_fields(tables.raw_articles(spark, sf))
-    return text.with_language(raw).groupBy("langue", "langue_detectee").agg(F.count(F.lit(1)).alias("n"))
+    detected = raw.select("langue", text.detect_language(F.col("contenu_clean")).alias("langue_detectee"))
+    return detected.groupBy("langue", "langue_detectee").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

@@ -110,7 +110,7 @@ def market_events_scan(spark, sf):
 )
 def keyword_translation(spark, sf):
     return (
-        tables.table(spark, sf, "documents")
+        tables.texts(spark, sf, "documents")
         .select(F.explode(F.split(F.lower("text"), "[^\\p{L}]+")).alias("word"))
         .where("word <> ''")
         .groupBy("word")

@@ -75,7 +75,7 @@ def clean_label(label: str) -> str:
     parts = f"string_split(lower({label}), '_')"
     body = f"CASE WHEN {numbered(parts)} THEN {parts}[2:] ELSE {parts} END"
     kept = keep(body, f"length(w) > 2 AND w NOT IN {in_list(rules.LABEL_STOP_WORDS)}")
-    cap = each(kept, "upper(w[1]) || w[2:]")
+    cap = each(kept, "CASE w[1] WHEN 'ß' THEN 'Ss' ELSE upper(w[1]) END || w[2:]")  # title case of one letter
     fallback = f"CASE WHEN len({kept}) > 0 THEN array_to_string(({cap})[1:2], ' ') ELSE {q(rules.DEFAULT_ENTITY)} END"
     asis = f"{label} IS NULL OR {label} = '' OR {label} IN {in_list(rules.SENTINEL_LABELS)}"
     return f"CASE WHEN {asis} THEN {label} ELSE {case_rules(f'lower({label})', rules.ENTITY_RULES, fallback)} END"

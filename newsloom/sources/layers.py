@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom import rules
+from newsloom.operators.skew import broadcast_if_small
 
 ARTICLE = T.StructType([T.StructField(c, T.StringType()) for c in rules.RAW_COLUMNS])
 ENVELOPE = T.StructType(
@@ -58,15 +59,19 @@ def bronze(
     date: str | None = None,
     latest: bool = False,
     multi_line: bool = False,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Articles of all runs, or of the newest run per source and date. A run is a
     `run=` folder or, where there are none, a file. `arrival` numbers the articles
-    by run, file and place in the file."""
+    by run, file and place in the file. `only` (source, date) names the partitions
+    to read; the others' folders are skipped, before any list is opened."""
     files = bronze_files(spark, root, multi_line)
     if source:
         files = files.where(F.col("source") == source)
     if date:
         files = files.where(F.col("date") == date)
+    if only is not None:
+        files = files.join(broadcast_if_small(only), ["source", "date"], "left_semi")
     if latest:
         newest = files.groupBy("source", "date").agg(F.max("run").alias("run"))
         files = files.join(newest, ["source", "date", "run"], "left_semi")

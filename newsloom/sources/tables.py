@@ -20,6 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small input in few files goes to all cores before costly per-row work; an
+    input with enough splits of its own (any large one) is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(table(spark, sf_dir, name))
+
+
 def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`documents` as landed articles; `arrival` is their unique landing order."""
     doc = F.col("doc_id")
@@ -29,7 +40,7 @@ def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = F.concat(F.lit("https://news.example.org/"), "source", F.lit("/"), doc.cast("string"))
     day = F.lpad((doc % 30 + 1).cast("string"), 2, "0")
     hour = F.lpad((doc % 24).cast("string"), 2, "0")
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents").select(
         F.md5(url).alias("article_id"),
         F.regexp_extract("text", FIRST_SENTENCE, 0).alias("titre"),
         url.alias("url"),
@@ -95,7 +106,7 @@ def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages")
+    return texts(spark, sf_dir, "pages")
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,18 +58,15 @@ def path_parts(path: Column) -> dict[str, Column]:
     plain = F.regexp_replace(F.regexp_replace(path, "(source|date)=", ""), "^[a-z0-9]+://[^/]+/", "")
     pattern = "(?:^|/)([^/]+)/([0-9]{4}-[0-9]{2}-[0-9]{2})(?:/|$)"
     return {
-        "source_key": F.regexp_extract(plain, pattern, 1),
+        "source": F.regexp_extract(plain, pattern, 1),
         "date": F.regexp_extract(plain, pattern, 2),
     }
 
 
-def announced_articles(events: DataFrame, bronze: DataFrame) -> DataFrame:
-    """Landed articles of the partitions a batch of events names, each once. The join
-    is on the partition columns, so Spark prunes Bronze to those folders."""
-    named = ingested(events).select(
-        *[c.alias(n) for n, c in path_parts(F.col("bronze_path")).items()]
-    ).distinct()
-    return bronze.join(named, ["source_key", "date"], "left_semi")
+def announced_partitions(events: DataFrame) -> DataFrame:
+    """The (source, date) partitions a batch of events names, each once."""
+    parts = path_parts(F.col("bronze_path"))
+    return ingested(events).select(*[c.alias(n) for n, c in parts.items()]).distinct()
 
 
 def upsert_batch(spark: SparkSession, bronze_root: str, gold_root: str, run_ts: Column, silver_root: str | None = None) -> Callable:
@@ -78,7 +75,7 @@ def upsert_batch(spark: SparkSession, bronze_root: str, gold_root: str, run_ts:
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        articles = announced_articles(batch, source.bronze(session, bronze_root))
+        articles = source.bronze(session, bronze_root, only=announced_partitions(batch))
         if articles.isEmpty():
             return
         cleaned = silver_ops.to_silver(articles, run_ts, keep=("arrival",))

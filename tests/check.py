@@ -17,6 +17,9 @@ TABLES = (
 ).split()
 
 
+TIMES = {}
+
+
 def connect(sf_dir: str):
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
@@ -46,6 +49,7 @@ def rows_of(columns, rows):
 def compare(spark_df, con, sql: str) -> str | None:
     """None when both sides agree, else what differs."""
     left_cols, left = rows_of(spark_df.columns, [tuple(r) for r in spark_df.collect()])
+    TIMES["spark"] = time.time()
     cur = con.execute(sql)
     right_cols, right = rows_of([d[0] for d in cur.description], cur.fetchall())
     if left_cols != right_cols:
@@ -74,9 +78,9 @@ def main() -> None:
         try:
             df = queries[name](spark, sf)
             if name in oracles:
-                t1 = time.time()
                 problem = compare(df, con, oracles[name])
-                note = "ok" if problem is None else f"DIFF {problem}"
+                spark_time = TIMES["spark"] - t
+                note = f"{spark_time:6.1f}s ok" if problem is None else f"DIFF {problem}"
             else:
                 problem, note = None, f"rows-only {df.count()}"
         except Exception as e:  # report and go on
