@@ -113,23 +113,34 @@ def translated_title_terms(title: Column) -> Column:
     return F.array_distinct(F.transform(title_terms(title), lambda w: translate(w)))
 
 
+def _without_number(parts: Column) -> Column:
+    """Label parts without the leading topic number, where there is one."""
+    return let(
+        parts,
+        lambda p: F.when(
+            (F.size(p) > 1) & F.element_at(p, 1).rlike("^-*\\p{Nd}+$"),
+            F.slice(p, F.lit(2), F.greatest(F.size(p) - 1, F.lit(1))),
+        ).otherwise(p),
+    )
+
+
 def label_words(label: Column) -> Column:
     """Words of a topic label without the leading topic number."""
-    parts = F.filter(words(F.replace(label, F.lit("_"), F.lit(" "))), lambda w: w != "")
-    numbered = (F.size(parts) > 1) & F.element_at(parts, 1).rlike("^-*\\p{Nd}+$")
-    return F.when(numbered, F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(1)))).otherwise(parts)
+    return _without_number(F.filter(words(F.replace(label, F.lit("_"), F.lit(" "))), lambda w: w != ""))
 
 
 def label_search_terms(label: Column) -> Column:
     """What to search a topic label by: significant words, translated and original.
     NULL for labels that stand for no topic."""
     raw = F.filter(label_words(label), lambda w: (F.length(w) >= 2) & ~w.rlike(DIGITS))
-    strong = F.filter(raw, lambda w: ~F.lower(w).isin(rules.MARKET_STOP_WORDS))
-    kept = F.when(F.size(strong) > 0, strong).otherwise(F.slice(raw, 1, 2))
-    lowered = F.transform(kept, F.lower)
-    both = F.array_union(F.transform(lowered, lambda w: translate(w)), lowered)
-    usable = is_topic_label(label) & (F.size(both) > 0)
-    return F.when(usable, F.array_sort(both))
+
+    def strongest(ws: Column) -> Column:
+        strong = F.filter(ws, lambda w: ~F.lower(w).isin(rules.MARKET_STOP_WORDS))
+        return let(strong, lambda s: F.when(F.size(s) > 0, s).otherwise(F.slice(ws, 1, 2)))
+
+    lowered = F.transform(let(raw, strongest), F.lower)
+    both = let(lowered, lambda ws: F.array_union(F.transform(ws, lambda w: translate(w)), ws))
+    return F.when(is_topic_label(label), let(both, lambda t: F.when(F.size(t) > 0, F.array_sort(t))))
 
 
 def is_topic_label(label: Column) -> Column:
@@ -151,15 +162,18 @@ def first_rule(text: Column, rule_table: list[tuple[str, list[str]]], otherwise:
 
 
 def clean_topic_label(label: Column) -> Column:
-    low = F.lower(label)
-    parts = F.split(low, "_")
-    numbered = (F.size(parts) > 1) & F.element_at(parts, 1).rlike("^-*\\p{Nd}+$")
-    body = F.when(numbered, F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(1)))).otherwise(parts)
+    """Display name of a topic label: an entity, else its first two real words."""
+    body = _without_number(F.split(F.lower(label), "_"))
     kept = F.filter(body, lambda w: (F.length(w) > 2) & ~w.isin(rules.LABEL_STOP_WORDS))
-    named = F.array_join(F.slice(F.transform(kept, F.initcap), 1, 2), " ")
-    fallback = F.when(F.size(kept) > 0, named).otherwise(F.lit(rules.DEFAULT_ENTITY))
+    fallback = let(
+        F.slice(kept, 1, 2),
+        lambda ws: F.when(F.size(ws) > 0, F.array_join(F.transform(ws, F.initcap), " ")).otherwise(
+            F.lit(rules.DEFAULT_ENTITY)
+        ),
+    )
+    named = let(F.lower(label), lambda low: first_rule(low, rules.ENTITY_RULES, F.lit(None)))
     asis = label.isNull() | (label == "") | label.isin(list(rules.SENTINEL_LABELS))
-    return F.when(asis, label).otherwise(first_rule(low, rules.ENTITY_RULES, fallback))
+    return F.when(asis, label).otherwise(F.coalesce(named, fallback))
 
 
 def _entity_text(title: Column, topic: Column) -> Column:
@@ -167,15 +181,17 @@ def _entity_text(title: Column, topic: Column) -> Column:
 
 
 def article_entity(title: Column, topic: Column) -> Column:
+    named = let(_entity_text(title, topic), lambda t: first_rule(t, rules.ENTITY_RULES, F.lit(None)))
     fallback = F.when(F.coalesce(topic, F.lit("")) == "", F.lit(rules.DEFAULT_ENTITY)).otherwise(
         clean_topic_label(topic)
     )
-    return first_rule(_entity_text(title, topic), rules.ENTITY_RULES, fallback)
+    return F.coalesce(named, fallback)
 
 
 def market_entity(title: Column, topic: Column) -> Column:
-    return first_rule(
-        _entity_text(title, topic), rules.MARKET_ENTITY_RULES, F.lit(rules.DEFAULT_ENTITY)
+    return let(
+        _entity_text(title, topic),
+        lambda t: first_rule(t, rules.MARKET_ENTITY_RULES, F.lit(rules.DEFAULT_ENTITY)),
     )
 
 
@@ -185,15 +201,17 @@ def relevance_words(title: Column, topic: Column) -> Column:
         lambda w: (F.length(w) >= 2) & ~w.rlike(DIGITS),
     )
     own = F.array_union(topic_words, title_terms(F.lower(F.coalesce(title, F.lit("")))))
-    return F.array_union(own, F.transform(own, lambda w: translate(w, rules.RELEVANCE_MAP)))
+    return let(own, lambda ws: F.array_union(ws, F.transform(ws, lambda w: translate(w, rules.RELEVANCE_MAP))))
 
 
 def question_is_relevant(question: Column, title: Column, topic: Column) -> Column:
     """True unless the article has words and none of them occurs in the question."""
-    known = relevance_words(title, topic)
     low = F.lower(question)
-    hit = F.exists(known, lambda w: (F.length(w) >= 3) & F.contains(low, w))
-    return F.coalesce(question, F.lit("")).eqNullSafe("") | (F.size(known) == 0) | hit
+
+    def any_hit(ws: Column) -> Column:
+        return (F.size(ws) == 0) | F.exists(ws, lambda w: (F.length(w) >= 3) & F.contains(low, w))
+
+    return (F.coalesce(question, F.lit("")) == "") | let(relevance_words(title, topic), any_hit)
 
 
 def evaluate_once(df: DataFrame, names: list[str]) -> DataFrame:

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from newsloom import rules
 from newsloom.functions import numbers, text
-from newsloom.operators.skew import BROADCAST_ROWS, broadcast_if_small, top_n_per_key
+from newsloom.operators.skew import broadcast_if_small, top_n_per_key
+from newsloom.session import shared_dir
 
 MIN_ARTICLE_SCORE = 2.0
 MAX_EVENTS = 200
 MARKETS_PER_EVENT = 10
 BETS_PER_ENTITY = 5
 GRAM = 12
+INDEX_ROWS = 1_000_000  # short rows: about 100 MB at most
 
 
 # ------------------------------------------------------------------- events
@@ -130,9 +132,13 @@ def best_events(searches: DataFrame, key: str, terms: str, events: DataFrame, mi
     index is small enough to broadcast. Score and position are packed in one long
     (half points above, position below): choosing is then a plain max.
     """
-    index = broadcast_if_small(title_index(events))
-    # explode_outer: plain explode would have Spark work out the terms a second time, as a filter
-    one_term = searches.select(key, terms).repartition(F.col(key)).select(key, F.explode_outer(terms).alias("term"))
+    shared_dir(events.sparkSession)
+    index = broadcast_if_small(title_index(events).checkpoint(), INDEX_ROWS)
+    # a number of its own keeps the few bytes per search from being merged into one task;
+    # explode_outer, as plain explode has Spark work out the terms a second time, in a filter
+    parts = int(searches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = searches.select(key, terms).repartition(parts, key)
+    one_term = spread.select(key, F.explode_outer(terms).alias("term"))
     shift = F.lit(1 << 40)
     long_term = F.length("term") > GRAM
     hits = one_term.join(index, F.substring("term", 1, GRAM) == F.col("gram")).where(
@@ -158,7 +164,7 @@ def match_articles(articles: DataFrame, events: DataFrame, markets: DataFrame, t
     searches = articles.select("article_id", text.translated_title_terms(F.col(title)).alias("terms"))
     found = best_events(searches, "article_id", "terms", events, MIN_ARTICLE_SCORE)
     chosen = best_markets(events, markets)
-    return found.join(broadcast_if_small(chosen, BROADCAST_ROWS), "event_pos").select(
+    return found.join(broadcast_if_small(chosen), "event_pos").select(
         "article_id",
         "event_pos",
         "score",
@@ -180,16 +186,13 @@ def enrich(articles: DataFrame, events: DataFrame, markets: DataFrame) -> DataFr
 
 def match_topics(labels: DataFrame, events: DataFrame, markets: DataFrame, label: str = "topic_label") -> DataFrame:
     """Best event (any score above 0) per distinct topic label."""
-    searches = (
-        labels.select(label).distinct()
-        .withColumn("terms", text.label_search_terms(F.col(label)))
-        .where("terms IS NOT NULL")
-    )
+    named = labels.select(label).distinct().withColumn("terms", text.label_search_terms(F.col(label)))
+    searches = text.evaluate_once(named, ["terms"]).where("terms IS NOT NULL")
     found = best_events(searches, label, "terms", events, 0.5)
     chosen = best_markets(events, markets)
     return (
         found.join(searches, label)
-        .join(broadcast_if_small(chosen, BROADCAST_ROWS), "event_pos")
+        .join(broadcast_if_small(chosen), "event_pos")
         .select(
             label,
             "score",

@@ -8,6 +8,7 @@ from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from newsloom import rules
 from newsloom.functions import numbers, text
@@ -66,7 +67,7 @@ def drop_small(clusters: DataFrame, row_id: str, cluster: str = "cluster") -> Da
     return join_per_key(clusters, judged, cluster, "cluster_size", row_id)
 
 
-def text_vectors(df: DataFrame, clean: str = "contenu_clean", features: int = 1 << 14) -> DataFrame:
+def text_vectors(df: DataFrame, clean: str = "contenu_clean", features: int = 1 << 12) -> DataFrame:
     """Unit-length TF-IDF vectors of fixed width: the width does not grow with the corpus."""
     counted = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=features).transform(
         df.withColumn("_tokens", tokens(F.col(clean)))
@@ -116,8 +117,9 @@ def term_weights(docs: DataFrame, topic: str = "topic_id", clean: str = "contenu
     """Class-based TF-IDF: share of the term in its topic times log(1 + A / f), with
     f the term's total count and A the mean word count per topic.
 
-    Words are counted per (topic, term) with map-side combine; totals are summed
-    from those counts, so the texts are read once.
+    Words are counted per (topic, term) with map-side combine; everything else is
+    worked out from those counts, so the texts are read once. A term's total adds up
+    its counts side by side, of which there is one per topic at most.
     """
     counts = (
         docs.select(topic, F.explode(tokens(F.col(clean))).alias("term"))
@@ -125,14 +127,11 @@ def term_weights(docs: DataFrame, topic: str = "topic_id", clean: str = "contenu
         .agg(F.count(F.lit(1)).alias("n"))
     )
     per_topic = counts.groupBy(topic).agg(F.sum("n").alias("topic_words"))
-    per_term = counts.groupBy("term").agg(F.sum("n").alias("f"))
     mean_words = per_topic.agg(F.avg("topic_words")).scalar()
+    total = F.sum("n").over(W.partitionBy("term"))
     weight = F.col("n") / F.col("topic_words") * F.ln(1 + mean_words / F.col("f"))
-    return (
-        counts.join(per_term, "term")
-        .join(per_topic, topic)
-        .select(topic, "term", "n", weight.alias("weight"))
-    )
+    sized = join_per_key(counts.withColumn("f", total), per_topic, topic, "topic_words", "term")
+    return sized.select(topic, "term", "n", weight.alias("weight"))
 
 
 def top_terms(weights: DataFrame, topic: str = "topic_id", n: int = TERMS_PER_TOPIC) -> DataFrame:

@@ -160,13 +160,9 @@ LABEL_TERMS = f"""SELECT label, list_sort(list_distinct(list_concat({sql.each('k
     with_("SELECT label, array_to_string(terms, ', ') AS search_term FROM label_terms", "silver", labels=LABELS, label_terms=LABEL_TERMS),
 )
 def topic_terms(spark, sf):
-    return (
-        _labels(spark, sf)
-        .select("label")
-        .distinct()
-        .withColumn("search_term", F.array_join(text.label_search_terms(F.col("label")), ", "))
-        .where("search_term IS NOT NULL")
-    )
+    labels = _labels(spark, sf).select("label").distinct()
+    terms = F.array_join(text.label_search_terms(F.col("label")), ", ")
+    return text.evaluate_once(labels.withColumn("search_term", terms), ["search_term"]).where("search_term IS NOT NULL")
 
 
 @query(
