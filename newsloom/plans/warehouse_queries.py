@@ -195,7 +195,7 @@ def gold_articles(spark, sf):
     "sql_surface",
     with_(
         """SELECT source, sum(article_count)::BIGINT AS articles, max(latest) AS latest FROM breakdown
-           GROUP BY source HAVING sum(article_count) > 10 ORDER BY articles DESC, source""",
+           GROUP BY source HAVING sum(article_count) > 5 ORDER BY articles DESC, source""",
         "stored",
         breakdown=BREAKDOWN,
     ),
@@ -205,7 +205,7 @@ def sql_surface(spark, sf):
     return warehouse.query(
         spark,
         """SELECT source, sum(article_count) AS articles, date_format(max(latest), 'yyyy-MM-dd HH:mm:ss') AS latest
-           FROM v_source_breakdown GROUP BY source HAVING sum(article_count) > 10 ORDER BY articles DESC, source""",
+           FROM v_source_breakdown GROUP BY source HAVING sum(article_count) > 5 ORDER BY articles DESC, source""",
     )
 
 
