@@ -12,6 +12,8 @@ from newsloom import rules
 
 ARABIC = "[\\x{600}-\\x{6ff}]"
 DIGITS = "^\\p{Nd}+$"
+TOPIC_NUMBER = "^-*\\p{Nd}+$"
+NUMBERED = "size(p) > 1 AND p[0] RLIKE '^-*\\\\p{Nd}+$'"
 URL = f"(?i)^https?://[^{rules.WS}/$.?#][^\\n][^{rules.WS}]*\\n?\\z"
 
 # Removal steps of the cleaner, in order: tags, named and numeric entities, links,
@@ -39,21 +41,25 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(rules.WS_CHARS))
 
 
-def _clean_step(c: Column, needed: str | None, pattern: str, new: str) -> Column:
-    if needed is None:
-        return F.regexp_replace(c, F.lit(pattern), F.lit(new))
-    return let(
-        c,
-        lambda t: F.when(
-            F.contains(t, F.lit(needed)), F.regexp_replace(t, F.lit(pattern), F.lit(new))
-        ).otherwise(t),
-    )
+def quoted(value: str) -> str:
+    """A SQL string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
+    return f"'{escaped}'"
+
 
+def in_list(values) -> str:
+    return f"({', '.join(quoted(v) for v in dict.fromkeys(values))})"
 
-def clean_text(c: Column) -> Column:
-    for step in CLEAN_STEPS:
-        c = _clean_step(c, *step)
-    return F.coalesce(strip(c), F.lit(""))
+
+def clean_text(column: str) -> Column:
+    """The named column without markup, links and control characters. One SQL text: a
+    transform over a one-element array names the value that a step tests and edits."""
+    body = f"`{column}`"
+    for needed, pattern, new in CLEAN_STEPS:
+        edited = f"regexp_replace(t, {quoted(pattern)}, {quoted(new)})"
+        step = edited if needed is None else f"if(contains(t, {quoted(needed)}), {edited}, t)"
+        body = f"transform(array({body}), t -> {step})[0]"
+    return F.coalesce(strip(F.expr(body)), F.lit(""))
 
 
 def html_to_text(c: Column) -> Column:
@@ -87,30 +93,37 @@ def words(c: Column) -> Column:
     return F.split(c, f"[{rules.WS}]+")
 
 
-def title_terms(title: Column) -> Column:
-    """Distinct lower-case title words: 3+ characters before punctuation goes."""
-    long_words = F.filter(words(title), lambda w: (F.length(w) >= 3) & ~w.rlike(DIGITS))
-    bare = F.transform(long_words, lambda w: F.btrim(F.lower(w), F.lit(rules.TITLE_PUNCT)))
-    return F.array_distinct(F.filter(bare, lambda w: w != ""))
+def _title_terms(column: str) -> str:
+    long_words = (
+        f"filter(split({column}, {quoted(f'[{rules.WS}]+')}), w -> length(w) >= 3 AND NOT w RLIKE {quoted(DIGITS)})"
+    )
+    bare = f"transform({long_words}, w -> btrim(lower(w), {quoted(rules.TITLE_PUNCT)}))"
+    return f"array_distinct(filter({bare}, w -> w <> ''))"
 
 
-def translate(term: Column, mapping: dict[str, str] = rules.KEYWORD_MAP) -> Column:
-    """Known word -> its canonical English form; other words pass through."""
+def title_terms(column: str) -> Column:
+    """Distinct lower-case words of the named title column: 3+ characters before
+    punctuation goes."""
+    return F.expr(_title_terms(f"`{column}`"))
+
+
+def translation(word: str, mapping: dict[str, str] = rules.KEYWORD_MAP) -> str:
+    """SQL for: known word -> its canonical English form; other words pass through."""
     by_target: dict[str, list[str]] = {}
-    for word, target in mapping.items():
-        if word != target:
-            by_target.setdefault(target, []).append(word)
-    chain = reduce(
-        lambda acc, kv: acc.when(term.isin(kv[1]), F.lit(kv[0])) if acc is not None
-        else F.when(term.isin(kv[1]), F.lit(kv[0])),
-        by_target.items(),
-        None,
-    )
-    return chain.otherwise(term)
+    for known, target in mapping.items():
+        if known != target:
+            by_target.setdefault(target, []).append(known)
+    whens = " ".join(f"WHEN {word} IN {in_list(ws)} THEN {quoted(t)}" for t, ws in by_target.items())
+    return f"CASE {whens} ELSE {word} END"
+
 
+def translate(column: str) -> Column:
+    return F.expr(translation(f"`{column}`"))
 
-def translated_title_terms(title: Column) -> Column:
-    return F.array_distinct(F.transform(title_terms(title), lambda w: translate(w)))
+
+def translated_title_terms(column: str) -> Column:
+    terms = _title_terms(f"`{column}`")
+    return F.expr(f"array_distinct(transform({terms}, w -> {translation('w')}))")
 
 
 def _without_number(parts: Column) -> Column:
@@ -118,29 +131,24 @@ def _without_number(parts: Column) -> Column:
     return let(
         parts,
         lambda p: F.when(
-            (F.size(p) > 1) & F.element_at(p, 1).rlike("^-*\\p{Nd}+$"),
+            (F.size(p) > 1) & F.element_at(p, 1).rlike(TOPIC_NUMBER),
             F.slice(p, F.lit(2), F.greatest(F.size(p) - 1, F.lit(1))),
         ).otherwise(p),
     )
 
 
-def label_words(label: Column) -> Column:
-    """Words of a topic label without the leading topic number."""
-    return _without_number(F.filter(words(F.replace(label, F.lit("_"), F.lit(" "))), lambda w: w != ""))
-
-
-def label_search_terms(label: Column) -> Column:
-    """What to search a topic label by: significant words, translated and original.
-    NULL for labels that stand for no topic."""
-    raw = F.filter(label_words(label), lambda w: (F.length(w) >= 2) & ~w.rlike(DIGITS))
-
-    def strongest(ws: Column) -> Column:
-        strong = F.filter(ws, lambda w: ~F.lower(w).isin(rules.MARKET_STOP_WORDS))
-        return let(strong, lambda s: F.when(F.size(s) > 0, s).otherwise(F.slice(ws, 1, 2)))
-
-    lowered = F.transform(let(raw, strongest), F.lower)
-    both = let(lowered, lambda ws: F.array_union(F.transform(ws, lambda w: translate(w)), ws))
-    return F.when(is_topic_label(label), let(both, lambda t: F.when(F.size(t) > 0, F.array_sort(t))))
+def label_search_terms(label: str) -> Column:
+    """What to search the named topic label by: significant words, translated and
+    original. NULL for labels that stand for no topic."""
+    parts = f"filter(split(replace(`{label}`, '_', ' '), {quoted(f'[{rules.WS}]+')}), w -> w <> '')"
+    body = f"transform(array({parts}), p -> if({NUMBERED}, slice(p, 2, greatest(size(p) - 1, 1)), p))[0]"
+    raw = f"filter({body}, w -> length(w) >= 2 AND NOT w RLIKE {quoted(DIGITS)})"
+    strong = f"filter(r, w -> lower(w) NOT IN {in_list(rules.MARKET_STOP_WORDS)})"
+    kept = f"transform(array({raw}), r -> transform(array({strong}), s -> if(size(s) > 0, s, slice(r, 1, 2)))[0])[0]"
+    lowered = f"transform({kept}, w -> lower(w))"
+    both = f"transform(array({lowered}), k -> array_union(transform(k, w -> {translation('w')}), k))[0]"
+    terms = F.expr(f"transform(array({both}), b -> if(size(b) > 0, array_sort(b), NULL))[0]")
+    return F.when(is_topic_label(F.col(label)), terms)
 
 
 def is_topic_label(label: Column) -> Column:
@@ -195,23 +203,18 @@ def market_entity(title: Column, topic: Column) -> Column:
     )
 
 
-def relevance_words(title: Column, topic: Column) -> Column:
-    topic_words = F.filter(
-        words(F.translate(F.lower(F.coalesce(topic, F.lit(""))), "_-", "  ")),
-        lambda w: (F.length(w) >= 2) & ~w.rlike(DIGITS),
+def question_is_relevant(question: str, title: str, topic: str) -> Column:
+    """True unless the article (named columns) has words and none is in the question."""
+    topic_words = (
+        f"filter(split(translate(lower(coalesce(`{topic}`, '')), '_-', '  '), {quoted(f'[{rules.WS}]+')}), "
+        f"w -> length(w) >= 2 AND NOT w RLIKE {quoted(DIGITS)})"
     )
-    own = F.array_union(topic_words, title_terms(F.lower(F.coalesce(title, F.lit("")))))
-    return let(own, lambda ws: F.array_union(ws, F.transform(ws, lambda w: translate(w, rules.RELEVANCE_MAP))))
-
-
-def question_is_relevant(question: Column, title: Column, topic: Column) -> Column:
-    """True unless the article has words and none of them occurs in the question."""
-    low = F.lower(question)
-
-    def any_hit(ws: Column) -> Column:
-        return (F.size(ws) == 0) | F.exists(ws, lambda w: (F.length(w) >= 3) & F.contains(low, w))
-
-    return (F.coalesce(question, F.lit("")) == "") | let(relevance_words(title, topic), any_hit)
+    own = f"array_union({topic_words}, {_title_terms(f"lower(coalesce(`{title}`, ''))")})"
+    mapped = f"transform(o, w -> {translation('w', rules.RELEVANCE_MAP)})"
+    known = f"transform(array({own}), o -> array_union(o, {mapped}))[0]"
+    hit = f"exists(ws, w -> length(w) >= 3 AND contains(lower(`{question}`), w))"
+    related = f"transform(array({known}), ws -> size(ws) = 0 OR {hit})[0]"
+    return F.expr(f"coalesce(`{question}`, '') = '' OR {related}")
 
 
 def evaluate_once(df: DataFrame, names: list[str]) -> DataFrame:
@@ -225,28 +228,18 @@ def evaluate_once(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*rest, F.inline(F.array(F.struct(*names)))).select(*df.columns)
 
 
-def detect_language(clean: Column, profiles: dict[str, list[str]] = rules.LANGUAGE_WORDS) -> Column:
-    """Language whose function words are most frequent; ties go to the earlier profile.
-    The text is split once and reduced to the words of any profile before counting."""
+def detect_language(column: str, profiles: dict[str, list[str]] = rules.LANGUAGE_WORDS) -> Column:
+    """Language whose function words are most frequent in the named column; ties go to
+    the earlier profile. The text is split once and reduced to the words of any
+    profile before counting."""
     known = sorted({w for ws in profiles.values() for w in ws})
-    found = F.filter(F.split(F.lower(clean), "[^\\p{L}]+"), lambda w: w.isin(known))
-
-    def best(ws: Column) -> Column:
-        def count(lang: str) -> Column:
-            return F.size(F.filter(ws, lambda w: w.isin(profiles[lang])))
-
-        return F.array_max(
-            F.array(
-                *[
-                    F.struct(count(lang).alias("n"), F.lit(-i).alias("rank"), F.lit(lang).alias("lang"))
-                    for i, lang in enumerate(profiles)
-                ]
-            )
-        )
-
-    by_words = let(
-        let(found, best),
-        lambda b: F.when(b["n"] > 0, b["lang"]).when(has_arabic(clean), F.lit("ar")).otherwise(F.lit("unknown")),
+    found = f"filter(split(lower(`{column}`), {quoted('[^\\p{L}]+')}), w -> w IN {in_list(known)})"
+    counts = ", ".join(
+        f"struct(size(filter(f, w -> w IN {in_list(ws)})) AS n, {-i} AS rank, {quoted(lang)} AS lang)"
+        for i, (lang, ws) in enumerate(profiles.items())
     )
-    long_enough = F.length(strip(clean)) >= rules.MIN_DETECT_LENGTH
+    best = f"transform(array({found}), f -> array_max(array({counts})))[0]"
+    otherwise = f"CASE WHEN `{column}` RLIKE {quoted(ARABIC)} THEN 'ar' ELSE 'unknown' END"
+    by_words = F.expr(f"transform(array({best}), b -> if(b.n > 0, b.lang, {otherwise}))[0]")
+    long_enough = F.length(strip(F.col(column))) >= rules.MIN_DETECT_LENGTH
     return F.when(long_enough, by_words).otherwise(F.lit("unknown"))

@@ -161,7 +161,7 @@ def best_events(searches: DataFrame, key: str, terms: str, events: DataFrame, mi
 
 def match_articles(articles: DataFrame, events: DataFrame, markets: DataFrame, title: str = "titre_clean") -> DataFrame:
     """article_id with score and the five market columns, for articles that match."""
-    searches = articles.select("article_id", text.translated_title_terms(F.col(title)).alias("terms"))
+    searches = articles.select("article_id", text.translated_title_terms(title).alias("terms"))
     found = best_events(searches, "article_id", "terms", events, MIN_ARTICLE_SCORE)
     chosen = best_markets(events, markets)
     return found.join(broadcast_if_small(chosen), "event_pos").select(
@@ -186,7 +186,7 @@ def enrich(articles: DataFrame, events: DataFrame, markets: DataFrame) -> DataFr
 
 def match_topics(labels: DataFrame, events: DataFrame, markets: DataFrame, label: str = "topic_label") -> DataFrame:
     """Best event (any score above 0) per distinct topic label."""
-    named = labels.select(label).distinct().withColumn("terms", text.label_search_terms(F.col(label)))
+    named = labels.select(label).distinct().withColumn("terms", text.label_search_terms(label))
     searches = text.evaluate_once(named, ["terms"]).where("terms IS NOT NULL")
     found = best_events(searches, label, "terms", events, 0.5)
     chosen = best_markets(events, markets)
@@ -208,7 +208,7 @@ def match_topics(labels: DataFrame, events: DataFrame, markets: DataFrame, label
 
 def drop_irrelevant(df: DataFrame) -> DataFrame:
     """Blank market columns whose question shares no word with the article."""
-    ok = text.question_is_relevant(F.col("poly_q"), F.col("titre"), F.col("topic"))
+    ok = text.question_is_relevant("poly_q", "titre", "topic")
     blanked = [c for c in ("poly_prob", "poly_q", "polymarket_prob_pct") if c in df.columns]
     return df.withColumn("_ok", ok).withColumns({c: F.when(F.col("_ok"), F.col(c)) for c in blanked}).drop("_ok")
 

@@ -48,8 +48,8 @@ def clean_fields(df: DataFrame) -> DataFrame:
         published = dates.mixed_timestamp(published)
     return df.withColumns(
         {
-            "contenu_clean": text.clean_text(F.col("contenu")),
-            "titre_clean": text.clean_text(F.col("titre")),
+            "contenu_clean": text.clean_text("contenu"),
+            "titre_clean": text.clean_text("titre"),
             "date_publication": published,
             "source": text.strip(F.lower("source")),
             "langue": text.strip(F.lower("langue")),
@@ -64,7 +64,7 @@ def derive(df: DataFrame) -> DataFrame:
     clean = F.col("contenu_clean")
     return df.withColumns(
         {
-            "langue_detectee": text.detect_language(clean),
+            "langue_detectee": text.detect_language("contenu_clean"),
             "content_length": F.length(clean),
             "content_hash": text.content_hash(clean),
         }

@@ -36,7 +36,7 @@ def texts(spark, sf):
 
 @query("clean_text", f"SELECT id, {sql.clean('body')} AS clean FROM ({TEXTS})")
 def clean_text(spark, sf):
-    return texts(spark, sf).select("id", text.clean_text(F.col("body")).alias("clean"))
+    return texts(spark, sf).select("id", text.clean_text("body").alias("clean"))
 
 
 @query(
@@ -189,7 +189,7 @@ def rfc822_timestamps(spark, sf):
 )
 def language_profile(spark, sf):
     raw = silver_ops.clean_fields(tables.raw_articles(spark, sf))
-    detected = raw.select("langue", text.detect_language(F.col("contenu_clean")).alias("langue_detectee"))
+    detected = raw.select("langue", text.detect_language("contenu_clean").alias("langue_detectee"))
     return detected.groupBy("langue", "langue_detectee").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -45,7 +45,7 @@ def market_match_articles(spark, sf):
 @query("argmax_market", with_("SELECT article_id, event_pos, score FROM matched", "matched"))
 def argmax_market(spark, sf):
     sound = gold_ops.quality_ok(demo.silver_table(spark, sf))
-    searches = sound.select("article_id", text.translated_title_terms(F.col("titre_clean")).alias("terms"))
+    searches = sound.select("article_id", text.translated_title_terms("titre_clean").alias("terms"))
     found = market_ops.best_events(
         searches, "article_id", "terms", demo.events(spark, sf), market_ops.MIN_ARTICLE_SCORE
     )
@@ -115,7 +115,7 @@ def keyword_translation(spark, sf):
         .where("word <> ''")
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(text.translate(F.col("word")).alias("canon"))
+        .groupBy(text.translate("word").alias("canon"))
         .agg(F.sum("n").alias("n"))
     )
 
@@ -130,7 +130,7 @@ def keyword_translation(spark, sf):
 )
 def title_terms(spark, sf):
     return demo.silver_table(spark, sf).select(
-        "article_id", F.array_join(F.array_sort(text.title_terms(F.col("titre_clean"))), " ").alias("terms")
+        "article_id", F.array_join(F.array_sort(text.title_terms("titre_clean")), " ").alias("terms")
     )
 
 
@@ -161,7 +161,7 @@ LABEL_TERMS = f"""SELECT label, list_sort(list_distinct(list_concat({sql.each('k
 )
 def topic_terms(spark, sf):
     labels = _labels(spark, sf).select("label").distinct()
-    terms = F.array_join(text.label_search_terms(F.col("label")), ", ")
+    terms = F.array_join(text.label_search_terms("label"), ", ")
     return text.evaluate_once(labels.withColumn("search_term", terms), ["search_term"]).where("search_term IS NOT NULL")
 
 

@@ -24,7 +24,8 @@ def spread(df: DataFrame) -> DataFrame:
     """A small input in few files goes to all cores before costly per-row work; an
     input with enough splits of its own (any large one) is left alone."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()  # plans the scan, runs nothing
+    return df.repartition(cores) if splits < cores else df
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
