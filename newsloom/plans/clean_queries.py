@@ -291,7 +291,7 @@ def country_consistency(spark, sf):
     ),
 )
 def duplicate_content(spark, sf):
-    return quality.duplicate_content(demo.silver(spark, sf)).select("article_id", "content_hash", "copies")
+    return quality.duplicate_content(demo.silver_table(spark, sf)).select("article_id", "content_hash", "copies")
 
 
 @query(

@@ -513,7 +513,7 @@ def stream_upsert(spark, sf):
     sink.write_bronze(raw, bronze, ts(MORNING))
     counts = raw.groupBy("source").agg(F.count(F.lit(1)).alias("articles_scraped"))
     sink.emit_events(sink.ingestion_events(counts, bronze, RUN_DATE, ts(MORNING)).repartition(2), topic)
-    apply = ingest.upsert_batch(spark, bronze, table, demo.run_ts())
+    apply = ingest.upsert_batch(spark, bronze, table, demo.run_ts(), analytics_root=scratch(spark, "analytics"))
     ingest.run(ingest.file_events(spark, topic, 1), apply, state).awaitTermination()
     return sink.read_gold_table(spark, table).select(
         "article_id", "titre_clean", "source", "content_hash",

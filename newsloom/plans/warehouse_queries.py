@@ -165,7 +165,7 @@ def topic_summary(spark, sf):
     with_("SELECT article_id, topic_label, topic_article_count, topic_coverage_score FROM gold", "gold"),
 )
 def topic_coverage(spark, sf):
-    sound = gold_ops.quality_ok(tables.demo_topics(demo.silver(spark, sf)))
+    sound = gold_ops.quality_ok(tables.demo_topics(demo.silver_table(spark, sf)))
     return gold_ops.with_coverage(sound).select("article_id", "topic_label", "topic_article_count", "topic_coverage_score")
 
 
@@ -268,3 +268,20 @@ def upsert_articles(spark, sf):
     stored = skew.keep_one(docs.where("doc_id % 2 = 0"), "article_id", "doc_id", last=True)
     batch = skew.keep_one(docs.where("doc_id % 2 = 1"), "article_id", "doc_id", last=True)
     return warehouse.upsert(stored, batch)
+
+
+@query(
+    "run_summary",
+    with_(
+        """SELECT (SELECT count(*) FROM documents) AS articles_scraped, count(*) FILTER (quality_status = 'OK') AS gold_ok,
+           count(DISTINCT topic_label) AS topics, count(polymarket_prob) AS signals FROM gold""",
+        "gold",
+    ),
+)
+def run_summary(spark, sf):
+    scraped = tables.table(spark, sf, "documents").agg(F.count(F.lit(1)).alias("n")).scalar()
+    return demo.gold(spark, sf).agg(
+        F.count_if(F.col("quality_status") == "OK").alias("gold_ok"),
+        F.countDistinct("topic_label").alias("topics"),
+        F.count("polymarket_prob").alias("signals"),
+    ).withColumn("articles_scraped", scraped)

@@ -59,8 +59,10 @@ def _stamped(df: DataFrame, run_ts: Column) -> DataFrame:
 
 
 def write_silver(df: DataFrame, root: str, run_ts: Column, json_root: str | None = None) -> None:
-    """Parquet by source, run date and run; a readable JSON copy where asked for."""
-    out = _stamped(df, run_ts)
+    """Parquet by source, run date and run; a readable JSON copy where asked for. Rows
+    are rebalanced by source first: small sources share a task and get one file, a
+    large one is split over many tasks by its size."""
+    out = _stamped(df, run_ts).hint("rebalance", "source")
     out.write.mode("append").partitionBy("source", "date", "run").parquet(root)
     if json_root:
         readable = out.withColumn("date_publication", F.col("date_publication").cast("string"))
@@ -78,7 +80,8 @@ def upsert_gold(spark: SparkSession, root: str, batch: DataFrame, arrival: str,
     """Insert or replace by article id; the last row of an id in the batch wins.
 
     The table is split by a hash of the id, so a batch rewrites only the buckets
-    it touches. The new content is checkpointed in the shared folder before those
+    it touches (choose `buckets` so that one holds a few GB). Buckets are written
+    rebalanced: one that is too large for a task is split over several. The new content is checkpointed in the shared folder before those
     buckets are overwritten, and the same batch may be applied again: the result
     is the same.
     """
@@ -95,7 +98,7 @@ def upsert_gold(spark: SparkSession, root: str, batch: DataFrame, arrival: str,
     else:
         merged = new
     (
-        merged.repartition(F.col("bucket"))
+        merged.hint("rebalance", "bucket")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("bucket")
@@ -183,3 +186,19 @@ def emit_events(events: DataFrame, path: str | None = None, kafka: dict[str, str
 def write_quality_report(report: DataFrame, path: str, run_date: str) -> None:
     """One small row per expected source, by run date."""
     report.withColumn("date", F.lit(run_date)).write.mode("overwrite").partitionBy("date").json(path)
+
+
+def purge(spark: SparkSession, candidates: DataFrame, roots: dict[str, str], delete: bool = False) -> DataFrame:
+    """Folders of partitions (layer, source, date) past their keeping time. They are only
+    listed unless `delete` is set; the list is read in pieces, one row per folder."""
+    base = F
+    for layer, root in roots.items():
+        base = base.when(F.col("layer") == layer, F.lit(root))
+    source = F.when(F.col("source").isNotNull(), F.concat(F.lit("/source="), "source")).otherwise(F.lit(""))
+    path = F.concat(base.otherwise(F.lit(None)), source, F.lit("/date="), F.col("date").cast("string"))
+    listed = candidates.withColumn("path", path)
+    if delete:
+        for row in listed.where("path IS NOT NULL").select("path").distinct().toLocalIterator():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(row["path"])
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return listed

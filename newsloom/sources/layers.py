@@ -130,3 +130,10 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
+
+
+def partitions(spark: SparkSession, root: str, layer: str) -> DataFrame:
+    """(layer, source, date) of a stored layer, from its folders alone."""
+    df = spark.read.parquet(root) if layer != "bronze" else bronze_files(spark, root)
+    src = F.col("source") if layer != "gold" else F.lit(None).cast("string")
+    return df.select(F.lit(layer).alias("layer"), src.alias("source"), F.col("date").cast("date").alias("date")).distinct()

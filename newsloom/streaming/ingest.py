@@ -69,9 +69,17 @@ def announced_partitions(events: DataFrame) -> DataFrame:
     return ingested(events).select(*[c.alias(n) for n, c in parts.items()]).distinct()
 
 
-def upsert_batch(spark: SparkSession, bronze_root: str, gold_root: str, run_ts: Column, silver_root: str | None = None) -> Callable:
-    """What one micro-batch does. Applying a batch twice leaves the same table: rows
-    are replaced by article id."""
+def upsert_batch(
+    spark: SparkSession,
+    bronze_root: str,
+    gold_root: str,
+    run_ts: Column,
+    silver_root: str | None = None,
+    analytics_root: str | None = None,
+) -> Callable:
+    """What one micro-batch does: clean the announced articles, store them, refresh the
+    analytic tables. Applying a batch twice leaves the same table: rows are replaced
+    by article id. Give it a Silver root to keep the cleaned files as well."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -82,6 +90,8 @@ def upsert_batch(spark: SparkSession, bronze_root: str, gold_root: str, run_ts:
         if silver_root:
             sink.write_silver(cleaned.drop("arrival"), silver_root, run_ts)
         sink.upsert_gold(session, gold_root, cleaned, "arrival")
+        if analytics_root:
+            sink.refresh_analytics(sink.read_gold_table(session, gold_root), analytics_root, run_ts)
 
     return apply
 

@@ -239,3 +239,34 @@ def test_page_text_selector_order_and_fallback(spark):
 def test_page_text_blocks(spark):
     html = '<div data-component="text-block"><p>One <b>bold</b></p></div><div data-component="text-block"><p>Two</p></div>'
     assert page(spark, html, "bbc") == "One bold\nTwo"
+
+
+def test_old_partitions_are_listed_and_only_then_deleted(spark, tmp_path):
+    root = str(tmp_path / "silver")
+    df = spark.createDataFrame([("1", "bbc", "old"), ("2", "cnn", "old")], "article_id string, source string, titre string")
+    sink.write_silver(df, root, F.lit("2024-01-01 08:00:00").cast("timestamp"))
+    sink.write_silver(df, root, run_ts())
+    today = F.lit("2025-04-27").cast("date")
+    old = quality.retention_candidates(source.partitions(spark, root, "silver"), today)
+    assert sorted(r["source"] for r in sink.purge(spark, old, {"silver": root}).collect()) == ["bbc", "cnn"]
+    assert source.parquet_layer(spark, root).count() == 4
+    sink.purge(spark, old, {"silver": root}, delete=True)
+    spark.catalog.clearCache()
+    assert {r["date"] for r in source.available_dates(spark, root).collect()} == {"2025-04-26"}
+
+
+def test_a_large_source_is_split_when_written(spark, tmp_path):
+    root = str(tmp_path / "silver")
+    df = spark.range(20_000).select(
+        F.col("id").cast("string").alias("article_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 10).cast("string"))).alias("source"),
+        F.concat(*[F.md5((F.col("id") * 20 + i).cast("string")) for i in range(20)]).alias("titre"),  # does not compress
+    ).repartition(16)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512k")
+    try:
+        sink.write_silver(df, root, run_ts())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {r["source"]: r["n"] for r in spark.read.parquet(root).groupBy("source").agg(F.countDistinct("_metadata.file_name").alias("n")).collect()}
+    assert files["hot"] > 1 and max(n for s, n in files.items() if s != "hot") < 16
+    assert spark.read.parquet(root).count() == 20_000
