@@ -53,6 +53,7 @@ def build(
     run_ts: Column,
     run_date: str,
     model: str = "cluster",
+    buckets: int = sink.UPSERT_BUCKETS,
 ) -> DataFrame:
     """Topics, market match, scores, summaries and warehouse from the day's Silver.
     `model`: `cluster`, `skip` (one counted topic) or `missing` (none)."""
@@ -69,7 +70,7 @@ def build(
     gold = spark.read.parquet(f"{roots.gold_stage}/date={run_date}")
     summary = gold_ops.topic_summary(gold, order="article_id")
     sink.write_gold(gold, summary, roots.gold, roots.topics, run_ts)
-    sink.upsert_gold(spark, roots.gold_table, gold, "article_id")
+    sink.upsert_gold(spark, roots.gold_table, gold, "article_id", buckets)
     sink.append_topic_summaries(summary, roots.topic_summaries, run_date, run_ts)
     sink.refresh_analytics(sink.read_gold_table(spark, roots.gold_table), roots.analytics, run_ts)
     return gold

@@ -20,6 +20,7 @@ from newsloom.streaming import ingest
 
 QUERIES, ORACLES = {}, {}
 RUN_DATE = "2024-02-01"
+BUCKETS = 8
 
 
 def query(name: str, oracle: str | None = None):
@@ -186,9 +187,9 @@ def warehouse_upsert(spark, sf):
     """Cleaned rows are stored first, as the stream does; the scored rows replace theirs;
     the second batch is applied twice, as after a restart."""
     root = scratch(spark, "gold-table")
-    sink.upsert_gold(spark, root, demo.silver_table(spark, sf), "arrival")
+    sink.upsert_gold(spark, root, demo.silver_table(spark, sf), "arrival", BUCKETS)
     for _ in range(2):
-        sink.upsert_gold(spark, root, demo.gold(spark, sf), "arrival")
+        sink.upsert_gold(spark, root, demo.gold(spark, sf), "arrival", BUCKETS)
     return sink.read_gold_table(spark, root).select(
         "article_id",
         F.coalesce("topic_label", F.lit("")).alias("topic_label"),
@@ -513,7 +514,7 @@ def stream_upsert(spark, sf):
     sink.write_bronze(raw, bronze, ts(MORNING))
     counts = raw.groupBy("source").agg(F.count(F.lit(1)).alias("articles_scraped"))
     sink.emit_events(sink.ingestion_events(counts, bronze, RUN_DATE, ts(MORNING)).repartition(2), topic)
-    apply = ingest.upsert_batch(spark, bronze, table, demo.run_ts(), analytics_root=scratch(spark, "analytics"))
+    apply = ingest.upsert_batch(spark, bronze, table, demo.run_ts(), analytics_root=scratch(spark, "analytics"), buckets=BUCKETS)
     ingest.run(ingest.file_events(spark, topic, 1), apply, state).awaitTermination()
     return sink.read_gold_table(spark, table).select(
         "article_id", "titre_clean", "source", "content_hash",
@@ -535,7 +536,7 @@ def daily_job(spark, sf):
     batch.ingest(spark, _raw(spark, sf), roots, demo.run_ts(), RUN_DATE)
     expected = tables.table(spark, sf, "documents").select("source").distinct()
     batch.check(spark, roots, expected, RUN_DATE)
-    batch.build(spark, roots, demo.events(spark, sf), demo.markets(spark, sf), demo.run_ts(), RUN_DATE, model="skip")
+    batch.build(spark, roots, demo.events(spark, sf), demo.markets(spark, sf), demo.run_ts(), RUN_DATE, model="skip", buckets=BUCKETS)
     return sink.read_gold_table(spark, roots.gold_table).select(
         "article_id", "polymarket_prob", "combined_signal", "topic_article_count"
     )

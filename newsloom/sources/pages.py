@@ -19,7 +19,6 @@ ENTITIES = [
     ("&ldquo;", "“"), ("&rdquo;", "”"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"),
     ("&eacute;", "é"), ("&egrave;", "è"), ("&agrave;", "à"), ("&ccedil;", "ç"), ("&amp;", "&"),
 ]
-DIV = re.compile(r"<(/?)div\b[^>]*>", re.IGNORECASE)
 
 
 def markup_to_text(html: Column) -> Column:
@@ -43,28 +42,29 @@ def _div_pattern(selector: str) -> str:
     return f"""(?is)<div\\b[^>]*\\b{kind}\\s*=\\s*["'](?:[^"']*\\s)?{re.escape(name)}(?:\\s[^"']*)?["'][^>]*>"""
 
 
-def _balanced(html: str | None, opening: re.Pattern) -> str | None:
-    """Inside of the first matching <div>, up to its own closing tag."""
-    start = opening.search(html) if html else None
-    if not start:
-        return None
-    depth = 1
-    for tag in DIV.finditer(html, start.end()):
-        depth += -1 if tag.group(1) else 1
-        if depth == 0:
-            return html[start.end():tag.start()]
-    return html[start.end():]
-
-
 def _div_inner(html: Column, selector: str) -> Column:
     """Divs nest, which no regular expression can follow, so the pages that hold such
-    a container (and only those; others travel as NULL) are cut in Arrow batches."""
+    a container (and only those; others travel as NULL) are cut in Arrow batches. The
+    function carries all it needs: executors need not have this package installed."""
     pattern = _div_pattern(selector)
-    opening = re.compile(pattern)
+
+    def inside(page: str) -> str | None:
+        """Inside of the first matching <div>, up to its own closing tag."""
+        import re
+
+        start = re.search(pattern, page)
+        if not start:
+            return None
+        depth = 1
+        for tag in re.compile(r"<(/?)div\b[^>]*>", re.IGNORECASE).finditer(page, start.end()):
+            depth += -1 if tag.group(1) else 1
+            if depth == 0:
+                return page[start.end():tag.start()]
+        return page[start.end():]
 
     @F.pandas_udf("string")
     def cut(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda h: _balanced(h, opening), na_action="ignore")
+        return pages.map(inside, na_action="ignore")
 
     return cut(F.when(html.rlike(pattern), html))
 

@@ -76,6 +76,7 @@ def upsert_batch(
     run_ts: Column,
     silver_root: str | None = None,
     analytics_root: str | None = None,
+    buckets: int = sink.UPSERT_BUCKETS,
 ) -> Callable:
     """What one micro-batch does: clean the announced articles, store them, refresh the
     analytic tables. Applying a batch twice leaves the same table: rows are replaced
@@ -89,7 +90,7 @@ def upsert_batch(
         cleaned = silver_ops.to_silver(articles, run_ts, keep=("arrival",))
         if silver_root:
             sink.write_silver(cleaned.drop("arrival"), silver_root, run_ts)
-        sink.upsert_gold(session, gold_root, cleaned, "arrival")
+        sink.upsert_gold(session, gold_root, cleaned, "arrival", buckets)
         if analytics_root:
             sink.refresh_analytics(sink.read_gold_table(session, gold_root), analytics_root, run_ts)
 

@@ -270,3 +270,25 @@ def test_a_large_source_is_split_when_written(spark, tmp_path):
     files = {r["source"]: r["n"] for r in spark.read.parquet(root).groupBy("source").agg(F.countDistinct("_metadata.file_name").alias("n")).collect()}
     assert files["hot"] > 1 and max(n for s, n in files.items() if s != "hot") < 16
     assert spark.read.parquet(root).count() == 20_000
+
+
+def test_executors_need_not_have_the_package(tmp_path):
+    """The page cutter runs in workers that cannot import newsloom."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from newsloom.session import build_session
+from newsloom.sources import pages
+spark = build_session(cores=1)
+html = "<div class='entry-content'><div>a</div>" + "word " * 40 + "</div>"
+df = pages.main_text(spark.createDataFrame([(html,)], "html string"), "lakom")
+print("GOT", df.first()["full_text"][:6].split())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "GOT ['a', 'word']" in done.stdout, done.stderr[-2000:]
