@@ -214,16 +214,6 @@ def drop_irrelevant(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ entities
-def entity_keywords(spark) -> DataFrame:
-    """The fixed (entity, keyword, position) table; its size is that of the rule list."""
-    rows = [
-        (entity, kw, pos)
-        for entity, kws in rules.ENTITY_BET_KEYWORDS.items()
-        for pos, kw in enumerate(kws)
-    ]
-    return spark.createDataFrame(rows, "entity string, keyword string, kw_pos int")
-
-
 def entity_bets(events: DataFrame, limit: int = BETS_PER_ENTITY) -> DataFrame:
     """First five events per entity, by keyword then event order, titles once each.
 
