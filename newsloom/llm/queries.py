@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from newsloom.llm import token_files
+from newsloom.llm import packing, token_files
 from newsloom.llm.common import table
 
 
+def op8_best_two_fit(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
+
+
 def op10_token_files(spark, sf_dir):
     return token_files.token_files(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op8_best_two_fit": op8_best_two_fit,
     "op10_token_files": op10_token_files,
 }
 
