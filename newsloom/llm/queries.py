@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from newsloom.llm import packing, token_files
+from newsloom.llm import packing, secret_scan, token_files
 from newsloom.llm.common import table
 
 
+def op6_entropy_secrets(spark, sf_dir):
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op8_best_two_fit(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
@@ -15,6 +19,7 @@ def op10_token_files(spark, sf_dir):
 
 
 QUERIES = {
+    "op6_entropy_secrets": op6_entropy_secrets,
     "op8_best_two_fit": op8_best_two_fit,
     "op10_token_files": op10_token_files,
 }
