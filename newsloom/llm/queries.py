@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from newsloom.llm import packing, secret_scan, token_files
+from newsloom.llm import decontaminate, packing, secret_scan, token_files
 from newsloom.llm.common import table
 
 
+def op5_prefix_decontaminate(spark, sf_dir):
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.digest(decontaminate.decontaminate(documents, benchmark))
+
+
 def op6_entropy_secrets(spark, sf_dir):
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -19,9 +24,12 @@ def op10_token_files(spark, sf_dir):
 
 
 QUERIES = {
+    "op5_prefix_decontaminate": op5_prefix_decontaminate,
     "op6_entropy_secrets": op6_entropy_secrets,
     "op8_best_two_fit": op8_best_two_fit,
     "op10_token_files": op10_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_prefix_decontaminate": decontaminate.ORACLE,
+}
