@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from newsloom.llm import decontaminate, packing, secret_scan, token_files
+from newsloom.llm import decontaminate, packing, secret_scan, token_files, url_filter
 from newsloom.llm.common import table
 
 
+def op1_url_cascade(spark, sf_dir):
+    rules = spark.createDataFrame(url_filter.RULES, "verdict string, host string, path string")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, rules).drop("url")
+
+
 def op5_prefix_decontaminate(spark, sf_dir):
     documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.decontaminate(documents, benchmark))
@@ -24,6 +30,7 @@ def op10_token_files(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_url_cascade": op1_url_cascade,
     "op5_prefix_decontaminate": op5_prefix_decontaminate,
     "op6_entropy_secrets": op6_entropy_secrets,
     "op8_best_two_fit": op8_best_two_fit,
@@ -31,5 +38,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_url_cascade": url_filter.ORACLE,
     "op5_prefix_decontaminate": decontaminate.ORACLE,
 }
