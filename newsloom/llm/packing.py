@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from newsloom.llm.common import ship, stored
-from newsloom.llm.tokens import Encoder, default_vocabulary
+from newsloom.llm.tokens import default_vocabulary, worker_encoder
 
 ship(__name__)
 
@@ -46,7 +46,7 @@ def tokenised_pieces(docs: DataFrame, size: int = SIZE, vocabulary: str | None =
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part, encoder, nth = TaskContext.get().partitionId(), Encoder(vocabulary), Counter()
+        part, encoder, nth = TaskContext.get().partitionId(), worker_encoder(vocabulary), Counter()
         schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int32()),
                             ("ids_crc32", pa.int64()), ("ids", pa.binary()), ("part", pa.int32()), ("nth", pa.int64())])
         rows, held = [], 0

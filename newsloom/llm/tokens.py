@@ -9,6 +9,7 @@ dictionaries of bounded size, and only new ones reach the library."""
 from __future__ import annotations
 
 import re
+from struct import pack
 
 import numpy as np
 
@@ -18,8 +19,8 @@ ship(__name__)
 
 REMEMBERED = 500_000  # entries of a dictionary before it starts anew
 LONGEST = 64  # characters of a remembered part
-PLAIN_PART = re.compile(r"([^\W\d_]+)([.,;:!?]*)(?:\n([^\W\d_]+)([.,;:!?]*))?")
-BLANK_NEXT_TO_SPACE = re.compile(r" \s|\s |\A | \Z")
+MARKS = r"([!-&(-/:-@\[-`{-~]*)"  # ASCII marks but the apostrophe, which begins cuts of its own
+PLAIN_PART = re.compile(rf"([^\W\d_]+){MARKS}(?:\n([^\W\d_]+){MARKS})?")
 LATIN_END = "ɐ"  # below it Python and the library agree on what a letter is
 
 
@@ -31,6 +32,10 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
+class _NoCut(Exception):
+    """A blank beside other white space: no cut there."""
+
+
 class _Known(dict):
     def __init__(self, learn):
         super().__init__()
@@ -58,6 +63,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.characters = byte_characters()
+        self.blank = self.characters[32]
         self.whole = _Known(self._library)
         self.words = _Known(self._word)
         self.parts = _Known(self._part)
@@ -68,12 +74,16 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         """A cut of letters, with its leading blank if it has one."""
-        seen = "".join([self.characters[b] for b in word.encode()])
-        return np.array([t.id for t in self.model.tokenize(seen)], "<u4").tobytes()
+        seen = word.replace(" ", self.blank) if word.isascii() else "".join([self.characters[b] for b in word.encode()])
+        ids = [t.id for t in self.model.tokenize(seen)]
+        return pack(f"<{len(ids)}I", *ids)
 
     def _part(self, part: str) -> bytes:
         """A part with the blank before it."""
-        m = PLAIN_PART.fullmatch(part) if len(part) <= LONGEST and max(part) < LATIN_END else None
+        if not part or part[0].isspace() or part[-1].isspace():
+            raise _NoCut
+        plain = len(part) <= LONGEST and (part.isascii() or max(part) < LATIN_END)
+        m = PLAIN_PART.fullmatch(part) if plain else None
         if not m:
             return self._library(" " + part)
         word, marks, word2, marks2 = m.groups()
@@ -83,11 +93,8 @@ class Encoder:
         return ids
 
     @staticmethod
-    def _split(text: str) -> list[str]:
-        """Split at the single blanks that surely are cuts."""
-        raw = text.split(" ")
-        if not BLANK_NEXT_TO_SPACE.search(text):
-            return raw
+    def _glued(raw: list[str]) -> list[str]:
+        """The parts between blanks, with those put together again that no sure cut divides."""
         glued: list[list[str]] = [[raw[0]]]
         for p in raw[1:]:
             last = glued[-1][-1]
@@ -97,13 +104,35 @@ class Encoder:
                 glued[-1].append(p)
         return [" ".join(g) for g in glued]
 
+    def _lead(self, part: str, alone: bool) -> bytes:
+        if not alone and (not part or part[-1].isspace()):
+            raise _NoCut
+        return self.whole[part]
+
     def encode(self, text: str | None) -> bytes:
         """Null counts as empty: only the end id."""
         if not text:
             return self.end
-        parts = self._split(text)
+        parts = text.split(" ")
         get = self.parts.__getitem__
-        return b"".join((self.whole[parts[0]], *[get(p) for p in parts[1:]], self.end))
+        try:
+            found = [get(p) for p in parts[1:]]
+            return b"".join((self._lead(parts[0], not found), *found, self.end))
+        except _NoCut:
+            head, *rest = self._glued(parts)
+            found = [get(p) if not p[-1].isspace() else self._library(" " + p) for p in rest]
+            return b"".join((self.whole[head], *found, self.end))
+
+
+def worker_encoder(vocabulary: str, end: int | None = 0) -> Encoder:
+    """The encoder of this worker process, which serves one task after another and so goes on
+    remembering. It is kept in the library's module, as this one travels with each task."""
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("_newsloom_encoders", {})
+    if (vocabulary, end) not in kept:
+        kept[vocabulary, end] = Encoder(vocabulary, end)
+    return kept[vocabulary, end]
 
 
 def default_vocabulary() -> str:
