@@ -32,6 +32,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Shared:
+    """A broadcast of an object of this package's classes, unpickled once in each task."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get(self):
+        return cloudpickle.loads(self.sent.value)
+
+
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, UPPER.lower())
 

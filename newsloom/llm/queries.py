@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from newsloom.llm import decontaminate, packing, secret_scan, token_files, url_filter
-from newsloom.llm.common import table
+from pyspark.sql import functions as F
+
+from newsloom.llm import decontaminate, packing, ppm_language, secret_scan, token_files, url_filter
+from newsloom.llm.common import crc_of_id, table
 
 
 def op1_url_cascade(spark, sf_dir):
@@ -12,6 +14,13 @@ def op1_url_cascade(spark, sf_dir):
     return url_filter.judge(pages, rules).drop("url")
 
 
+def op4_ppm_language(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    found = ppm_language.identify(documents, ppm_language.learn(documents), keep=["doc_id"])
+    held_out = F.coalesce(F.pmod(crc_of_id(F.col("doc_id")), F.lit(3)) == 1, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_prefix_decontaminate(spark, sf_dir):
     documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.decontaminate(documents, benchmark))
@@ -31,6 +40,7 @@ def op10_token_files(spark, sf_dir):
 
 QUERIES = {
     "op1_url_cascade": op1_url_cascade,
+    "op4_ppm_language": op4_ppm_language,
     "op5_prefix_decontaminate": op5_prefix_decontaminate,
     "op6_entropy_secrets": op6_entropy_secrets,
     "op8_best_two_fit": op8_best_two_fit,
