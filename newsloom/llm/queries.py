@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, packing, ppm_language, secret_scan, token_files, url_filter
+from newsloom.llm import decontaminate, packing, ppm_language, secret_scan, token_files, toxicity, url_filter
 from newsloom.llm.common import crc_of_id, table
 
 
@@ -14,6 +14,13 @@ def op1_url_cascade(spark, sf_dir):
     return url_filter.judge(pages, rules).drop("url")
 
 
+def op2_cnn_toxicity(spark, sf_dir):
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = toxicity.judge(documents, toxicity.learn(documents, labels), keep=["doc_id"])
+    held_out = F.coalesce(F.pmod(crc_of_id(F.col("doc_id")), F.lit(4)) == 2, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", "flagged")
+
+
 def op4_ppm_language(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     found = ppm_language.identify(documents, ppm_language.learn(documents), keep=["doc_id"])
@@ -40,6 +47,7 @@ def op10_token_files(spark, sf_dir):
 
 QUERIES = {
     "op1_url_cascade": op1_url_cascade,
+    "op2_cnn_toxicity": op2_cnn_toxicity,
     "op4_ppm_language": op4_ppm_language,
     "op5_prefix_decontaminate": op5_prefix_decontaminate,
     "op6_entropy_secrets": op6_entropy_secrets,
