@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, packing, ppm_language, secret_scan, token_files, toxicity, url_filter
+from newsloom.llm import decontaminate, packing, ppm_language, secret_scan, template_html, token_files, toxicity, url_filter
 from newsloom.llm.common import crc_of_id, table
 
 
@@ -21,6 +21,10 @@ def op2_cnn_toxicity(spark, sf_dir):
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", "flagged")
 
 
+def op3_template_html(spark, sf_dir):
+    return template_html.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_ppm_language(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     found = ppm_language.identify(documents, ppm_language.learn(documents), keep=["doc_id"])
@@ -48,6 +52,7 @@ def op10_token_files(spark, sf_dir):
 QUERIES = {
     "op1_url_cascade": op1_url_cascade,
     "op2_cnn_toxicity": op2_cnn_toxicity,
+    "op3_template_html": op3_template_html,
     "op4_ppm_language": op4_ppm_language,
     "op5_prefix_decontaminate": op5_prefix_decontaminate,
     "op6_entropy_secrets": op6_entropy_secrets,
