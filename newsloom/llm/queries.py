@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, packing, ppm_language, secret_scan, template_html, token_files, toxicity, url_filter
+from newsloom.llm import decontaminate, packing, ppm_language, secret_scan, template_html, token_files, toxicity, url_filter, va_search
 from newsloom.llm.common import crc_of_id, table
 
 
@@ -45,6 +45,10 @@ def op8_best_two_fit(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op9_va_topk(spark, sf_dir):
+    return va_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_token_files(spark, sf_dir):
     return token_files.token_files(table(spark, sf_dir, "documents"))
 
@@ -57,10 +61,12 @@ QUERIES = {
     "op5_prefix_decontaminate": op5_prefix_decontaminate,
     "op6_entropy_secrets": op6_entropy_secrets,
     "op8_best_two_fit": op8_best_two_fit,
+    "op9_va_topk": op9_va_topk,
     "op10_token_files": op10_token_files,
 }
 
 ORACLES: dict[str, str] = {
     "op1_url_cascade": url_filter.ORACLE,
     "op5_prefix_decontaminate": decontaminate.ORACLE,
+    "op9_va_topk": va_search.ORACLE,
 }
