@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, packing, ppm_language, secret_scan, template_html, token_files, toxicity, url_filter, va_search
+from newsloom.llm import decontaminate, jaccard_join, packing, ppm_language, secret_scan, template_html, token_files, toxicity, url_filter, va_search
 from newsloom.llm.common import crc_of_id, table
 
 
@@ -41,6 +41,10 @@ def op6_entropy_secrets(spark, sf_dir):
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op7_divideskip_jaccard(spark, sf_dir):
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_best_two_fit(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op4_ppm_language": op4_ppm_language,
     "op5_prefix_decontaminate": op5_prefix_decontaminate,
     "op6_entropy_secrets": op6_entropy_secrets,
+    "op7_divideskip_jaccard": op7_divideskip_jaccard,
     "op8_best_two_fit": op8_best_two_fit,
     "op9_va_topk": op9_va_topk,
     "op10_token_files": op10_token_files,
