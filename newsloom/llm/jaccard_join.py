@@ -26,6 +26,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from newsloom.llm.common import UPPER, Shared, ship, stored
 from newsloom.llm.components import components
@@ -84,23 +85,24 @@ def required(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
 
 
 def profile(docs: DataFrame, id_column: str, text_column: str, size: int) -> DataFrame:
-    """Rows of kind 0: (doc_id, n, node); rows of kind 1: (counter, number of documents in it)."""
+    """Rows of kind 0: (doc_id, n, node, text_hash); rows of kind 1: (counter, number of documents in it)."""
 
     def task(batches):
         import pyarrow as pa
 
-        names, words, counts = ["kind", "id", "n", "node"], Words(), np.zeros(COUNTERS, "i8")
+        names, words, counts = ["kind", "id", "n", "node", "text_hash"], Words(), np.zeros(COUNTERS, "i8")
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 some = batch.slice(k, 512)
                 sets = [shingles(words, t, size) for t in some.column(1).to_pylist()]
                 counts += np.bincount((np.concatenate(sets) & np.uint64(COUNTERS - 1)).astype("i8"), minlength=COUNTERS)
-                columns = [np.zeros(len(sets), "i4"), some.column(0), np.array([len(s) for s in sets], "i8"), np.array([node_of(s) for s in sets], "i8")]
+                columns = [np.zeros(len(sets), "i4"), some.column(0), np.array([len(s) for s in sets], "i8"), np.array([node_of(s) for s in sets], "i8"), some.column(2)]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
         used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (np.ones(len(used), "i4"), used.astype("i8"), counts[used], np.zeros(len(used), "i8"))], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (np.ones(len(used), "i4"), used.astype("i8"), counts[used], np.zeros(len(used), "i8"), np.zeros(len(used), "i8"))], names=names)
 
-    return docs.select(F.col(id_column).cast("long"), F.col(text_column)).mapInArrow(task, "kind int, id long, n long, node long")
+    rows = docs.select(F.col(id_column).cast("long"), F.col(text_column), F.xxhash64(text_column))
+    return rows.mapInArrow(task, "kind int, id long, n long, node long, text_hash long")
 
 
 def rarity(counted: DataFrame) -> np.ndarray:
@@ -319,9 +321,9 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, node and component_id per row."""
+    """doc_id, n_shingles and component_id per row, with the hash of its text."""
     found = stored(profile(docs, id_column, text_column, size), "shingle-profile")
-    rows = found.where("kind = 0").select("id", "n", "node")
+    rows = found.where("kind = 0").select("id", "n", "node", "text_hash")
     order = rarity(found.where("kind = 1"))
     met = stored(merge_lists(postings(docs, order, text_column, size, percent), percent), "list-meetings")
     first = met.where("kind = 1").select(F.least("node", "node2").alias("a"), F.when(F.col("node") <= F.col("node2"), F.col("n")).otherwise(F.col("n2")).alias("na"),
@@ -346,4 +348,17 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     named = groups.select(F.col("node"), F.col("n").alias("m"), "label").join(merged, "label").select("node", "m", "component_id")
     out = rows.join(named.withColumnRenamed("node", "node_"), (F.col("node") == F.col("node_")) & (F.col("n") == F.col("m")), "left")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), "text_hash")
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows and columns of `docs` with one document of each component: the one of the smallest id. Rows
+    equal in id and text count as one document; texts without words and rows of components without an id all stay."""
+    found = near_duplicates(docs, id_column, text_column, size, percent)
+    alone = (F.col("n_shingles") == 0) | F.col("component_id").isNull()
+    stays = found.where(alone | F.col("doc_id").eqNullSafe(F.col("component_id")))
+    ties = stays.groupBy(F.col("component_id").alias("__c"), F.when(alone, F.col("text_hash")).alias("__t"), F.col("doc_id").alias("__id")).agg(F.min("text_hash").alias("__h"))
+    marked = docs.withColumn("__text", F.xxhash64(text_column))
+    kept = marked.join(ties.select("__id", "__h").distinct(), F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__h")), "left_semi")
+    order = W.partitionBy(id_column, "__text").orderBy(F.lit(0))
+    return kept.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*docs.columns)

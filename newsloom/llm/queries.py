@@ -42,7 +42,7 @@ def op6_entropy_secrets(spark, sf_dir):
 
 
 def op7_divideskip_jaccard(spark, sf_dir):
-    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op8_best_two_fit(spark, sf_dir):
