@@ -7,7 +7,7 @@ whole corpus are the key universe. For each verdict a cascade holds its rules' k
 listed keys, level 2 the universe's keys that level 1 passes wrongly, level 3 the listed
 keys that level 2 passes wrongly, and so on until a level passes none wrongly. Every key of the universe is then
 judged exactly by the first level that does not hold it, without a join. The longest listed
-key of a url gives its rule; with equal keys in both lists, block wins. A url that is listed nowhere is allowed.
+key of a url gives its rule; of equally long ones a block goes first, then the longer host. A url that is listed nowhere is allowed.
 
 The filters travel inside the plan: `MOST_BITS` bounds them, and a list that needs more is refused.
 
