@@ -135,7 +135,7 @@ def train(samples: dict[str, list[str]]) -> Model:
     tables, costs, contexts, escapes = [], [], [], []
     below, below_costs = None, bytes_
     for k in range(1, ORDER + 1):
-        union = np.unique(np.concatenate([found[l, k + 1][0] for l in languages]))
+        union = np.unique(np.concatenate([np.zeros(0, "u4"), *[found[l, k + 1][0] for l in languages]]))
         table, context = Table(union), Table(np.unique(union >> np.uint32(8)))
         cost, escape = np.zeros((len(union), len(languages))), np.zeros((len(context.keys), len(languages)))
         suffix = union & np.uint32((1 << 8 * k) - 1)

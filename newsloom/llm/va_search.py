@@ -10,9 +10,10 @@ exact score then rules out all but those whose bound still reaches it; these are
 Queries meet candidates block by block: a pair of blocks is a group of bounded size, and every
 query meets every block. This is a search for a stated set of queries, which costs queries times rows.
 
-Rows without an id, and vectors that are null or hold a null or a non-finite number, take no part. Of rows
+Rows without an id, and vectors that are null, empty or hold a null or a non-finite number, take no part. Of rows
 with equal id the one with the smallest vector takes part. Vectors of different lengths have no score together. Ties go to
-the smaller id. A query with fewer than k partners gets all. Other columns are not read."""
+the smaller id. A query with fewer than k partners gets all.
+Scores and their bounds must fit 62 bits. Other columns are not read."""
 
 from __future__ import annotations
 
@@ -38,7 +39,7 @@ BOUNDS = "query_id long, vec_id long, low long, high long"
 def whole_numbers(rows: DataFrame, id_column: str, vector_column: str, scale: int) -> DataFrame:
     vector = F.col(vector_column)
     good = ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    usable = rows.where(F.col(id_column).isNotNull() & vector.isNotNull()).where(good)
+    usable = rows.where(F.col(id_column).isNotNull() & (F.size(vector) > 0)).where(good)
     whole = F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
     return usable.select(F.col(id_column).cast("long").alias("vec_id"), whole.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
 
@@ -102,7 +103,7 @@ def scan(queries: DataFrame, candidates: DataFrame, cells: dict, k: int) -> Data
         nth = len(ids) - k
         floor = np.sort(low, axis=1)[:, nth] if kind == "O" and nth >= 0 else np.partition(low, nth, axis=1)[:, nth] if nth >= 0 else np.full(len(q), -np.inf)
         i, j = np.nonzero((high >= floor[:, None]) & (own[:, None] != ids[None, :]))
-        half = lambda x: pa.array(np.array(x // 2, "i8"))
+        half = lambda x: pa.array(np.array(np.clip(x // 2, -(1 << 62), 1 << 62), "i8"))
         return pa.table([pa.array(own[i]), pa.array(ids[j]), half(low[i, j]), half(-(-high[i, j] // 2) * 2)], schema=schema)
 
     pairs = ["d", "qb", "cb"]
