@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import numbers
 from newsloom.operators import markets as market_ops
-from newsloom.operators.skew import join_per_key
+from newsloom.operators.skew import join_bounded
 
 
 def quality_ok(df: DataFrame) -> DataFrame:
@@ -23,15 +23,16 @@ def topic_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def with_coverage(df: DataFrame, row_id: str = "article_id") -> DataFrame:
+def with_coverage(df: DataFrame) -> DataFrame:
     """Topic size on every row, and its share of the largest topic. The largest size
-    is a scalar over the counts, not a window over the rows."""
+    is a scalar over the counts, not a window over the rows. Topics are what the topic model
+    yields, `topics.MAX_TOPICS` and the defaults at most, so the texts stay where they are."""
     counts = topic_counts(df)
     biggest = counts.agg(F.max("topic_article_count")).scalar()
     scored = counts.withColumn(
         "topic_coverage_score", numbers.round4(F.col("topic_article_count") / biggest)
     )
-    return join_per_key(df, scored, "topic_label", "topic_article_count", row_id)
+    return join_bounded(df, scored, "topic_label")
 
 
 def to_gold(

@@ -7,15 +7,13 @@ from pyspark.sql import functions as F
 
 from newsloom import rules
 from newsloom.functions import numbers, text
-from newsloom.operators.skew import broadcast_if_small, top_n_per_key
-from newsloom.session import shared_dir
+from newsloom.operators.skew import top_n_per_key
 
 MIN_ARTICLE_SCORE = 2.0
 MAX_EVENTS = 200
 MARKETS_PER_EVENT = 10
 BETS_PER_ENTITY = 5
 GRAM = 12
-INDEX_ROWS = 1_000_000  # short rows: about 100 MB at most
 
 
 # ------------------------------------------------------------------- events
@@ -46,18 +44,23 @@ def lookup_key(slug: Column, tag: Column) -> Column:
     )
 
 
-def markets_for_events(events: DataFrame, markets: DataFrame, limit: int = MARKETS_PER_EVENT) -> DataFrame:
-    """Up to one page of live markets per event."""
+def listed_markets(events: DataFrame, markets: DataFrame) -> DataFrame:
+    """All live markets of the events."""
     wanted = events.select("event_pos", lookup_key(F.col("slug"), F.col("ticker")).alias("market_key"))
     keyed = live(markets).withColumn("market_key", lookup_key(F.col("slug"), F.col("tag")))
-    found = wanted.join(keyed.drop("slug", "tag"), "market_key")
+    return wanted.join(keyed.drop("slug", "tag"), "market_key")
+
+
+def markets_for_events(events: DataFrame, markets: DataFrame, limit: int = MARKETS_PER_EVENT) -> DataFrame:
+    """Up to one page of live markets per event, as the source lists them."""
+    found = listed_markets(events, markets)
     return top_n_per_key(found, ["event_pos"], [F.col("market_no")], limit, "listing_no")
 
 
 def best_markets(events: DataFrame, markets: DataFrame) -> DataFrame:
-    """Per event its market with most volume (first listed on ties); the event
-    itself where there is none."""
-    listed = markets_for_events(events, markets)
+    """Per event its market with most volume of all that were landed (first listed on
+    ties); the event itself where there is none."""
+    listed = listed_markets(events, markets)
     best = listed.groupBy("event_pos").agg(
         F.max_by(
             F.struct("market_no", "question", "volume", "outcomePrices", F.col("url").alias("url")),
@@ -90,64 +93,54 @@ def best_nested_market(events: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- fuzzy join
-def title_index(events: DataFrame) -> DataFrame:
-    """(gram, event_pos, weight, title) for every word part an event title holds, up
-    to GRAM characters.
+def title_index(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Where words stand and what they are made of: (word, event_pos, apart) for every
+    word of an event title, `apart` if it stands between blanks; and (gram, word) for every part of up to GRAM
+    characters of a word.
 
     A search term has no blanks, so it can only lie inside one word of the title.
     Listing the parts of each distinct word turns "title contains term" into an
-    equality whose size grows in line with the event titles and never with the
-    articles: no nested loop, no cross join. A term weighs 1.0, and 1.5 when it also
-    stands in the title as a word between blanks. Longer terms meet the index on
-    their first GRAM characters and are then checked against the title, which only
-    the entries of full length carry.
+    equality: no nested loop, no cross join. Both tables grow in line with the titles. A term meets the
+    words on its first GRAM characters and is then checked against the word.
     """
     padded = F.concat(F.lit(" "), F.lower("title"), F.lit(" "))
-    words = events.select(
-        "event_pos", padded.alias("_title"), F.explode(F.array_distinct(text.words(F.lower("title")))).alias("_w")
-    ).where("_w <> ''")
-    at = words.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_w"))))
-    room = F.least(F.length("_w") - F.col("_at") + 1, F.lit(GRAM))
-    grams = at.withColumn("_n", F.explode(F.sequence(F.lit(1), room))).select(
-        "event_pos", F.substring(F.col("_w"), F.col("_at"), F.col("_n")).alias("gram"), "_title", "_n"
+    places = events.select("event_pos", padded.alias("_title"), F.explode(F.array_distinct(text.words(F.lower("title")))).alias("word")).where(
+        "word <> ''"
     )
-    return grams.select(
-        "event_pos",
-        "gram",
-        term_weight(F.col("_title"), F.col("gram")).alias("weight"),
-        F.when(F.col("_n") == GRAM, F.col("_title")).alias("padded_title"),
-    ).distinct()
+    apart = F.contains("_title", F.concat(F.lit(" "), "word", F.lit(" ")))
+    at = places.select("word").distinct().withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("word"))))
+    room = F.least(F.length("word") - F.col("_at") + 1, F.lit(GRAM))
+    parts = at.withColumn("_n", F.explode(F.sequence(F.lit(1), room)))
+    grams = parts.select("word", F.substring(F.col("word"), F.col("_at"), F.col("_n")).alias("gram")).distinct()
+    return places.select("word", "event_pos", apart.alias("apart")), grams
 
 
-def term_weight(padded_title: Column, term: Column) -> Column:
-    return F.when(F.contains(padded_title, F.concat(F.lit(" "), term, F.lit(" "))), 1.5).otherwise(1.0)
+def term_events(terms: DataFrame, events: DataFrame) -> DataFrame:
+    """(term, event_pos, half) for every event whose title holds the term: 2 half points,
+    3 if it also stands in the title as a word between blanks."""
+    places, grams = title_index(events)
+    words = terms.join(grams, F.substring("term", 1, GRAM) == F.col("gram")).where(F.contains("word", F.col("term")))
+    half = F.when((F.col("word") == F.col("term")) & F.col("apart"), 3).otherwise(2)
+    return words.select("term", "word").join(places, "word").groupBy("term", "event_pos").agg(F.max(half).cast("bigint").alias("half"))
 
 
 def best_events(searches: DataFrame, key: str, terms: str, events: DataFrame, min_score: float) -> DataFrame:
-    """Per search (`key`, array column `terms`) the event with the highest score;
+    """Per search (`key`, array column `terms`) the live event with the highest score;
     the earliest event wins ties.
 
-    Searches are spread by key before their terms are listed, so that scoring
-    (per key and event) and choosing (per key) need no further shuffle while the
-    index is small enough to broadcast. Score and position are packed in one long
+    Terms are looked up once each, however many searches share them, and the searches meet
+    (term, event, points) by term: an inner join, whose hot terms run-time re-planning splits, and which it turns into a
+    broadcast where the events are few. Score and position are packed in one long
     (half points above, position below): choosing is then a plain max.
     """
-    shared_dir(events.sparkSession)
-    index = broadcast_if_small(title_index(events).checkpoint(), INDEX_ROWS)
-    # a number of its own keeps the few bytes per search from being merged into one task;
     # explode_outer, as plain explode has Spark work out the terms a second time, in a filter
-    parts = int(searches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = searches.select(key, terms).repartition(parts, key)
-    one_term = spread.select(key, F.explode_outer(terms).alias("term"))
+    one_term = searches.select(key, F.explode_outer(terms).alias("term"))
+    known = term_events(one_term.select("term").where("term IS NOT NULL").distinct(), live(events))
     shift = F.lit(1 << 40)
-    long_term = F.length("term") > GRAM
-    hits = one_term.join(index, F.substring("term", 1, GRAM) == F.col("gram")).where(
-        ~long_term | F.contains("padded_title", F.col("term"))
-    )
-    weight = F.when(long_term, term_weight(F.col("padded_title"), F.col("term"))).otherwise(F.col("weight"))
     scored = (
-        hits.groupBy(key, "event_pos")
-        .agg(F.sum((weight * 2).cast("bigint")).alias("_half"))
+        one_term.join(known, "term")
+        .groupBy(key, "event_pos")
+        .agg(F.sum("half").alias("_half"))
         .where(F.col("_half") >= int(min_score * 2))
     )
     packed = scored.groupBy(key).agg(F.max(F.col("_half") * shift - F.col("event_pos")).alias("_best"))
@@ -164,7 +157,7 @@ def match_articles(articles: DataFrame, events: DataFrame, markets: DataFrame, t
     searches = articles.select("article_id", text.translated_title_terms(title).alias("terms"))
     found = best_events(searches, "article_id", "terms", events, MIN_ARTICLE_SCORE)
     chosen = best_markets(events, markets)
-    return found.join(broadcast_if_small(chosen), "event_pos").select(
+    return found.join(chosen, "event_pos").select(
         "article_id",
         "event_pos",
         "score",
@@ -192,7 +185,7 @@ def match_topics(labels: DataFrame, events: DataFrame, markets: DataFrame, label
     chosen = best_markets(events, markets)
     return (
         found.join(searches, label)
-        .join(broadcast_if_small(chosen), "event_pos")
+        .join(chosen, "event_pos")
         .select(
             label,
             "score",
@@ -214,8 +207,18 @@ def drop_irrelevant(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ entities
-def entity_bets(events: DataFrame, limit: int = BETS_PER_ENTITY) -> DataFrame:
-    """First five events per entity, by keyword then event order, titles once each.
+def bet_prices(events: DataFrame, markets: DataFrame | None) -> DataFrame:
+    """Events with the price of their best market: of their own list or, where that is
+    empty, of the landed markets; without either the event's own price."""
+    own = best_nested_market(events)
+    if markets is None:
+        return own
+    looked_up = best_markets(events.where("coalesce(size(markets), 0) <= 0"), markets).select("event_pos", F.col("prob").alias("_prob"))
+    return own.join(looked_up, "event_pos", "left").withColumn("prob", F.coalesce("_prob", "prob")).drop("_prob")
+
+
+def entity_bets(events: DataFrame, markets: DataFrame | None = None, limit: int = BETS_PER_ENTITY) -> DataFrame:
+    """First five live events per entity, by keyword then event order, titles once each.
 
     Each event is tested against the fixed keyword list inside its own row, so the
     events are read once and nothing is paired up.
@@ -228,7 +231,7 @@ def entity_bets(events: DataFrame, limit: int = BETS_PER_ENTITY) -> DataFrame:
             first = first.when(F.contains(low, F.lit(kw)), F.lit(pos))
         hits.append(F.struct(F.lit(entity).alias("entity"), first.otherwise(F.lit(None)).alias("kw_pos")))
     found = (
-        best_nested_market(events.where("title <> ''"))
+        bet_prices(live(events).where("title <> ''"), markets)
         .select("event_pos", "title", "prob", F.col("volume"), "url", low.alias("_low"), F.inline(F.array(*hits)))
         .where("kw_pos IS NOT NULL")
     )
@@ -268,37 +271,44 @@ def stored_bets(articles: DataFrame) -> DataFrame:
     )
 
 
-def all_bets(articles: DataFrame, events: DataFrame) -> DataFrame:
+def all_bets(articles: DataFrame, events: DataFrame, markets: DataFrame | None = None) -> DataFrame:
     """Direct bets; entities without any fall back to the questions of their articles."""
-    direct = entity_bets(events)
+    direct = entity_bets(events, markets)
     has_direct = F.broadcast(direct.select("entity").distinct())  # at most the rule list
     spare = stored_bets(articles).join(has_direct, "entity", "left_anti")
     return direct.unionByName(spare, allowMissingColumns=True).drop("first_seen", "bet_no")
 
 
-def entity_groups(articles: DataFrame, events: DataFrame) -> DataFrame:
-    """Per entity: articles, sources, bets and the strongest signal."""
-    base = articles.groupBy("entity").agg(
-        F.count(F.lit(1)).alias("article_count"),
-        F.max("poly_prob").alias("max_prob"),
-    )
-    sources = articles.groupBy("entity", "source").agg(F.count(F.lit(1)).alias("n")).groupBy("entity").agg(
-        F.array_join(F.sort_array(F.collect_list("source")), ",").alias("sources")
+def entity_groups(articles: DataFrame, events: DataFrame, markets: DataFrame | None = None) -> DataFrame:
+    """Per entity: articles, sources, bets and the strongest signal. Entities come from a
+    fixed rule table; articles are counted per (entity, source) first. The sources are one text per entity, as
+    the page shows them; `entity_sources` has them as rows."""
+    per_source = entity_sources(articles)
+    base = per_source.groupBy("entity").agg(
+        F.sum("n").alias("article_count"),
+        F.max("max_prob").alias("max_prob"),
+        F.array_join(F.sort_array(F.collect_list("source")), ",").alias("sources"),
     )
-    bets = all_bets(articles, events).groupBy("entity").agg(
+    bets = all_bets(articles, events, markets).groupBy("entity").agg(
         F.count(F.lit(1)).alias("bet_count"), F.max("probability").alias("best_bet")
     )
-    signal = numbers.round4(F.coalesce("best_bet", "max_prob", F.lit(0.0)))
+    strongest = F.coalesce("best_bet", "max_prob", F.lit(0.0))
+    signal = numbers.round4(strongest)
     return (
-        base.join(sources, "entity")
-        .join(bets, "entity", "left")
+        base.join(bets, "entity", "left")
         .select(
             "entity",
             "article_count",
             "sources",
             F.coalesce("bet_count", F.lit(0)).alias("bet_count"),
             signal.alias("signal"),
+            numbers.percent(strongest).alias("signal_pct"),
             numbers.signal_band(signal).alias("band"),
         )
         .orderBy(F.desc("article_count"), "entity")
     )
+
+
+def entity_sources(articles: DataFrame) -> DataFrame:
+    """Articles per entity and source, with the highest probability."""
+    return articles.groupBy("entity", "source").agg(F.count(F.lit(1)).alias("n"), F.max("poly_prob").alias("max_prob"))

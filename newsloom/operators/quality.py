@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom import rules
-from newsloom.operators.skew import broadcast_if_small, join_per_key
+from newsloom.operators.skew import join_per_key
 
 
 def flag_histogram(silver: DataFrame) -> DataFrame:
@@ -39,14 +39,15 @@ def gate(
     expected: DataFrame,
     min_articles: int = rules.MIN_ARTICLES_PER_SOURCE,
     min_rate: float = rules.MIN_QUALITY_OK_RATE,
+    run_date: str = "",
 ) -> DataFrame:
-    """Daily verdict per expected source, with the alerts it raises."""
+    """Daily verdict per expected source, with the alerts it raises for `run_date`."""
     counts = run_counts(silver)
     n = F.coalesce("articles_scraped", F.lit(0))
     rate = F.col("quality_ok") / F.col("articles_scraped")
     few, poor = n < min_articles, rate < min_rate
     name = F.concat(F.lit("'"), "source", F.lit("'"))
-    missing_alert = F.concat(F.lit("[ALERTE] Aucune donnée Silver pour "), name)
+    missing_alert = F.concat(F.lit("[ALERTE] Aucune donnée Silver pour "), name, F.lit(f" le {run_date}"))
     few_alert = F.concat(
         F.lit("[ALERTE] "), name, F.lit(" : seulement "), n.cast("string"), F.lit(f" articles (min={min_articles})")
     )
@@ -111,7 +112,7 @@ def kpis(bronze: DataFrame, gold: DataFrame) -> DataFrame:
 
 def country_consistency(silver: DataFrame, expected: DataFrame) -> DataFrame:
     """Articles whose country differs from the one their source is known for."""
-    return silver.join(broadcast_if_small(expected), "source").where(
+    return silver.join(expected, "source").where(
         F.col("expected_country").isNotNull() & ~F.col("pays").eqNullSafe(F.col("expected_country"))
     )
 

@@ -6,18 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from newsloom.session import shared_dir
-
 # A key is hot when it holds more than this share of the rows, so there are
 # never more than 1/HOT_SHARE hot keys: that bound makes them broadcastable.
 HOT_SHARE = 0.001
-SALTS = 64
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after counting; otherwise Spark shuffles and re-plans."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, size: str, row_id: str) -> DataFrame:
@@ -25,32 +16,40 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, size: str, row_i
 
     Rows of hot keys find their values in a broadcast of the hot keys, which the
     share above bounds. Rows of all other keys join by shuffle, where no key can
-    be large; rows already served travel under a random-looking second key
-    so that they spread evenly.
+    be large. The shuffle goes by a route and the key: a cold key's route is its
+    hash, on both sides; a row that is already served, or has no key, takes the hash of
+    its own id, so such rows spread over all partitions.
     """
     extra = [c for c in per_key.columns if c != key]
     total = per_key.agg(F.sum(size).alias("t")).select(F.col("t") * HOT_SHARE).scalar()
     sized = per_key.withColumn("_hot", F.col(size) > total)
     packed = sized.select(key, F.struct(*extra).alias("_v"), "_hot")
     hot = packed.where("_hot").select(key, F.col("_v").alias("_h"))
-    cold = packed.where("NOT _hot").select(key, F.lit(0).alias("_salt"), F.col("_v").alias("_c"))
+    cold = packed.where("NOT _hot").select(key, F.xxhash64(key).alias("_route"), F.col("_v").alias("_c"))
+    served = F.col("_h").isNotNull() | F.col(key).isNull()
     tagged = rows.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt",
-        F.when(F.col("_h").isNull() & F.col(key).isNotNull(), F.lit(0)).otherwise(
-            F.lit(1) + F.pmod(F.xxhash64(F.col(row_id)), F.lit(SALTS)).cast("int")
-        ),
+        "_route", F.when(served, F.xxhash64(row_id, F.lit("own"))).otherwise(F.xxhash64(key))
     )
-    joined = tagged.join(cold, [key, "_salt"], "left")
+    joined = tagged.join(cold, [key, "_route"], "left")
     value = F.coalesce(F.col("_h"), F.col("_c"))
     return joined.select(
         *[F.col(c) for c in rows.columns], *[value[c].alias(c) for c in extra]
     )
 
 
+def join_bounded(rows: DataFrame, per_key: DataFrame, key: str) -> DataFrame:
+    """Left join with a table whose number of keys is bounded by what they are (topics,
+    clusters), not by the data: the rows stay where they are."""
+    return rows.join(F.broadcast(per_key), key, "left").select(
+        *rows.columns, *[c for c in per_key.columns if c != key]
+    )
+
+
 def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "rn") -> DataFrame:
     """First `n` rows per key. Each group is first cut per slice of input
-    partitions, so the last step sees at most SALTS * n rows of any key."""
-    slice_ = F.pmod(F.spark_partition_id(), F.lit(SALTS))
+    partitions, as many slices as a shuffle has partitions, so that no task holds all of a large group."""
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slice_ = F.pmod(F.spark_partition_id(), F.lit(slices))
     first = W.partitionBy(*keys, "_slice").orderBy(*order)
     last = W.partitionBy(*keys).orderBy(*order)
     return (
@@ -64,34 +63,16 @@ def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, r
 
 
 def keep_one(df: DataFrame, key: str, order: str, last: bool = False) -> DataFrame:
-    """One row per key: the first (or last) by `order`, a column that tells rows of
-    a key apart.
+    """One row per key: the first (or last) by `order`. Rows without an order come
+    after all others; of rows with equal order one is chosen by a hash of the whole row, so there is always exactly one.
 
-    Only key and order are aggregated (with map-side combine, so a hot key shrinks
-    before the shuffle). Repeated keys are usually few: counted, and broadcast when
-    they are, they remove the surplus rows without moving the wide ones. When there
-    are many, rows meet the winners on key *and* order, which no group makes hot.
+    Every task keeps one row per key before it sends any (`WindowGroupLimit`), so a
+    hot key costs the shuffle at most a row per task.
     """
-    shared_dir(df.sparkSession)
-    pick = F.max if last else F.min
-    repeated = (
-        df.select(key, order)
-        .groupBy(key)
-        .agg(pick(order).alias("_win"), F.count(F.lit(1)).alias("_n"))
-        .where("_n > 1")
-        .select(F.col(key).alias("_key"), "_win")
-        .checkpoint()
-    )
-    same_key = df[key].eqNullSafe(repeated["_key"])
-    if repeated.count() <= BROADCAST_ROWS:
-        surplus = same_key & (df[order] != repeated["_win"])
-        return df.join(F.broadcast(repeated), surplus, "left_anti")
-    winners = df.groupBy(df[key].alias("_key")).agg(pick(order).alias("_win"))
-    return df.join(
-        winners,
-        df[key].eqNullSafe(winners["_key"]) & (df[order] == winners["_win"]),
-        "left_semi",
-    )
+    hashable = [c for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+    by = F.col(order).desc_nulls_last() if last else F.col(order).asc_nulls_last()
+    window = W.partitionBy(key).orderBy(by, F.xxhash64(*hashable))
+    return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 
 def most_frequent(df: DataFrame, key: Column, value: str, alias: str) -> DataFrame:

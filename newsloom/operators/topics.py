@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 
 from newsloom import rules
 from newsloom.functions import numbers, text
-from newsloom.operators.skew import join_per_key, top_n_per_key
+from newsloom.operators.skew import join_bounded, top_n_per_key
 
 NO_TOPIC = "hors-sujet"
 MIN_DOCUMENTS = 5
@@ -53,18 +53,23 @@ def corpus_too_small(df: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------- clustering
+#: A topic holds a twentieth of the documents at least (`minimum_size`), so there are 20 at most.
+MAX_TOPICS = 20
+GRID = (5, 10, 15, MAX_TOPICS)
+
+
 def minimum_size(n_documents: Column) -> Column:
     """At least 3 documents, or one in twenty."""
     return F.greatest(F.lit(3), F.floor(n_documents / 20))
 
 
-def drop_small(clusters: DataFrame, row_id: str, cluster: str = "cluster") -> DataFrame:
-    """Clusters below the minimum size become topic -1. Sizes are aggregated first and
-    joined back without gathering a cluster in one place."""
+def drop_small(clusters: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """Clusters below the minimum size become topic -1. Sizes are aggregated first; clusters
+    are as many as the model has centres, so their sizes are broadcast."""
     sizes = clusters.groupBy(cluster).agg(F.count(F.lit(1)).alias("cluster_size"))
     floor = sizes.agg(minimum_size(F.sum("cluster_size"))).scalar()
     judged = sizes.withColumn("topic_id", F.when(F.col("cluster_size") < floor, -1).otherwise(F.col(cluster)))
-    return join_per_key(clusters, judged, cluster, "cluster_size", row_id)
+    return join_bounded(clusters, judged, cluster)
 
 
 def text_vectors(df: DataFrame, clean: str = "contenu_clean", features: int = 1 << 12) -> DataFrame:
@@ -81,7 +86,7 @@ def embedding_vectors(df: DataFrame, column: str = "embedding") -> DataFrame:
     return Normalizer(inputCol="_raw", outputCol="features").transform(wide).drop("_raw")
 
 
-def cluster(vectors: DataFrame, grid: tuple[int, ...] = (5, 10, 15), seed: int = 7) -> DataFrame:
+def cluster(vectors: DataFrame, grid: tuple[int, ...] = GRID, seed: int = 7) -> DataFrame:
     """k-means over a small grid of sizes; the best silhouette decides. Adds `cluster`
     and `membership`, the cosine to the own centre."""
     best, best_score = None, None
@@ -130,7 +135,7 @@ def term_weights(docs: DataFrame, topic: str = "topic_id", clean: str = "contenu
     mean_words = per_topic.agg(F.avg("topic_words")).scalar()
     total = F.sum("n").over(W.partitionBy("term"))
     weight = F.col("n") / F.col("topic_words") * F.ln(1 + mean_words / F.col("f"))
-    sized = join_per_key(counts.withColumn("f", total), per_topic, topic, "topic_words", "term")
+    sized = join_bounded(counts.withColumn("f", total), per_topic, topic)
     return sized.select(topic, "term", "n", weight.alias("weight"))
 
 
@@ -176,13 +181,13 @@ def attach(articles: DataFrame, modelled: DataFrame, labels: DataFrame) -> DataF
     )
 
 
-def model_topics(silver: DataFrame, grid: tuple[int, ...] = (5, 10, 15), seed: int = 7) -> DataFrame:
+def model_topics(silver: DataFrame, grid: tuple[int, ...] = GRID, seed: int = 7) -> DataFrame:
     """The whole model. A corpus with too few long documents is left unmodelled."""
     docs = long_enough(silver)
     if docs.limit(MIN_DOCUMENTS).count() < MIN_DOCUMENTS:
         return corpus_too_small(silver)
     vectors = text_vectors(docs.select("article_id", "contenu_clean")).persist()
-    clusters = drop_small(cluster(vectors.drop("contenu_clean"), grid, seed), "article_id")
+    clusters = drop_small(cluster(vectors.drop("contenu_clean"), grid, seed))
     modelled = clusters.select("article_id", F.col("topic_id").cast("int"), F.col("membership").alias("topic_prob"))
     modelled = modelled.checkpoint()
     vectors.unpersist()

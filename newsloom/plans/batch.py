@@ -38,7 +38,7 @@ def ingest(spark: SparkSession, raw: DataFrame, roots: Roots, run_ts: Column, ru
 
 def check(spark: SparkSession, roots: Roots, expected: DataFrame, run_date: str, fail_on_alert: bool = False) -> DataFrame:
     """The daily gate over the newest cleaned files; optionally stops the job."""
-    report = quality.gate(source.silver_latest(spark, roots.silver, run_date), expected)
+    report = quality.gate(source.silver_latest(spark, roots.silver, run_date), expected, run_date=run_date)
     sink.write_quality_report(report, roots.quality, run_date)
     if fail_on_alert and not report.where(F.size("alerts") > 0).isEmpty():
         raise RuntimeError(f"quality gate raised alerts for {run_date}")

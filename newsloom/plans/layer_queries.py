@@ -9,7 +9,6 @@ from newsloom import rules
 from newsloom.functions import dates
 from newsloom.operators import gold as gold_ops
 from newsloom.operators import quality
-from newsloom.operators.skew import broadcast_if_small
 from newsloom.plans import batch, demo, sql
 from newsloom.plans.sql import with_
 from newsloom.session import scratch
@@ -457,7 +456,7 @@ def event_bronze_lookup(spark, sf):
     """Messages name a source and a day; its articles are looked up by both."""
     named = ingest.announced_partitions(ingest.parse(_messages(spark, sf)))
     landed = _raw(spark, sf).select("source", F.substring("date_publication", 1, 10).alias("date"), "article_id")
-    found = landed.join(broadcast_if_small(named), ["source", "date"], "left_semi")
+    found = landed.join(named, ["source", "date"], "left_semi")
     return found.groupBy(F.col("source").alias("source_key")).agg(F.count(F.lit(1)).alias("n"))
 
 

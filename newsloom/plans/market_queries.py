@@ -176,7 +176,7 @@ def topic_terms(spark, sf):
         label_terms=LABEL_TERMS,
         flat="SELECT label, array_to_string(terms, ', ') AS search_term, unnest(terms) AS term FROM label_terms",
         hit="""SELECT term, event_pos, 1.0 + CASE WHEN contains(' ' || lower(title) || ' ', ' ' || term || ' ') THEN 0.5 ELSE 0 END AS w
-               FROM (SELECT DISTINCT term FROM flat), events_src WHERE contains(lower(title), term)""",
+               FROM (SELECT DISTINCT term FROM flat), events_src WHERE active AND NOT closed AND contains(lower(title), term)""",
         best="""SELECT label AS topic_label, search_term, event_pos, sum(w)::DOUBLE AS score FROM flat JOIN hit USING (term)
                 GROUP BY label, search_term, event_pos
                 QUALIFY row_number() OVER (PARTITION BY label ORDER BY sum(w) DESC, event_pos) = 1""",
@@ -249,7 +249,7 @@ KEYWORDS = "SELECT * FROM (VALUES " + ", ".join(
 ENTITY_CTES = {
     "nested": NESTED,
     "kws": KEYWORDS,
-    "hit": """SELECT entity, kw_pos, event_pos, title, volume, url FROM events_src JOIN kws ON contains(lower(title), keyword)
+    "hit": """SELECT entity, kw_pos, event_pos, title, volume, url FROM events_src JOIN kws ON active AND NOT closed AND contains(lower(title), keyword)
               QUALIFY row_number() OVER (PARTITION BY entity, lower(title) ORDER BY kw_pos, event_pos) = 1""",
     "bets": """SELECT entity, row_number() OVER (PARTITION BY entity ORDER BY kw_pos, event_pos) AS bet_no, title AS question,
                round_even(prob, 4) AS probability, volume AS volume_usd, url FROM hit JOIN nested USING (event_pos)
@@ -262,7 +262,7 @@ ENTITY_CTES = {
               array_to_string(list_sort(list_distinct(list(source))), ',') AS sources FROM named GROUP BY 1""",
     "grp_bets": "SELECT entity, count(*) AS bet_count, max(probability) AS best_bet FROM every_bet GROUP BY 1",
     "groups": """SELECT entity, article_count, sources, coalesce(bet_count, 0) AS bet_count,
-                 round_even(coalesce(best_bet, max_prob, 0.0), 4) AS signal FROM grp LEFT JOIN grp_bets USING (entity)""",
+                 round_even(coalesce(best_bet, max_prob, 0.0), 4) AS signal, printf('%.1f%%', coalesce(best_bet, max_prob, 0.0) * 100) AS signal_pct FROM grp LEFT JOIN grp_bets USING (entity)""",
 }
 
 
@@ -272,12 +272,12 @@ def entity_sql(final: str) -> str:
 
 @query("entity_first_bets", entity_sql("SELECT entity, bet_no, question, probability, volume_usd, url FROM bets"))
 def entity_first_bets(spark, sf):
-    return market_ops.entity_bets(demo.events(spark, sf)).drop("probability_pct")
+    return market_ops.entity_bets(demo.events(spark, sf), demo.markets(spark, sf)).drop("probability_pct")
 
 
 @query("entity_bets", entity_sql("SELECT entity, question, probability FROM every_bet"))
 def entity_bets(spark, sf):
-    return market_ops.all_bets(demo.entities(spark, sf), demo.events(spark, sf)).select("entity", "question", "probability")
+    return market_ops.all_bets(demo.entities(spark, sf), demo.events(spark, sf), demo.markets(spark, sf)).select("entity", "question", "probability")
 
 
 BAND = "CASE WHEN {0} * 100 >= 70 THEN 'high' WHEN {0} * 100 >= 40 THEN 'medium' ELSE 'low' END"
@@ -285,7 +285,7 @@ BAND = "CASE WHEN {0} * 100 >= 70 THEN 'high' WHEN {0} * 100 >= 40 THEN 'medium'
 
 @query("entity_groups", entity_sql(f"SELECT *, {BAND.format('signal')} AS band FROM groups"))
 def entity_groups(spark, sf):
-    return market_ops.entity_groups(demo.entities(spark, sf), demo.events(spark, sf))
+    return market_ops.entity_groups(demo.entities(spark, sf), demo.events(spark, sf), demo.markets(spark, sf))
 
 
 @query(

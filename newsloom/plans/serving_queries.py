@@ -205,13 +205,16 @@ def quality_by_source(spark, sf):
                    FROM expected e LEFT JOIN runs USING (source))
         SELECT source, CASE WHEN n = 0 THEN 'MISSING' WHEN rate < 0.75 THEN 'LOW_QUALITY' WHEN n < 5 THEN 'LOW_VOLUME' ELSE 'OK' END AS status,
           n AS articles, round(rate, 4) AS quality_ok_rate,
-          CASE WHEN n = 0 THEN 1 ELSE (n < 5)::INT + (rate < 0.75)::INT END AS alerts FROM judged""",
+          concat_ws(' | ', CASE WHEN n = 0 THEN '[ALERTE] Aucune donnée Silver pour ''' || source || ''' le 2024-02-01' END,
+            CASE WHEN n BETWEEN 1 AND 4 THEN '[ALERTE] ''' || source || ''' : seulement ' || n || ' articles (min=5)' END,
+            CASE WHEN rate < 0.75 THEN '[ALERTE] ''' || source || ''' : taux qualité ' || printf('%.1f%%', rate * 100) || ' < 75%' END) AS alerts FROM judged""",
 )
 def quality_gate(spark, sf):
     docs = tables.table(spark, sf, "documents")
     mirrors = docs.where("lang = 'de'").select(F.concat("source", F.lit("-mirror")).alias("source"))
     expected = docs.select("source").union(mirrors).distinct()
-    return quality.gate(_labelled(spark, sf), expected).withColumn("alerts", F.size("alerts"))
+    report = quality.gate(_labelled(spark, sf), expected, run_date="2024-02-01")
+    return report.withColumn("alerts", F.array_join("alerts", " | "))
 
 
 @query(

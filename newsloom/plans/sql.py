@@ -208,7 +208,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         ("article_terms", "events_src"),
         """SELECT term, event_pos, 1.0 + CASE WHEN contains(' ' || lower(title) || ' ', ' ' || term || ' ')
            THEN 0.5 ELSE 0 END AS w FROM (SELECT DISTINCT term FROM article_terms), events_src
-           WHERE contains(lower(title), term)""",
+           WHERE active AND NOT closed AND contains(lower(title), term)""",
     ),
     "matched": (
         ("article_terms", "term_hits"),

@@ -106,14 +106,14 @@ def topic_min_size(spark, sf):
     vectors = tables.table(spark, sf, "embeddings").select(
         "vec_id", (F.col("label") + F.when(F.col("vec_id") % 7 == 0, 10).otherwise(0)).alias("cluster")
     )
-    return topics.drop_small(vectors, "vec_id").select("vec_id", "cluster", "cluster_size", "topic_id")
+    return topics.drop_small(vectors).select("vec_id", "cluster", "cluster_size", "topic_id")
 
 
 @query("topic_clusters")
 def topic_clusters(spark, sf):
     vectors = topics.embedding_vectors(tables.table(spark, sf, "embeddings")).select("vec_id", "features").persist()
     clusters = topics.cluster(vectors, grid=(5, 10, 15))
-    return topics.drop_small(clusters, "vec_id").select("vec_id", "topic_id", F.col("membership").alias("topic_prob"))
+    return topics.drop_small(clusters).select("vec_id", "topic_id", F.col("membership").alias("topic_prob"))
 
 
 @query("topic_model")

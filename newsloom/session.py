@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -16,6 +17,11 @@ RUNTIME_SETTINGS = {
 }
 
 
+#: Deal scanned texts out to so many partitions before costly work: for a local session, whose inputs
+#: are single files. Unset on a cluster, where a scan has splits enough.
+SCAN_PARTITIONS = "spark.newsloom.scanPartitions"
+
+
 def build_session(app: str = "newsloom", cores: int | str = "*", memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks; on a cluster the submitter's is used."""
     builder = (
@@ -25,6 +31,7 @@ def build_session(app: str = "newsloom", cores: int | str = "*", memory: str = "
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config(SCAN_PARTITIONS, str(os.cpu_count() if cores == "*" else cores))
     )
     for key, value in RUNTIME_SETTINGS.items():
         builder = builder.config(key, value)
@@ -41,13 +48,16 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: `spark.checkpoint.dir`, or a new one where unset."""
+    """The folder all executors share, which `spark.checkpoint.dir` names. Only a local session,
+    whose executors are the driver itself, gets a temporary one where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="newsloom-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom import rules
-from newsloom.operators.skew import broadcast_if_small
 
 ARTICLE = T.StructType([T.StructField(c, T.StringType()) for c in rules.RAW_COLUMNS])
 ENVELOPE = T.StructType(
@@ -71,7 +70,7 @@ def bronze(
     if date:
         files = files.where(F.col("date") == date)
     if only is not None:
-        files = files.join(broadcast_if_small(only), ["source", "date"], "left_semi")
+        files = files.join(only, ["source", "date"], "left_semi")
     if latest:
         newest = files.groupBy("source", "date").agg(F.max("run").alias("run"))
         files = files.join(newest, ["source", "date", "run"], "left_semi")

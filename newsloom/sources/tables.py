@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.session import SCAN_PARTITIONS
+
 # Topic labels the demonstration topics carry, by topic number.
 TOPIC_LABELS = [
     "0_biden_trump_election", "1_gaza_israel_guerre", "2_maroc_sahara_hespress",
@@ -21,11 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A small input in few files goes to all cores before costly per-row work; an
-    input with enough splits of its own (any large one) is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()  # plans the scan, runs nothing
-    return df.repartition(cores) if splits < cores else df
+    """Deal texts out where the session asks for it (see `SCAN_PARTITIONS`), whatever their size."""
+    parts = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(parts)) if parts else df
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -30,17 +30,15 @@ def words(rng, n):
     return [rng.choice(pool) + ("" if rng.random() < 0.7 else rng.choice(["s", "x", ".", "internationalisation"])) for _ in range(n)]
 
 
-def test_match_equals_brute_force(spark, monkeypatch):
+def test_match_equals_brute_force(spark):
     rng = random.Random(11)
     events = [(i, " ".join(words(rng, 6)) + ("\n" if i % 5 == 0 else " ") + words(rng, 1)[0]) for i in range(30)]
     searches = [(f"s{i}", list(dict.fromkeys(words(rng, rng.randint(0, 5))))) for i in range(300)]
     ev = spark.createDataFrame(events, EVENT)
     se = spark.createDataFrame(searches, "id string, terms array<string>")
-    for rows in (markets.INDEX_ROWS, 1):  # broadcast index, and shuffled index
-        monkeypatch.setattr(markets, "INDEX_ROWS", rows)
-        for floor in (0.5, 2.0):
-            got = {r["id"]: (r["score"], r["event_pos"]) for r in markets.best_events(se, "id", "terms", ev, floor).collect()}
-            assert got == brute_best(searches, events, floor)
+    for floor in (0.5, 2.0):
+        got = {r["id"]: (r["score"], r["event_pos"]) for r in markets.best_events(se, "id", "terms", ev, floor).collect()}
+        assert got == brute_best(searches, events, floor)
 
 
 def test_no_pairwise_plan(spark, sf):
@@ -119,5 +117,29 @@ def test_entity_bets_and_fallback(spark):
     assert groups["France"]["bet_count"] == 0 and groups["France"]["signal"] == 0.0
 
 
-def test_bound_is_named(spark):
-    assert skew.BROADCAST_ROWS < markets.INDEX_ROWS <= 1_000_000
+def test_closed_events_are_never_matched(spark):
+    live, closed, idle = event(1, "oil war"), event(0, "oil war now"), event(2, "war oil gaza")
+    rows = [live, closed[:8] + (True,) + closed[9:], idle[:7] + (False,) + idle[8:]]
+    events = spark.createDataFrame(rows, SCHEMA)
+    searches = spark.createDataFrame([("s", ["oil", "war", "gaza", "now"])], "id string, terms array<string>")
+    assert [tuple(r) for r in markets.best_events(searches, "id", "terms", events, 1.0).collect()] == [("s", 3.0, 1)]
+    iran = [event(1, "Iran deal"), event(0, "Iran war")[:8] + (True, [])]
+    assert [b["question"] for b in markets.entity_bets(spark.createDataFrame(iran, SCHEMA)).collect()] == ["Iran deal"]
+
+
+def test_bets_of_events_without_own_markets_ask_the_landed_ones(spark):
+    events = spark.createDataFrame([event(1, "Iran deal", slug="deal"), event(2, "Iran vote", slug="vote")], SCHEMA)
+    landed = spark.createDataFrame(
+        [("deal", None, 1, "q", 5.0, "['0.8','0.2']", "/m", True, False), ("deal", None, 2, "q", 9.0, "['0.9','0.1']", "/m", True, True)],
+        "slug string, tag string, market_no long, question string, volume double, outcomePrices string, url string, active boolean, closed boolean",
+    )
+    assert {b["question"]: b["probability"] for b in markets.entity_bets(events, landed).collect()} == {"Iran deal": 0.8, "Iran vote": 0.3}
+
+
+def test_index_grows_in_line_with_titles(spark):
+    sizes = []
+    for n in (50, 500):
+        title = " ".join(f"word{i:04d}" for i in range(n))
+        places, grams = markets.title_index(spark.createDataFrame([(1, title)], "event_pos long, title string"))
+        sizes.append(places.count() + grams.count())
+    assert sizes[1] <= 10 * sizes[0]

@@ -33,14 +33,42 @@ def test_hot_and_cold_keys_are_both_served(spark):
     assert "BroadcastHashJoin" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
-def test_keep_one(spark, monkeypatch):
+def partition_sizes(df):
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return max(sizes), sum(sizes)
+
+
+def test_rows_of_hot_and_missing_keys_spread(spark):
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.concat(F.lit("k"), (F.col("id") % 60_000).cast("string")))
+    df = spark.range(90_000).select(F.col("id").alias("row"), key.alias("key"))
+    sizes = df.where("key IS NOT NULL").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(held, ("-1", "false", "32")):
+            spark.conf.set(k, v)
+        largest, total = partition_sizes(skew.join_per_key(df, sizes, "key", "n", "row"))
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert total == 90_000 and largest < 3 * total / 32
+
+
+def test_keep_one(spark):
     df = skewed(spark).where("key IS NOT NULL")
-    for bound in (skew.BROADCAST_ROWS, 10):  # few repeated keys, and more than may be broadcast
-        monkeypatch.setattr(skew, "BROADCAST_ROWS", bound)
-        for last, pick in ((False, F.min), (True, F.max)):
-            got = skew.keep_one(df, "key", "row", last)
-            want = df.groupBy("key").agg(pick("row").alias("row")).select("row", "key")
-            assert got.exceptAll(want).isEmpty() and got.count() == want.count()
+    for last, pick in ((False, F.min), (True, F.max)):
+        got = skew.keep_one(df, "key", "row", last)
+        want = df.groupBy("key").agg(pick("row").alias("row")).select("row", "key")
+        assert got.exceptAll(want).isEmpty() and got.count() == want.count()
+        assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keep_one_is_total(spark):
+    rows = [("a", None, 1), ("a", None, 2), ("b", "1", 3), ("b", "1", 4), ("c", None, 5), ("c", "9", 6), (None, "1", 7), (None, "2", 8), ("d", "1", 9), ("d", "1", 9)]
+    df = spark.createDataFrame(rows, "key string, at string, v int").repartition(4)
+    for last, of_none in ((False, 7), (True, 8)):
+        got = {r["key"]: r["v"] for r in skew.keep_one(df, "key", "at", last).collect()}
+        assert len(got) == skew.keep_one(df, "key", "at", last).count() == 5
+        assert got["c"] == 6 and got["d"] == 9 and got[None] == of_none
 
 
 def test_top_n_per_key(spark):
@@ -66,12 +94,6 @@ def test_most_frequent_breaks_ties_by_value(spark):
     assert out == {"a": "y", "b": "q"}
 
 
-def test_broadcast_only_after_the_size_check(spark):
-    small, large = spark.range(5), spark.range(100)
-    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-    assert hinted(skew.broadcast_if_small(small, 10)) and not hinted(skew.broadcast_if_small(large, 10))
-
-
 def test_counter_helper_matches(spark):
     df = skewed(spark, 3000)
     counts = Counter(r["key"] for r in df.collect())

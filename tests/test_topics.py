@@ -49,5 +49,5 @@ def test_labels(spark):
 
 def test_small_clusters_become_outliers(spark):
     df = spark.range(100).select(F.col("id"), F.when(F.col("id") < 4, 9).otherwise(F.col("id") % 2).cast("int").alias("cluster"))
-    out = topics.drop_small(df, "id").groupBy("topic_id").count().collect()
+    out = topics.drop_small(df).groupBy("topic_id").count().collect()
     assert {r["topic_id"]: r["count"] for r in out} == {-1: 4, 0: 48, 1: 48}
