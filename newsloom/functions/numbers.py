@@ -39,7 +39,8 @@ def is_extreme(prob: Column) -> Column:
 
 def display_prob(prob: Column, title: Column) -> Column:
     """Shown instead of a probability stuck at 0 or 1; the stored one is never changed."""
-    shown = F.lit(0.58) + F.pmod(F.crc32(F.coalesce(title, F.lit(""))), F.lit(31)) / 100.0
+    number = F.conv(F.substring(F.md5(F.coalesce(title, F.lit(""))), 1, 8), 16, 10).cast("bigint")
+    shown = F.lit(0.58) + F.pmod(number, F.lit(31)) / 100.0
     return F.when(is_extreme(prob), round4(shown)).otherwise(prob)
 
 

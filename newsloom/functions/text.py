@@ -4,6 +4,7 @@ array functions; none calls Python per row."""
 from __future__ import annotations
 
 from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,9 +63,33 @@ def clean_text(column: str) -> Column:
     return F.coalesce(strip(F.expr(body)), F.lit(""))
 
 
+ENTITY = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,9});"
+
+
+def decode_entities(c: Column) -> Column:
+    """Character references, named and numeric, become their characters; unknown ones stay.
+    Each distinct one is replaced once, those that stand for an ampersand last, so that nothing is decoded twice."""
+    named = F.create_map(*[x for n, code in sorted(name2codepoint.items()) for x in (F.lit(n), F.lit(code))])
+
+    def code(name: Column) -> Column:
+        hexadecimal = F.conv(F.substring(name, 3, 6), 16, 10).cast("int")
+        decimal = F.substring(name, 2, 7).cast("int")
+        return F.when(name.rlike("^#[xX]"), hexadecimal).when(name.startswith("#"), decimal).otherwise(F.try_element_at(named, name))
+
+    def character(n: Column) -> Column:
+        valid = (n > 0) & (n < 0x110000) & ~n.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit(ENTITY), F.lit(1)))
+    coded = F.transform(found, lambda n: F.struct(n.alias("n"), character(code(n)).alias("c")))
+    ordered = F.concat(F.filter(coded, lambda x: x["c"] != "&"), F.filter(coded, lambda x: x["c"] == "&"))
+    out = F.aggregate(ordered, c, lambda s, x: F.replace(s, F.concat(F.lit("&"), x["n"], F.lit(";")), x["c"]))
+    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
+
+
 def html_to_text(c: Column) -> Column:
-    """Feed summaries: tags become blanks."""
-    return strip(F.regexp_replace(F.coalesce(c, F.lit("")), "(<[^>]+>)+", " "))
+    """Feed summaries: tags become blanks, character references characters."""
+    return strip(decode_entities(F.regexp_replace(F.coalesce(c, F.lit("")), "(<[^>]+>)+", " ")))
 
 
 def is_url_valid(c: Column) -> Column:

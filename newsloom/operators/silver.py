@@ -110,9 +110,17 @@ def project(df: DataFrame, columns: list[str], extra: tuple[str, ...] = ()) -> D
     return df.select(*[c for c in [*columns, *extra] if c in df.columns])
 
 
-def to_silver(raw: DataFrame, run_ts: Column, arrival: str = "arrival", keep: tuple[str, ...] = ()) -> DataFrame:
-    """First copy of every article, cleaned, measured and checked."""
-    df = derive(clean_fields(keep_one(raw, "article_id", arrival)))
+def to_silver(
+    raw: DataFrame, run_ts: Column, arrival: str = "arrival", keep: tuple[str, ...] = (), within: str | None = None
+) -> DataFrame:
+    """First copy of every article, cleaned, measured and checked; with `within`, a column
+    that names the run, the first copy in each run."""
+    if within:
+        unit = F.concat_ws("\n", within, "article_id")
+        first = keep_one(raw.withColumn("_unit", unit), "_unit", arrival).drop("_unit")
+    else:
+        first = keep_one(raw, "article_id", arrival)
+    df = derive(clean_fields(first))
     df = df.withColumn("quality_flags", quality_flags())
     df = df.withColumn("quality_status", status(F.col("quality_flags")))
     df = text.evaluate_once(df, COSTLY).withColumn("processed_at", run_ts)

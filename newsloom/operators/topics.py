@@ -100,20 +100,28 @@ def cluster(vectors: DataFrame, grid: tuple[int, ...] = GRID, seed: int = 7) ->
             score = 0.0
         if best_score is None or score > best_score:
             best, best_score = model, score
-    # k rows of fixed width: bounded by the grid, not by the data
-    centres = vectors.sparkSession.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(best.clusterCenters())],
-        "cluster int, centre array<double>",
-    )
-    near = best.transform(vectors).join(F.broadcast(centres), "cluster")
+    centres = [[float(x) for x in c] for c in best.clusterCenters()]
+    return assign(vectors, centres)
+
 
+def assign(vectors: DataFrame, centres: list[list[float]]) -> DataFrame:
+    """`cluster`, the nearest centre by cosine (the first of equally near ones), and `membership`, that cosine. Centres
+    are MAX_TOPICS at most and of fixed width, so they travel inside the plan."""
     def norm(a: Column) -> Column:
         return F.sqrt(F.aggregate(a, F.lit(0.0), lambda s, x: s + x * x))
 
-    dot = F.aggregate(F.zip_with(vector_to_array("features"), "centre", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    cosine = F.try_divide(dot, norm(vector_to_array(F.col("features"))) * norm(F.col("centre")))
-    return near.withColumn("membership", numbers.round4(F.coalesce(F.greatest(cosine, F.lit(0.0)), F.lit(0.0)))).drop(
-        "centre", "features"
+    def dot(a: Column, b: Column) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+    listed = F.array(*[F.array(*[F.lit(x) for x in c]) for c in centres])
+    own = F.col("_features")
+    cosines = F.transform(listed, lambda c: F.coalesce(F.try_divide(dot(own, c), norm(own) * norm(c)), F.lit(0.0)))
+    near = F.array_max(F.transform(cosines, lambda c, i: F.struct(c.alias("cosine"), (-i).alias("at"))))
+    found = vectors.withColumn("_features", vector_to_array("features")).withColumn("_near", near)
+    return (
+        found.withColumn("cluster", (-F.col("_near.at")).cast("int"))
+        .withColumn("membership", numbers.round4(F.greatest(F.col("_near.cosine"), F.lit(0.0))))
+        .drop("_features", "_near", "features")
     )
 
 

@@ -11,8 +11,9 @@ from newsloom.operators.skew import most_frequent
 
 
 
-def conform(df: DataFrame) -> DataFrame:
-    """The stored layout: 30 typed columns, absent ones NULL, unreadable times NULL."""
+def conform(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """The stored layout: 30 typed columns, absent ones NULL, unreadable times NULL; and the
+    `extra` columns as they are."""
     out = []
     types = dict(df.dtypes)
     for name, kind in rules.GOLD_COLUMNS.items():
@@ -25,7 +26,7 @@ def conform(df: DataFrame) -> DataFrame:
         else:
             c = F.col(name).cast(kind)
         out.append(c.alias(name))
-    return df.select(*out)
+    return df.select(*out, *extra)
 
 
 def sound(df: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ def ingest(spark: SparkSession, raw: DataFrame, roots: Roots, run_ts: Column, ru
     """Land articles, clean them, announce them and record the run. Each layer is read
     back from where it was written, so a step that fails can be repeated alone."""
     sink.write_bronze(raw, roots.bronze, run_ts, key)
+    sink.write_envelopes(raw, roots.bronze, run_ts, key)
     landed = source.bronze(spark, roots.bronze, date=run_date, latest=True)
     sink.write_silver(silver_ops.to_silver(landed, run_ts), roots.silver, run_ts, roots.silver_json)
     silver = source.silver_latest(spark, roots.silver, run_date)
@@ -53,13 +54,13 @@ def build(
     run_ts: Column,
     run_date: str,
     model: str = "cluster",
-    buckets: int = sink.UPSERT_BUCKETS,
 ) -> DataFrame:
-    """Topics, market match, scores, summaries and warehouse from the day's Silver.
-    `model`: `cluster`, `skip` (one counted topic) or `missing` (none)."""
+    """Topics, market match, scores, summaries and warehouse from the day's Silver. An
+    article that several runs brought is stored as the last of them has it. `model`: `cluster`, `skip` (one counted topic) or `missing` (none)."""
     silver = source.silver_latest(spark, roots.silver, run_date)
     fill = {"cluster": topics.model_topics, "skip": topics.model_skipped, "missing": topics.model_missing}
-    topical = fill[model](silver.drop("date", "run"))
+    landed = silver.withColumn("landed", F.concat_ws("/", "date", "run", "source"))
+    topical = fill[model](landed.drop("date", "run"))
     topical.write.mode("overwrite").parquet(f"{roots.topics_stage}/date={run_date}")
     staged = spark.read.parquet(f"{roots.topics_stage}/date={run_date}")
     scored = gold_ops.to_gold(staged, run_ts, events, markets)
@@ -69,8 +70,8 @@ def build(
     scored.write.mode("overwrite").parquet(f"{roots.gold_stage}/date={run_date}")
     gold = spark.read.parquet(f"{roots.gold_stage}/date={run_date}")
     summary = gold_ops.topic_summary(gold, order="article_id")
-    sink.write_gold(gold, summary, roots.gold, roots.topics, run_ts)
-    sink.upsert_gold(spark, roots.gold_table, gold, "article_id", buckets)
+    sink.write_gold(gold.drop("landed"), summary, roots.gold, roots.topics, run_ts)
+    sink.upsert_gold(spark, roots.gold_table, gold, "landed")
     sink.append_topic_summaries(summary, roots.topic_summaries, run_date, run_ts)
     sink.refresh_analytics(sink.read_gold_table(spark, roots.gold_table), roots.analytics, run_ts)
     return gold

@@ -19,7 +19,6 @@ from newsloom.streaming import ingest
 
 QUERIES, ORACLES = {}, {}
 RUN_DATE = "2024-02-01"
-BUCKETS = 8
 
 
 def query(name: str, oracle: str | None = None):
@@ -147,9 +146,13 @@ def _gold_root(spark, sf) -> tuple[str, str]:
     return root, topics_root
 
 
-@query("available_dates", "SELECT d AS date FROM (VALUES ('2024-02-01'), ('2024-01-31')) t(d) WHERE (SELECT count(*) FROM documents) > 0")
+@query("available_dates", "SELECT DISTINCT '2024-01-' || lpad((doc_id % 30 + 1)::VARCHAR, 2, '0') AS date FROM documents ORDER BY 1 DESC")
 def available_dates(spark, sf):
-    return source.available_dates(spark, _gold_root(spark, sf)[0])
+    """One Silver run per day on which a document was published."""
+    root = scratch(spark, "silver-days")
+    days = _raw(spark, sf).select("article_id", "source", F.substring("date_publication", 1, 10).alias("date"), F.lit("r080000").alias("run"))
+    days.write.partitionBy("source", "date", "run").parquet(root)
+    return source.available_dates(spark, root)
 
 
 @query(
@@ -186,9 +189,9 @@ def warehouse_upsert(spark, sf):
     """Cleaned rows are stored first, as the stream does; the scored rows replace theirs;
     the second batch is applied twice, as after a restart."""
     root = scratch(spark, "gold-table")
-    sink.upsert_gold(spark, root, demo.silver_table(spark, sf), "arrival", BUCKETS)
+    sink.upsert_gold(spark, root, demo.silver_table(spark, sf), "arrival")
     for _ in range(2):
-        sink.upsert_gold(spark, root, demo.gold(spark, sf), "arrival", BUCKETS)
+        sink.upsert_gold(spark, root, demo.gold(spark, sf), "arrival")
     return sink.read_gold_table(spark, root).select(
         "article_id",
         F.coalesce("topic_label", F.lit("")).alias("topic_label"),
@@ -293,17 +296,28 @@ def html_main_text(spark, sf):
 PAGE_TITLE = page_text("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")
 
 
-@query("feed_items", f"SELECT url AS link, {PAGE_TITLE} AS title, 'author ' || page_id % 5 AS author, 'lang, all' AS categories FROM pages")
+@query(
+    "feed_items",
+    f"""SELECT md5(url) AS article_id, {PAGE_TITLE} AS titre, url, 'cnn.com' AS source, 'en' AS langue,
+        strftime(TIMESTAMP '2024-01-01' + to_hours(page_id::INT), '%Y-%m-%dT%H:%M:%S') AS date_publication,
+        'Été –  ' || page_id || '  & more' AS contenu, 'US' AS pays, 'author ' || page_id % 5 AS auteur, 'lang' AS categorie FROM pages""",
+)
 def feed_items(spark, sf):
-    """Pages written as feed items (XML) and read back as a feed."""
+    """Pages written as feed items (XML), read back as a feed and mapped to articles; every second one has an update time only."""
     path = scratch(spark, "rss")
+    when = F.timestamp_add("HOUR", F.col("page_id"), F.lit("2024-01-01").cast("timestamp"))
+    stamp = F.concat(F.date_format(when, "EEE, d MMM yyyy HH:mm:ss"), F.lit(" +0000"))
     tables.landed_pages(spark, sf).select(
         pages.page_title(F.col("html")).alias("title"),
         F.col("url").alias("link"),
+        F.when(F.col("page_id") % 2 == 0, stamp).alias("pubDate"),
+        F.when(F.col("page_id") % 2 == 1, stamp).alias("updated"),
+        F.concat(F.lit("<p>&Eacute;t&#233; &#x2013; <b>"), F.col("page_id").cast("string"), F.lit("</b> &amp; more</p>")).alias("description"),
         F.concat(F.lit("author "), (F.col("page_id") % 5).cast("string")).alias("author"),
         F.array(F.lit("lang"), F.lit("all")).alias("category"),
     ).write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(path)
-    return feeds.rss_items(spark, path).select("link", F.coalesce("title", F.lit("")).alias("title"), "author", F.array_join("category", ", ").alias("categories"))
+    entries = feeds.feed_entries(feeds.rss_items(spark, path), F.lit("cnn"), F.lit("top"), F.lit(1))
+    return feeds.feed_articles(entries, catalogue.source_catalogue(spark), demo.run_ts()).drop("ingested_at", "raw_source")
 
 
 KEYS = [r[0] for r in rules.SOURCE_CATALOGUE]
@@ -311,16 +325,19 @@ FEED_LANGS = ["en", "fr", "de", "es"]
 
 
 def _items(spark, sf):
-    """Pages as feed items: nine sources, the url's language as feed, host and language as link."""
+    """Pages as feed items of nine sources, the url's language as feed; every third page is
+    listed a second time in the French feed."""
     page = pages.main_text(tables.landed_pages(spark, sf), "cnn")
-    feed = F.regexp_extract("url", "^https?://[^/]+/([a-z]+)/", 1)
+    again = F.array(F.lit(False), F.lit(True))
+    page = page.withColumn("again", F.explode(F.when(F.col("page_id") % 3 == 0, again).otherwise(F.array(F.lit(False)))))
+    feed = F.when(F.col("again"), F.lit("fr")).otherwise(F.regexp_extract("url", "^https?://[^/]+/([a-z]+)/", 1))
     when = F.timestamp_add("HOUR", F.col("page_id"), F.lit("2024-01-01").cast("timestamp"))
     return page.select(
         F.get(F.array(*[F.lit(k) for k in KEYS]), (F.col("page_id") % 9).cast("int")).alias("source_key"),
         feed.alias("feed"),
         F.array_position(F.array(*[F.lit(x) for x in FEED_LANGS]), feed).alias("feed_pos"),
-        F.col("page_id").alias("pos"),
-        F.when(F.col("page_id") % 11 == 0, F.lit("")).otherwise(F.regexp_extract("url", "^https?://[^/]+/[a-z]+/[0-9]", 0)).alias("link"),
+        (F.col("page_id") + F.when(F.col("again"), 1_000_000).otherwise(0)).alias("pos"),
+        F.when(F.col("page_id") % 11 == 0, F.lit("")).otherwise(F.col("url")).alias("link"),
         F.concat(F.when(F.col("page_id") % 13 == 0, F.lit("غزة ")).otherwise(F.lit("")), pages.page_title(F.col("html"))).alias("title"),
         F.when(F.col("page_id") % 7 == 0, F.lit("soon")).otherwise(F.concat(F.date_format(when, "EEE, d MMM yyyy HH:mm:ss"), F.lit(" +0000"))).alias("published"),
         F.col("html").alias("summary"),
@@ -330,14 +347,18 @@ def _items(spark, sf):
     )
 
 
+SUMMARY = "regexp_replace(html, '(<[^>]+>)+', ' ', 'g')"
+for _name, _char in pages.ENTITIES:
+    SUMMARY = f"replace({SUMMARY}, {sql.q(_name)}, {sql.q(_char)})"
 ITEM_CTES = {
-    "items": f"""SELECT page_id AS pos, [{', '.join(sql.q(k) for k in KEYS)}][(page_id % 9)::INT + 1] AS source_key,
-        regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) AS feed,
-        list_position([{', '.join(sql.q(x) for x in FEED_LANGS)}], regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1)) AS feed_pos,
-        CASE WHEN page_id % 11 = 0 THEN '' ELSE regexp_extract(url, '^https?://[^/]+/[a-z]+/[0-9]') END AS link,
+    "listed": "SELECT *, false AS again FROM pages UNION ALL SELECT *, true FROM pages WHERE page_id % 3 = 0",
+    "items": f"""SELECT page_id + CASE WHEN again THEN 1000000 ELSE 0 END AS pos, page_id, [{', '.join(sql.q(k) for k in KEYS)}][(page_id % 9)::INT + 1] AS source_key,
+        CASE WHEN again THEN 'fr' ELSE regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) END AS feed,
+        list_position([{', '.join(sql.q(x) for x in FEED_LANGS)}], CASE WHEN again THEN 'fr' ELSE regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) END) AS feed_pos,
+        CASE WHEN page_id % 11 = 0 THEN '' ELSE url END AS link,
         CASE WHEN page_id % 13 = 0 THEN 'غزة ' ELSE '' END || {PAGE_TITLE} AS title,
         CASE WHEN page_id % 7 <> 0 THEN TIMESTAMP '2024-01-01' + to_hours(page_id::INT) END AS published,
-        {sql.strip("regexp_replace(html, '(<[^>]+>)+', ' ', 'g')")} AS summary, {MAIN_TEXT} AS full_text FROM pages""",
+        {sql.strip(SUMMARY)} AS summary, {MAIN_TEXT} AS full_text FROM listed""",
     "first": """SELECT * FROM items WHERE link <> '' QUALIFY row_number() OVER (PARTITION BY source_key, link ORDER BY feed_pos, pos) = 1""",
     "kept": f"""SELECT * FROM first WHERE NOT (source_key IN {sql.in_list(rules.MOROCCAN_SOURCES)} AND regexp_matches(title, '[\\x{{600}}-\\x{{6ff}}]'))""",
     "cat": "SELECT * FROM (VALUES " + ", ".join(
@@ -372,8 +393,8 @@ def feed_first_entries(spark, sf):
         f"""SELECT md5(link) AS article_id, {sql.strip('title')} AS titre, link AS url, domain AS source, language AS langue,
             strftime(published, '%Y-%m-%dT%H:%M:%S') AS date_publication, coalesce(full_text, summary) AS contenu,
             coalesce(country, 'unknown') AS pays, raw_prefix || CASE WHEN by_feed THEN '_' || feed ELSE '' END AS raw_source,
-            'author ' || pos % 5 AS auteur,
-            CASE WHEN pos % 2 = 0 THEN 'tagged' WHEN by_feed THEN feed ELSE '' END AS categorie
+            'author ' || page_id % 5 AS auteur,
+            CASE WHEN page_id % 2 = 0 THEN 'tagged' WHEN by_feed THEN feed ELSE '' END AS categorie
             FROM kept JOIN cat USING (source_key)""",
         **ITEM_CTES,
     ),
@@ -510,10 +531,13 @@ def stream_upsert(spark, sf):
     """Landed articles, announced by messages, cleaned and stored by the stream."""
     bronze, topic, table, state = (scratch(spark, n) for n in ("bronze", "topic", "gold-table", "state"))
     raw = _raw(spark, sf)
-    sink.write_bronze(raw, bronze, ts(MORNING))
     counts = raw.groupBy("source").agg(F.count(F.lit(1)).alias("articles_scraped"))
-    sink.emit_events(sink.ingestion_events(counts, bronze, RUN_DATE, ts(MORNING)).repartition(2), topic)
-    apply = ingest.upsert_batch(spark, bronze, table, demo.run_ts(), analytics_root=scratch(spark, "analytics"), buckets=BUCKETS)
+    stale = raw.where("arrival % 3 = 0").withColumn("titre", F.lit("A title that the next day corrects"))
+    for rows, when in ((stale, ts("2024-01-31 22:00:00")), (raw, ts(MORNING))):  # the later run is the one that counts
+        sink.write_bronze(rows, bronze, when)
+        run_date = "2024-01-31" if rows is stale else RUN_DATE
+        sink.emit_events(sink.ingestion_events(counts, bronze, run_date, when).repartition(2), topic)
+    apply = ingest.upsert_batch(spark, bronze, table, demo.run_ts(), analytics_root=scratch(spark, "analytics"), analytics_every=2)
     ingest.run(ingest.file_events(spark, topic, 1), apply, state).awaitTermination()
     return sink.read_gold_table(spark, table).select(
         "article_id", "titre_clean", "source", "content_hash",
@@ -535,7 +559,7 @@ def daily_job(spark, sf):
     batch.ingest(spark, _raw(spark, sf), roots, demo.run_ts(), RUN_DATE)
     expected = tables.table(spark, sf, "documents").select("source").distinct()
     batch.check(spark, roots, expected, RUN_DATE)
-    batch.build(spark, roots, demo.events(spark, sf), demo.markets(spark, sf), demo.run_ts(), RUN_DATE, model="skip", buckets=BUCKETS)
+    batch.build(spark, roots, demo.events(spark, sf), demo.markets(spark, sf), demo.run_ts(), RUN_DATE, model="skip")
     return sink.read_gold_table(spark, roots.gold_table).select(
         "article_id", "polymarket_prob", "combined_signal", "topic_article_count"
     )

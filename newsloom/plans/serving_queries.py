@@ -291,6 +291,12 @@ def fill_missing_columns(spark, sf):
 
 @query(
     "display_probability",
+    with_(
+        """SELECT article_id, polymarket_prob, CASE WHEN coalesce(polymarket_prob >= 0.99 OR polymarket_prob <= 0.01, false)
+           THEN round_even(0.58 + (('0x' || substr(md5(coalesce(titre_clean, '')), 1, 8))::BIGINT % 31) / 100.0::DOUBLE, 4)
+           ELSE polymarket_prob END AS display_prob FROM gold""",
+        "gold",
+    ),
 )
 def display_probability(spark, sf):
     shown = numbers.display_prob(F.col("polymarket_prob"), F.col("titre_clean"))

@@ -109,10 +109,26 @@ def topic_min_size(spark, sf):
     return topics.drop_small(vectors).select("vec_id", "cluster", "cluster_size", "topic_id")
 
 
+@query(
+    "topic_assignment",
+    """WITH c AS (SELECT vec_id AS k, embedding::DOUBLE[] AS c FROM embeddings WHERE vec_id < 8),
+       s AS (SELECT e.vec_id, k, list_inner_product(embedding::DOUBLE[], c) / (sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) * sqrt(list_inner_product(c, c))) AS cosine
+             FROM embeddings e, c)
+       SELECT vec_id, k::INT AS cluster, round_even(greatest(cosine, 0.0), 4) AS membership FROM s
+       QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY cosine DESC, k) = 1""",
+)
+def topic_assignment(spark, sf):
+    """Assignment and membership against given centres: the first eight vectors."""
+    table = tables.table(spark, sf, "embeddings")
+    centres = [list(r.embedding) for r in table.where("vec_id < 8").orderBy("vec_id").select(F.col("embedding").cast("array<double>").alias("embedding")).collect()]
+    found = topics.assign(topics.embedding_vectors(table).select("vec_id", "features"), centres)
+    return found.select("vec_id", "cluster", "membership")
+
+
 @query("topic_clusters")
 def topic_clusters(spark, sf):
-    vectors = topics.embedding_vectors(tables.table(spark, sf, "embeddings")).select("vec_id", "features").persist()
-    clusters = topics.cluster(vectors, grid=(5, 10, 15))
+    vectors = topics.embedding_vectors(tables.table(spark, sf, "embeddings")).select("vec_id", "features")
+    clusters = topics.cluster(vectors)
     return topics.drop_small(clusters).select("vec_id", "topic_id", F.col("membership").alias("topic_prob"))
 
 

@@ -9,49 +9,29 @@ from pyspark.sql import functions as F
 from newsloom import rules
 from newsloom.functions import dates
 from newsloom.operators import warehouse
-from newsloom.operators.skew import join_per_key, keep_one
-from newsloom.session import shared_dir
-from newsloom.sources.layers import exists
-
-ENVELOPE_ROWS = 5_000
-UPSERT_BUCKETS = 64
-
+from newsloom.operators.skew import keep_one
+from newsloom.sources.layers import folders
 
 def run_name(run_ts: Column) -> Column:
     """Names sort in time order; the letter keeps them from being read as numbers."""
     return F.date_format(run_ts, "'r'HHmmss")
 
 
-def write_bronze(articles: DataFrame, root: str, run_ts: Column, key: str = "source", rows: int = ENVELOPE_ROWS) -> None:
-    """Envelopes of about `rows` articles, one per line, under `source=/date=/run=`. A
-    large source becomes many envelopes, never one list; no articles, no file."""
-    sizes = articles.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
-    sized = join_per_key(articles, sizes, key, "_size", "article_id")
-    part = F.pmod(F.xxhash64("article_id"), F.ceil(F.col("_size") / rows).cast("bigint"))
-    packed = (
-        sized.withColumn("_part", part)
-        .groupBy(F.col(key).alias("_source"), "_part")
-        .agg(F.collect_list(F.struct(*rules.RAW_COLUMNS)).alias("articles"))
-    )
-    meta = F.struct(
-        F.col("_source").alias("source"),
-        dates.iso(run_ts).alias("written_at"),
-        F.size("articles").cast("bigint").alias("article_count"),
-        F.lit("1.0").alias("schema_version"),
-        F.col("_part").alias("part"),
-    )
-    (
-        packed.select(
-            meta.alias("metadata"),
-            "articles",
-            F.col("_source").alias("source"),
-            F.date_format(run_ts, "yyyy-MM-dd").alias("date"),
-            run_name(run_ts).alias("run"),
-        )
-        .write.mode("append")
-        .partitionBy("source", "date", "run")
-        .json(root)
-    )
+def write_bronze(articles: DataFrame, root: str, run_ts: Column, key: str = "source") -> None:
+    """One article per line under `source=/date=/run=`, with its place in the run; no
+    articles, no file. Rows are rebalanced by source: a large one is split over many files. The
+    facts of the run lie beside the layer, see `write_envelopes`."""
+    placed = articles.withColumn("pos", F.monotonically_increasing_id())
+    own = [F.col(c).alias("article_source") if c == "source" else F.col(c) for c in rules.RAW_COLUMNS]
+    out = _stamped(placed.select(*own, "pos", F.col(key).alias("source")), run_ts)
+    out.hint("rebalance", "source").write.mode("append").partitionBy("source", "date", "run").json(root)
+
+
+def write_envelopes(articles: DataFrame, root: str, run_ts: Column, key: str = "source") -> None:
+    """One line per source and run: source, writing time, number of articles, schema version."""
+    counts = articles.groupBy(F.col(key).alias("source")).agg(F.count(F.lit(1)).alias("article_count"))
+    facts = counts.select("source", dates.iso(run_ts).alias("written_at"), "article_count", F.lit("1.0").alias("schema_version"))
+    _stamped(facts, run_ts).write.mode("append").partitionBy("date", "run").json(f"{root.rstrip('/')}-envelopes")
 
 
 def _stamped(df: DataFrame, run_ts: Column) -> DataFrame:
@@ -76,38 +56,43 @@ def write_gold(df: DataFrame, summary: DataFrame, root: str, topics_root: str, r
     _stamped(summary, run_ts).write.mode("append").partitionBy("date", "run").json(topics_root)
 
 
-def upsert_gold(spark: SparkSession, root: str, batch: DataFrame, arrival: str, buckets: int = UPSERT_BUCKETS) -> None:
-    """Insert or replace by article id; the last row of an id in the batch wins.
-
-    The table is split by a hash of the id, so a batch rewrites only the buckets
-    it touches (choose `buckets` so that one holds a few GB). Buckets are written
-    rebalanced: one that is too large for a task is split over several. The new content is checkpointed in the shared folder before those
-    buckets are overwritten, and the same batch may be applied again: the result
-    is the same.
-    """
-    shared_dir(spark)
-    bucket = F.pmod(F.xxhash64("article_id"), F.lit(buckets)).cast("int")
-    latest = keep_one(batch, "article_id", arrival, last=True)
-    new = warehouse.conform(latest).withColumn("bucket", bucket).checkpoint()
-    touched = [r[0] for r in new.select("bucket").distinct().collect()]  # at most `buckets`
-    if not touched:
-        return
-    if exists(spark, root):
-        stored = spark.read.parquet(root).where(F.col("bucket").isin(touched)).select(*new.columns)
-        merged = warehouse.upsert(stored, new).checkpoint()
-    else:
-        merged = new
-    (
-        merged.hint("rebalance", "bucket")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
-        .parquet(root)
-    )
+def upsert_gold(spark: SparkSession, root: str, batch: DataFrame, order: str) -> None:
+    """Insert or replace by article id. A batch is appended as a version, so it costs what
+    it holds and not what is stored; `read_gold_table` takes the row of the largest `order` (as text) of each id, of the latest
+    version where that is equal, and `compact_gold` folds versions together. The order tells which of two rows is newer
+    wherever they were cut into batches, and a batch that is applied again changes nothing."""
+    one = keep_one(batch.withColumn("landed", F.col(order).cast("string")), "article_id", "landed", last=True)
+    versions = [int(f["version"]) for f in folders(spark, root, "version")]
+    path = f"{root}/version={max(versions, default=0) + 1:09d}"
+    warehouse.conform(one, ("landed",)).write.mode("overwrite").parquet(path)
+
+
+def gold_versions(spark: SparkSession, root: str) -> DataFrame:
+    types = {**rules.GOLD_COLUMNS, "landed": "string", "version": "int"}
+    return spark.read.schema(", ".join(f"{c} {t}" for c, t in types.items())).parquet(root)
+
+
+def newest_rows(versions: DataFrame) -> DataFrame:
+    newest = F.struct(F.coalesce("landed", F.lit("")).alias("landed"), "version")
+    return keep_one(versions.withColumn("_order", newest), "article_id", "_order", last=True).drop("_order")
 
 
 def read_gold_table(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(root).drop("bucket")
+    """Each article once, as its newest version has it."""
+    return newest_rows(gold_versions(spark, root)).drop("landed", "version")
+
+
+def compact_gold(spark: SparkSession, root: str) -> None:
+    """Fold all versions into one. The new one is complete before the old ones go, so
+    a reader finds every article at any time."""
+    old = folders(spark, root, "version")
+    if len(old) < 2:
+        return
+    path = f"{root}/version={max(int(f['version']) for f in old) + 1:09d}"
+    newest_rows(gold_versions(spark, root)).drop("version").write.mode("overwrite").parquet(path)
+    for f in old:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f["path"])
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def topic_summary_rows(summary: DataFrame, run_date: str, now: Column) -> DataFrame:

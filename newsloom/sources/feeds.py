@@ -34,6 +34,25 @@ def rss_items(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ITEM).format("xml").option("rowTag", "item").load(path)
 
 
+def feed_entries(items: DataFrame, source_key: Column, feed: Column, feed_pos: Column) -> DataFrame:
+    """Landed items as `feed_articles` wants them: place in the feed as they were read, the
+    update time where no publication time is given, the description as summary."""
+    given = lambda c: F.nullif(F.col(c), F.lit(""))
+    return items.withColumn("pos", F.monotonically_increasing_id()).select(
+        source_key.alias("source_key"),
+        feed.alias("feed"),
+        feed_pos.alias("feed_pos"),
+        "pos",
+        "title",
+        "link",
+        F.coalesce(given("pubDate"), given("updated")).alias("published"),
+        F.col("description").alias("summary"),
+        F.lit(None).cast("string").alias("full_text"),
+        "author",
+        F.coalesce("category", F.array().cast("array<string>")).alias("tags"),
+    )
+
+
 def api_table(spark: SparkSession, path: str) -> DataFrame:
     """All API fields of landed responses, unmapped."""
     response = T.StructType([T.StructField("articles", T.ArrayType(API_ARTICLE))])

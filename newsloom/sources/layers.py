@@ -4,6 +4,8 @@ filter reads only its folders."""
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +30,11 @@ ENVELOPE = T.StructType(
         T.StructField("articles", T.ArrayType(ARTICLE)),
     ]
 )
+#: A Bronze line: an article, whose own source may differ from the folder's, and its place in the run.
+LINE = T.StructType(
+    [T.StructField("article_source" if c == "source" else c, T.StringType()) for c in rules.RAW_COLUMNS]
+    + [T.StructField("pos", T.LongType())]
+)
 PARTITIONS = T.StructType([T.StructField(c, T.StringType()) for c in ("source", "date", "run")])
 
 
@@ -36,19 +43,54 @@ def exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
-def bronze_files(spark: SparkSession, root: str, multi_line: bool = False) -> DataFrame:
-    """One row per envelope: partition, run and article list. Envelopes are read one
-    per line; `multi_line` reads files that hold a single indented one."""
+def folders(spark: SparkSession, root: str, *levels: str, **wanted: str | None) -> list[dict]:
+    """Partition folders of a layer, their names and writing times: from the listing
+    alone, no file is opened. Names given in `wanted` must match."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path("/".join([root.rstrip("/"), *[f"{level}=*" for level in levels]]))
+    if not exists(spark, root):
+        return []
+    found = []
+    for status in pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []:
+        path = status.getPath().toString()
+        parts = {k: unquote(v) for k, v in (p.split("=", 1) for p in path.split("/")[-len(levels):])}
+        if all(v is None or parts[k] == v for k, v in wanted.items()):
+            found.append({**parts, "path": path, "at": status.getModificationTime()})
+    return found
+
+
+def newest(runs: list[dict], *keys: str, by_time: bool = False) -> list[str]:
+    """Paths of the newest run per key, by name or by writing time."""
+    best: dict[tuple, dict] = {}
+    for r in runs:
+        key = tuple(r[k] for k in keys)
+        rank = (r["at"], r["run"]) if by_time else (r["run"],)
+        if key not in best or rank > best[key]["rank"]:
+            best[key] = {**r, "rank": rank}
+    return [r["path"] for r in best.values()]
+
+
+def envelopes(spark: SparkSession, root: str) -> DataFrame:
+    """One row per file that holds a single indented document, `{metadata, articles}`, as
+    landed by other writers: partition, file name as run, and the article list."""
     schema = T.StructType([*ENVELOPE.fields, *PARTITIONS.fields])
     if not exists(spark, root):
-        return spark.createDataFrame([], schema).withColumn("file", F.lit(""))
-    return (
-        spark.read.schema(schema)
-        .option("multiLine", str(multi_line).lower())
-        .json(root)
-        .withColumn("file", F.col("_metadata.file_name"))
-        .withColumn("run", F.coalesce("run", "file"))
-    )
+        return spark.createDataFrame([], schema)
+    files = spark.read.schema(schema).option("multiLine", "true").json(root).withColumn("file", F.col("_metadata.file_name"))
+    return files.withColumn("run", F.coalesce("run", "file"))
+
+
+def bronze_documents(spark: SparkSession, root: str, source: str | None, date: str | None, latest: bool) -> DataFrame:
+    files = envelopes(spark, root)
+    if source:
+        files = files.where(F.col("source") == source)
+    if date:
+        files = files.where(F.col("date") == date)
+    if latest:
+        last = files.groupBy("source", "date").agg(F.max("run").alias("run"))
+        files = files.join(last, ["source", "date", "run"], "left_semi")
+    return files.select(
+        F.col("source").alias("source_key"), "date", "run", F.posexplode("articles").alias("pos", "a")
+    ).select("source_key", "date", "run", "a.*", "pos")
 
 
 def bronze(
@@ -60,68 +102,62 @@ def bronze(
     multi_line: bool = False,
     only: DataFrame | None = None,
 ) -> DataFrame:
-    """Articles of all runs, or of the newest run per source and date. A run is a
-    `run=` folder or, where there are none, a file. `arrival` numbers the articles
-    by run, file and place in the file. `only` (source, date) names the partitions
-    to read; the others' folders are skipped, before any list is opened."""
-    files = bronze_files(spark, root, multi_line)
-    if source:
-        files = files.where(F.col("source") == source)
-    if date:
-        files = files.where(F.col("date") == date)
+    """Articles of all runs, or of the newest run per source and date, which the folder
+    names tell. `arrival` numbers the articles by date, run and place in the run, `landed` names
+    the run. `only` (source, date) names the partitions to read; the others' folders are skipped, before any
+    line is read. `multi_line` reads files that hold a single indented document each."""
+    if multi_line:
+        rows = bronze_documents(spark, root, source, date, latest)
+    else:
+        runs = folders(spark, root, "source", "date", "run", source=source, date=date)
+        # a whole layer is one path; a choice of runs is a list of them
+        paths = newest(runs, "source", "date") if latest else [r["path"] for r in runs] if source or date else [root]
+        reader = spark.read.schema(T.StructType([*LINE.fields, *PARTITIONS.fields])).option("basePath", root)
+        lines = reader.json(paths) if runs else spark.createDataFrame([], T.StructType([*LINE.fields, *PARTITIONS.fields]))
+        rows = lines.withColumnsRenamed({"source": "source_key", "article_source": "source"})
     if only is not None:
-        files = files.join(only, ["source", "date"], "left_semi")
-    if latest:
-        newest = files.groupBy("source", "date").agg(F.max("run").alias("run"))
-        files = files.join(newest, ["source", "date", "run"], "left_semi")
-    part = F.coalesce(F.col("metadata.part"), F.lit(0))
-    return files.select(
-        F.col("source").alias("source_key"),
-        "date",
-        "run",
-        F.concat_ws("/", "run", "file", F.format_string("%08d", part)).alias("_place"),
-        F.posexplode("articles").alias("pos", "a"),
-    ).select(
-        "source_key", "date", "run", "a.*", F.concat("_place", F.format_string("#%08d", "pos")).alias("arrival")
-    )
+        named = only.select(F.col("source").alias("source_key"), "date")
+        rows = rows.join(named, ["source_key", "date"], "left_semi")
+    landed = F.concat_ws("/", "date", "run", "source_key")
+    place = F.concat_ws("/", "date", "run", F.format_string("%020d", F.col("pos").cast("bigint")))
+    return rows.select("source_key", "date", "run", *rules.RAW_COLUMNS, place.alias("arrival"), landed.alias("landed"))
 
 
 def parquet_layer(spark: SparkSession, root: str, date: str | None = None, source: str | None = None) -> DataFrame:
-    df = spark.read.option("mergeSchema", "true").parquet(root)
-    if date:
-        df = df.where(F.col("date") == date)
-    if source:
-        df = df.where(F.col("source") == source)
-    return df.withColumn("date", F.col("date").cast("string"))
+    """A whole layer, or a date or source of it; only the footers of those are opened."""
+    wanted = {k: v for k, v in (("source", source), ("date", date)) if v}
+    levels = ["source", "date"] if exists_level(spark, root, "source") else ["date"]
+    paths = [r["path"] for r in folders(spark, root, *levels, **wanted)] if wanted else [root]
+    return read_parquet(spark, root, paths)
+
 
+def exists_level(spark: SparkSession, root: str, level: str) -> bool:
+    return bool(folders(spark, root, level))
 
-def newest_run(df: DataFrame, keys: list[str], by_time: bool = False) -> DataFrame:
-    """Rows of the newest run per key, by run (or file) name or by writing time. Which
-    run that is comes from file facts alone, so no data column is read for it."""
-    unit = F.col("run") if "run" in df.columns else F.col("_metadata.file_path")
-    rank = F.col("_metadata.file_modification_time") if by_time else unit
-    tagged = df.withColumns({"_unit": unit, "_rank": rank})
-    newest = tagged.groupBy(*keys).agg(F.max(F.struct("_rank", "_unit")).alias("_n"))
-    newest = newest.select(*keys, F.col("_n._unit").alias("_unit"))
-    return tagged.join(newest, [*keys, "_unit"], "left_semi").select(*df.columns)
+
+def read_parquet(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
+    df = spark.read.option("mergeSchema", "true").option("basePath", root).parquet(*paths)
+    return df.withColumn("date", F.col("date").cast("string"))
 
 
 def silver_latest(spark: SparkSession, root: str, date: str | None = None, source: str | None = None) -> DataFrame:
-    """Newest run of every source and date, sources unioned by column name."""
-    return newest_run(parquet_layer(spark, root, date, source), ["source", "date"])
+    """Newest run of every source and date, sources unioned by column name; Silver columns
+    that none of them has are NULL."""
+    runs = newest(folders(spark, root, "source", "date", "run", source=source, date=date), "source", "date")
+    df = read_parquet(spark, root, runs)
+    return df.withColumns({c: F.lit(None).cast("string") for c in rules.SILVER_COLUMNS if c not in df.columns})
 
 
 def gold_latest(spark: SparkSession, root: str, date: str | None = None, by_time: bool = False) -> DataFrame:
     """Newest run of a date; the latest date when none is given."""
-    df = parquet_layer(spark, root)
-    date = date or df.agg(F.max("date")).first()[0]
-    df = df.where(F.col("date") == date)
-    return newest_run(df, ["date"], by_time)
+    date = date or max(r["date"] for r in folders(spark, root, "date"))
+    return read_parquet(spark, root, newest(folders(spark, root, "date", "run", date=date), "date", by_time=by_time))
 
 
 def available_dates(spark: SparkSession, root: str) -> DataFrame:
-    dates = spark.read.parquet(root).select(F.col("date").cast("string").alias("date"))
-    return dates.distinct().orderBy(F.desc("date"))
+    levels = ["source", "date"] if exists_level(spark, root, "source") else ["date"]
+    dates = sorted({r["date"] for r in folders(spark, root, *levels)}, reverse=True)
+    return spark.createDataFrame([(d,) for d in dates], "date string").orderBy(F.desc("date"))
 
 
 def union_by_name(frames: list[DataFrame]) -> DataFrame:
@@ -133,6 +169,7 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
 
 def partitions(spark: SparkSession, root: str, layer: str) -> DataFrame:
     """(layer, source, date) of a stored layer, from its folders alone."""
-    df = spark.read.parquet(root) if layer != "bronze" else bronze_files(spark, root)
-    src = F.col("source") if layer != "gold" else F.lit(None).cast("string")
-    return df.select(F.lit(layer).alias("layer"), src.alias("source"), F.col("date").cast("date").alias("date")).distinct()
+    levels = ["date"] if layer == "gold" else ["source", "date"]
+    rows = {(layer, r.get("source"), r["date"]) for r in folders(spark, root, *levels)}
+    listed = spark.createDataFrame(sorted(rows, key=str), "layer string, source string, date string")
+    return listed.withColumn("date", F.col("date").cast("date"))

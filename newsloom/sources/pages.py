@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom import rules
-from newsloom.functions.text import strip
+from newsloom.functions.text import decode_entities, strip
 
 DROPPED = "(?is)<(" + "|".join(rules.PAGE_DROP_TAGS) + ")\\b[^>]*>.*?</\\1\\s*>"
-# Named entities pages commonly use; `&amp;` comes last so nothing is decoded twice.
+# Named entities the supplied pages use, for the SQL check; `&amp;` comes last so nothing is decoded twice.
 ENTITIES = [
     ("&nbsp;", "\xa0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
     ("&copy;", "©"), ("&middot;", "·"), ("&laquo;", "«"), ("&raquo;", "»"), ("&rsquo;", "’"), ("&lsquo;", "‘"),
@@ -26,9 +26,7 @@ def markup_to_text(html: Column) -> Column:
     out = F.regexp_replace(html, DROPPED, "")
     out = F.regexp_replace(out, "(?s)<!--.*?-->", "<!>")
     out = F.regexp_replace(out, "(<[^>]+>)+", "\n")
-    for name, char in ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return strip(out)
+    return strip(decode_entities(out))
 
 
 def _tag_inner(html: Column, tag: str) -> Column:

@@ -76,22 +76,24 @@ def upsert_batch(
     run_ts: Column,
     silver_root: str | None = None,
     analytics_root: str | None = None,
-    buckets: int = sink.UPSERT_BUCKETS,
+    analytics_every: int = 1,
 ) -> Callable:
-    """What one micro-batch does: clean the announced articles, store them, refresh the
-    analytic tables. Applying a batch twice leaves the same table: rows are replaced
-    by article id. Give it a Silver root to keep the cleaned files as well."""
+    """What one micro-batch does: clean the announced articles, store them and, every
+    `analytics_every` batches, refresh the analytic tables. Inside a run the first copy of an
+    article counts, across runs the last run's: the stored table is the same wherever batches are cut, in whatever
+    order messages come, and however often. Give it a Silver root to keep the cleaned files as well."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        articles = source.bronze(session, bronze_root, only=announced_partitions(batch))
-        if articles.isEmpty():
+        named = announced_partitions(batch)
+        if named.isEmpty():
             return
-        cleaned = silver_ops.to_silver(articles, run_ts, keep=("arrival",))
+        articles = source.bronze(session, bronze_root, only=named)
+        cleaned = silver_ops.to_silver(articles, run_ts, keep=("landed",), within="landed")
         if silver_root:
-            sink.write_silver(cleaned.drop("arrival"), silver_root, run_ts)
-        sink.upsert_gold(session, gold_root, cleaned, "arrival", buckets)
-        if analytics_root:
+            sink.write_silver(cleaned.drop("landed"), silver_root, run_ts)
+        sink.upsert_gold(session, gold_root, cleaned, "landed")
+        if analytics_root and batch_id % analytics_every == 0:
             sink.refresh_analytics(sink.read_gold_table(session, gold_root), analytics_root, run_ts)
 
     return apply

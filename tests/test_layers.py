@@ -118,9 +118,9 @@ def warehouse_rows(spark):
 def test_upsert_twice_is_upsert_once(spark, tmp_path):
     root = str(tmp_path / "gold")
     for _ in range(2):
-        sink.upsert_gold(spark, root, warehouse_rows(spark), "arrival", buckets=4)
+        sink.upsert_gold(spark, root, warehouse_rows(spark), "arrival")
     changed = warehouse_rows(spark).where("article_id = '2'").withColumn("source", F.lit("new.org"))
-    sink.upsert_gold(spark, root, changed, "arrival", buckets=4)
+    sink.upsert_gold(spark, root, changed, "arrival")
     out = {r["article_id"]: r for r in sink.read_gold_table(spark, root).collect()}
     assert set(out) == {"1", "2", "3"} and out["2"]["source"] == "new.org"
     assert list(rules.GOLD_COLUMNS) == sink.read_gold_table(spark, root).columns
@@ -132,7 +132,7 @@ def test_last_row_of_a_batch_wins(spark, tmp_path):
     twice = warehouse_rows(spark).unionByName(
         warehouse_rows(spark).withColumns({"source": F.lit("late.org"), "arrival": F.concat(F.lit("z"), "arrival")})
     )
-    sink.upsert_gold(spark, root, twice, "arrival", buckets=2)
+    sink.upsert_gold(spark, root, twice, "arrival")
     assert {r["source"] for r in sink.read_gold_table(spark, root).collect()} == {"late.org"}
 
 
@@ -170,17 +170,57 @@ def test_bronze_reads_single_document_files(spark, tmp_path):
     assert source.bronze(spark, str(tmp_path / "absent")).isEmpty()
 
 
-def test_large_source_becomes_many_envelopes(spark, tmp_path):
+def test_bronze_holds_one_article_per_line(spark, tmp_path):
     root = str(tmp_path / "bronze")
-    rows = [article(article_id=str(i)) for i in range(50)]
-    sink.write_bronze(raw_frame(spark, rows), root, run_ts(), rows=10)
-    files = source.bronze_files(spark, root)
-    assert files.count() >= 4 and files.agg(F.max("metadata.article_count")).first()[0] < 25
-    assert source.bronze(spark, root).select("article_id").distinct().count() == 50
+    rows = [article(article_id=str(i), source=f"s{i % 2}") for i in range(50)]
+    sink.write_bronze(raw_frame(spark, rows), root, run_ts())
+    sink.write_envelopes(raw_frame(spark, rows), root, run_ts())
+    assert spark.read.text(root).count() == 50
+    back = source.bronze(spark, root)
+    assert back.select(*rules.RAW_COLUMNS).exceptAll(raw_frame(spark, rows).select(*rules.RAW_COLUMNS)).isEmpty() and back.count() == 50
+    facts = {r["source"]: r["article_count"] for r in spark.read.json(f"{root}-envelopes").collect()}
+    assert facts == {"s0": 25, "s1": 25}
     sink.write_bronze(raw_frame(spark, rows).limit(0), str(tmp_path / "none"), run_ts())
     assert source.bronze(spark, str(tmp_path / "none")).isEmpty()
 
 
+def test_newest_run_is_found_without_reading(spark, tmp_path):
+    root = str(tmp_path / "bronze")
+    for hour, ids in (("08", "ab"), ("20", "c")):
+        sink.write_bronze(raw_frame(spark, [article(article_id=i) for i in ids]), root, F.lit(f"2025-04-26 {hour}:00:00").cast("timestamp"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        runs = source.folders(spark, root, "source", "date", "run")
+        paths = source.newest(runs, "source", "date")
+        assert not tracker.getJobIdsForGroup("listing")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(runs) == 2 and [p[-7:] for p in paths] == ["r200000"]
+    assert [r["article_id"] for r in source.bronze(spark, root, latest=True).collect()] == ["c"]
+
+
+def test_later_dates_arrive_later(spark, tmp_path):
+    root = str(tmp_path / "bronze")
+    for when, ids in (("2025-04-26 20:00:00", "a"), ("2025-04-27 08:00:00", "b")):
+        sink.write_bronze(raw_frame(spark, [article(article_id=i) for i in ids]), root, F.lit(when).cast("timestamp"))
+    assert [r["article_id"] for r in source.bronze(spark, root).orderBy("arrival").collect()] == ["a", "b"]
+
+
+def test_no_article_is_stored_twice(spark, tmp_path):
+    root = str(tmp_path / "gold")
+    rows = warehouse_rows(spark)
+    same_order = rows.unionByName(rows.withColumn("source", F.lit("x"))).withColumn("arrival", F.lit(None).cast("string"))
+    sink.upsert_gold(spark, root, same_order, "arrival")
+    sink.upsert_gold(spark, root, rows.withColumn("arrival", F.lit("b")), "arrival")
+    sink.upsert_gold(spark, root, rows.withColumns({"arrival": F.lit("a"), "source": F.lit("older.org")}), "arrival")
+    for _ in range(2):
+        out = sink.read_gold_table(spark, root).collect()
+        assert sorted(r["article_id"] for r in out) == ["1", "2", "3"] and {r["source"] for r in out} == {"bbc.com", "hespress.com"}
+        sink.compact_gold(spark, root)
+        assert len(source.folders(spark, root, "version")) == 1
+
+
 def test_gate_levels(spark):
     rows = [("good", "OK")] * 6 + [("few", "OK")] * 2 + [("poor", "OK")] * 3 + [("poor", "FAIL")] * 3 + [("both", "FAIL")]
     df = spark.createDataFrame(rows, "source string, quality_status string")

@@ -15,7 +15,9 @@ def con(sf):
 
 def test_registry_is_consistent():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"topic_clusters", "topic_model", "display_probability"}
+    own = {n for n in QUERIES if n == "pipeline" or n.startswith("op")}
+    without_sql = {"topic_clusters", "topic_model"} | (own - set(ORACLES))
+    assert set(QUERIES) - set(ORACLES) == without_sql
 
 
 def test_entry(spark):
@@ -26,6 +28,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, sf, name):
     df = QUERIES[name](spark, sf)
+    if name == "pipeline" or name.startswith("op"):
+        pytest.skip("tested in tests/llm")
     if name in ORACLES:
         assert check.compare(df, con, ORACLES[name]) is None
     else:

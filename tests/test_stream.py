@@ -32,6 +32,25 @@ def test_stream_equals_batch_and_survives_replay(spark, tmp_path):
         assert got.count() == 30 and got.exceptAll(want).isEmpty()
 
 
+def test_stored_table_does_not_depend_on_batch_borders(spark, tmp_path):
+    bronze, topic = str(tmp_path / "bronze"), str(tmp_path / "topic")
+    runs = [("2025-04-26 08:00:00", "first text"), ("2025-04-26 20:00:00", "second text"), ("2025-04-27 06:00:00", "third text")]
+    for n, (when, title) in enumerate(runs):
+        rows = [article(article_id="x", titre=title, source=f"s{n % 2}"), article(article_id="x", titre="copy in the same run", source=f"s{n % 2}"),
+                article(article_id=f"only{n}", source=f"s{n % 2}")]
+        run = F.lit(when).cast("timestamp")
+        sink.write_bronze(raw_frame(spark, rows), bronze, run)
+        counts = raw_frame(spark, rows).groupBy("source").agg(F.count(F.lit(1)).alias("articles_scraped"))
+        sink.emit_events(sink.ingestion_events(counts, bronze, when[:10], run), topic)
+    tables = []
+    for per_batch in (1, 100):
+        table = str(tmp_path / f"table{per_batch}")
+        apply = ingest.upsert_batch(spark, bronze, table, run_ts())
+        ingest.run(ingest.file_events(spark, topic, per_batch), apply, str(tmp_path / f"state{per_batch}")).awaitTermination()
+        tables.append({r["article_id"]: r["titre_clean"] for r in sink.read_gold_table(spark, table).collect()})
+    assert tables[0] == tables[1] and tables[0]["x"] == "third text" and len(tables[0]) == 4
+
+
 def test_empty_batches_do_nothing(spark, tmp_path):
     apply = ingest.upsert_batch(spark, str(tmp_path / "none"), str(tmp_path / "table"), run_ts())
     apply(spark.createDataFrame([], ingest.EVENT), 0)
