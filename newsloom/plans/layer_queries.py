@@ -293,6 +293,34 @@ def html_main_text(spark, sf):
     return pages.main_text(tables.landed_pages(spark, sf), "cnn").select("page_id", "full_text")
 
 
+LONG_LINES = "repeat('A line of the container. ', 5)"
+
+
+@query(
+    "html_nested_containers",
+    f"""SELECT page_id, 'div' AS kind, 'Lead ' || page_id || chr(10) || {LONG_LINES} || chr(10) || 'Tail' AS full_text FROM pages
+        UNION ALL SELECT page_id, 'tag', 'Outer ' || page_id || chr(10) || {LONG_LINES} || chr(10) || 'Rest' FROM pages
+        UNION ALL SELECT page_id, 'blocks', 'One ' || page_id || chr(10) || 'Two' || chr(10) || 'Three' FROM pages
+        UNION ALL SELECT page_id, 'body', 'Only ' || page_id FROM pages""",
+)
+def html_nested_containers(spark, sf):
+    """A page per kind of selector: containers that hold their own kind, and the whole body."""
+    number, lines = F.col("page_id").cast("string"), "A line of the container. " * 5
+    def page(before: str, after: str):
+        return F.concat(F.lit("<html><body>" + before), number, F.lit(after + "</body></html>"))
+
+    kinds = [
+        ("div", "lakom", page("<div class='entry-content'><div>Lead ", f"</div><div><div>{lines}</div></div>Tail</div><div>after</div>")),
+        ("tag", "cnn", page("<article>Outer ", f"<article>{lines}</article>Rest</article><p>after</p>")),
+        ("blocks", "bbc", page('<div data-component="text-block"><div><p>One ', '</p></div><p>Two</p></div><div data-component="text-block"><p>Three</p></div>')),
+        ("body", "hespress", page("Only ", "<nav>menu</nav>")),
+    ]
+    rows = tables.table(spark, sf, "pages").select("page_id")
+    return source.union_by_name(
+        [pages.main_text(rows.withColumn("html", html), key).select("page_id", F.lit(kind).alias("kind"), "full_text") for kind, key, html in kinds]
+    )
+
+
 PAGE_TITLE = page_text("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")
 
 

@@ -71,13 +71,18 @@ STOP_AR = """
 """.split()
 TOPIC_STOP_WORDS = STOP_EN + STOP_FR + STOP_AR
 
-# How the market search differs from the topic list.
-MARKET_EXTRA = """
-it we you he she fait pas tout tous être avoir faire dit mis says new get one
-two
+# Words that no market is searched by.
+MARKET_STOP_WORDS = """
+the of to and in is for on with as by at an be this that from post appeared first also has have
+are was were its which his her they them their but not or so if than because while where when how
+what who why about into over after before between out against during without under more most other
+some such no nor only own same too very can will just should now said would could been much many
+le la les de des un une en que qui pour dans par sur avec plus ou au aux est sont cette cet ces
+son sa ses du dont où quand comment pourquoi depuis pendant après avant sous vers selon comme في
+من على الى عن هذا هذه ان او مع كل تم قد التي الذي بعد بين انه أن إن كان كانت هو هي هناك كما إلى
+حول عند لدى عبر نحو منذ it we you he she fait pas tout tous être avoir faire dit mis says new get
+one two
 """.split()
-MARKET_ABSENT = "quoi الذين تلك ذلك".split()
-MARKET_STOP_WORDS = [w for w in TOPIC_STOP_WORDS if w not in MARKET_ABSENT] + MARKET_EXTRA
 
 # Words dropped from the keyword ranking.
 KEYWORD_STOP_WORDS = """
@@ -147,6 +152,7 @@ RELEVANCE_MAP = {
 }
 
 # -------------------------------------------------------------- entity rules
+# The name of what no rule names, and labels that are no topics.
 DEFAULT_ENTITY = "Actualité Internationale"
 SENTINEL_LABELS = ("non-modelise", "hors-sujet", "non-classe")
 # Fixed values: (entity, substrings), first rule that matches wins.

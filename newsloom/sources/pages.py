@@ -34,66 +34,87 @@ def _tag_inner(html: Column, tag: str) -> Column:
     return F.nullif(found, F.lit(""))
 
 
-def _div_pattern(selector: str) -> str:
-    """Opening tag of `div.class` or `div#id`."""
-    kind, name = ("class", selector[4:]) if selector[3] == "." else ("id", selector[4:])
-    return f"""(?is)<div\\b[^>]*\\b{kind}\\s*=\\s*["'](?:[^"']*\\s)?{re.escape(name)}(?:\\s[^"']*)?["'][^>]*>"""
+def opening(selector: str) -> str:
+    """Pattern of the opening tag of `tag`, `div.class`, `div#id` or `div[attribute=value]`."""
+    tag, kind, name = re.fullmatch(r"(\w+)(?:([.#\[])(.+?)\]?)?", selector).groups()
+    if kind is None:
+        return rf"<{tag}\b[^>]*>"
+    if kind == "[":
+        attribute, value = name.split("=")
+        return rf"""<{tag}\b[^>]*\b{attribute}\s*=\s*["']{re.escape(value)}["'][^>]*>"""
+    attribute = "class" if kind == "." else "id"
+    return rf"""<{tag}\b[^>]*\b{attribute}\s*=\s*["'](?:[^"']*\s)?{re.escape(name)}(?:\s[^"']*)?["'][^>]*>"""
 
 
-def _div_inner(html: Column, selector: str) -> Column:
-    """Divs nest, which no regular expression can follow, so the pages that hold such
-    a container (and only those; others travel as NULL) are cut in Arrow batches. The
-    function carries all it needs: executors need not have this package installed."""
-    pattern = _div_pattern(selector)
+TEXT_BLOCK = "div[data-component=text-block]"
 
-    def inside(page: str) -> str | None:
-        """Inside of the first matching <div>, up to its own closing tag."""
+
+def containers(html: Column, selectors: list[str]) -> Column:
+    """What is inside the first container of each selector (all containers of TEXT_BLOCK, a
+    line each), up to its own end tag. Containers nest, which no regular expression can follow, so the
+    pages where that matters (and only those; others travel as NULL) are cut in Arrow batches, once for
+    all selectors. The function carries all it needs: executors need not have this package installed."""
+    patterns = [(opening(s), re.match(r"\w+", s)[0], s == TEXT_BLOCK) for s in selectors]
+
+    def inside(page: str) -> list[str | None]:
         import re
 
-        start = re.search(pattern, page)
-        if not start:
-            return None
-        depth = 1
-        for tag in re.compile(r"<(/?)div\b[^>]*>", re.IGNORECASE).finditer(page, start.end()):
-            depth += -1 if tag.group(1) else 1
-            if depth == 0:
-                return page[start.end():tag.start()]
-        return page[start.end():]
-
-    @F.pandas_udf("string")
+        out: list[str | None] = []
+        for pattern, tag, every in patterns:
+            parts, at = [], 0
+            while start := re.compile(pattern, re.I | re.S).search(page, at):
+                depth, end, at = 1, len(page), len(page)
+                for found in re.compile(rf"<(/?){tag}\b[^>]*>", re.I).finditer(page, start.end()):
+                    depth += -1 if found.group(1) else 1
+                    if depth == 0:
+                        end, at = found.start(), found.end()
+                        break
+                parts.append(page[start.end():end])
+                if not every:
+                    break
+            out.append("\n".join(parts) if parts else None)
+        return out
+
+    @F.pandas_udf("array<string>")
     def cut(pages: pd.Series) -> pd.Series:
         return pages.map(inside, na_action="ignore")
 
-    return cut(F.when(html.rlike(pattern), html))
-
-
-def selected(html: Column, selector: str) -> Column:
-    inner = _div_inner(html, selector) if selector.startswith("div") else _tag_inner(html, selector)
-    body = markup_to_text(inner)
-    return F.when(F.length(body) > rules.MIN_PAGE_TEXT, body)
+    plain = [s for s in selectors if s.isalnum()]
+    nested = [F.regexp_count(html, F.lit(f"(?i)<{s}\\b")) > 1 for s in plain]
+    wanted = [html.rlike(f"(?is){opening(s)}") for s in selectors if not s.isalnum()]
+    needed = F.lit(False)
+    for n in [*nested, *wanted]:
+        needed = needed | n
+    return cut(F.when(needed, html))
 
 
-def text_blocks(html: Column) -> Column:
-    """Paragraphs of `data-component="text-block"` divs, one per line."""
-    blocks = F.regexp_extract_all(
-        html, F.lit("(?is)<div\\b[^>]*data-component=[\"']text-block[\"'][^>]*>(.*?)</div\\s*>"), F.lit(1)
-    )
-    joined = F.array_join(blocks, "\n")
-    paragraphs = F.regexp_extract_all(joined, F.lit("(?is)<p\\b[^>]*>(.*?)</p\\s*>"), F.lit(1))
-    plain = F.transform(paragraphs, lambda p: strip(F.regexp_replace(p, "<[^>]+>", "")))
-    return F.when(F.size(plain) > 0, F.array_join(plain, "\n"))
+def paragraphs(html: Column) -> Column:
+    """The paragraphs inside, one per line."""
+    found = F.regexp_extract_all(html, F.lit("(?is)<p\\b[^>]*>(.*?)</p\\s*>"), F.lit(1))
+    plain = F.transform(found, lambda p: strip(F.regexp_replace(p, "<[^>]+>", "")))
+    return F.when(F.size(plain) > 0, decode_entities(F.array_join(plain, "\n")))
 
 
 def main_text(pages: DataFrame, source_key: str, html: str = "html", out: str = "full_text") -> DataFrame:
     """Text of the first container, in the source's order, that holds more than 100
-    characters; Moroccan sources fall back to the whole body, others to NULL."""
-    page = F.col(html)
-    tries = [selected(page, s) for s in rules.PAGE_SELECTORS[source_key]]
+    characters; Moroccan sources fall back to the whole body (less the blocks that are dropped everywhere), others to NULL."""
+    page, selectors = F.col(html), list(rules.PAGE_SELECTORS[source_key])
     if source_key == "bbc":
-        tries.insert(0, text_blocks(page))
+        selectors.insert(0, TEXT_BLOCK)
+    cut = pages.withColumn("_cut", containers(page, selectors))
+    tries = []
+    for i, s in enumerate(selectors):
+        inner = F.get("_cut", F.lit(i))
+        if s == TEXT_BLOCK:
+            tries.append(paragraphs(inner))
+            continue
+        if s.isalnum():  # where it can't nest, no page needs to leave the JVM
+            inner = F.when(F.col("_cut").isNull(), _tag_inner(page, s)).otherwise(inner)
+        body = markup_to_text(inner)
+        tries.append(F.when(F.length(body) > rules.MIN_PAGE_TEXT, body))
     if source_key in rules.MOROCCAN_SOURCES:
         tries.append(markup_to_text(_tag_inner(page, "body")))
-    return pages.withColumn(out, F.coalesce(*tries))
+    return cut.withColumn(out, F.coalesce(*tries)).drop("_cut")
 
 
 def page_title(html: Column) -> Column:

@@ -37,16 +37,16 @@ LONG_EN = (
 def article(**over):
     base = {
         "article_id": "a1",
-        "titre": "Le Maroc annonce une reforme",
-        "url": "https://www.hespress.com/2025/04/26/reforme",
+        "titre": "Un port ouvre ses quais de nuit",
+        "url": "https://news.example.org/port-quais",
         "source": "hespress.com",
         "langue": "fr",
         "date_publication": "2025-04-26T10:00:00",
         "contenu": f"<p>{LONG_FR}</p>",
         "pays": "MA",
         "raw_source": "hespress_rss",
-        "auteur": "Ahmed B.",
-        "categorie": "Economie",
+        "auteur": "A. Writer",
+        "categorie": "Ports",
         "ingested_at": "2025-04-26T11:00:00",
         "arrival": "0001",
     }
