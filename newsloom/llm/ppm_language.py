@@ -25,8 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsloom.llm.common import Shared, crc_of_id, ship
-from newsloom.operators.skew import top_n_per_key
+from newsloom.llm.common import Shared, bounded_sample, crc_of_id, ship
 
 ship(__name__)
 
@@ -203,8 +202,8 @@ def learn(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     if held_out is not None:
         usable = usable.where(F.col("fold") != held_out)
     order = usable.withColumn("h", F.xxhash64("text"))
-    chosen = top_n_per_key(order.select("lang", "h").distinct(), ["lang"], [F.col("h")], rows)
-    sample = order.join(chosen.select("lang", "h"), ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text"))
+    chosen = bounded_sample(order.select("lang", "h").distinct(), "lang", "h", rows)  # `rows` hashes per language at most
+    sample = order.join(F.broadcast(chosen.select("lang", "h")), ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text"))
     texts: dict[str, list[str]] = {}
     for r in sample.collect():  # at most `rows` texts of `most_bytes` per language
         texts.setdefault(r.lang, []).append(r.text)
