@@ -12,8 +12,8 @@ T-occurrence search over inverted lists, done as DivideSkip does it.
    reached or out of reach.
 
 Links are sought in two rounds, so that a group of near copies does not become all its pairs. First every
-member of a list is compared with the list's smallest member of a fitting size only, and what is linked becomes
-components. Then all pairs of a list that are still in different components are compared. After that no pair that meets is left, so
+member of a list is compared only with the list's smallest member of a fitting size, with its neighbour in size and with the member that has least of its own, and what is
+linked becomes components. Then all pairs of a list that are still in different components are compared. After that no pair that meets is left, so
 the components are those of all links.
 
 Words: A-Z lower-cased, split at ASCII white space. With fewer words than a shingle, the
@@ -169,8 +169,8 @@ def by_list(batches, work):
 
 
 def merge_lists(rows: DataFrame, percent: int) -> DataFrame:
-    """Lists of several nodes. Kind 1: meetings of a member with the first member of fitting size; kind 0: the
-    members of lists of three or more, for the second round."""
+    """Lists of several nodes. Kind 1: meetings of a member with the first member of fitting size, with the
+    member before it, and with the one where the shingle comes first (of near copies the one least changed); kind 0: the members of lists of three or more, for the second round."""
 
     def work(columns):
         import pyarrow as pa
@@ -197,13 +197,21 @@ def merge_lists(rows: DataFrame, percent: int) -> DataFrame:
             heads = at[lead]
             pivot[at] = heads[np.cumsum(lead) - 1]
         own = np.arange(len(token))
-        a, b = n[pivot].astype("i8"), n.astype("i8")
-        need = required(a, b, percent)
-        meets = (pivot != own) & (a - pos[pivot] >= need) & (b - pos >= need)
-        listed = size >= 3
-        kind = np.concatenate([np.zeros(listed.sum(), "i4"), np.ones(meets.sum(), "i4")])
-        pick = np.concatenate([np.flatnonzero(listed), np.flatnonzero(meets)])
-        two = np.concatenate([np.flatnonzero(listed), pivot[meets]])
+        before = np.where(np.isin(own, starts), own, own - 1)
+        ends = np.append(starts[1:], len(token))
+        by_place = np.lexsort((pos, np.repeat(np.arange(len(starts)), ends - starts)))
+        hub = np.repeat(by_place[starts], ends - starts)
+        listed = np.flatnonzero(size >= 3)
+        pick, two = [listed], [listed]
+        for other in (pivot, before, hub):
+            a, b = n[other].astype("i8"), n.astype("i8")
+            need = required(a, b, percent)
+            fits = percent * np.maximum(a, b) <= 100 * np.minimum(a, b)
+            meets = (other != own) & fits & (a - pos[other] >= need) & (b - pos >= need)
+            pick.append(np.flatnonzero(meets))
+            two.append(other[meets])
+        kind = np.repeat(np.array([0, 1, 1, 1], "i4"), [len(p) for p in pick])
+        pick, two = np.concatenate(pick), np.concatenate(two)
         yield pa.RecordBatch.from_arrays(
             [pa.array(c) for c in (kind, token[pick], node[pick], n[pick], pos[pick], node[two], n[two])],
             names=["kind", "token", "node", "n", "pos", "node2", "n2"],
@@ -243,48 +251,54 @@ def rest_of_lists(listed: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(lambda batches: by_list(batches, work), "a long, na int, b long, nb int")
 
 
+def bitmap(hashes: DataFrame, column: str) -> bytes:
+    """A bit for each of CANDIDATE_BITS remainders of a non-negative hash."""
+    spot = F.col(column).bitwiseAND(F.lit(CANDIDATE_BITS - 1))
+    chunks = hashes.select(spot.alias("s")).groupBy(F.shiftright("s", 15).alias("chunk")).agg(
+        F.bitmap_construct_agg(F.col("s").bitwiseAND(F.lit(32767))).alias("bits")
+    )
+    out = bytearray(CANDIDATE_BITS // 8)
+    for r in chunks.collect():  # at most CANDIDATE_BITS bits together
+        out[r.chunk * 4096 : r.chunk * 4096 + len(r.bits)] = r.bits
+    return bytes(out)
+
+
 def candidate_sets(docs: DataFrame, nodes: DataFrame, profiled: DataFrame, id_column: str, text_column: str, size: int) -> DataFrame:
-    """(node, n, hashes) of the listed nodes. Texts are read again; a bit per hash of an id lets only rows through
-    that may belong to them, and one document of each node is made a set."""
-    ids = nodes.join(profiled, ["node", "n"]).groupBy("node", "n").agg(F.min("id").alias("id"), F.max(F.col("id").isNull()).alias("no_id"))
-    ids = stored(ids, "candidate-ids")
-    spot = F.pmod(F.xxhash64(F.coalesce("id", F.lit(-1))), F.lit(CANDIDATE_BITS))
-    by_byte = ids.select(spot.alias("s")).groupBy(F.shiftright("s", 15).alias("chunk")).agg(F.bitmap_construct_agg(F.col("s").bitwiseAND(F.lit(32767))).alias("bits"))
-    filter_ = bytearray(CANDIDATE_BITS // 8)
-    for r in by_byte.collect():  # at most CANDIDATE_BITS bits together
-        filter_[r.chunk * 4096 : r.chunk * 4096 + len(r.bits)] = r.bits
-    shared = Shared(docs.sparkSession, bytes(filter_))
+    """(node, n, hashes) for all of the listed nodes, and a few more. Texts are read again: a bit per hash of
+    an id lets only rows through that may be the document a node is taken from, a bit per node only sets that may
+    be wanted. Both tables are of fixed size; where they fill up, more sets pass, which does no harm."""
+    ids = nodes.join(profiled, ["node", "n"]).groupBy("node", "n").agg(F.min("id").alias("id"))
+    spot = F.xxhash64(F.coalesce("id", F.lit(-1)))
+    marks = stored(ids.select(spot.alias("id"), "node"), "candidates")
+    shared = Shared(docs.sparkSession, (bitmap(marks, "id"), bitmap(marks, "node")))
 
     def task(batches):
         import pyarrow as pa
 
-        bits, words, seen, held = np.frombuffer(shared.get(), "u1"), Words(), set(), []
-        names = ["id", "node", "n", "hashes"]
+        by_id, by_node = (np.frombuffer(b, "u1") for b in shared.get())
+        words, seen, held, names = Words(), set(), [], ["node", "n", "hashes"]
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), (pa.int64(), pa.int32(), pa.binary()))], names=names)
 
         for batch in batches:
-            spots = batch.column(2).to_numpy()
-            may = np.flatnonzero((bits[spots >> 3] >> (spots & 7).astype("u1")) & 1)
-            some = batch.take(pa.array(may))
-            for doc, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+            spots = batch.column(1).to_numpy() & (CANDIDATE_BITS - 1)
+            may = np.flatnonzero((by_id[spots >> 3] >> (spots & 7).astype("u1")) & 1)
+            for text in batch.column(0).take(pa.array(may)).to_pylist():
                 own = shingles(words, text, size)
                 node = node_of(own)
-                if len(own) and (doc, node) not in seen:
-                    seen.add((doc, node))
-                    held.append((doc, node, len(own), own.tobytes()))
+                bit = node & (CANDIDATE_BITS - 1)
+                if len(own) and node not in seen and by_node[bit >> 3] >> (bit & 7) & 1:
+                    seen.add(node)
+                    held.append((node, len(own), own.tobytes()))
                 if len(held) >= 500:
                     yield out()
                     held = []
         if held:
             yield out()
 
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column))
-    found = rows.withColumn("s", spot).mapInArrow(task, "id long, node long, n int, hashes binary")
-    wanted = ids.select(F.col("id").alias("i"), F.col("node").alias("m"), F.col("n").alias("k"))
-    kept = found.join(wanted, F.col("id").eqNullSafe(F.col("i")) & (F.col("node") == F.col("m")) & (F.col("n") == F.col("k")), "left_semi")
-    return stored(kept.groupBy("node", "n").agg(F.first("hashes").alias("hashes")), "candidate-sets")
+    rows = docs.select(F.col(text_column), F.xxhash64(F.coalesce(F.col(id_column).cast("long"), F.lit(-1))))
+    return stored(rows.mapInArrow(task, "node long, n int, hashes binary"), "candidate-sets")
 
 
 def overlap_reaches(small: np.ndarray, large: np.ndarray, need: int) -> bool:
@@ -329,9 +343,13 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     first = met.where("kind = 1").select(F.least("node", "node2").alias("a"), F.when(F.col("node") <= F.col("node2"), F.col("n")).otherwise(F.col("n2")).alias("na"),
                                          F.greatest("node", "node2").alias("b"), F.when(F.col("node") <= F.col("node2"), F.col("n2")).otherwise(F.col("n")).alias("nb"))
     first = stored(first.distinct(), "first-pairs")
-    nodes = met.select("node", "n").union(met.where("kind = 1").select("node2", "n2")).distinct()
-    sets = candidate_sets(docs, nodes, rows.where("n > 0"), id_column, text_column, size)
-    links = stored(linked(first, sets, percent), "first-links")
+    def checked(pairs: DataFrame, label: str) -> DataFrame:
+        """The pairs that link; only sets of nodes in pairs are made."""
+        nodes = pairs.select(F.col("a").alias("node"), F.col("na").alias("n")).union(pairs.select("b", "nb")).distinct()
+        sets = candidate_sets(docs, nodes, rows.where("n > 0"), id_column, text_column, size)
+        return stored(linked(pairs, sets, percent), label)
+
+    links = checked(first, "first-links")
     labels = components(links)
     labelled = met.where("kind = 0").select("token", "node", "n", "pos").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_ = labelled.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
@@ -339,8 +357,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     ordered = rest.select(F.least("a", "b").alias("a"), F.when(F.col("a") <= F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
                           F.greatest("a", "b").alias("b"), F.when(F.col("a") <= F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"))
     second = stored(ordered.distinct().join(first, ["a", "na", "b", "nb"], "left_anti"), "second-pairs")
-    more = stored(linked(second, sets, percent), "second-links")
-    labels = components(links.union(more))
+    if not second.isEmpty():
+        labels = components(links.union(checked(second, "second-links")))
     smallest = rows.where("n > 0").groupBy("node", "n").agg(F.min("id").alias("least"))
     joined = smallest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     groups = stored(joined, "node-labels")
