@@ -5,7 +5,6 @@ import random
 from pyspark.sql import functions as F
 
 from newsloom.operators import markets
-from newsloom.operators import skew
 from newsloom.sources import tables
 
 EVENT = "event_pos long, title string"
@@ -34,7 +33,7 @@ def test_match_equals_brute_force(spark):
     rng = random.Random(11)
     events = [(i, " ".join(words(rng, 6)) + ("\n" if i % 5 == 0 else " ") + words(rng, 1)[0]) for i in range(30)]
     searches = [(f"s{i}", list(dict.fromkeys(words(rng, rng.randint(0, 5))))) for i in range(300)]
-    ev = spark.createDataFrame(events, EVENT)
+    ev = spark.createDataFrame(events, EVENT).withColumns({"active": F.lit(True), "closed": F.lit(False)})
     se = spark.createDataFrame(searches, "id string, terms array<string>")
     for floor in (0.5, 2.0):
         got = {r["id"]: (r["score"], r["event_pos"]) for r in markets.best_events(se, "id", "terms", ev, floor).collect()}
@@ -142,4 +141,4 @@ def test_index_grows_in_line_with_titles(spark):
         title = " ".join(f"word{i:04d}" for i in range(n))
         places, grams = markets.title_index(spark.createDataFrame([(1, title)], "event_pos long, title string"))
         sizes.append(places.count() + grams.count())
-    assert sizes[1] <= 10 * sizes[0]
+    assert sizes[1] <= 11 * sizes[0]  # squared growth would be 100 times
