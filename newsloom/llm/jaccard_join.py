@@ -222,12 +222,14 @@ def merge_lists(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def rest_of_lists(listed: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, na, b, nb) of lists whose members are still in different components."""
+    """Pairs (a, na, b, nb) of lists whose members are still in different components. Lists with the same
+    first member go to one task, which remembers pairs (a bounded number of them) so as not to send them again."""
+    seen: set[tuple[int, int]] = set()
 
     def work(columns):
         import pyarrow as pa
 
-        token, node, n, pos, label = columns
+        token, node, n, pos, label, _ = columns
         starts = np.append(np.flatnonzero(np.append(True, token[1:] != token[:-1])), len(token))
         held: list[tuple] = []
         rows = 0
@@ -238,6 +240,11 @@ def rest_of_lists(listed: DataFrame, percent: int) -> DataFrame:
                 j = j[label[s + j] != label[s + i]]
                 need = required(size[i], size[j], percent)
                 j = j[(size[i] - place[i] >= need) & (size[j] - place[j] >= need)]
+                first = int(node[s + i])
+                j = np.array([k for k in j.tolist() if (first, int(node[s + k])) not in seen], "i8")
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+                seen.update((first, int(x)) for x in node[s + j])
                 if len(j):
                     held.append((np.full(len(j), node[s + i]), np.full(len(j), n[s + i]), node[s + j], n[s + j]))
                     rows += len(j)
@@ -247,7 +254,9 @@ def rest_of_lists(listed: DataFrame, percent: int) -> DataFrame:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=["a", "na", "b", "nb"])
 
-    dealt = listed.repartition("token").sortWithinPartitions("token", "n", "node")
+    heads = listed.groupBy("token").agg(F.min(F.struct("n", "node"))["node"].alias("head"))
+    routed = listed.join(heads, "token").select("token", "node", "n", "pos", "label", "head")
+    dealt = routed.repartition("head").sortWithinPartitions("token", "n", "node")
     return dealt.mapInArrow(lambda batches: by_list(batches, work), "a long, na int, b long, nb int")
 
 
