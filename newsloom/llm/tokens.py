@@ -4,7 +4,8 @@ Byte-level BPE first cuts a text by a pattern and then encodes each cut alone. A
 falls before a single blank between two characters that are not white space, so the parts of
 such a split have the ids alone that they have in the whole text; and letters, sentence marks
 and line ends are cut from each other. Parts and words repeat: their ids are remembered in
-dictionaries of bounded size, and only new ones reach the library."""
+dictionaries of bounded size, and only new ones reach the library. A text that holds an added token's
+content (`<|endoftext|>`), which the library finds before it cuts, goes to it whole."""
 
 from __future__ import annotations
 
@@ -60,7 +61,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.model = self.tokenizer.model
         self.characters = byte_characters()
         self.blank = self.characters[32]
@@ -113,6 +115,8 @@ class Encoder:
         """Null counts as empty: only the end id."""
         if not text:
             return self.end
+        if self.added and self.added.search(text):
+            return self._library(text) + self.end
         parts = text.split(" ")
         get = self.parts.__getitem__
         try:

@@ -31,6 +31,16 @@ def test_ids_are_the_librarys(sf):
         assert np.frombuffer(encoder.encode(t), "<u4").tolist() == expected(encoder, t) + [0], repr(t)
 
 
+def test_added_tokens_are_the_librarys_by_default():
+    from tokenizers import Tokenizer
+
+    library, encoder = Tokenizer.from_file(default_vocabulary()), Encoder(default_vocabulary())
+    assert np.frombuffer(encoder.encode("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275, 0]
+    texts = ["<|endoftext|>", "<|endoftext|><|endoftext|>", "a<|endoftext|>b", "a  <|endoftext|>\n b c", "w " * 9000 + "<|endoftext|>", "<|endoftext|", "<| endoftext |> x"]
+    for t in texts + [t for t in ODD if t]:
+        assert np.frombuffer(encoder.encode(t), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids + [0], repr(t)
+
+
 def test_blocks_round_trip():
     rng = np.random.default_rng(1)
     for n in (1, 2, 1023, 1024, 1025, 5000):
