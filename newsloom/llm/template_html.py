@@ -2,13 +2,14 @@
 
 Every block element's subtree (tag, class, text, subtrees below) is hashed; Spark counts per host on how
 many different pages a hash occurs, pages with the same text counting once. A subtree that recurs on at least
-`LEAST_PAGES` of them and on `SHARE` of the host's is template and deleted, but paragraphs and headings
+`LEAST_PAGES` of them, however many pages the host has, is template and deleted, but paragraphs and headings
 inside an article are its own text however often they recur. Elements that can't be
 article text on any site (scripts, forms, navigation, adverts, reader comments, ...) go by tag and class. The text is what the
 article elements hold; without them, the main element; without that, the body.
 
-What travels per host is the list of its templates; as each of them is on `SHARE` of the
-pages, there are at most 1 / `SHARE` times as many as a page has elements.
+A page gets only those templates that occur on it: its subtrees, as rows, meet the host's templates, and what
+is found goes back to the page by a key of host and content. No list grows with a host. Subtrees of very many
+pages meet their template by broadcast (`skew.join_per_key`), so a host with a third of the pages is no task's work alone.
 
 Character references are decoded, white space inside a block becomes one blank, blocks are joined by two line ends.
 A line break (`br`) is white space. Null and empty pages give an empty text; tags cut off at the end of a page
@@ -21,17 +22,18 @@ import re
 from hashlib import blake2b
 from html import unescape
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.llm.common import ship, stored
 from newsloom.llm.url_filter import host_and_path
+from newsloom.operators.skew import join_per_key
 
 ship(__name__)
 
 LEAST_PAGES = 4
-SHARE = 0.1
+MANY_COPIES = 100  # equal pages from which the join knows them even without templates, to spread them
 PIECE = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|<[a-zA-Z/][^<]*\Z|[^<]+|<""", re.S)
 NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 RAW = {"script", "style", "noscript", "template", "title", "textarea", "iframe", "svg", "math", "object", "canvas", "select", "xmp"}
@@ -178,45 +180,76 @@ def text_of(html: str | None, templates: frozenset[int] | None = None) -> str:
     return "\n\n".join(walk(html or "", templates)[0])
 
 
+def content_key(url: Column, html: Column) -> Column:
+    """16 bytes by which pages of equal host and html share one list of templates."""
+    host, _ = host_and_path(url)
+    return F.unhex(F.md5(F.concat(F.coalesce(host, F.lit("")).cast("binary"), F.lit("\n").cast("binary"), html.cast("binary"))))
+
+
 def subtrees(pages: DataFrame, url_column: str, html_column: str) -> DataFrame:
-    """Per page its host, a hash of its text and the hashes of its subtrees."""
+    """Per page its key, its host, a hash of its text and the hashes of its subtrees."""
 
     def task(batches):
         import pyarrow as pa
 
-        schema = pa.schema([("host", pa.string()), ("page", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+        schema = pa.schema([("key", pa.binary()), ("host", pa.string()), ("page", pa.int64()), ("hashes", pa.list_(pa.int64()))])
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 some, rows = batch.slice(k, 512), []
-                for host, html in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                for key, host, html in zip(*(c.to_pylist() for c in some.columns)):
                     blocks, hashes = walk(html or "")
                     own = int.from_bytes(blake2b("\n".join(blocks).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
-                    rows.append((host, own, sorted(set(hashes))))
+                    rows.append((key, host, own, sorted(set(hashes))))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    host, _ = host_and_path(F.col(url_column))
-    return pages.select(host, F.col(html_column)).mapInArrow(task, "host string, page long, hashes array<long>")
+    html = F.col(html_column)
+    rows = pages.where(html.isNotNull()).select(content_key(F.col(url_column), html), host_and_path(F.col(url_column))[0], html)
+    return rows.mapInArrow(task, "key binary, host string, page long, hashes array<long>")
 
 
-def templates(pages: DataFrame, url_column: str = "url", html_column: str = "html", least: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
-    """Per host the hashes of its templates."""
+def templates(pages: DataFrame, url_column: str = "url", html_column: str = "html", least: int = LEAST_PAGES) -> DataFrame:
+    """(key, templates, n): the templates that occur on the pages of a key, and the number of such pages. Keys
+    of few pages without a template are left out."""
     found = stored(subtrees(pages, url_column, html_column), "subtrees")
-    pages_of = found.groupBy("host").agg(F.count_distinct("page").alias("n_pages"))
-    counted = found.select("host", "page", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count_distinct("page").alias("n"))
-    many = counted.where(F.col("n") >= least).join(pages_of, "host").where(F.col("n") >= share * F.col("n_pages"))
-    return many.groupBy("host").agg(F.array_sort(F.collect_list("hash")).alias("templates"))
+    subtree = F.when(F.col("hash").isNotNull(), F.struct("host", "hash"))
+    rows = found.select("key", "page", "host", F.posexplode_outer("hashes").alias("nth", "hash")).withColumn("subtree", subtree)
+    counted = rows.where("hash IS NOT NULL").groupBy("subtree").agg(F.count_distinct("page").alias("n"), F.count(F.lit(1)).alias("n_rows"))
+    # subtrees of many rows that are no templates stay listed: the join must know a key to spread its rows
+    per_subtree = stored(counted.where(F.col("n_rows") >= least), "templates")
+    met = join_per_key(rows.select("key", "nth", "hash", "subtree"), per_subtree, "subtree", "n_rows", "key")
+    first = F.coalesce("nth", F.lit(0)) == 0
+    lists = met.groupBy("key").agg(F.array_sort(F.collect_set(F.when(F.col("n") >= least, F.col("hash")))).alias("templates"), F.count_if(first).alias("n"))
+    return lists.where((F.size("templates") > 0) | (F.col("n") >= MANY_COPIES))
+
+
+def packed(keyed: DataFrame) -> DataFrame:
+    """The rows with deflated pages, as the join may have to move them."""
+
+    def task(batches):
+        import zlib
 
+        import pyarrow as pa
+
+        for batch in batches:
+            at = batch.schema.names.index("__html")
+            small = [None if h is None else zlib.compress(h.encode(), 1) for h in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(small, pa.binary()), *batch.columns[at + 1 :]], names=batch.schema.names)
 
-def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html",
-            least: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
+    schema = T.StructType([T.StructField("__html", T.BinaryType()) if f.name == "__html" else f for f in keyed.schema])
+    return keyed.mapInArrow(task, schema)
+
+
+def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", least: int = LEAST_PAGES) -> DataFrame:
     """page_id, url and the main text of every row."""
-    known = stored(templates(pages, url_column, html_column, least, share), "templates").withColumnRenamed("host", "__host")
+    known = stored(templates(pages, url_column, html_column, least), "page-templates").withColumnRenamed("key", "__key")
     rows = pages.select(F.col(id_column).alias("page_id"), F.col(url_column).alias("url"), F.col(html_column).alias("__html"))
-    host, _ = host_and_path(F.col("url"))
-    joined = rows.join(known, host == F.col("__host"), "left").select("page_id", "url", "__html", "templates")
+    keyed = rows.withColumn("__key", content_key(F.col("url"), F.col("__html"))).withColumn("__row", F.monotonically_increasing_id())
+    joined = join_per_key(packed(keyed), known, "__key", "n", "__row").select("page_id", "url", "__html", "templates")
     schema = T.StructType([joined.schema["page_id"], joined.schema["url"]]).add("text", "string")
 
     def task(batches):
+        import zlib
+
         import pyarrow as pa
 
         for batch in batches:
@@ -227,7 +260,7 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
                     key = listed.values.to_numpy().tobytes() if listed.is_valid else b""
                     if key not in sets:
                         sets[key] = frozenset(listed.as_py() or ())
-                    texts.append(text_of(html, sets[key]))
+                    texts.append(text_of(zlib.decompress(html).decode() if html else None, sets[key]))
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     return joined.mapInArrow(task, schema).withColumn("n_chars", F.length("text").cast("long"))

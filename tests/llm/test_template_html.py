@@ -51,5 +51,18 @@ def test_templates_go_by_host(spark):
     assert text[40] == "no url" and text[41] == "" and text[None] == "alone"
 
 
+def test_templates_do_not_depend_on_the_size_of_the_host(spark):
+    page = lambda i, block: (i, "http://big.example.org/" + str(i), f"<body>{block}<div><p>Story {i} begins.</p><p>And ends {i}.</p></div></body>")
+    rows = [page(i, f"<div><ul><li>Section {i // 5}</li></ul></div>") for i in range(200)]  # each on 5 of 200 pages, a 40th
+    rows += [page(i, f"<div><p>Only on three {(i - 200) // 3}</p></div>") for i in range(200, 206)]
+    rows += [(1000 + i, "http://big.example.org/same", "no block") for i in range(300)]
+    text = {r.page_id: r.text for r in op.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()}
+    assert len(text) == len(rows) and {text[1000 + i] for i in range(300)} == {"no block"}
+    for i in range(200):
+        assert text[i] == f"Story {i} begins.\n\nAnd ends {i}."
+    for i in range(200, 206):
+        assert text[i] == f"Only on three {(i - 200) // 3}\n\nStory {i} begins.\n\nAnd ends {i}."
+
+
 def test_empty_table(spark):
     assert op.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
