@@ -13,7 +13,8 @@ pages meet their template by broadcast (`skew.join_per_key`), so a host with a t
 
 Character references are decoded, white space inside a block becomes one blank, blocks are joined by two line ends.
 A line break (`br`) is white space. Null and empty pages give an empty text; tags cut off at the end of a page
-are dropped, open ones closed. Pages without a host share one group. Rows are kept one by one, so repeated rows and null
+are dropped, open ones closed. An element that only its class or id marks as noise stays if it holds an article or main
+element that is not noise itself; has-, no-, with- and without- words of a class describe the page and mark nothing. Pages without a host share one group. Rows are kept one by one, so repeated rows and null
 ids stay; other columns are not read."""
 
 from __future__ import annotations
@@ -55,35 +56,52 @@ NOISE = re.compile(
     r"login|search|pagination|pager|skip|complementary|contentinfo|dialog)(?:$|[\s_-])",
     re.I,
 )
+MODIFIED = re.compile(r"(?:^|(?<=[\s_-]))(?:has|no|with|without)[_-]\S*", re.I)
 HEADER = re.compile(r"(?:^|[\s_-])(header|site-header|page-header)(?:$|[\s_-])", re.I)
 
 
-def noise(tag: str, rest: str, inside: int) -> tuple[bool, str]:
-    """Whether an element is none of the article's text, and its class."""
+SURE, LIKELY = 2, 1  # noise by tag, role or hidden; by class or id
+
+
+def noise(tag: str, rest: str, inside: int) -> tuple[int, str]:
+    """Whether an element is none of the article's text (0 if it may be), and its class."""
     if tag in DROPPED or (tag == "header" and not inside):
-        return True, ""
+        return SURE, ""
     if not rest or rest.isspace():
-        return False, ""
-    kind = ""
+        return 0, ""
+    kind, noisy = "", 0
     for name, value in NAMES.findall(rest):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True, ""
+            return SURE, ""
         if name == "class":
             kind = value
         if tag not in ("body", "html", "article", "main") or name == "class" and tag == "article":
-            if NOISE.search(value) or (not inside and HEADER.search(value)):
-                return True, ""
-    return False, kind
+            named = MODIFIED.sub("", value)
+            if NOISE.search(named) or (not inside and HEADER.search(named)):
+                if name == "role":
+                    return SURE, ""
+                noisy = LIKELY
+    return noisy, kind
 
 
 def walk(html: str, templates: frozenset[int] | None = None) -> tuple[list[str], list[int]]:
     """The blocks of the page's text in order, and the hashes of its subtrees."""
+    wrappers: set[int] = set()
+    while True:
+        known = len(wrappers)
+        found = walk_once(html, templates, wrappers)
+        if len(wrappers) == known:
+            return found
+
+
+def walk_once(html: str, templates: frozenset[int] | None, wrappers: set[int]) -> tuple[list[str], list[int]]:
+    """As `walk`; elements that start at one of `wrappers` are no noise, and noise by class or id that turns out to hold an article is added to them."""
     blocks: list[tuple[int, str]] = []
-    stack: list[list] = []  # tag, zone, first block, parts of the hash, dropped
+    stack: list[list] = []  # tag, zone, first block, parts of the hash, dropped, start
     line: list[str] = []
     hashes: list[int] = []
-    zone = dropped = at = 0
+    zone = dropped = at = sure = likely = 0
 
     def flush() -> None:
         if line:
@@ -95,11 +113,13 @@ def walk(html: str, templates: frozenset[int] | None = None) -> tuple[list[str],
                     stack[-1][3].append(text)
 
     def close() -> None:
-        nonlocal zone, dropped
+        nonlocal zone, dropped, sure, likely
         flush()
-        tag, own_zone, first, parts, noisy = stack.pop()
+        tag, own_zone, first, parts, noisy, _ = stack.pop()
         if noisy:
             dropped -= 1
+            sure -= noisy == SURE
+            likely -= noisy == LIKELY
         elif not dropped and parts[1:]:
             h = int.from_bytes(blake2b("\x1f".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
             hashes.append(h)
@@ -111,7 +131,7 @@ def walk(html: str, templates: frozenset[int] | None = None) -> tuple[list[str],
 
     while at < len(html):
         m = PIECE.match(html, at)
-        at = m.end()
+        begin, at = at, m.end()
         tag = m[2]
         if tag is None:
             piece = m[0]
@@ -138,10 +158,14 @@ def walk(html: str, templates: frozenset[int] | None = None) -> tuple[list[str],
             at = end.end() if end else len(html)
             continue
         noisy, kind = noise(tag, m[3], zone)
+        if noisy == LIKELY and begin in wrappers:
+            noisy = 0
         if tag not in BLOCK:
             if noisy and not m[3].rstrip().endswith("/"):
-                line.append(" ")
-                at = skip_inline(html, at, tag)
+                end = skip_inline(html, at, tag)
+                if noisy == SURE or not holds_article(html, at, end):
+                    line.append(" ")
+                    at = end
             continue
         flush()
         ended = CLOSES.get(tag)
@@ -152,9 +176,13 @@ def walk(html: str, templates: frozenset[int] | None = None) -> tuple[list[str],
             close()
         if tag == "body" and stack and stack[-1][0] == "head":
             close()
-        stack.append([tag, zone, len(blocks), [f"{tag}.{kind}"], noisy])
+        if likely and not sure and not noisy and tag in ("article", "main"):
+            wrappers.update(s[5] for s in stack if s[4])
+        stack.append([tag, zone, len(blocks), [f"{tag}.{kind}"], noisy, begin])
         if noisy:
             dropped += 1
+            sure += noisy == SURE
+            likely += noisy == LIKELY
         elif tag == "article":
             zone = 2
         elif tag == "main" or kind == "main":
@@ -176,6 +204,20 @@ def skip_inline(html: str, at: int, tag: str) -> int:
     return at
 
 
+def holds_article(html: str, at: int, end: int) -> bool:
+    """Whether an article or main element that is not noise itself starts in a part of the page."""
+    while at < end:
+        m = PIECE.match(html, at, end)
+        at = m.end()
+        tag = (m[2] or "").lower()
+        if tag in ("article", "main") and not m[1] and not noise(tag, m[3], 0)[0]:
+            return True
+        if tag in RAW and not m[1]:
+            raw = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(html, at, end)
+            at = raw.end() if raw else end
+    return False
+
+
 def text_of(html: str | None, templates: frozenset[int] | None = None) -> str:
     return "\n\n".join(walk(html or "", templates)[0])
 

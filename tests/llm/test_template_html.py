@@ -22,6 +22,25 @@ def test_text_of_single_pages():
         assert op.text_of(html) == text, html
 
 
+WRAPPED = [
+    ("<div class='content has-sidebar'><article><p>a</p></article><div class='sidebar'>s</div></div>", "a"),
+    ("<div class='no-sidebar'><p>a</p></div><div class='post with-comments'><p>b</p></div><div class='no-js menu'>m</div><div class='sidebar-no-border'>s</div>", "a\n\nb"),
+    ("<div class='layout--has_left_sidebar'><p>a</p></div><div class='has-ad ad'>x</div>", "a"),
+    ("<div id=sidebar-layout><div class='related nav'><main><p>a</p></main></div></div><div class=related><p>r</p></div>", "a"),
+    ("<div id='page-header'><div class='share'><article><div class='ad'>x</div><p>a</p></article></div></div>", "a"),
+    ("<article class='comments-open'><main><p>a</p></main></article>", "a"),
+    ("<p>a</p><section id=comments><article class='comment'><p>c</p></article></section>", "a"), ("<p>a</p><nav><div class=menu><article>m</article></div></nav>", "a"),
+    ("<p>a</p><div hidden class='ad'><article>h</article></div><div role='dialog' class='modal'><main>d</main></div>", "a"),
+    ("<app-root class='nav open'><main><p>a</p></main></app-root>", "a"), ("<p>a<span class=ad>x<!-- <article> --><script>'<main>'</script></span>b</p>", "a b"),
+    ("<div class='no-ads'>" * 300 + "<div class='menu'>" * 300 + "<article>a</article>" + "</div>" * 600, "a"),
+]
+
+
+def test_noise_by_class_does_not_take_the_article_with_it():
+    for html, text in WRAPPED:
+        assert op.text_of(html) == text, html
+
+
 def pages():
     rows = []
     for i in range(12):
