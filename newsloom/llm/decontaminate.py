@@ -14,7 +14,8 @@ size follows the benchmark up to `MOST_BITS`; a fuller filter only lets more row
 join. The joins carry no hint, so Spark broadcasts the benchmark's side only where its measured size is small.
 
 Words: A-Z lower-cased, then runs outside `SEPARATORS`. Null and empty texts have no words;
-items without words have no windows. Rows with equal or null doc_id are judged each by its own text
+items without words have no windows. Items without an id count like any other for n_hit; together they are one item
+of n_items, a null in the list of items, that adds nothing to the text behind items_sha256 (as in `ORACLE`). Rows with equal or null doc_id are judged each by its own text
 (rows are told apart by id and text; equal rows have equal results). An empty benchmark hits
 nothing. Other columns are not read. Only built-in functions."""
 
@@ -152,11 +153,11 @@ def hits(tokens: DataFrame, items: DataFrame, window: int) -> DataFrame:
         .withColumn("new", F.greatest(F.lit(0), F.col("start") + F.col("size") - F.greatest("start", F.coalesce("reached", F.lit(0)))))
         .groupBy("key").agg(F.sum("new").alias("n_hit"))
     )
-    owners = items.groupBy("words").agg(F.collect_set("item").alias("owners"))
+    owners = items.groupBy("words").agg(F.collect_set(F.struct("item")).alias("owners"))  # a bare null would not be collected
     per_doc = (
         occurring.select("key", "words").distinct().join(owners, "words")
-        .select("key", F.explode("owners").alias("item")).distinct()
-        .groupBy("key").agg(F.array_sort(F.collect_list("item")).alias("items"))
+        .select("key", F.explode("owners").alias("owner")).distinct()
+        .groupBy("key").agg(F.array_sort(F.collect_list("owner"))["item"].alias("items"))
     )
     return covered.join(per_doc.withColumnRenamed("key", "key2"), F.col("key").eqNullSafe(F.col("key2"))).drop("key2")
 

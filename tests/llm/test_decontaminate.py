@@ -60,6 +60,19 @@ def test_hits_equal_a_plain_search(spark):
     assert sorted(clean.select("doc_id", "text").collect(), key=repr) == sorted([r for r, p in zip(docs, plain(docs, items)) if not p[5]], key=repr)
 
 
+def test_items_without_an_id_count(spark):
+    d = spark.createDataFrame([(1, "one two"), (2, "x three four y"), (3, "three four one two five"), (4, "none")], "doc_id long, text string")
+    b = spark.createDataFrame([(None, "one two"), (None, "five"), (7, "three four"), (8, "three four")], "item_id long, text string")
+    got = {r.doc_id: tuple(r)[2:] for r in op.digest(op.decontaminate(d, b)).collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert got == {1: (2, 1, sha(""), True), 2: (2, 2, sha("7,8"), True), 3: (5, 3, sha("7,8"), True), 4: (0, 0, sha(""), False)}
+    assert [r.doc_id for r in op.clean(d, b).collect()] == [4]
+    import duckdb
+
+    documents, benchmark = d.toPandas(), b.toPandas().astype({"item_id": "Int64"})  # noqa: F841
+    assert {r[0]: tuple(r[2:]) for r in duckdb.sql(op.ORACLE).fetchall()} == got
+
+
 def test_empty_tables(spark):
     d = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     b = spark.createDataFrame([(1, "a b")], "item_id long, text string")
