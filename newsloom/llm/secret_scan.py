@@ -37,11 +37,13 @@ CLASSES = (
     ("hex_entropy", "[0-9A-Fa-f]", "0123456789abcdef", 3.0),
     ("base64_entropy", "[A-Za-z0-9+/_=-]", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.9),
 )
+#: a candidate of words and short numbers only
+SEGMENTS = r"[-_/]*(?:(?:[A-Za-z]+|[0-9]{1,4})(?:[-_/]+|$))+$"
 ALLOWED = (
     r"[A-Za-z]+([-_/=+]+[A-Za-z]+)*[-_/=+]*",  # words
     r"[-+=_/]*[0-9]+([-_/+=][0-9]+)*",  # numbers and dates
     r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}",  # UUIDs
-    r"[-A-Za-z0-9_]*([/_-][A-Za-z]{2,}){3,}[-A-Za-z0-9_]*",  # paths and names of several words
+    rf"(?={SEGMENTS})[-A-Za-z0-9_]*([/_-][A-Za-z]{{2,}}){{3,}}[-A-Za-z0-9_]*",  # paths and names of several words
 )
 
 

@@ -69,6 +69,18 @@ def test_spans_equal_a_plain_scan(spark):
     assert sum("entropy" in g[4] for g in got.values()) > 30
 
 
+def test_random_tails_of_paths_and_names_are_measured(spark):
+    bad = ["/api/auth/reset/kXq9f2LmZ7Tr84vWc1Bn", "my_service_api_prod_9fJ2kQ7xLm4ZtR8vWc1B", "9fJ2kQ7xLm4ZtR8vWc1B-my-service-api-prod"]
+    good = ["/dictionary/complexity/johnson/flowchart", "2024_my_service_api_prod_backup_12", "the-quick-brown-fox-jumps-over-4-lazy-dogs-"]
+    docs = spark.createDataFrame([(i, f"see {t} ok") for i, t in enumerate(bad + good)], "doc_id long, text string")
+    rows = {r.doc_id: r.spans for r in op.digest(op.scan(docs)).collect()}
+    clean = {r.doc_id: r.text for r in op.redact(docs).collect()}
+    for i, t in enumerate(bad + good):
+        assert ("base64_entropy" in rows[i]) == (i < len(bad)) and rows[i] == plain(f"see {t} ok")[4], t
+        assert ("[secret]" in clean[i]) == (i < len(bad)), t
+    assert "kXq9f2LmZ7Tr84vWc1Bn" not in clean[0] and "9fJ2kQ7xLm4ZtR8vWc1B" not in clean[1] and "9fJ2kQ7xLm4ZtR8vWc1B" not in clean[2]
+
+
 def test_redaction_replaces_spans_and_keeps_the_rest(spark):
     rows = [(1, "é password=abcdefgh ok", "en"), (2, None, "en"), (3, "clean", None), (3, "clean", None), (None, "AKIA" + "Q" * 16 + "!", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
