@@ -2,7 +2,8 @@
 
 A document is the set of its hashed five-word shingles; two link when their Jaccard similarity reaches
 `PERCENT`. With sizes a and b that is an overlap of at least T = ceil(p (a + b) / (100 + p)) shingles: a
-T-occurrence search over inverted lists, done as DivideSkip does it.
+T-occurrence search over inverted lists. Of DivideSkip only the case with a merge threshold of one is done, that is prefix
+filtering: short lists are not merged by a heap, occurrences are not counted, and every meeting in one list is a candidate.
 
 1. Equal sets become one node. Shingles are ordered by how often they occur over all documents (counted in a
    table of fixed size by hash; equal counts by hash), so that long inverted lists come last.
