@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, jaccard_join, packing, ppm_language, secret_scan, template_html, token_files, toxicity, url_filter, va_search
+from newsloom.llm import decontaminate, jaccard_join, packing, ppm_language, quality_rules, secret_scan, template_html, token_files
+from newsloom.llm import toxicity, url_filter, va_search, whitening
 from newsloom.llm.common import crc_of_id, table
 
 
@@ -57,6 +58,15 @@ def op10_token_files(spark, sf_dir):
     return token_files.token_files(table(spark, sf_dir, "documents"))
 
 
+def op11_risk_quality(spark, sf_dir):
+    judged = quality_rules.apply(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.by_component(whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {
     "op1_url_cascade": op1_url_cascade,
     "op2_cnn_toxicity": op2_cnn_toxicity,
@@ -68,10 +78,13 @@ QUERIES = {
     "op8_best_two_fit": op8_best_two_fit,
     "op9_va_topk": op9_va_topk,
     "op10_token_files": op10_token_files,
+    "op11_risk_quality": op11_risk_quality,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {
     "op1_url_cascade": url_filter.ORACLE,
     "op5_prefix_decontaminate": decontaminate.ORACLE,
     "op9_va_topk": va_search.ORACLE,
+    "op11_risk_quality": quality_rules.oracle(),
 }
