@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, jaccard_join, packing, ppm_language, quality_rules, secret_scan, template_html, token_files
-from newsloom.llm import toxicity, url_filter, va_search, whitening
+from newsloom.llm import decontaminate, dialog_repair, jaccard_join, packing, ppm_language, quality_rules, secret_scan, template_html
+from newsloom.llm import token_files, toxicity, url_filter, va_search, whitening
 from newsloom.llm.common import crc_of_id, table
 
 
@@ -63,6 +63,11 @@ def op11_risk_quality(spark, sf_dir):
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op12_dialog_repair(spark, sf_dir):
+    damaged = dialog_repair.damage(table(spark, sf_dir, "conversations"))
+    return dialog_repair.digest(dialog_repair.repair(damaged, gone=F.col("gone")))
+
+
 def op13_whitening(spark, sf_dir):
     return whitening.by_component(whitening.whiten(table(spark, sf_dir, "embeddings")))
 
@@ -79,6 +84,7 @@ QUERIES = {
     "op9_va_topk": op9_va_topk,
     "op10_token_files": op10_token_files,
     "op11_risk_quality": op11_risk_quality,
+    "op12_dialog_repair": op12_dialog_repair,
     "op13_whitening": op13_whitening,
 }
 
@@ -87,4 +93,5 @@ ORACLES: dict[str, str] = {
     "op5_prefix_decontaminate": decontaminate.ORACLE,
     "op9_va_topk": va_search.ORACLE,
     "op11_risk_quality": quality_rules.oracle(),
+    "op12_dialog_repair": dialog_repair.ORACLE,
 }
