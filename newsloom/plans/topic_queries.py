@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsloom import rules
-from newsloom.operators import topics
+from newsloom.operators import density, topics
 from newsloom.plans import demo, sql
 from newsloom.plans.sql import with_
 from newsloom.sources import tables
@@ -136,3 +136,9 @@ def topic_clusters(spark, sf):
 def topic_model(spark, sf):
     out = topics.model_topics(demo.silver_table(spark, sf), grid=(4, 8))
     return out.select("article_id", "topic_id", "topic_label", "topic_prob")
+
+
+@query("topic_density")
+def topic_density(spark, sf):
+    """Dense regions of the vectors as topics, the rest as outliers."""
+    return density.density_clusters(tables.table(spark, sf, "embeddings"), "vec_id", F.col("embedding"))
