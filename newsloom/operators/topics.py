@@ -12,7 +12,9 @@ from pyspark.sql import Window as W
 
 from newsloom import rules
 from newsloom.functions import numbers, text
+from newsloom.operators import density
 from newsloom.operators.skew import join_bounded, top_n_per_key
+from newsloom.session import written
 
 NO_TOPIC = "hors-sujet"
 MIN_DOCUMENTS = 5
@@ -56,6 +58,7 @@ def corpus_too_small(df: DataFrame) -> DataFrame:
 #: A topic holds a twentieth of the documents at least (`minimum_size`), so there are 20 at most.
 MAX_TOPICS = 20
 GRID = (5, 10, 15, MAX_TOPICS)
+DENSE_FEATURES = 128  # width of the hashed text vectors that are compared by density
 
 
 def minimum_size(n_documents: Column) -> Column:
@@ -134,11 +137,18 @@ def term_weights(docs: DataFrame, topic: str = "topic_id", clean: str = "contenu
     worked out from those counts, so the texts are read once. A term's total adds up
     its counts side by side, of which there is one per topic at most.
     """
-    counts = (
+    return weighted(term_counts(docs, topic, clean), topic)
+
+
+def term_counts(docs: DataFrame, topic: str = "topic_id", clean: str = "contenu_clean") -> DataFrame:
+    return (
         docs.select(topic, F.explode(tokens(F.col(clean))).alias("term"))
         .groupBy(topic, "term")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def weighted(counts: DataFrame, topic: str = "topic_id") -> DataFrame:
     per_topic = counts.groupBy(topic).agg(F.sum("n").alias("topic_words"))
     mean_words = per_topic.agg(F.avg("topic_words")).scalar()
     total = F.sum("n").over(W.partitionBy("term"))
@@ -147,6 +157,48 @@ def term_weights(docs: DataFrame, topic: str = "topic_id", clean: str = "contenu
     return sized.select(topic, "term", "n", weight.alias("weight"))
 
 
+# ------------------------------------------------------------------- merging
+#: Topics whose term weights have at least this cosine are one topic.
+SAME_TOPIC = 0.9
+
+
+def similar_topics(weights: DataFrame, topic: str = "topic_id") -> DataFrame:
+    """(a, b, cosine) of each two topics that share a term, from their term weights. A term has one
+    row per topic at most, so its pairs are as few as those of the topics."""
+    length = weights.groupBy(topic).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
+    one = join_bounded(weights.where("weight > 0"), length, topic).select(topic, "term", (F.col("weight") / F.col("length")).alias("w"))
+    a, b = one.toDF("a", "term", "wa"), one.toDF("b", "term", "wb")
+    pairs = a.join(b, "term").where("a < b").groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine"))
+    return pairs.withColumn("cosine", F.round("cosine", 10))
+
+
+def merge_topics(counts: DataFrame, sizes: DataFrame, least: float = SAME_TOPIC, topic: str = "topic_id") -> list[tuple[int, int, int, float]]:
+    """Steps (number, kept, absorbed, cosine): the two most similar topics (the first two of equally similar ones) become one, under the id of the larger (of equally
+    large ones the first), and all weights are worked out anew, until no two reach `least`. `counts`: a term's count per topic, `sizes`: a
+    topic's documents. Topics are MAX_TOPICS at most, so are the rounds; topic -1 takes no part."""
+    counts = written(counts.where(F.col(topic) >= 0), "topic-counts")
+    documents = {r[topic]: r.n for r in sizes.where(F.col(topic) >= 0).collect()}
+    steps: list[tuple[int, int, int, float]] = []
+    while len(documents) > 1:
+        pair = similar_topics(weighted(counts, topic), topic).where(F.col("cosine") >= least).orderBy(F.desc("cosine"), "a", "b").first()
+        if pair is None:
+            break
+        kept, absorbed = sorted((pair.a, pair.b), key=lambda t: (-documents[t], t))
+        steps.append((len(steps) + 1, kept, absorbed, pair.cosine))
+        documents[kept] += documents.pop(absorbed)
+        named = F.when(F.col(topic) == absorbed, F.lit(kept)).otherwise(F.col(topic)).cast(counts.schema[topic].dataType)
+        counts = written(counts.withColumn(topic, named).groupBy(topic, "term").agg(F.sum("n").alias("n")), "topic-counts")
+    return steps
+
+
+def merged_ids(steps: list[tuple[int, int, int, float]], topic: Column) -> Column:
+    """A topic's id after all steps."""
+    out = topic
+    for _, kept, absorbed, _ in steps:
+        out = F.when(out == absorbed, F.lit(kept)).otherwise(out)
+    return out.cast("int")
+
+
 def top_terms(weights: DataFrame, topic: str = "topic_id", n: int = TERMS_PER_TOPIC) -> DataFrame:
     rounded = weights.withColumn("weight", F.round("weight", 10))
     return top_n_per_key(rounded, [topic], [F.desc("weight"), F.asc("term")], n, "term_no")
@@ -189,15 +241,22 @@ def attach(articles: DataFrame, modelled: DataFrame, labels: DataFrame) -> DataF
     )
 
 
-def model_topics(silver: DataFrame, grid: tuple[int, ...] = GRID, seed: int = 7) -> DataFrame:
-    """The whole model. A corpus with too few long documents is left unmodelled."""
+def model_topics(silver: DataFrame, grid: tuple[int, ...] = GRID, seed: int = 7, method: str = "density", least_cosine: float = SAME_TOPIC) -> DataFrame:
+    """The whole model. A corpus with too few long documents is left unmodelled. `method`: `density` (regions of any shape, outliers between
+    them, their number found from the data) or `centres` (k-means over `grid`). Topics alike in their terms are merged."""
     docs = long_enough(silver)
     if docs.limit(MIN_DOCUMENTS).count() < MIN_DOCUMENTS:
         return corpus_too_small(silver)
-    vectors = text_vectors(docs.select("article_id", "contenu_clean")).persist()
-    clusters = drop_small(cluster(vectors.drop("contenu_clean"), grid, seed))
-    modelled = clusters.select("article_id", F.col("topic_id").cast("int"), F.col("membership").alias("topic_prob"))
-    modelled = modelled.checkpoint()
-    vectors.unpersist()
-    worded = docs.select("article_id", "contenu_clean").join(modelled.where("topic_id >= 0"), "article_id")
+    texts = docs.select("article_id", "contenu_clean")
+    if method == "density":
+        vectors = text_vectors(texts, features=DENSE_FEATURES).select("article_id", vector_to_array("features").alias("features"))
+        found = density.density_clusters(vectors, "article_id", F.col("features"), seed=seed)
+    else:
+        vectors = written(text_vectors(texts).drop("contenu_clean"), "topic-vectors")
+        found = drop_small(cluster(vectors, grid, seed)).select("article_id", F.col("topic_id").cast("int"), F.col("membership").alias("topic_prob"))
+    modelled = written(found, "topic-model")
+    worded = texts.join(modelled.where("topic_id >= 0"), "article_id")
+    steps = merge_topics(term_counts(worded), modelled.groupBy("topic_id").agg(F.count(F.lit(1)).alias("n")), least_cosine)
+    modelled = modelled.withColumn("topic_id", merged_ids(steps, F.col("topic_id")))
+    worded = worded.withColumn("topic_id", merged_ids(steps, F.col("topic_id")))
     return attach(silver, modelled, topic_labels(top_terms(term_weights(worded))))

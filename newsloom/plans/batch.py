@@ -53,12 +53,13 @@ def build(
     markets: DataFrame | None,
     run_ts: Column,
     run_date: str,
-    model: str = "cluster",
+    model: str = "density",
 ) -> DataFrame:
     """Topics, market match, scores, summaries and warehouse from the day's Silver. An
-    article that several runs brought is stored as the last of them has it. `model`: `cluster`, `skip` (one counted topic) or `missing` (none)."""
+    article that several runs brought is stored as the last of them has it. `model`: `density`, `centres` (k-means), `skip` (one
+    counted topic) or `missing` (none)."""
     silver = source.silver_latest(spark, roots.silver, run_date)
-    fill = {"cluster": topics.model_topics, "skip": topics.model_skipped, "missing": topics.model_missing}
+    fill = {"density": topics.model_topics, "centres": lambda df: topics.model_topics(df, method="centres"), "skip": topics.model_skipped, "missing": topics.model_missing}
     landed = silver.withColumn("landed", F.concat_ws("/", "date", "run", "source"))
     topical = fill[model](landed.drop("date", "run"))
     topical.write.mode("overwrite").parquet(f"{roots.topics_stage}/date={run_date}")

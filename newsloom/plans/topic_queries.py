@@ -134,7 +134,7 @@ def topic_clusters(spark, sf):
 
 @query("topic_model")
 def topic_model(spark, sf):
-    out = topics.model_topics(demo.silver_table(spark, sf), grid=(4, 8))
+    out = topics.model_topics(demo.silver_table(spark, sf), grid=(4, 8), method="centres")
     return out.select("article_id", "topic_id", "topic_label", "topic_prob")
 
 
@@ -142,3 +142,40 @@ def topic_model(spark, sf):
 def topic_density(spark, sf):
     """Dense regions of the vectors as topics, the rest as outliers."""
     return density.density_clusters(tables.table(spark, sf, "embeddings"), "vec_id", F.col("embedding"))
+
+
+@query("topic_model_density")
+def topic_model_density(spark, sf):
+    out = topics.model_topics(demo.silver_table(spark, sf))
+    return out.select("article_id", "topic_id", "topic_label", "topic_prob")
+
+
+MERGE_FROM = 0.5  # the demo topics are dealt by number, not by subject: their terms are less alike than SAME_TOPIC asks for
+
+
+def _merge_sql(rounds: int) -> str:
+    """Each step as a table of its own: weights of the topics as merged so far, cosines, the best pair."""
+    parts = dict(TERM_CTES)
+    parts = {k: parts[k] for k in ("docs", "counts")}
+    parts["m0"] = "SELECT topic_id, topic_id AS g, count(*) AS size FROM docs WHERE topic_id >= 0 GROUP BY 1"
+    for r in range(rounds):
+        parts[f"c{r}"] = f"SELECT g, term, sum(n) AS n FROM counts JOIN m{r} USING (topic_id) GROUP BY 1, 2"
+        parts[f"w{r}"] = f"""SELECT g, term, n / t.words * ln(1 + (SELECT avg(words) FROM (SELECT sum(n) AS words FROM c{r} GROUP BY g)) / f.f) AS weight
+            FROM c{r} JOIN (SELECT term, sum(n) AS f FROM c{r} GROUP BY 1) f USING (term) JOIN (SELECT g, sum(n) AS words FROM c{r} GROUP BY 1) t USING (g)"""
+        parts[f"u{r}"] = f"SELECT g, term, weight / sqrt(sum(weight * weight) OVER (PARTITION BY g)) AS w FROM w{r}"
+        parts[f"p{r}"] = f"""SELECT a.g AS a, b.g AS b, round(sum(a.w * b.w), 10) AS cosine FROM u{r} a JOIN u{r} b USING (term) WHERE a.g < b.g
+            GROUP BY 1, 2 HAVING round(sum(a.w * b.w), 10) >= {MERGE_FROM} ORDER BY cosine DESC, a, b LIMIT 1"""
+        parts[f"s{r}"] = f"SELECT g, sum(size) AS size FROM m{r} GROUP BY g"
+        parts[f"b{r}"] = f"""SELECT {r + 1} AS step, CASE WHEN y.size > x.size THEN b ELSE a END AS kept, CASE WHEN y.size > x.size THEN a ELSE b END AS absorbed, cosine
+            FROM p{r} JOIN s{r} x ON x.g = a JOIN s{r} y ON y.g = b"""
+        parts[f"m{r + 1}"] = f"SELECT topic_id, CASE WHEN g = (SELECT absorbed FROM b{r}) THEN (SELECT kept FROM b{r}) ELSE g END AS g, size FROM m{r}"
+    steps = " UNION ALL ".join(f"SELECT step, kept, absorbed, round(cosine, 8) AS cosine FROM b{r}" for r in range(rounds))
+    return with_(steps, "silver", **parts)
+
+
+@query("topic_merge", _merge_sql(len(tables.TOPIC_LABELS) - 1))
+def topic_merge(spark, sf):
+    """The steps in which the demo topics become fewer."""
+    docs = topics.long_enough(tables.demo_topics(demo.silver_table(spark, sf))).select("topic_id", "contenu_clean")
+    steps = topics.merge_topics(topics.term_counts(docs), docs.groupBy("topic_id").agg(F.count(F.lit(1)).alias("n")), MERGE_FROM)
+    return spark.createDataFrame(steps, "step int, kept int, absorbed int, cosine double").withColumn("cosine", F.round("cosine", 8))

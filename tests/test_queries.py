@@ -16,7 +16,7 @@ def con(sf):
 def test_registry_is_consistent():
     assert set(ORACLES) <= set(QUERIES)
     own = {n for n in QUERIES if n == "pipeline" or n.startswith("op")}
-    without_sql = {"topic_clusters", "topic_model"} | (own - set(ORACLES))
+    without_sql = {"topic_clusters", "topic_density", "topic_model", "topic_model_density"} | (own - set(ORACLES))
     assert set(QUERIES) - set(ORACLES) == without_sql
 
 

@@ -1,6 +1,8 @@
 import math
+import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from newsloom.operators import topics
@@ -12,12 +14,13 @@ def test_small_corpus_is_not_modelled(spark):
     assert (row["topic_id"], row["topic_label"], row["topic_prob"]) == (-1, "hors-sujet", 0.0)
 
 
-def test_model_finds_two_subjects(spark):
+@pytest.mark.parametrize("method", ["density", "centres"])
+def test_model_finds_two_subjects(spark, method):
     a = "ocean fish water wave boat sail harbour storm"
     b = "bank money loan credit stock price market rate"
     rows = [(f"a{i}", f"{a} {a} tide{i}") for i in range(12)] + [(f"b{i}", f"{b} {b} coin{i}") for i in range(12)] + [("s", "short")]
     df = spark.createDataFrame(rows, "article_id string, contenu_clean string")
-    out = {r["article_id"]: r for r in topics.model_topics(df, grid=(2, 4)).collect()}
+    out = {r["article_id"]: r for r in topics.model_topics(df, grid=(2, 4), method=method).collect()}
     assert len(out) == 25 and out["s"]["topic_id"] == -1 and out["s"]["topic_label"] == "hors-sujet"
     seas = {out[f"a{i}"]["topic_id"] for i in range(12)} - {-1}
     banks = {out[f"b{i}"]["topic_id"] for i in range(12)} - {-1}
@@ -51,3 +54,39 @@ def test_small_clusters_become_outliers(spark):
     df = spark.range(100).select(F.col("id"), F.when(F.col("id") < 4, 9).otherwise(F.col("id") % 2).cast("int").alias("cluster"))
     out = topics.drop_small(df).groupBy("topic_id").count().collect()
     assert {r["topic_id"]: r["count"] for r in out} == {-1: 4, 0: 48, 1: 48}
+
+
+def plain_merge(counts, documents, least):
+    """Steps by plain dictionaries."""
+    counts, documents, steps = {t: Counter(c) for t, c in counts.items()}, dict(documents), []
+    while len(counts) > 1:
+        total = sum(counts.values(), Counter())
+        mean = sum(sum(c.values()) for c in counts.values()) / len(counts)
+        w = {t: {x: n / sum(c.values()) * math.log(1 + mean / total[x]) for x, n in c.items()} for t, c in counts.items()}
+        norm = {t: math.sqrt(sum(v * v for v in c.values())) for t, c in w.items()}
+        cosine = {(a, b): round(sum(v * w[b].get(x, 0) for x, v in w[a].items()) / norm[a] / norm[b], 10) for a in w for b in w if a < b}
+        (a, b), best = min(cosine.items(), key=lambda e: (-e[1], e[0]))
+        if best < least:
+            break
+        kept, absorbed = sorted((a, b), key=lambda t: (-documents[t], t))
+        steps.append((len(steps) + 1, kept, absorbed, best))
+        counts[kept] += counts.pop(absorbed)
+        documents[kept] += documents.pop(absorbed)
+    return steps
+
+
+def test_merging_follows_the_plain_rule(spark):
+    rng = random.Random(4)
+    words = {t: [f"w{k}" for k in range(t // 3 * 8, t // 3 * 8 + 10)] for t in range(9)}
+    counts = {t: Counter(rng.choice(words[t]) for _ in range(40 + 5 * t)) for t in range(9)}
+    documents = {t: [4, 9, 9][t % 3] for t in range(9)}
+    rows = [(t, x, n) for t, c in counts.items() for x, n in c.items()] + [(-1, "w0", 50)]
+    frame = spark.createDataFrame(rows, "topic_id int, term string, n long")
+    sizes = spark.createDataFrame([*documents.items(), (-1, 99)], "topic_id int, n long")
+    steps = topics.merge_topics(frame, sizes, 0.5)
+    expected = plain_merge(counts, documents, 0.5)
+    assert [s[:3] for s in steps] == [s[:3] for s in expected] and 4 <= len(steps) < 8
+    assert all(math.isclose(a[3], b[3], abs_tol=1e-9) for a, b in zip(steps, expected))
+    ids = {r.t: r.to for r in spark.range(-1, 9).select(F.col("id").alias("t"), topics.merged_ids(steps, F.col("id")).alias("to")).collect()}
+    assert ids[-1] == -1 and len(set(ids.values())) == 10 - len(steps) and all(ids[a] == ids[k] for _, k, a, _ in steps)
+    assert topics.merge_topics(frame, sizes, 1.1) == []
