@@ -11,6 +11,7 @@ from newsloom.operators import gold as gold_ops
 from newsloom.operators import quality, topics
 from newsloom.operators import silver as silver_ops
 from newsloom.sinks import layers as sink
+from newsloom.sinks import table
 from newsloom.sources import layers as source
 
 
@@ -74,5 +75,5 @@ def build(
     sink.write_gold(gold.drop("landed"), summary, roots.gold, roots.topics, run_ts)
     sink.upsert_gold(spark, roots.gold_table, gold, "landed")
     sink.append_topic_summaries(summary, roots.topic_summaries, run_date, run_ts)
-    sink.refresh_analytics(sink.read_gold_table(spark, roots.gold_table), roots.analytics, run_ts)
+    table.refresh(spark, roots.gold_table, roots.analytics, run_ts)
     return gold

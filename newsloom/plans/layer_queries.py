@@ -13,6 +13,7 @@ from newsloom.plans import batch, demo, sql
 from newsloom.plans.sql import with_
 from newsloom.session import scratch
 from newsloom.sinks import layers as sink
+from newsloom.sinks import table
 from newsloom.sources import catalogue, feeds, pages, tables
 from newsloom.sources import layers as source
 from newsloom.streaming import ingest
@@ -31,6 +32,12 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+def _top_source(key: str) -> str:
+    """Most frequent source per key over all stored rows, the first of equally frequent ones."""
+    return f"""SELECT key, source AS top_source FROM (SELECT {key} AS key, source, count(*) AS n FROM stored WHERE {key} IS NOT NULL GROUP BY 1, 2)
+        QUALIFY row_number() OVER (PARTITION BY key ORDER BY n DESC, source) = 1"""
+
+
 def ts(text: str):
     return F.lit(text).cast("timestamp")
 
@@ -226,6 +233,58 @@ def refresh_analytics(spark, sf):
     return source.union_by_name(parts)
 
 
+def _batches(spark, sf) -> str:
+    """The stored table in four upserts: cleaned rows in two, then the scored ones, of which the last batch comes twice."""
+    root = scratch(spark, "gold-table")
+    cleaned, scored = demo.silver_table(spark, sf), demo.gold(spark, sf)
+    for batch_, order in ((cleaned.where("arrival % 2 = 0"), "arrival"), (cleaned.where("arrival % 2 = 1"), "arrival"), (scored, "arrival"),
+                          (scored.where("arrival % 3 = 0"), "arrival")):
+        sink.upsert_gold(spark, root, batch_, order)
+    return root
+
+
+@query(
+    "analytics_by_deltas",
+    with_(
+        f"""SELECT 'country' AS tbl, pays AS key, count(*) AS n, NULL::DOUBLE AS mean, any_value(top_source) AS top_source
+              FROM stored LEFT JOIN ({_top_source('pays')}) t ON t.key = pays WHERE quality_status = 'OK' GROUP BY 2
+            UNION ALL SELECT 'source', source, count(*), round(avg(content_length), 8), NULL FROM stored GROUP BY 2
+            UNION ALL SELECT 'theme', topic_label, count(*), round(sum(polymarket_prob::DECIMAL(28,6))::DOUBLE / count(polymarket_prob), 8), any_value(top_source)
+              FROM stored LEFT JOIN ({_top_source('topic_label')}) t ON t.key = topic_label WHERE quality_status = 'OK' AND topic_id >= 0 GROUP BY 2
+            UNION ALL SELECT 'day', strftime(date_publication, '%Y-%m-%d'), count(*), round(avg(content_length), 8), any_value(top_source)
+              FROM stored LEFT JOIN ({_top_source("strftime(date_publication, '%Y-%m-%d')")}) t ON t.key = strftime(date_publication, '%Y-%m-%d')
+              WHERE quality_status = 'OK' GROUP BY 2""",
+        "stored",
+    ),
+)
+def analytics_by_deltas(spark, sf):
+    """The analytic tables as four upserts leave them: no article is read for them again."""
+    tables_ = table.analytics(spark, _batches(spark, sf))
+    facts = {"day": ("pub_date", "avg_content_length"), "theme": ("topic_label", "avg_polymarket_prob"), "country": ("pays", None), "source": ("source", "avg_content_length")}
+    parts = []
+    for t, (key, mean) in facts.items():
+        df = tables_[f"analytics_articles_by_{t}"]
+        top = F.col("top_source") if "top_source" in df.columns else F.lit(None).cast("string")
+        value = F.round(F.col(mean), 8) if mean else F.lit(None).cast("double")
+        parts.append(df.select(F.lit(t).alias("tbl"), F.col(key).cast("string").alias("key"), F.col("article_count").alias("n"), value.alias("mean"), top.alias("top_source")))
+    return source.union_by_name(parts)
+
+
+@query(
+    "warehouse_lookup",
+    with_(
+        """SELECT article_id, source, content_length::BIGINT AS content_length, coalesce(topic_label, '') AS topic_label FROM stored
+           WHERE article_id IN (SELECT article_id FROM silver WHERE langue = 'fr')""",
+        "stored",
+    ),
+)
+def warehouse_lookup(spark, sf):
+    """Stored rows of given ids: those of the French articles, of which some were never scored."""
+    ids = demo.silver_table(spark, sf).where("langue = 'fr'").select("article_id")
+    found = table.lookup(spark, _batches(spark, sf), ids)
+    return found.select("article_id", "source", F.col("content_length").cast("bigint").alias("content_length"), F.coalesce("topic_label", F.lit("")).alias("topic_label"))
+
+
 @query(
     "ingestion_stats",
     with_(

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from newsloom import rules
 from newsloom.functions import dates
 from newsloom.operators import warehouse
-from newsloom.operators.skew import keep_one
-from newsloom.sources.layers import folders
+from newsloom.sinks import table
 
 def run_name(run_ts: Column) -> Column:
     """Names sort in time order; the letter keeps them from being read as numbers."""
@@ -56,43 +55,19 @@ def write_gold(df: DataFrame, summary: DataFrame, root: str, topics_root: str, r
     _stamped(summary, run_ts).write.mode("append").partitionBy("date", "run").json(topics_root)
 
 
-def upsert_gold(spark: SparkSession, root: str, batch: DataFrame, order: str) -> None:
-    """Insert or replace by article id. A batch is appended as a version, so it costs what
-    it holds and not what is stored; `read_gold_table` takes the row of the largest `order` (as text) of each id, of the latest
-    version where that is equal, and `compact_gold` folds versions together. The order tells which of two rows is newer
-    wherever they were cut into batches, and a batch that is applied again changes nothing."""
-    one = keep_one(batch.withColumn("landed", F.col(order).cast("string")), "article_id", "landed", last=True)
-    versions = [int(f["version"]) for f in folders(spark, root, "version")]
-    path = f"{root}/version={max(versions, default=0) + 1:09d}"
-    warehouse.conform(one, ("landed",)).write.mode("overwrite").parquet(path)
-
-
-def gold_versions(spark: SparkSession, root: str) -> DataFrame:
-    types = {**rules.GOLD_COLUMNS, "landed": "string", "version": "int"}
-    return spark.read.schema(", ".join(f"{c} {t}" for c, t in types.items())).parquet(root)
-
-
-def newest_rows(versions: DataFrame) -> DataFrame:
-    newest = F.struct(F.coalesce("landed", F.lit("")).alias("landed"), "version")
-    return keep_one(versions.withColumn("_order", newest), "article_id", "_order", last=True).drop("_order")
+def upsert_gold(spark: SparkSession, root: str, batch: DataFrame, order: str, runs: tuple[str, ...] = ()) -> int:
+    """Insert or replace by article id, see `table.upsert`."""
+    return table.upsert(spark, root, batch, order, runs)
 
 
 def read_gold_table(spark: SparkSession, root: str) -> DataFrame:
     """Each article once, as its newest version has it."""
-    return newest_rows(gold_versions(spark, root)).drop("landed", "version")
+    return table.read(spark, root)
 
 
 def compact_gold(spark: SparkSession, root: str) -> None:
-    """Fold all versions into one. The new one is complete before the old ones go, so
-    a reader finds every article at any time."""
-    old = folders(spark, root, "version")
-    if len(old) < 2:
-        return
-    path = f"{root}/version={max(int(f['version']) for f in old) + 1:09d}"
-    newest_rows(gold_versions(spark, root)).drop("version").write.mode("overwrite").parquet(path)
-    for f in old:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f["path"])
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    """Fold all versions into one; a reader finds every article at any time."""
+    table.compact(spark, root)
 
 
 def topic_summary_rows(summary: DataFrame, run_date: str, now: Column) -> DataFrame:

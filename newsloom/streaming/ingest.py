@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from newsloom.operators import silver as silver_ops
 from newsloom.sinks import layers as sink
+from newsloom.sinks import table
 from newsloom.sources import layers as source
 
 EVENT = T.StructType(
@@ -94,7 +95,7 @@ def upsert_batch(
             sink.write_silver(cleaned.drop("landed"), silver_root, run_ts)
         sink.upsert_gold(session, gold_root, cleaned, "landed")
         if analytics_root and batch_id % analytics_every == 0:
-            sink.refresh_analytics(sink.read_gold_table(session, gold_root), analytics_root, run_ts)
+            table.refresh(session, gold_root, analytics_root, run_ts)
 
     return apply
 

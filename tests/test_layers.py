@@ -9,6 +9,7 @@ from newsloom.operators import gold as gold_ops
 from newsloom.operators import quality, serving, warehouse
 from newsloom.operators import silver as silver_ops
 from newsloom.sinks import layers as sink
+from newsloom.sinks import table
 from newsloom.sources import layers as source
 from newsloom.sources import pages
 
@@ -218,7 +219,7 @@ def test_no_article_is_stored_twice(spark, tmp_path):
         out = sink.read_gold_table(spark, root).collect()
         assert sorted(r["article_id"] for r in out) == ["1", "2", "3"] and {r["source"] for r in out} == {"bbc.com", "hespress.com"}
         sink.compact_gold(spark, root)
-        assert len(source.folders(spark, root, "version")) == 1
+        assert len(table.live(table.commits(spark, root))) == 1
 
 
 def test_gate_levels(spark):
