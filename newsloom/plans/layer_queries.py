@@ -616,17 +616,47 @@ def stream_ingest_counts(spark, sf):
 )
 def stream_upsert(spark, sf):
     """Landed articles, announced by messages, cleaned and stored by the stream."""
-    bronze, topic, table, state = (scratch(spark, n) for n in ("bronze", "topic", "gold-table", "state"))
+    bronze, topic, stored = _announced(spark, sf)
+    apply = ingest.upsert_batch(spark, bronze, stored, demo.run_ts(), analytics_root=scratch(spark, "analytics"), analytics_every=2)
+    ingest.run(ingest.file_events(spark, topic, 1), apply, scratch(spark, "state")).awaitTermination()
+    return _streamed(spark, stored)
+
+
+@query(
+    "stream_runs_once",
+    with_(
+        """SELECT article_id, titre_clean, source, content_hash, flags AS quality_flags, quality_status, 1::BIGINT AS times_cleaned FROM silver""",
+        "silver",
+    ),
+)
+def stream_runs_once(spark, sf):
+    """The same by a stream that remembers the runs of each source: messages come three times, and each run is cleaned once."""
+    bronze, topic, stored = _announced(spark, sf, times=3)
+    apply = ingest.upsert_batch(spark, bronze, stored, demo.run_ts())
+    events = ingest.first_announcements(ingest.file_events(spark, topic, 2))
+    ingest.run(events, apply, scratch(spark, "state")).awaitTermination()
+    cleaned = [(x.split("/")[0],) for r in table.commits(spark, stored).values() for x in r["runs"] if f"/{RUN_DATE}/" in x]
+    times = spark.createDataFrame(cleaned, "source string").groupBy("source").agg(F.count(F.lit(1)).alias("times_cleaned"))
+    # rows in a batch keep the source they were landed under
+    return _streamed(spark, stored).join(times, "source", "left")
+
+
+def _announced(spark, sf, times: int = 1) -> tuple[str, str, str]:
+    """Bronze with two days' runs, the folder of messages, and where the table will lie."""
+    bronze, topic, stored = (scratch(spark, n) for n in ("bronze", "topic", "gold-table"))
     raw = _raw(spark, sf)
     counts = raw.groupBy("source").agg(F.count(F.lit(1)).alias("articles_scraped"))
     stale = raw.where("arrival % 3 = 0").withColumn("titre", F.lit("A title that the next day corrects"))
     for rows, when in ((stale, ts("2024-01-31 22:00:00")), (raw, ts(MORNING))):  # the later run is the one that counts
         sink.write_bronze(rows, bronze, when)
         run_date = "2024-01-31" if rows is stale else RUN_DATE
-        sink.emit_events(sink.ingestion_events(counts, bronze, run_date, when).repartition(2), topic)
-    apply = ingest.upsert_batch(spark, bronze, table, demo.run_ts(), analytics_root=scratch(spark, "analytics"), analytics_every=2)
-    ingest.run(ingest.file_events(spark, topic, 1), apply, state).awaitTermination()
-    return sink.read_gold_table(spark, table).select(
+        for _ in range(times):
+            sink.emit_events(sink.ingestion_events(counts, bronze, run_date, when).repartition(2), topic)
+    return bronze, topic, stored
+
+
+def _streamed(spark, stored: str):
+    return sink.read_gold_table(spark, stored).select(
         "article_id", "titre_clean", "source", "content_hash",
         F.regexp_replace("quality_flags", '[\\[\\]"]', "").alias("quality_flags"), "quality_status",
     )

@@ -101,19 +101,23 @@ def bronze(
     latest: bool = False,
     multi_line: bool = False,
     only: DataFrame | None = None,
+    runs: list[tuple[str, str, str]] | None = None,
 ) -> DataFrame:
     """Articles of all runs, or of the newest run per source and date, which the folder
     names tell. `arrival` numbers the articles by date, run and place in the run, `landed` names
     the run. `only` (source, date) names the partitions to read; the others' folders are skipped, before any
-    line is read. `multi_line` reads files that hold a single indented document each."""
+    line is read; `runs` (source, date, run) names the runs. `multi_line` reads files that hold a single indented document each."""
     if multi_line:
         rows = bronze_documents(spark, root, source, date, latest)
     else:
-        runs = folders(spark, root, "source", "date", "run", source=source, date=date)
+        found = folders(spark, root, "source", "date", "run", source=source, date=date)
+        if runs is not None:
+            found = [r for r in found if (r["source"], r["date"], r["run"]) in set(runs)]
         # a whole layer is one path; a choice of runs is a list of them
-        paths = newest(runs, "source", "date") if latest else [r["path"] for r in runs] if source or date else [root]
+        chosen = source or date or runs is not None
+        paths = newest(found, "source", "date") if latest else [r["path"] for r in found] if chosen else [root]
         reader = spark.read.schema(T.StructType([*LINE.fields, *PARTITIONS.fields])).option("basePath", root)
-        lines = reader.json(paths) if runs else spark.createDataFrame([], T.StructType([*LINE.fields, *PARTITIONS.fields]))
+        lines = reader.json(paths) if found else spark.createDataFrame([], T.StructType([*LINE.fields, *PARTITIONS.fields]))
         rows = lines.withColumnsRenamed({"source": "source_key", "article_source": "source"})
     if only is not None:
         named = only.select(F.col("source").alias("source_key"), "date")

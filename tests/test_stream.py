@@ -4,6 +4,7 @@ from conftest import article, raw_frame, run_ts
 from newsloom.operators import silver as silver_ops
 from newsloom.operators import warehouse
 from newsloom.sinks import layers as sink
+from newsloom.sinks import table
 from newsloom.streaming import ingest
 
 
@@ -55,3 +56,35 @@ def test_empty_batches_do_nothing(spark, tmp_path):
     apply = ingest.upsert_batch(spark, str(tmp_path / "none"), str(tmp_path / "table"), run_ts())
     apply(spark.createDataFrame([], ingest.EVENT), 0)
     assert not (tmp_path / "table").exists()
+
+
+def test_each_run_is_cleaned_once(spark, tmp_path):
+    """Messages of two sources and three runs, each several times and in several batches, over a restart of the stream."""
+    bronze, topic, stored = (str(tmp_path / n) for n in ("bronze", "topic", "table"))
+    whole = str(tmp_path / "whole")
+    runs = ["2025-04-26 08:00:00", "2025-04-26 20:00:00", "2025-04-27 06:00:00"]
+    apply = ingest.upsert_batch(spark, bronze, stored, run_ts())
+    for n, when in enumerate(runs):
+        rows = [article(article_id="x", titre=f"title of run {n}", source=f"s{k}") for k in range(2)] + [article(article_id=f"only{n}", source="s0")]
+        run = F.lit(when).cast("timestamp")
+        sink.write_bronze(raw_frame(spark, rows), bronze, run)
+        counts = raw_frame(spark, rows).groupBy("source").agg(F.count(F.lit(1)).alias("articles_scraped"))
+        for _ in range(3):
+            sink.emit_events(sink.ingestion_events(counts, bronze, when[:10], run), topic)
+        events = ingest.first_announcements(ingest.file_events(spark, topic, 2))
+        ingest.run(events, apply, str(tmp_path / "state")).awaitTermination()  # goes on where it stopped
+    cleaned = [x for r in table.commits(spark, stored).values() for x in r["runs"]]
+    assert len(cleaned) == 6 and len(set(cleaned)) == 6
+    ingest.run(ingest.file_events(spark, topic), ingest.upsert_batch(spark, bronze, whole, run_ts()), str(tmp_path / "other")).awaitTermination()
+    a, b = (sink.read_gold_table(spark, t).drop("processed_at") for t in (stored, whole))
+    assert a.count() == b.count() == 4 and a.exceptAll(b).isEmpty()
+
+
+def test_messages_whose_time_names_no_run_stand_for_the_day(spark, tmp_path):
+    bronze, stored = str(tmp_path / "bronze"), str(tmp_path / "table")
+    rows = raw_frame(spark, [article(article_id="x", source="s0")])
+    sink.write_bronze(rows, bronze, run_ts())
+    named = spark.createDataFrame([("s0", "2025-04-26", None), ("s0", "2025-04-26", "r000001"), ("gone", "2025-04-26", "r1")], "source string, date string, run string")
+    assert ingest.runs_of(spark, bronze, named) == [("s0", "2025-04-26", "r120000")]
+    ingest.upsert_batch(spark, bronze, stored, run_ts())(named, 0)
+    assert sink.read_gold_table(spark, stored).count() == 1
