@@ -45,6 +45,41 @@ def bounded_sample(rows: DataFrame, key: str, hash_column: str, n: int) -> DataF
     return top_n_per_key(near, [key], [F.pmod(F.col(hash_column), F.lit(HASHES)), F.col(hash_column)], n)
 
 
+def fresh(name: str, *taken: list[str]) -> str:
+    """A column name that none of the lists holds, in any case."""
+    known = {c.lower() for columns in taken for c in columns}
+    while name.lower() in known:
+        name = f"_{name}"
+    return name
+
+
+def let(value: Column, use) -> Column:
+    """use(value), with the value worked out once however often `use` names it, inside lambdas too."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+FOLD_BLOCK = 256
+
+
+def running(items: Column, start: Column, step, kind: str) -> Column:
+    """A fold over an array that gives an element for each item. step(state, item) is a struct of `at`, the next state, and `out`, an array
+    (type `kind`) of what the item gives. Blocks are folded one after another, so that lists are not copied once for each item."""
+    empty = F.expr(f"CAST(array() AS {kind})")
+
+    def inner(state, x):
+        return let(step(state["at"], x), lambda r: F.struct(r["at"].alias("at"), F.concat(state["out"], r["out"]).alias("out")))
+
+    def over(all_items):
+        def outer(state, b):
+            block = F.aggregate(F.slice(all_items, (b * FOLD_BLOCK + 1).cast("int"), FOLD_BLOCK), F.struct(state["at"].alias("at"), empty.alias("out")), inner)
+            return let(block, lambda r: F.struct(r["at"].alias("at"), F.concat(state["out"], r["out"]).alias("out")))
+
+        blocks = F.sequence(F.lit(0), F.floor((F.size(all_items) - 1) / FOLD_BLOCK).cast("int"))
+        return F.when(F.size(all_items) == 0, empty).otherwise(F.aggregate(blocks, F.struct(start.alias("at"), empty.alias("out")), outer)["out"])
+
+    return let(items, over)
+
+
 class Shared:
     """A broadcast of an object of this package's classes, unpickled once in each task."""
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from newsloom.llm.common import ship, stored
+from newsloom.llm.common import let, ship, stored
 
 ship(__name__)
 
@@ -46,11 +46,6 @@ RULES = (
 )
 
 
-def let(value: Column, use) -> Column:
-    """use(value), with the value worked out once however often `use` names it, inside lambdas too."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(text, BLANKS, " " * len(BLANKS)), " "), "")
 

@@ -4,8 +4,11 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
+import pytest
+
 from newsloom.llm import secret_scan as op
 
 ALLOWED = re.compile("(?:" + "|".join(op.ALLOWED) + ")")
@@ -94,3 +97,62 @@ def test_redaction_replaces_spans_and_keeps_the_rest(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, assign int")
     assert op.digest(op.scan(docs)).count() == 0 and op.redact(docs).count() == 0
+
+
+def long_texts():
+    rnd = random.Random(8)
+    some = lambda chars, n: "".join(rnd.choice(chars) for _ in range(n))
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    return {
+        "base64 run": "data: " + some(b64, 300_000),
+        "many secrets": "".join(f"password={some(b64, 8)} é " for _ in range(50_000)),
+        "many runs": " ".join(some(b64, 30) for _ in range(20_000)),
+        "patchy run": "".join(some(b64, 30) + "a" * 40 for _ in range(6_000)),
+        "hex": some("0123456789abcdef", 200_000),
+    }
+
+
+@pytest.mark.parametrize("name", list(long_texts()))
+def test_long_texts_take_time_in_proportion(spark, name):
+    text = long_texts()[name]
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.time()
+    r = op.digest(op.scan(docs)).collect()[0]
+    clean = op.redact(docs).collect()[0].text
+    assert time.time() - start < 120  # some 30 s at most; by the square of the length it would be hours
+    spans = [(int(a), int(b)) for a, b in (x.split(":")[1:] for x in r.spans.split(","))]
+    if name in ("many secrets", "hex"):
+        assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256) == plain_base(text)
+    assert clean == plain_redaction(text, spans)
+
+
+def plain_base(text):
+    base = [(m.start(), 0, "assign", m.end()) for m in re.finditer(op.ASSIGN, text, re.ASCII) if len(m[2]) >= 6]
+    base += [(m.start(), 2, "hex", m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    shown = ",".join(f"{k}:{s}:{e}" for s, _, k, e in sorted(base))
+    return sum(b[2] == "assign" for b in base), 0, sum(b[2] == "hex" for b in base), hashlib.sha256(shown.encode()).hexdigest()
+
+
+def plain_redaction(text, spans):
+    """Spans by start; what goes on with the one before gets no marker of its own. Spans that a base span covers change nothing."""
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if end <= at:
+            continue
+        if start >= at:
+            out += [text[at:start], "[secret]"]
+        at = end
+    return "".join(out) + text[at:]
+
+
+def test_redaction_of_overlapping_spans(spark):
+    given = [t for t in texts() if t]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(given)], "doc_id long, text string")
+    spans = {r.doc_id: [(int(a), int(b)) for a, b in (x.split(":")[1:] for x in r.spans.split(",") if x)] for r in op.digest(op.scan(docs)).collect()}
+    for r in op.redact(docs).collect():
+        assert r.text == plain_redaction(given[r.doc_id], spans[r.doc_id])
+
+
+def test_own_columns_stay(spark):
+    docs = spark.createDataFrame([(1, "password=abcdefgh", "a", "b", 5)], "doc_id long, text string, spans string, __spans string, assign int")
+    assert [tuple(r) for r in op.redact(docs).collect()] == [(1, "[secret]", "a", "b", 5)]
