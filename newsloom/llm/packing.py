@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from newsloom.llm.common import ship, stored
-from newsloom.llm.tokens import default_vocabulary, worker_encoder
+from newsloom.llm.tokens import default_vocabulary, seldom_collected, worker_encoder
 
 ship(__name__)
 
@@ -50,7 +50,7 @@ def tokenised_pieces(docs: DataFrame, size: int = SIZE, vocabulary: str | None =
         schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int32()),
                             ("ids_crc32", pa.int64()), ("ids", pa.binary()), ("part", pa.int32()), ("nth", pa.int64())])
         rows, held = [], 0
-        for batch in batches:
+        for batch in seldom_collected(batches):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = encoder.encode(text)
                 n, at, piece = len(ids) // 4, 0, 0

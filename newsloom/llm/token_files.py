@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm.common import ship, stored
-from newsloom.llm.tokens import default_vocabulary, worker_encoder
+from newsloom.llm.tokens import default_vocabulary, seldom_collected, worker_encoder
 from newsloom.session import scratch
 
 ship(__name__)
@@ -222,7 +222,7 @@ def write_files(docs: DataFrame, folder: str, vocabulary: str | None = None, id_
 
         part, encoder, writer, sink = TaskContext.get().partitionId(), worker_encoder(vocabulary), None, None
         store, base = fs.FileSystem.from_uri(folder)
-        for batch in batches:
+        for batch in seldom_collected(batches):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if writer is None:
                     store.create_dir(base)

@@ -10,7 +10,6 @@ content (`<|endoftext|>`), which the library finds before it cuts, goes to it wh
 from __future__ import annotations
 
 import re
-from struct import pack
 
 import numpy as np
 
@@ -21,7 +20,8 @@ ship(__name__)
 REMEMBERED = 500_000  # entries of a dictionary before it starts anew
 LONGEST = 64  # characters of a remembered part
 MARKS = r"([!-&(-/:-@\[-`{-~]*)"  # ASCII marks but the apostrophe, which begins cuts of its own
-PLAIN_PART = re.compile(rf"([^\W\d_]+){MARKS}(?:\n([^\W\d_]+){MARKS})?")
+LETTERS = r"([^\W\d_²³¹¼½¾]+)"
+PLAIN_PART = re.compile(rf"{LETTERS}{MARKS}(?:\n{LETTERS}{MARKS})?")
 LATIN_END = "ɐ"  # below it Python and the library agree on what a letter is
 
 
@@ -51,6 +51,35 @@ class _Known(dict):
         return ids
 
 
+class _Parts(dict):
+    """Ids of parts with the blank before them. A part of letters is one cut; one of letters and marks consists of such."""
+
+    def __init__(self, encoder: "Encoder"):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, part: str) -> bytes:
+        encoder = self.encoder
+        if len(part) > LONGEST:
+            return encoder.whole_part(part)
+        if part.isascii() or max(part) < LATIN_END:
+            if part.isalpha():
+                ids = encoder.cut(" " + part)
+            elif m := PLAIN_PART.fullmatch(part):
+                word, marks, word2, marks2 = m.groups()
+                ids = self[word] + encoder.whole[marks] if marks else self[word]
+                if word2:
+                    ids += encoder.whole["\n"] + encoder.words[word2] + (encoder.whole[marks2] if marks2 else b"")
+            else:
+                ids = encoder.whole_part(part)
+        else:
+            ids = encoder.whole_part(part)
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[part] = ids
+        return ids
+
+
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids, with `end` appended."""
 
@@ -63,36 +92,29 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.characters = byte_characters()
         self.blank = self.characters[32]
+        self.packed = [n.to_bytes(4, "little") for n in range(self.tokenizer.get_vocab_size())]
         self.whole = _Known(self._library)
-        self.words = _Known(self._word)
-        self.parts = _Known(self._part)
+        self.words = _Known(self.cut)
+        self.parts = _Parts(self)
         self.end = b"" if end is None else end.to_bytes(4, "little")
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _word(self, word: str) -> bytes:
-        """A cut of letters, with its leading blank if it has one."""
+    def cut(self, word: str) -> bytes:
+        """Ids of a cut of letters, with its leading blank if it has one."""
         seen = word.replace(" ", self.blank) if word.isascii() else "".join([self.characters[b] for b in word.encode()])
-        ids = [t.id for t in self.model.tokenize(seen)]
-        return pack(f"<{len(ids)}I", *ids)
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.tokenize(seen)])
 
-    def _part(self, part: str) -> bytes:
-        """A part with the blank before it."""
+    def whole_part(self, part: str) -> bytes:
+        """Any other part, by the library."""
         if not part or part[0].isspace() or part[-1].isspace():
             raise _NoCut
-        plain = len(part) <= LONGEST and (part.isascii() or max(part) < LATIN_END)
-        m = PLAIN_PART.fullmatch(part) if plain else None
-        if not m:
-            return self._library(" " + part)
-        word, marks, word2, marks2 = m.groups()
-        ids = self.words[" " + word] + (self.whole[marks] if marks else b"")
-        if word2:
-            ids += self.whole["\n"] + self.words[word2] + (self.whole[marks2] if marks2 else b"")
-        return ids
+        return self._library(" " + part)
 
     @staticmethod
     def _glued(raw: list[str]) -> list[str]:
@@ -120,14 +142,28 @@ class Encoder:
         parts = text.split(" ")
         get = self.parts.__getitem__
         try:
-            found = [get(p) for p in parts[1:]]
-            return b"".join((self._lead(parts[0], not found), *found, self.end))
+            found = b"".join(map(get, parts[1:]))
+            return self._lead(parts[0], len(parts) == 1) + found + self.end
         except _NoCut:
             head, *rest = self._glued(parts)
             found = [get(p) if not p[-1].isspace() else self._library(" " + p) for p in rest]
             return b"".join((self.whole[head], *found, self.end))
 
 
+def seldom_collected(batches):
+    """The batches, with Python's search for cyclic garbage only between them: it goes through the remembered ids again and
+    again, and there are no cycles."""
+    import gc
+
+    gc.disable()
+    try:
+        for batch in batches:
+            yield batch
+            gc.collect(1)
+    finally:
+        gc.enable()
+
+
 def worker_encoder(vocabulary: str, end: int | None = 0) -> Encoder:
     """The encoder of this worker process, which serves one task after another and so goes on
     remembering. It is kept in the library's module, as this one travels with each task."""
