@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from newsloom.llm.common import lower_ascii, ship, stored
+from newsloom.llm.common import fresh, lower_ascii, ship, stored
 
 ship(__name__)
 
@@ -172,11 +172,13 @@ def digest(found: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows whose texts hold no window of the benchmark, all columns as they were."""
-    keyed = docs.withColumn("__key", F.struct(F.col(id_column).alias("doc_id"), F.xxhash64(text_column).alias("t")))
-    tokens = keyed.select(F.col("__key").alias("key"), words(F.col(text_column)).alias("w"))
+    key = fresh("key", docs.columns)
+    d, t = fresh("bad_id", docs.columns, [key]), fresh("bad_text", docs.columns, [key])
+    keyed = docs.withColumn(key, F.struct(F.col(id_column).alias("doc_id"), F.xxhash64(text_column).alias("t")))
+    tokens = keyed.select(F.col(key).alias("key"), words(F.col(text_column)).alias("w"))
     found = hits(tokens, stored(windows(benchmark, window, "item_id", "text"), "benchmark-windows"), window)
-    bad = found.select(F.col("key.doc_id").alias("__d"), F.col("key.t").alias("__t"))
-    return keyed.join(bad, F.col("__key.doc_id").eqNullSafe(F.col("__d")) & (F.col("__key.t") == F.col("__t")), "left_anti").drop("__key")
+    bad = found.select(F.col("key.doc_id").alias(d), F.col("key.t").alias(t))
+    return keyed.join(bad, F.col(key)["doc_id"].eqNullSafe(F.col(d)) & (F.col(key)["t"] == F.col(t)), "left_anti").drop(key)
 
 
 ORACLE = """

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from newsloom.llm.common import UPPER, Shared, ship, stored
+from newsloom.llm.common import fresh, Shared, ship, stored, UPPER
 from newsloom.llm.components import components
 
 ship(__name__)
@@ -385,8 +385,12 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     found = near_duplicates(docs, id_column, text_column, size, percent)
     alone = (F.col("n_shingles") == 0) | F.col("component_id").isNull()
     stays = found.where(alone | F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ties = stays.groupBy(F.col("component_id").alias("__c"), F.when(alone, F.col("text_hash")).alias("__t"), F.col("doc_id").alias("__id")).agg(F.min("text_hash").alias("__h"))
-    marked = docs.withColumn("__text", F.xxhash64(text_column))
-    kept = marked.join(ties.select("__id", "__h").distinct(), F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__h")), "left_semi")
-    order = W.partitionBy(id_column, "__text").orderBy(F.lit(0))
-    return kept.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*docs.columns)
+    ties = stays.groupBy("component_id", F.when(alone, F.col("text_hash")).alias("t"), "doc_id").agg(F.min("text_hash").alias("h"))
+    own, n = fresh("text_hash", docs.columns), fresh("n", docs.columns)
+    id_, h = fresh("kept_id", docs.columns, [own]), fresh("kept_text", docs.columns, [own])
+    marked = docs.withColumn(own, F.xxhash64(text_column))
+    kept = marked.join(ties.select(F.col("doc_id").alias(id_), F.col("h").alias(h)).distinct(), F.col(id_column).eqNullSafe(F.col(id_)) & (F.col(own) == F.col(h)), "left_semi")
+    # of rows equal in id and text the one whose other columns hash least, so that every run keeps the same
+    hashable = [c for c, t in docs.dtypes if "map<" not in t and "variant" not in t]
+    order = W.partitionBy(id_column, own).orderBy(F.xxhash64(*hashable))
+    return kept.withColumn(n, F.row_number().over(order)).where(F.col(n) == 1).select(*docs.columns)

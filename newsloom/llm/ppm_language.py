@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsloom.llm.common import Shared, bounded_sample, crc_of_id, ship
+from newsloom.llm.common import bounded_sample, crc_of_id, fresh, Shared, ship
 
 ship(__name__)
 
@@ -210,12 +210,12 @@ def learn(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     return train({l: sorted(t) for l, t in texts.items()})
 
 
-def identify(docs: DataFrame, model: Model, keep: list[str] | None = None, text_column: str = "text") -> DataFrame:
-    """The columns of `keep` (all, if not given), and lang_pred and score."""
+def identify(docs: DataFrame, model: Model, keep: list[str] | None = None, text_column: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns of `keep` (all, if not given), and the language and score, under `names`: own columns of these names are replaced."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    keep = [c for c in (keep or docs.columns) if c not in ("lang_pred", "score")]
-    schema = T.StructType([docs.schema[c] for c in keep]).add("lang_pred", "string").add("score", "double")
+    keep = [c for c in (keep or docs.columns) if c not in names]
+    schema = T.StructType([docs.schema[c] for c in keep]).add(names[0], "string").add(names[1], "double")
     shared, n = Shared(docs.sparkSession, model), len(keep)
     arrow = to_arrow_schema(schema)
 
@@ -230,4 +230,4 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None, text_
                 lang, score = pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())
                 yield pa.RecordBatch.from_arrays([*some.columns[:n], lang, score], names=arrow.names)
 
-    return docs.select(*keep, F.col(text_column).alias("__text")).mapInArrow(task, schema)
+    return docs.select(*keep, F.col(text_column).alias(fresh("judged_text", keep))).mapInArrow(task, schema)

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import lower_ascii, ship, stored
+from newsloom.llm.common import fresh, lower_ascii, ship, stored
 
 ship(__name__)
 
@@ -131,11 +131,12 @@ def judge(pages: DataFrame, rules: DataFrame, url_column: str = "url") -> DataFr
     cascades = {v: build(rules.where(F.col("verdict") == v).select("key"), universe) for v in ("block", "allow")}
     keys = candidate_keys(host, path, lengths)
     first = {v: F.get(F.filter(keys, c.lists), F.lit(0)) if c.levels else F.lit(None).cast("string") for v, c in cascades.items()}
-    out = pages.withColumns({"__block": first["block"], "__allow": first["allow"], "host": host, "path": path})
-    blocked = F.coalesce(F.length("__block"), F.lit(-1)) >= F.coalesce(F.length("__allow"), F.lit(-1))
-    rule = F.when(blocked, F.col("__block")).otherwise(F.col("__allow"))
+    block, allow = (fresh(c, pages.columns) for c in ("block_rule", "allow_rule"))
+    out = pages.withColumns({block: first["block"], allow: first["allow"], "host": host, "path": path})
+    blocked = F.coalesce(F.length(block), F.lit(-1)) >= F.coalesce(F.length(allow), F.lit(-1))
+    rule = F.when(blocked, F.col(block)).otherwise(F.col(allow))
     verdict = F.when(rule.isNotNull() & blocked, F.lit("block")).otherwise(F.lit("allow"))
-    return out.withColumns({"rule": rule, "verdict": verdict}).drop("__block", "__allow")
+    return out.withColumns({"rule": rule, "verdict": verdict}).drop(block, allow)
 
 
 ORACLE = """
