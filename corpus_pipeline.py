@@ -10,13 +10,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsloom.llm import decontaminate, jaccard_join, packing, ppm_language, secret_scan
-from newsloom.llm.common import stored, table
+from newsloom.llm.common import fresh, stored, table
 
 
 def language(spark, docs, sf_dir):
     """Drops texts that are null, have no letter, or of which no language could be learned."""
-    found = ppm_language.identify(docs, ppm_language.learn(docs, held_out=None), keep=docs.columns)
-    return found.where("lang_pred <> 'und'").select(*docs.columns)
+    names = fresh("lang_pred", docs.columns), fresh("score", docs.columns)
+    found = ppm_language.identify(docs, ppm_language.learn(docs, held_out=None), names=names)
+    return found.where(F.col(names[0]) != "und").select(*docs.columns)
 
 
 def near_duplicates(spark, docs, sf_dir):
