@@ -9,17 +9,12 @@ from newsloom.llm import va_search as op
 
 
 def plain(rows, k):
-    best = {}
-    for i, v in rows:
-        if i is None or not v or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        w = [math.floor(64 * x) for x in v]
-        best[i] = min(best.get(i, w), w)
+    usable = [(i, [max(-(1 << 53), min(1 << 53, math.floor(64 * x))) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, a in best.items():
+    for n, (q, a) in enumerate(usable):
         if q % 20 == 0:
-            scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in best.items() if i != q and len(b) == len(a))
-            out += [(q, n, i, -s) for n, (s, i) in enumerate(scored[:k], 1)]
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for m, (i, b) in enumerate(usable) if m != n and len(b) == len(a))
+            out += [(q, rank, i, max(-(1 << 63), min((1 << 63) - 1, -s))) for rank, (s, i) in enumerate(scored[:k], 1)]
     return sorted(out)
 
 
@@ -45,3 +40,19 @@ def test_few_rows_and_none(spark):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     assert sorted(tuple(r) for r in op.search(table, F.col("vec_id") % 20 == 0).collect()) == plain(rows, 20)
     assert op.search(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_rows_of_equal_id_are_candidates_and_queries_of_their_own(spark):
+    rows = [(20, [1.0, 2.0]), (21, [1.0, 1.0]), (21, [5.0, 5.0]), (20, [0.0, 3.0]), (40, [1.0, 2.0]), (40, [1.0, 2.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted(tuple(r) for r in op.search(table, F.col("vec_id") % 20 == 0, k=3).collect())
+    assert got == plain(rows, 3) and (20, 1, 21, 61_440) in got
+
+
+def test_components_of_any_size(spark):
+    rnd = random.Random(6)
+    for size in (1e9, 1e14, 1e30, 1e300):
+        rows = [(i, [rnd.gauss(0, 1) * size ** rnd.random() for _ in range(4)]) for i in range(120)]
+        table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = op.search(table, F.col("vec_id") % 20 == 0, k=5, query_block=3, candidate_block=50)
+        assert sorted(tuple(r) for r in got.collect()) == plain(rows, 5)
