@@ -4,8 +4,9 @@ Every block element's subtree (tag, class, text, subtrees below) is hashed; Spar
 many different pages a hash occurs, pages with the same text counting once. A subtree that recurs on at least
 `LEAST_PAGES` of them, however many pages the host has, is template and deleted, but paragraphs and headings
 inside an article are its own text however often they recur. Elements that can't be
-article text on any site (scripts, forms, navigation, adverts, reader comments, ...) go by tag and class. The text is what the
-article elements hold; without them, the main element; without that, the body.
+article text on any site (scripts, forms, navigation, adverts, reader comments, ...) go by tag and class. Of what is left the article
+elements are the text unless the rest of the main elements, or what lies outside both, holds more than twice as much; then the main elements, unless what lies outside
+holds more than twice as much; then all of it. So a teaser in an article element does not take the place of a story beside it.
 
 A page gets only those templates that occur on it: its subtrees, as rows, meet the host's templates, and what
 is found goes back to the page by a key of host and content. No list grows with a host. Subtrees of very many
@@ -14,12 +15,15 @@ pages meet their template by broadcast (`skew.join_per_key`), so a host with a t
 Character references are decoded, white space inside a block becomes one blank, blocks are joined by two line ends.
 A line break (`br`) is white space. Null and empty pages give an empty text; tags cut off at the end of a page
 are dropped, open ones closed. An element that only its class or id marks as noise stays if it holds an article or main
-element that is not noise itself; has-, no-, with- and without- words of a class describe the page and mark nothing. Pages without a host share one group. Rows are kept one by one, so repeated rows and null
+element that is not noise itself. A class name marks noise if it is a noise word or ends in one, or begins with one and goes on with a word for a box; has-, no-,
+with- and without- words, and names like category-x or tag-x, describe the page and mark nothing. Time grows with the length of a page: where unbalanced quotes would have the rest of a page read for every tag, tags end at their first `>`. Pages without a host share one group. Rows are kept one by one, so repeated rows and null
 ids stay; other columns are not read."""
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from hashlib import blake2b
 from html import unescape
 
@@ -36,6 +40,10 @@ ship(__name__)
 LEAST_PAGES = 4
 MANY_COPIES = 100  # equal pages from which the join knows them even without templates, to spread them
 PIECE = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|<[a-zA-Z/][^<]*\Z|[^<]+|<""", re.S)
+ROUGH_PIECE = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*(?:>|\Z)|<[a-zA-Z/][^<]*\Z|[^<]+|<""", re.S)
+NO_TAG = re.compile(r"<([^\s\S])?([^\s\S])?([^\s\S])?(?:[a-zA-Z/][^<]*\Z)?")
+TAG_START = re.compile(r"</?[a-zA-Z]")
+PATIENCE = 32  # times the length of a page that may be read for tags that do not end
 NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 RAW = {"script", "style", "noscript", "template", "title", "textarea", "iframe", "svg", "math", "object", "canvas", "select", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -50,16 +58,34 @@ CLOSES = {  # an open element that a start tag of these ends
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 NOISE = re.compile(
-    r"(?:^|[\s_-])(ads?|adverts?|advertisements?|advertising|banners?|sponsor(?:ed|s)?|promos?|promotions?|cookies?|consent|gdpr|notices?|"
+    r"ads?|adverts?|advertisements?|advertising|banners?|sponsor(?:ed|s)?|promos?|promotions?|cookies?|consent|gdpr|notices?|"
     r"alerts?|popups?|modals?|overlay|sidebars?|menus?|nav|navbar|navigation|breadcrumbs?|footer|masthead|topbar|toolbar|"
     r"comments?|commentlist|replies|respond|disqus|share|sharing|social|related|recommended|newsletter|subscribe|subscription|signup|"
-    r"login|search|pagination|pager|skip|complementary|contentinfo|dialog)(?:$|[\s_-])",
+    r"login|search|pagination|pager|skip|complementary|contentinfo|dialog",
     re.I,
 )
+BOXES = re.compile(
+    r"lists?|links?|box|bar|wrap(?:per)?|container|blocks?|slot|buttons?|widgets?|section|area|items?|panel|unit|inner|outer|row|icons?|form|message|"
+    r"holder|group|module|frame|placeholder|layout|top|bottom|left|right|posts?|stories|articles?|to|content|[0-9]+",
+    re.I,
+)
+DESCRIBES = re.compile(r"(?:category|cat|tag|post|type|format|status|term|author|page)[_-]", re.I)
+WORDS = re.compile(r"[\s_-]+")
 MODIFIED = re.compile(r"(?:^|(?<=[\s_-]))(?:has|no|with|without)[_-]\S*", re.I)
 HEADER = re.compile(r"(?:^|[\s_-])(header|site-header|page-header)(?:$|[\s_-])", re.I)
 
 
+def names_noise(value: str) -> bool:
+    """Whether a class, id or role names noise."""
+    for name in MODIFIED.sub("", value).split():
+        words = [w for w in WORDS.split(name) if w]
+        if not words or DESCRIBES.match(name):
+            continue
+        if NOISE.fullmatch(words[-1]) or NOISE.fullmatch(words[0]) and all(BOXES.fullmatch(w) or NOISE.fullmatch(w) for w in words[1:]):
+            return True
+    return False
+
+
 SURE, LIKELY = 2, 1  # noise by tag, role or hidden; by class or id
 
 
@@ -77,30 +103,105 @@ def noise(tag: str, rest: str, inside: int) -> tuple[int, str]:
         if name == "class":
             kind = value
         if tag not in ("body", "html", "article", "main") or name == "class" and tag == "article":
-            named = MODIFIED.sub("", value)
-            if NOISE.search(named) or (not inside and HEADER.search(named)):
+            if names_noise(value) or (not inside and HEADER.search(MODIFIED.sub("", value))):
                 if name == "role":
                     return SURE, ""
                 noisy = LIKELY
     return noisy, kind
 
 
+class Page:
+    """A page and what is worked out of it once: its pieces, where inline elements end, and where articles start."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.left = PATIENCE * len(html)
+        self.last = html.rfind(">")
+        self.ends: dict[int, int] | None = None
+        self.starts: list[int] = []
+
+    def piece(self, at: int):
+        """The piece at a place: a tag, a comment, or text."""
+        html = self.html
+        if html[at] == "<" and at > self.last and TAG_START.match(html, at):
+            return NO_TAG.match(html, at)  # no tag ends any more
+        if self.left < 0:
+            return ROUGH_PIECE.match(html, at)
+        m = PIECE.match(html, at)
+        if m[2] is None and html[at] == "<" and TAG_START.match(html, at):
+            self.left -= len(html) - at
+        return m
+
+    def after_raw(self, tag: str, at: int) -> int:
+        end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(self.html, at)
+        return end.end() if end else len(self.html)
+
+    def look(self) -> None:
+        """One pass for the ends of inline elements and the starts of articles that are not noise themselves."""
+        self.ends, open_, at = {}, {}, 0
+        while at < len(self.html):
+            m = self.piece(at)
+            at = m.end()
+            if m[2] is None:
+                continue
+            tag = m[2].lower()
+            if m[1]:
+                if open_.get(tag):
+                    self.ends[open_[tag].pop()] = at
+            elif tag in RAW:
+                at = self.after_raw(tag, at)
+            elif tag not in BLOCK and tag not in VOID:
+                open_.setdefault(tag, []).append(at)
+            elif tag in ("article", "main") and not noise(tag, m[3], 0)[0]:
+                self.starts.append(m.start())
+
+    def inline_end(self, at: int) -> int:
+        """Past the end of the inline element whose start tag ends at a place; the place itself if it is never closed."""
+        if self.ends is None:
+            self.look()
+        return self.ends.get(at, at)
+
+    def holds_article(self, at: int, end: int) -> bool:
+        """Whether an article or main element that is not noise itself starts in a part of the page."""
+        if self.ends is None:
+            self.look()
+        i = bisect_left(self.starts, at)
+        return i < len(self.starts) and self.starts[i] < end
+
+
 def walk(html: str, templates: frozenset[int] | None = None) -> tuple[list[str], list[int]]:
     """The blocks of the page's text in order, and the hashes of its subtrees."""
     wrappers: set[int] = set()
+    page = Page(html)
     while True:
         known = len(wrappers)
-        found = walk_once(html, templates, wrappers)
+        found = walk_once(page, templates, wrappers)
         if len(wrappers) == known:
             return found
 
 
-def walk_once(html: str, templates: frozenset[int] | None, wrappers: set[int]) -> tuple[list[str], list[int]]:
+IN_MAIN, IN_ARTICLE = 1, 2
+OUTWEIGHS = 2
+
+
+def chosen(blocks: list[tuple[int, str]]) -> list[str]:
+    """The blocks of the container that holds the text; a block's number tells which containers it lies in."""
+    article, main, outside = (sum(len(t) for z, t in blocks if fits(z)) for fits in (lambda z: z & IN_ARTICLE, lambda z: z == IN_MAIN, lambda z: not z))
+    if article and OUTWEIGHS * article >= max(main, outside):
+        return [t for z, t in blocks if z & IN_ARTICLE]
+    in_main = sum(len(t) for z, t in blocks if z & IN_MAIN)
+    if in_main and OUTWEIGHS * in_main >= outside:
+        return [t for z, t in blocks if z & IN_MAIN]
+    return [t for _, t in blocks]
+
+
+def walk_once(page: Page, templates: frozenset[int] | None, wrappers: set[int]) -> tuple[list[str], list[int]]:
     """As `walk`; elements that start at one of `wrappers` are no noise, and noise by class or id that turns out to hold an article is added to them."""
-    blocks: list[tuple[int, str]] = []
+    html, blocks = page.html, []
     stack: list[list] = []  # tag, zone, first block, parts of the hash, dropped, start
     line: list[str] = []
     hashes: list[int] = []
+    names: Counter = Counter()  # open elements by tag
     zone = dropped = at = sure = likely = 0
 
     def flush() -> None:
@@ -116,6 +217,7 @@ def walk_once(html: str, templates: frozenset[int] | None, wrappers: set[int]) -
         nonlocal zone, dropped, sure, likely
         flush()
         tag, own_zone, first, parts, noisy, _ = stack.pop()
+        names[tag] -= 1
         if noisy:
             dropped -= 1
             sure -= noisy == SURE
@@ -123,14 +225,14 @@ def walk_once(html: str, templates: frozenset[int] | None, wrappers: set[int]) -
         elif not dropped and parts[1:]:
             h = int.from_bytes(blake2b("\x1f".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
             hashes.append(h)
-            if templates and h in templates and not (tag in TEXT and zone == 2):
+            if templates and h in templates and not (tag in TEXT and zone & IN_ARTICLE):
                 del blocks[first:]
             if stack:
                 stack[-1][3].append(str(h))
         zone = own_zone
 
     while at < len(html):
-        m = PIECE.match(html, at)
+        m = page.piece(at)
         begin, at = at, m.end()
         tag = m[2]
         if tag is None:
@@ -140,7 +242,7 @@ def walk_once(html: str, templates: frozenset[int] | None, wrappers: set[int]) -
             continue
         tag = tag.lower()
         if m[1]:
-            if tag in BLOCK and any(s[0] == tag for s in stack):
+            if tag in BLOCK and names[tag]:
                 while stack[-1][0] != tag:
                     close()
                 close()
@@ -154,16 +256,15 @@ def walk_once(html: str, templates: frozenset[int] | None, wrappers: set[int]) -
                 flush()
             continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(html, at)
-            at = end.end() if end else len(html)
+            at = page.after_raw(tag, at)
             continue
         noisy, kind = noise(tag, m[3], zone)
         if noisy == LIKELY and begin in wrappers:
             noisy = 0
         if tag not in BLOCK:
             if noisy and not m[3].rstrip().endswith("/"):
-                end = skip_inline(html, at, tag)
-                if noisy == SURE or not holds_article(html, at, end):
+                end = page.inline_end(at)
+                if noisy == SURE or not page.holds_article(at, end):
                     line.append(" ")
                     at = end
             continue
@@ -179,43 +280,19 @@ def walk_once(html: str, templates: frozenset[int] | None, wrappers: set[int]) -
         if likely and not sure and not noisy and tag in ("article", "main"):
             wrappers.update(s[5] for s in stack if s[4])
         stack.append([tag, zone, len(blocks), [f"{tag}.{kind}"], noisy, begin])
+        names[tag] += 1
         if noisy:
             dropped += 1
             sure += noisy == SURE
             likely += noisy == LIKELY
         elif tag == "article":
-            zone = 2
+            zone |= IN_ARTICLE
         elif tag == "main" or kind == "main":
-            zone = max(zone, 1)
+            zone |= IN_MAIN
     while stack:
         close()
     flush()
-    best = max((z for z, _ in blocks), default=0)
-    return [text for z, text in blocks if z == best], hashes
-
-
-def skip_inline(html: str, at: int, tag: str) -> int:
-    """Past the end of an inline element that holds none of the text: its end tag, nested ones counted."""
-    depth = 1
-    for m in re.compile(rf"<(/?){re.escape(tag)}\b[^>]*>", re.I).finditer(html, at):
-        depth += -1 if m[1] else 1
-        if not depth:
-            return m.end()
-    return at
-
-
-def holds_article(html: str, at: int, end: int) -> bool:
-    """Whether an article or main element that is not noise itself starts in a part of the page."""
-    while at < end:
-        m = PIECE.match(html, at, end)
-        at = m.end()
-        tag = (m[2] or "").lower()
-        if tag in ("article", "main") and not m[1] and not noise(tag, m[3], 0)[0]:
-            return True
-        if tag in RAW and not m[1]:
-            raw = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(html, at, end)
-            at = raw.end() if raw else end
-    return False
+    return chosen(blocks), hashes
 
 
 def text_of(html: str | None, templates: frozenset[int] | None = None) -> str:

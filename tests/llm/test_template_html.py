@@ -1,5 +1,8 @@
 """Main text of pages: odd markup, noise by tag and class, and templates by recurrence."""
 
+import random
+import time
+
 from newsloom.llm import template_html as op
 
 CASES = [
@@ -41,6 +44,65 @@ def test_noise_by_class_does_not_take_the_article_with_it():
         assert op.text_of(html) == text, html
 
 
+STORIES = [
+    ("<main><h1>T</h1><p>long main text</p></main><article><p>teaser</p></article>", "T\n\nlong main text"),
+    ("<div class=content><h1>Story</h1><p>The whole story, told here.</p></div><article><h2>More</h2></article>", "Story\n\nThe whole story, told here.\n\nMore"),
+    ("<div class='post-12 post category-social tag-search'><p>The whole story.</p></div>", "The whole story."),
+    ("<div id='alerts-and-notices-explained' class='story'><p>The whole story.</p></div>", "The whole story."),
+    ("<main><article><p>an article of the main part</p></article><p>tail</p></main><p>out</p>", "an article of the main part"),
+    ("<p>a</p><div class='ad-slot'>x</div><div class='cookie-consent-banner'>y</div><div class='related-posts'>z</div><ul class='social-links'><li>w</ul>", "a"),
+    ("<p>a</p><div class='advice'>b</div><div class='shared-notes'>c</div><div class='searching'>d</div>", "a\n\nb\n\nc\n\nd"),
+]
+
+
+def test_stories_are_kept():
+    for html, text in STORIES:
+        assert op.text_of(html) == text, html
+
+
+LONG = {
+    "open noise": "<p>start</p>" + "<span class='ad'>x" * 50_000,
+    "closed noise": "<span class='ad'>" * 50_000 + "</span>" * 50_000 + "<p>end</p>",
+    "noise around articles": "<b class='ad'>" * 20_000 + "<article>a</article>" + "</b>" * 20_000,
+    "unmatched quotes": "<p>start</p>" + '<a "x ' * 100_000,
+    "unmatched quotes before an end": "<p>start</p>" + "<a \"x ' " * 100_000 + ">'\">",
+    "open divs": "<div>" * 50_000 + "</section>" * 50_000 + "deep",
+    "many names": "".join(f"<x{i} class=ad>y</x{i}>" for i in range(50_000)) + "<p>end</p>",
+    "one line": "<p>" + "word " * 1_000_000,
+}
+
+
+def test_long_pages_take_time_in_proportion():
+    for name, html in LONG.items():
+        start = time.time()
+        op.text_of(html)
+        assert time.time() - start < 15, name
+
+
+def plain_templates(rows, least):
+    """Hashes that recur on pages of a host that differ, by a plain count; and each page's text without them."""
+    counts = {}
+    for _, url, html in rows:
+        blocks, hashes = op.walk(html or "")
+        host = (url or "").split("://", 1)[1].split("/", 1)[0].lower() if "://" in (url or "") else ""
+        for h in set(hashes):
+            counts.setdefault((host, h), set()).add("\n".join(blocks))
+    out = {}
+    for i, url, html in rows:
+        host = (url or "").split("://", 1)[1].split("/", 1)[0].lower() if "://" in (url or "") else ""
+        found = frozenset(h for (k, h), texts in counts.items() if k == host and len(texts) >= least)
+        out[i] = "\n\n".join(op.walk(html or "", found)[0])
+    return out
+
+
+def test_templates_against_a_plain_count(spark):
+    rnd = random.Random(1)
+    parts = [f"<div><p>part {k}</p><ul><li>x{k % 3}</li></ul></div>" for k in range(12)]
+    rows = [(i, f"http://h{rnd.randrange(3)}.org/{i}", "<body>" + "".join(rnd.sample(parts, 4)) + f"<div><p>Own words of page {i % 40}.</p></div></body>") for i in range(60)]
+    got = {r.page_id: r.text for r in op.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
+    assert got == plain_templates(rows, op.LEAST_PAGES)
+
+
 def pages():
     rows = []
     for i in range(12):
