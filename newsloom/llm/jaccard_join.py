@@ -37,7 +37,8 @@ ship(__name__)
 SHINGLE = 5
 PERCENT = 75
 COUNTERS = 1 << 18
-REMEMBERED = 500_000
+REMEMBERED = 200_000
+AT_ONCE = 512  # texts that a task holds as strings
 LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -55,6 +56,12 @@ class Words(dict):
         return h
 
 
+def strings(column):
+    """The texts of an Arrow column, a bounded number at a time."""
+    for k in range(0, len(column), AT_ONCE):
+        yield from column.slice(k, AT_ONCE).to_pylist()
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(MIX[0])
     h = (h ^ (h >> np.uint64(27))) * np.uint64(MIX[1])
@@ -93,8 +100,8 @@ def profile(docs: DataFrame, id_column: str, text_column: str, size: int) -> Dat
 
         names, words, counts = ["kind", "id", "n", "node", "text_hash"], Words(), np.zeros(COUNTERS, "i8")
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                some = batch.slice(k, 512)
+            for k in range(0, batch.num_rows, AT_ONCE):
+                some = batch.slice(k, AT_ONCE)
                 sets = [shingles(words, t, size) for t in some.column(1).to_pylist()]
                 counts += np.bincount((np.concatenate(sets) & np.uint64(COUNTERS - 1)).astype("i8"), minlength=COUNTERS)
                 columns = [np.zeros(len(sets), "i4"), some.column(0), np.array([len(s) for s in sets], "i8"), np.array([node_of(s) for s in sets], "i8"), some.column(2)]
@@ -128,7 +135,7 @@ def postings(docs: DataFrame, order: np.ndarray, text_column: str, size: int, pe
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=names)
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in strings(batch.column(0)):
                 own = shingles(words, text, size)
                 n = len(own)
                 node = node_of(own)
@@ -294,7 +301,7 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame, profiled: DataFrame, id_co
         for batch in batches:
             spots = batch.column(1).to_numpy() & (CANDIDATE_BITS - 1)
             may = np.flatnonzero((by_id[spots >> 3] >> (spots & 7).astype("u1")) & 1)
-            for text in batch.column(0).take(pa.array(may)).to_pylist():
+            for text in strings(batch.column(0).take(pa.array(may))):
                 own = shingles(words, text, size)
                 node = node_of(own)
                 bit = node & (CANDIDATE_BITS - 1)
