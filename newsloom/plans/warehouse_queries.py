@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import text
 from newsloom.operators import gold as gold_ops
-from newsloom.operators import skew, warehouse
+from newsloom.operators import sketches, skew, warehouse
 from newsloom.plans import demo, sql
 from newsloom.plans.sql import mean, with_
 from newsloom.sources import tables
@@ -285,3 +285,20 @@ def run_summary(spark, sf):
         F.countDistinct("topic_label").alias("topics"),
         F.count("polymarket_prob").alias("signals"),
     ).withColumn("articles_scraped", scraped)
+
+
+@query(
+    "distinct_by_sketch",
+    """SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, true AS about_right FROM events
+       WHERE ts::DATE > (SELECT min(ts::DATE) FROM events) GROUP BY 1""",
+)
+def distinct_by_sketch(spark, sf):
+    """Users per kind of event after the first day, from daily sketches; `about_right` tells whether the estimate lies within its tolerance of the exact count."""
+    events = tables.table(spark, sf, "events")
+    day = F.to_date("ts")
+    daily = sketches.daily_sketches(events, F.col("user_id"), day, "event_type")
+    first = events.agg(F.date_add(F.min(day), 1).cast("string")).first()[0]
+    about = sketches.merged(daily, "event_type", first=first)
+    exact = events.where(day >= F.lit(first).cast("date")).groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    near = F.abs(F.col("about") - F.col("users")) <= F.greatest(F.lit(1.0), F.lit(sketches.TOLERANCE) * F.col("users"))
+    return about.join(exact, "event_type").select("event_type", "n", "users", near.alias("about_right"))
