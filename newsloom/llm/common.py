@@ -80,6 +80,19 @@ def running(items: Column, start: Column, step, kind: str) -> Column:
     return let(items, over)
 
 
+def given_back() -> None:
+    """At the end of a task: what Arrow and the allocator keep for later goes back to the system, as Python workers stay."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 class Shared:
     """A broadcast of an object of this package's classes, unpickled once in each task."""
 

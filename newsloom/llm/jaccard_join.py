@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from newsloom.llm.common import fresh, Shared, ship, stored, UPPER
+from newsloom.llm.common import fresh, given_back, Shared, ship, stored, UPPER
 from newsloom.llm.components import components
 
 ship(__name__)
@@ -37,7 +37,7 @@ ship(__name__)
 SHINGLE = 5
 PERCENT = 75
 COUNTERS = 1 << 18
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 AT_ONCE = 512  # texts that a task holds as strings
 LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -151,6 +151,7 @@ def postings(docs: DataFrame, order: np.ndarray, text_column: str, size: int, pe
                     held, rows = [], 0
         if held:
             yield out()
+        given_back()
 
     return docs.select(text_column).mapInArrow(task, "token long, node long, n int, pos int")
 
@@ -313,6 +314,7 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame, profiled: DataFrame, id_co
                     held = []
         if held:
             yield out()
+        given_back()
 
     rows = docs.select(F.col(text_column), F.xxhash64(F.coalesce(F.col(id_column).cast("long"), F.lit(-1))))
     return stored(rows.mapInArrow(task, "node long, n int, hashes binary"), "candidate-sets")
