@@ -2,20 +2,22 @@
 
 A document is the set of its hashed five-word shingles; two link when their Jaccard similarity reaches
 `PERCENT`. With sizes a and b that is an overlap of at least T = ceil(p (a + b) / (100 + p)) shingles: a
-T-occurrence search over inverted lists. Of DivideSkip only the case with a merge threshold of one is done, that is prefix
-filtering: short lists are not merged by a heap, occurrences are not counted, and every meeting in one list is a candidate.
+T-occurrence search over inverted lists, by DivideSkip.
 
 1. Equal sets become one node. Shingles are ordered by how often they occur over all documents (counted in a
    table of fixed size by hash; equal counts by hash), so that long inverted lists come last.
-2. Short lists: each node enters only its first n - ceil(p n / 100) + 1 shingles. Two nodes that reach T must meet in one of
-   these lists; a list is merged in the order of sizes, and a meeting at places that leave less than T shingles is skipped.
-3. Long lists are never merged: the rest of the smaller set is probed in the larger one by binary search, until T is
-   reached or out of reach.
+2. Short lists: each node enters the lists of its first n - L shingles, L = ceil(p n / 100) - 1. Lists are merged in the order of
+   sizes and occurrences are counted per pair of nodes. Of T common shingles all but the L of the node whose
+   short lists end first lie in lists of both, so a pair needs T - max(L) occurrences to be a candidate; a meeting
+   counts only where the places leave room for T shingles (those before it and those from it on).
+3. Long lists are never merged: for candidates only, the shingles of the smaller set are probed in the larger one by
+   binary search, until T is reached or out of reach.
 
 Links are sought in two rounds, so that a group of near copies does not become all its pairs. First every
-member of a list is compared only with the list's smallest member of a fitting size, with its neighbour in size and with the member that has least of its own, and what is
-linked becomes components. Then all pairs of a list that are still in different components are compared. After that no pair that meets is left, so
-the components are those of all links.
+member of a list meets only the list's smallest member of a fitting size, its neighbour in size and the member that has least
+of its own; pairs with a third of the occurrences that all lists would have to give are verified, and what is linked becomes
+components. Then the pairs of a list that are still in different components are counted in full, and those that
+have the occurrences they need are verified. After that no pair that can link is left, so the components are those of all links.
 
 Words: A-Z lower-cased, split at ASCII white space. With fewer words than a shingle, the
 whole sequence is the one shingle; null, empty and blank texts have none and link with nothing. Rows without an id
@@ -25,7 +27,7 @@ Other columns are not read. Shingles and sets are told apart by 64-bit hashes (s
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -44,6 +46,7 @@ MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 MULTIPLIER = 0x9E3779B97F4A7C15
 ROWS_OUT = 200_000
 CANDIDATE_BITS = 1 << 25
+BLOCK = 256  # members of a list that meet in one task: longer lists are dealt out by pairs of blocks
 
 
 class Words(dict):
@@ -92,6 +95,23 @@ def required(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return -(-(percent * (a + b)) // (100 + percent))
 
 
+def long_lists(n, percent: int):
+    """L: how many of a node's n inverted lists count as long, the last in the order of rarity."""
+    return -(-percent * n // 100) - 1
+
+
+def occurrences_needed(percent: int) -> Column:
+    """In how many short lists two sets of na and nb shingles (columns) must meet to be able to link."""
+    sizes = F.col("na").cast("long") + F.col("nb")
+    overlap = F.ceil(percent * sizes / (100 + percent))
+    return F.greatest(overlap - F.greatest(*[F.ceil(F.col(c).cast("long") * percent / 100) - 1 for c in ("na", "nb")]), F.lit(1))
+
+
+def roomy(a, at, b, place, percent: int):
+    """Where sets of a and b shingles, that meet at these places, can reach their overlap."""
+    return np.minimum(at, place) + np.minimum(a - at, b - place) >= required(a, b, percent)
+
+
 def profile(docs: DataFrame, id_column: str, text_column: str, size: int) -> DataFrame:
     """Rows of kind 0: (doc_id, n, node, text_hash); rows of kind 1: (counter, number of documents in it)."""
 
@@ -122,7 +142,7 @@ def rarity(counted: DataFrame) -> np.ndarray:
 
 
 def postings(docs: DataFrame, order: np.ndarray, text_column: str, size: int, percent: int) -> DataFrame:
-    """(token, node, n, pos): each node's first shingles in the order of rarity. A task enters a set once."""
+    """(token, node, n, pos): each node's short lists, the first in the order of rarity. A task enters a set once."""
     shared = Shared(docs.sparkSession, order)
 
     def task(batches):
@@ -142,7 +162,7 @@ def postings(docs: DataFrame, order: np.ndarray, text_column: str, size: int, pe
                 if not n or node in seen:
                     continue
                 seen.add(node)
-                first = n - -(-percent * n // 100) + 1
+                first = n - long_lists(n, percent)
                 rank = np.lexsort((own, order[(own & np.uint64(COUNTERS - 1)).astype("i8")]))[:first]
                 held.append((own[rank].view("i8"), np.full(first, node, "i8"), np.full(first, n, "i4"), np.arange(first, dtype="i4")))
                 rows += first
@@ -159,17 +179,19 @@ def postings(docs: DataFrame, order: np.ndarray, text_column: str, size: int, pe
 MEETINGS = "kind int, token long, node long, n int, pos int, node2 long, n2 int"
 
 
-def by_list(batches, work):
-    """Calls `work` with the columns of whole lists, in bounded portions; rows come sorted by token."""
+def by_list(batches, work, keys: int = 1):
+    """Calls `work` with the columns of whole lists, in bounded portions; rows come sorted by the first `keys` columns, which name a list."""
     held = None
     for batch in batches:
         columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         if held is not None:
             columns = [np.concatenate(x) for x in zip(held, columns)]
-        tokens = columns[0]
-        if not len(tokens):
+        if not len(columns[0]):
             continue
-        cut = int(np.searchsorted(tokens, tokens[-1], "left"))
+        differs = np.zeros(len(columns[0]), bool)
+        for c in columns[:keys]:
+            differs |= c != c[-1]
+        cut = len(differs) - int(np.argmin(differs[::-1] == differs[-1])) if differs.any() else 0
         held = [c[cut:] for c in columns]
         if cut:
             yield from work([c[:cut] for c in columns])
@@ -179,7 +201,8 @@ def by_list(batches, work):
 
 def merge_lists(rows: DataFrame, percent: int) -> DataFrame:
     """Lists of several nodes. Kind 1: meetings of a member with the first member of fitting size, with the
-    member before it, and with the one where the shingle comes first (of near copies the one least changed); kind 0: the members of lists of three or more, for the second round."""
+    member before it, and with the one where the shingle comes first (of near copies the one least changed), each pair of a list once;
+    kind 2: the one pair of a list of two; kind 0: the members of lists of three or more, for the second round."""
 
     def work(columns):
         import pyarrow as pa
@@ -211,16 +234,18 @@ def merge_lists(rows: DataFrame, percent: int) -> DataFrame:
         by_place = np.lexsort((pos, np.repeat(np.arange(len(starts)), ends - starts)))
         hub = np.repeat(by_place[starts], ends - starts)
         listed = np.flatnonzero(size >= 3)
-        pick, two = [listed], [listed]
+        pick, two, known = [listed], [listed], []
         for other in (pivot, before, hub):
             a, b = n[other].astype("i8"), n.astype("i8")
-            need = required(a, b, percent)
             fits = percent * np.maximum(a, b) <= 100 * np.minimum(a, b)
-            meets = (other != own) & fits & (a - pos[other] >= need) & (b - pos >= need)
+            meets = (other != own) & fits & roomy(a, pos[other], b, pos, percent)
+            for earlier in known:  # the pair is known from this member or from the other one
+                meets &= (earlier != other) & (earlier[other] != own)
+            known.append(np.where(meets, other, own))
             pick.append(np.flatnonzero(meets))
             two.append(other[meets])
-        kind = np.repeat(np.array([0, 1, 1, 1], "i4"), [len(p) for p in pick])
         pick, two = np.concatenate(pick), np.concatenate(two)
+        kind = np.where(np.arange(len(pick)) < len(listed), 0, np.where(size[pick] == 2, 2, 1)).astype("i4")
         yield pa.RecordBatch.from_arrays(
             [pa.array(c) for c in (kind, token[pick], node[pick], n[pick], pos[pick], node[two], n[two])],
             names=["kind", "token", "node", "n", "pos", "node2", "n2"],
@@ -231,42 +256,54 @@ def merge_lists(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def rest_of_lists(listed: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, na, b, nb) of lists whose members are still in different components. Lists with the same
-    first member go to one task, which remembers pairs (a bounded number of them) so as not to send them again."""
-    seen: set[tuple[int, int]] = set()
+    """(a, na, b, nb, times): occurrences of pairs in lists whose members are in different components. Lists with the same
+    first member and length go to the same tasks, which add up occurrences before they send them. A list of more
+    than BLOCK members is cut by hash into blocks, and each pair of blocks is one task's work."""
 
     def work(columns):
         import pyarrow as pa
 
-        token, node, n, pos, label, _ = columns
-        starts = np.append(np.flatnonzero(np.append(True, token[1:] != token[:-1])), len(token))
+        key, token, node, n, pos, label, block, other = columns
+
+        def out(held):
+            a, na, b, nb = (np.concatenate(c) for c in zip(*held))
+            order = np.lexsort((nb, b, na, a))
+            a, na, b, nb = a[order], na[order], b[order], nb[order]
+            at = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (na[1:] != na[:-1]) | (nb[1:] != nb[:-1])))
+            times = np.diff(np.append(at, len(a)))
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in (a[at], na[at], b[at], nb[at], times.astype("i8"))], names=["a", "na", "b", "nb", "times"])
+
+        new = (key[1:] != key[:-1]) | (token[1:] != token[:-1])
+        starts = np.append(np.flatnonzero(np.append(True, new)), len(token))
         held: list[tuple] = []
         rows = 0
         for s, e in zip(starts.tolist(), starts[1:].tolist()):
             size, place = n[s:e].astype("i8"), pos[s:e].astype("i8")
+            across = other[s] != block[s]  # two different blocks: pairs inside one are another task's
             for i in range(e - s - 1):
                 j = np.arange(i + 1, int(np.searchsorted(size, 100 * size[i] // percent, "right")))
                 j = j[label[s + j] != label[s + i]]
-                need = required(size[i], size[j], percent)
-                j = j[(size[i] - place[i] >= need) & (size[j] - place[j] >= need)]
-                first = int(node[s + i])
-                j = np.array([k for k in j.tolist() if (first, int(node[s + k])) not in seen], "i8")
-                if len(seen) > REMEMBERED:
-                    seen.clear()
-                seen.update((first, int(x)) for x in node[s + j])
+                if across:
+                    j = j[block[s + j] != block[s + i]]
+                j = j[roomy(size[i], place[i], size[j], place[j], percent)]
                 if len(j):
-                    held.append((np.full(len(j), node[s + i]), np.full(len(j), n[s + i]), node[s + j], n[s + j]))
+                    x, y, nx, ny = np.full(len(j), node[s + i]), node[s + j], np.full(len(j), n[s + i]), n[s + j]
+                    turned = x > y
+                    held.append((np.where(turned, y, x), np.where(turned, ny, nx), np.where(turned, x, y), np.where(turned, nx, ny)))
                     rows += len(j)
                 if rows >= ROWS_OUT:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=["a", "na", "b", "nb"])
+                    yield out(held)
                     held, rows = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=["a", "na", "b", "nb"])
+            yield out(held)
 
-    heads = listed.groupBy("token").agg(F.min(F.struct("n", "node"))["node"].alias("head"))
-    routed = listed.join(heads, "token").select("token", "node", "n", "pos", "label", "head")
-    dealt = routed.repartition("head").sortWithinPartitions("token", "n", "node")
-    return dealt.mapInArrow(lambda batches: by_list(batches, work), "a long, na int, b long, nb int")
+    heads = listed.groupBy("token").agg(F.min(F.struct("n", "node"))["node"].alias("head"), F.count(F.lit(1)).alias("members"))
+    routed = listed.join(heads, "token").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    routed = routed.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
+    spread = routed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    key = F.xxhash64("head", "blocks", F.least("block", "other"), F.greatest("block", "other")).alias("key")
+    dealt = spread.select(key, "token", "node", "n", "pos", "label", "block", "other").repartition("key").sortWithinPartitions("key", "token", "n", "node")
+    return dealt.mapInArrow(lambda batches: by_list(batches, work, keys=2), "a long, na int, b long, nb int, times long")
 
 
 def bitmap(hashes: DataFrame, column: str) -> bytes:
@@ -359,9 +396,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     rows = found.where("kind = 0").select("id", "n", "node", "text_hash")
     order = rarity(found.where("kind = 1"))
     met = stored(merge_lists(postings(docs, order, text_column, size, percent), percent), "list-meetings")
-    first = met.where("kind = 1").select(F.least("node", "node2").alias("a"), F.when(F.col("node") <= F.col("node2"), F.col("n")).otherwise(F.col("n2")).alias("na"),
-                                         F.greatest("node", "node2").alias("b"), F.when(F.col("node") <= F.col("node2"), F.col("n2")).otherwise(F.col("n")).alias("nb"))
-    first = stored(first.distinct(), "first-pairs")
+    first_smaller = F.col("node") <= F.col("node2")
+    events = met.where("kind > 0").select(F.least("node", "node2").alias("a"), F.when(first_smaller, F.col("n")).otherwise(F.col("n2")).alias("na"),
+                                          F.greatest("node", "node2").alias("b"), F.when(first_smaller, F.col("n2")).otherwise(F.col("n")).alias("nb"), "kind")
+    pair = ["a", "na", "b", "nb"]
+    needed = occurrences_needed(percent)
+    counted = events.groupBy(*pair).agg(F.count(F.lit(1)).alias("times"))
+    first = stored(counted.where(F.col("times") * 3 >= needed).select(*pair), "first-pairs")
+
     def checked(pairs: DataFrame, label: str) -> DataFrame:
         """The pairs that link; only sets of nodes in pairs are made."""
         nodes = pairs.select(F.col("a").alias("node"), F.col("na").alias("n")).union(pairs.select("b", "nb")).distinct()
@@ -373,9 +415,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     labelled = met.where("kind = 0").select("token", "node", "n", "pos").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_ = labelled.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
     rest = rest_of_lists(labelled.join(open_, "token", "left_semi").select("token", "node", "n", "pos", "label"), percent)
-    ordered = rest.select(F.least("a", "b").alias("a"), F.when(F.col("a") <= F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
-                          F.greatest("a", "b").alias("b"), F.when(F.col("a") <= F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"))
-    second = stored(ordered.distinct().join(first, ["a", "na", "b", "nb"], "left_anti"), "second-pairs")
+    pairs_of_two = events.where("kind = 2").select(*pair, F.lit(1).cast("long").alias("times"))
+    full = rest.union(pairs_of_two).groupBy(*pair).agg(F.sum("times").alias("times")).where(F.col("times") >= needed)
+    second = stored(full.select(*pair).join(first, pair, "left_anti"), "second-pairs")
     if not second.isEmpty():
         labels = components(links.union(checked(second, "second-links")))
     smallest = rows.where("n > 0").groupBy("node", "n").agg(F.min("id").alias("least"))
@@ -399,7 +441,10 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     id_, h = fresh("kept_id", docs.columns, [own]), fresh("kept_text", docs.columns, [own])
     marked = docs.withColumn(own, F.xxhash64(text_column))
     kept = marked.join(ties.select(F.col("doc_id").alias(id_), F.col("h").alias(h)).distinct(), F.col(id_column).eqNullSafe(F.col(id_)) & (F.col(own) == F.col(h)), "left_semi")
-    # of rows equal in id and text the one whose other columns hash least, so that every run keeps the same
+    # Of rows equal in id and text the one whose other columns hash least, so that every run keeps the same. Only these rows are sorted.
+    again = marked.groupBy(F.col(id_column).alias(id_), F.col(own).alias(h)).agg(F.count(F.lit(1)).alias("times")).where("times > 1").drop("times")
+    same = F.col(id_column).eqNullSafe(F.col(id_)) & (F.col(own) == F.col(h))
     hashable = [c for c, t in docs.dtypes if "map<" not in t and "variant" not in t]
     order = W.partitionBy(id_column, own).orderBy(F.xxhash64(*hashable))
-    return kept.withColumn(n, F.row_number().over(order)).where(F.col(n) == 1).select(*docs.columns)
+    repeated = kept.join(again, same, "left_semi").withColumn(n, F.row_number().over(order)).where(F.col(n) == 1)
+    return kept.join(again, same, "left_anti").select(*docs.columns).unionByName(repeated.select(*docs.columns))

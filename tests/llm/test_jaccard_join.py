@@ -56,6 +56,46 @@ def test_components_equal_all_pairs(spark):
         assert sorted(got, key=repr) == sorted(plain(rows), key=repr)
 
 
+def test_lists_cut_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(op, "BLOCK", 2)
+    rows = case(5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert sorted((tuple(r) for r in op.near_duplicates(docs).drop("text_hash").collect()), key=repr) == sorted(plain(rows), key=repr)
+
+
+def test_linked_sets_meet_often_enough_in_their_short_lists(spark):
+    """Every pair of sets that reaches its overlap has the occurrences the candidates are chosen by, and each meeting has room."""
+    rnd, pairs = random.Random(4), []
+    while len(pairs) < 300:
+        both, one, two = rnd.randint(1, 60), rnd.randint(0, 12), rnd.randint(0, 12)
+        if 100 * both < 75 * (both + one + two):
+            continue
+        order = rnd.sample(range(both + one + two), both + one + two)
+        pairs.append((sorted(order[: both + one]), sorted(order[:both] + order[both + one :])))
+    needed = spark.createDataFrame([(k, len(a), len(b)) for k, (a, b) in enumerate(pairs)], "k int, na int, nb int").withColumn("needed", op.occurrences_needed(75))
+    for r in needed.collect():
+        a, b = pairs[r.k]
+        short = [x[: len(x) - op.long_lists(len(x), 75)] for x in (a, b)]
+        meetings = set(short[0]) & set(short[1])
+        assert len(meetings) >= r.needed >= 1
+        assert all(op.roomy(len(a), a.index(x), len(b), b.index(x), 75) for x in meetings)
+
+
+def test_portions_hold_whole_lists():
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(6)
+    rows = sorted((rnd.randrange(3), rnd.randrange(4), i) for i in range(60))
+    cuts = sorted(rnd.sample(range(61), 9))
+    batches = [pa.RecordBatch.from_arrays([pa.array(np.array([r[c] for r in rows[i:j]], "i8")) for c in range(3)], names=list("abc")) for i, j in zip([0, *cuts], [*cuts, 60])]
+    for keys in (1, 2):
+        parts = list(op.by_list(batches, lambda columns: [list(zip(*(c.tolist() for c in columns)))], keys))
+        assert [r for p in parts for r in p] == rows
+        names = [{r[:keys] for r in p} for p in parts]
+        assert sum(map(len, names)) == len(set().union(*names))
+
+
 def test_one_of_each_component_stays(spark):
     rows = case(3)
     docs = spark.createDataFrame([(i, t, "z") for i, t in rows], "doc_id long, text string, label string")
