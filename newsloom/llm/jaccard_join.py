@@ -6,18 +6,18 @@ T-occurrence search over inverted lists, by DivideSkip.
 
 1. Equal sets become one node. Shingles are ordered by how often they occur over all documents (counted in a
    table of fixed size by hash; equal counts by hash), so that long inverted lists come last.
-2. Short lists: each node enters the lists of its first n - L shingles, L = ceil(p n / 100) - 1. Lists are merged in the order of
-   sizes and occurrences are counted per pair of nodes. Of T common shingles all but the L of the node whose
-   short lists end first lie in lists of both, so a pair needs T - max(L) occurrences to be a candidate; a meeting
-   counts only where the places leave room for T shingles (those before it and those from it on).
+2. Short lists: each node enters the lists of its first n - L shingles, L = ceil(p n / 100) - 1. Two nodes that reach T meet in
+   one of them; a list is merged in the order of sizes, and a meeting at places that leave less than T shingles is skipped.
+   Occurrences of pairs that meet are counted by merging the short lists of both: of T common shingles all but the L of the
+   node whose short lists end first lie in lists of both, so a pair needs T - max(L) occurrences to be a candidate. (They
+   are counted on 32 bits of a hash, which may count some too many, never too few.)
 3. Long lists are never merged: for candidates only, the shingles of the smaller set are probed in the larger one by
    binary search, until T is reached or out of reach.
 
 Links are sought in two rounds, so that a group of near copies does not become all its pairs. First every
 member of a list meets only the list's smallest member of a fitting size, its neighbour in size and the member that has least
-of its own; pairs with a third of the occurrences that all lists would have to give are verified, and what is linked becomes
-components. Then the pairs of a list that are still in different components are counted in full, and those that
-have the occurrences they need are verified. After that no pair that can link is left, so the components are those of all links.
+of its own, and what is linked becomes components. Then all pairs of a list that are still in different components meet. After that
+no pair that can link is left, so the components are those of all links.
 
 Words: A-Z lower-cased, split at ASCII white space. With fewer words than a shingle, the
 whole sequence is the one shingle; null, empty and blank texts have none and link with nothing. Rows without an id
@@ -27,7 +27,7 @@ Other columns are not read. Shingles and sets are told apart by 64-bit hashes (s
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -100,16 +100,19 @@ def long_lists(n, percent: int):
     return -(-percent * n // 100) - 1
 
 
-def occurrences_needed(percent: int) -> Column:
-    """In how many short lists two sets of na and nb shingles (columns) must meet to be able to link."""
-    sizes = F.col("na").cast("long") + F.col("nb")
-    overlap = F.ceil(percent * sizes / (100 + percent))
-    return F.greatest(overlap - F.greatest(*[F.ceil(F.col(c).cast("long") * percent / 100) - 1 for c in ("na", "nb")]), F.lit(1))
+def occurrences_needed(a, b, percent: int):
+    """In how many short lists sets of a and b shingles must meet to be able to link."""
+    return np.maximum(required(a, b, percent) - np.maximum(long_lists(a, percent), long_lists(b, percent)), 1)
 
 
-def roomy(a, at, b, place, percent: int):
-    """Where sets of a and b shingles, that meet at these places, can reach their overlap."""
-    return np.minimum(at, place) + np.minimum(a - at, b - place) >= required(a, b, percent)
+def rarest(own: np.ndarray, order: np.ndarray, percent: int) -> np.ndarray:
+    """The shingles of a set's short lists, rarest first."""
+    return own[np.lexsort((own, order[(own & np.uint64(COUNTERS - 1)).astype("i8")]))[: len(own) - long_lists(len(own), percent)]]
+
+
+def occurrences(x: np.ndarray, y: np.ndarray) -> int:
+    """How many of x are in y; both are sorted."""
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
 
 
 def profile(docs: DataFrame, id_column: str, text_column: str, size: int) -> DataFrame:
@@ -162,9 +165,9 @@ def postings(docs: DataFrame, order: np.ndarray, text_column: str, size: int, pe
                 if not n or node in seen:
                     continue
                 seen.add(node)
-                first = n - long_lists(n, percent)
-                rank = np.lexsort((own, order[(own & np.uint64(COUNTERS - 1)).astype("i8")]))[:first]
-                held.append((own[rank].view("i8"), np.full(first, node, "i8"), np.full(first, n, "i4"), np.arange(first, dtype="i4")))
+                short = rarest(own, order, percent)
+                first = len(short)
+                held.append((short.view("i8"), np.full(first, node, "i8"), np.full(first, n, "i4"), np.arange(first, dtype="i4")))
                 rows += first
                 if rows >= ROWS_OUT:
                     yield out()
@@ -202,7 +205,7 @@ def by_list(batches, work, keys: int = 1):
 def merge_lists(rows: DataFrame, percent: int) -> DataFrame:
     """Lists of several nodes. Kind 1: meetings of a member with the first member of fitting size, with the
     member before it, and with the one where the shingle comes first (of near copies the one least changed), each pair of a list once;
-    kind 2: the one pair of a list of two; kind 0: the members of lists of three or more, for the second round."""
+    kind 0: the members of lists of three or more, for the second round."""
 
     def work(columns):
         import pyarrow as pa
@@ -238,14 +241,15 @@ def merge_lists(rows: DataFrame, percent: int) -> DataFrame:
         for other in (pivot, before, hub):
             a, b = n[other].astype("i8"), n.astype("i8")
             fits = percent * np.maximum(a, b) <= 100 * np.minimum(a, b)
-            meets = (other != own) & fits & roomy(a, pos[other], b, pos, percent)
+            need = required(a, b, percent)
+            meets = (other != own) & fits & (a - pos[other] >= need) & (b - pos >= need)
             for earlier in known:  # the pair is known from this member or from the other one
                 meets &= (earlier != other) & (earlier[other] != own)
             known.append(np.where(meets, other, own))
             pick.append(np.flatnonzero(meets))
             two.append(other[meets])
         pick, two = np.concatenate(pick), np.concatenate(two)
-        kind = np.where(np.arange(len(pick)) < len(listed), 0, np.where(size[pick] == 2, 2, 1)).astype("i4")
+        kind = (np.arange(len(pick)) >= len(listed)).astype("i4")
         yield pa.RecordBatch.from_arrays(
             [pa.array(c) for c in (kind, token[pick], node[pick], n[pick], pos[pick], node[two], n[two])],
             names=["kind", "token", "node", "n", "pos", "node2", "n2"],
@@ -256,9 +260,10 @@ def merge_lists(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def rest_of_lists(listed: DataFrame, percent: int) -> DataFrame:
-    """(a, na, b, nb, times): occurrences of pairs in lists whose members are in different components. Lists with the same
-    first member and length go to the same tasks, which add up occurrences before they send them. A list of more
-    than BLOCK members is cut by hash into blocks, and each pair of blocks is one task's work."""
+    """Pairs (a, na, b, nb) of lists whose members are still in different components. Lists with the same
+    first member and number of blocks go to the same tasks, which remember pairs (a bounded number of them) so as not to send them again. A list of more
+    than BLOCK members is cut by hash into blocks, and each pair of blocks is work of its own."""
+    seen: set[tuple[int, int]] = set()
 
     def work(columns):
         import pyarrow as pa
@@ -266,12 +271,7 @@ def rest_of_lists(listed: DataFrame, percent: int) -> DataFrame:
         key, token, node, n, pos, label, block, other = columns
 
         def out(held):
-            a, na, b, nb = (np.concatenate(c) for c in zip(*held))
-            order = np.lexsort((nb, b, na, a))
-            a, na, b, nb = a[order], na[order], b[order], nb[order]
-            at = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (na[1:] != na[:-1]) | (nb[1:] != nb[:-1])))
-            times = np.diff(np.append(at, len(a)))
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in (a[at], na[at], b[at], nb[at], times.astype("i8"))], names=["a", "na", "b", "nb", "times"])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=["a", "na", "b", "nb"])
 
         new = (key[1:] != key[:-1]) | (token[1:] != token[:-1])
         starts = np.append(np.flatnonzero(np.append(True, new)), len(token))
@@ -285,11 +285,15 @@ def rest_of_lists(listed: DataFrame, percent: int) -> DataFrame:
                 j = j[label[s + j] != label[s + i]]
                 if across:
                     j = j[block[s + j] != block[s + i]]
-                j = j[roomy(size[i], place[i], size[j], place[j], percent)]
+                need = required(size[i], size[j], percent)
+                j = j[(size[i] - place[i] >= need) & (size[j] - place[j] >= need)]
+                first = int(node[s + i])
+                j = np.array([k for k in j.tolist() if (first, int(node[s + k])) not in seen], "i8")
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+                seen.update((first, int(x)) for x in node[s + j])
                 if len(j):
-                    x, y, nx, ny = np.full(len(j), node[s + i]), node[s + j], np.full(len(j), n[s + i]), n[s + j]
-                    turned = x > y
-                    held.append((np.where(turned, y, x), np.where(turned, ny, nx), np.where(turned, x, y), np.where(turned, nx, ny)))
+                    held.append((np.full(len(j), node[s + i]), np.full(len(j), n[s + i]), node[s + j], n[s + j]))
                     rows += len(j)
                 if rows >= ROWS_OUT:
                     yield out(held)
@@ -303,7 +307,7 @@ def rest_of_lists(listed: DataFrame, percent: int) -> DataFrame:
     spread = routed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     key = F.xxhash64("head", "blocks", F.least("block", "other"), F.greatest("block", "other")).alias("key")
     dealt = spread.select(key, "token", "node", "n", "pos", "label", "block", "other").repartition("key").sortWithinPartitions("key", "token", "n", "node")
-    return dealt.mapInArrow(lambda batches: by_list(batches, work, keys=2), "a long, na int, b long, nb int, times long")
+    return dealt.mapInArrow(lambda batches: by_list(batches, work, keys=2), "a long, na int, b long, nb int")
 
 
 def bitmap(hashes: DataFrame, column: str) -> bytes:
@@ -318,23 +322,24 @@ def bitmap(hashes: DataFrame, column: str) -> bytes:
     return bytes(out)
 
 
-def candidate_sets(docs: DataFrame, nodes: DataFrame, profiled: DataFrame, id_column: str, text_column: str, size: int) -> DataFrame:
-    """(node, n, hashes) for all of the listed nodes, and a few more. Texts are read again: a bit per hash of
+def candidate_sets(docs: DataFrame, nodes: DataFrame, profiled: DataFrame, order: np.ndarray, id_column: str, text_column: str, size: int, percent: int) -> DataFrame:
+    """(node, n, short, hashes) for all of the listed nodes, and a few more; `short` are 32 bits for each short list. Texts are read again: a bit per hash of
     an id lets only rows through that may be the document a node is taken from, a bit per node only sets that may
     be wanted. Both tables are of fixed size; where they fill up, more sets pass, which does no harm."""
     ids = nodes.join(profiled, ["node", "n"]).groupBy("node", "n").agg(F.min("id").alias("id"))
     spot = F.xxhash64(F.coalesce("id", F.lit(-1)))
     marks = stored(ids.select(spot.alias("id"), "node"), "candidates")
-    shared = Shared(docs.sparkSession, (bitmap(marks, "id"), bitmap(marks, "node")))
+    shared = Shared(docs.sparkSession, (bitmap(marks, "id"), bitmap(marks, "node"), order))
 
     def task(batches):
         import pyarrow as pa
 
-        by_id, by_node = (np.frombuffer(b, "u1") for b in shared.get())
-        words, seen, held, names = Words(), set(), [], ["node", "n", "hashes"]
+        *maps, order = shared.get()
+        by_id, by_node = (np.frombuffer(b, "u1") for b in maps)
+        words, seen, held, names = Words(), set(), [], ["node", "n", "short", "hashes"]
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), (pa.int64(), pa.int32(), pa.binary()))], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), (pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=names)
 
         for batch in batches:
             spots = batch.column(1).to_numpy() & (CANDIDATE_BITS - 1)
@@ -345,7 +350,8 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame, profiled: DataFrame, id_co
                 bit = node & (CANDIDATE_BITS - 1)
                 if len(own) and node not in seen and by_node[bit >> 3] >> (bit & 7) & 1:
                     seen.add(node)
-                    held.append((node, len(own), own.tobytes()))
+                    short = np.sort((rarest(own, order, percent) >> np.uint64(32)).astype("u4"))
+                    held.append((node, len(own), short.tobytes(), own.tobytes()))
                 if len(held) >= 500:
                     yield out()
                     held = []
@@ -354,7 +360,7 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame, profiled: DataFrame, id_co
         given_back()
 
     rows = docs.select(F.col(text_column), F.xxhash64(F.coalesce(F.col(id_column).cast("long"), F.lit(-1))))
-    return stored(rows.mapInArrow(task, "node long, n int, hashes binary"), "candidate-sets")
+    return stored(rows.mapInArrow(task, "node long, n int, short binary, hashes binary"), "candidate-sets")
 
 
 def overlap_reaches(small: np.ndarray, large: np.ndarray, need: int) -> bool:
@@ -371,53 +377,59 @@ def overlap_reaches(small: np.ndarray, large: np.ndarray, need: int) -> bool:
     return found >= need
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, na, b, nb) that reach their overlap."""
-    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("hashes").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("y"))
+def tested(pairs: DataFrame, sets: DataFrame, column: str, kind: str, test) -> DataFrame:
+    """The pairs (a, na, b, nb) for which test(na, nb, x, y) holds, x and y being a column of their sets."""
+    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col(column).alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col(column).alias("y"))
 
     def task(batches):
         import pyarrow as pa
 
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column(4), batch.column(5)):
-                x, y = sorted((np.frombuffer(x.as_buffer(), "u8"), np.frombuffer(y.as_buffer(), "u8")), key=len)
-                good.append(overlap_reaches(x, y, int(required(len(x), len(y), percent))))
+            _, na, _, nb, x, y = batch.columns
+            good = [test(i, j, np.frombuffer(p.as_buffer(), kind), np.frombuffer(q.as_buffer(), kind)) for i, j, p, q in zip(na.to_pylist(), nb.to_pylist(), x, y)]
             yield batch.filter(pa.array(good, pa.bool_())).select([0, 1, 2, 3])
 
     joined = pairs.join(left, ["a", "na"]).join(right, ["b", "nb"]).select("a", "na", "b", "nb", "x", "y")
     return joined.mapInArrow(task, "a long, na int, b long, nb int")
 
 
+def candidates(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that occur together in enough short lists."""
+    return tested(pairs, sets, "short", "u4", lambda na, nb, x, y: occurrences(*sorted((x, y), key=len)) >= occurrences_needed(na, nb, percent))
+
+
+def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that reach their overlap."""
+    return tested(pairs, sets, "hashes", "u8", lambda na, nb, x, y: overlap_reaches(*sorted((x, y), key=len), int(required(na, nb, percent))))
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id per row, with the hash of its text."""
     found = stored(profile(docs, id_column, text_column, size), "shingle-profile")
     rows = found.where("kind = 0").select("id", "n", "node", "text_hash")
     order = rarity(found.where("kind = 1"))
     met = stored(merge_lists(postings(docs, order, text_column, size, percent), percent), "list-meetings")
-    first_smaller = F.col("node") <= F.col("node2")
-    events = met.where("kind > 0").select(F.least("node", "node2").alias("a"), F.when(first_smaller, F.col("n")).otherwise(F.col("n2")).alias("na"),
-                                          F.greatest("node", "node2").alias("b"), F.when(first_smaller, F.col("n2")).otherwise(F.col("n")).alias("nb"), "kind")
     pair = ["a", "na", "b", "nb"]
-    needed = occurrences_needed(percent)
-    counted = events.groupBy(*pair).agg(F.count(F.lit(1)).alias("times"))
-    first = stored(counted.where(F.col("times") * 3 >= needed).select(*pair), "first-pairs")
+
+    def sides(x: str, nx: str, y: str, ny: str):
+        return [F.least(x, y).alias("a"), F.when(F.col(x) <= F.col(y), F.col(nx)).otherwise(F.col(ny)).alias("na"),
+                F.greatest(x, y).alias("b"), F.when(F.col(x) <= F.col(y), F.col(ny)).otherwise(F.col(nx)).alias("nb")]
+
+    first = stored(met.where("kind = 1").select(*sides("node", "n", "node2", "n2")).distinct(), "first-pairs")
 
     def checked(pairs: DataFrame, label: str) -> DataFrame:
         """The pairs that link; only sets of nodes in pairs are made."""
         nodes = pairs.select(F.col("a").alias("node"), F.col("na").alias("n")).union(pairs.select("b", "nb")).distinct()
-        sets = candidate_sets(docs, nodes, rows.where("n > 0"), id_column, text_column, size)
-        return stored(linked(pairs, sets, percent), label)
+        sets = candidate_sets(docs, nodes, rows.where("n > 0"), order, id_column, text_column, size, percent)
+        return stored(linked(stored(candidates(pairs, sets, percent), f"{label}-counted"), sets, percent), label)
 
     links = checked(first, "first-links")
     labels = components(links)
     labelled = met.where("kind = 0").select("token", "node", "n", "pos").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_ = labelled.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
     rest = rest_of_lists(labelled.join(open_, "token", "left_semi").select("token", "node", "n", "pos", "label"), percent)
-    pairs_of_two = events.where("kind = 2").select(*pair, F.lit(1).cast("long").alias("times"))
-    full = rest.union(pairs_of_two).groupBy(*pair).agg(F.sum("times").alias("times")).where(F.col("times") >= needed)
-    second = stored(full.select(*pair).join(first, pair, "left_anti"), "second-pairs")
+    second = stored(rest.select(*sides("a", "na", "b", "nb")).distinct().join(first, pair, "left_anti"), "second-pairs")
     if not second.isEmpty():
         labels = components(links.union(checked(second, "second-links")))
     smallest = rows.where("n > 0").groupBy("node", "n").agg(F.min("id").alias("least"))
