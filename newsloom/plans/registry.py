@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("clean_queries", "warehouse_queries", "market_queries", "topic_queries", "serving_queries", "layer_queries")
+MODULES = ("clean_queries", "warehouse_queries", "market_queries", "topic_queries", "serving_queries", "layer_queries", "language_queries")
 
 
 def _all(attribute: str) -> dict:
