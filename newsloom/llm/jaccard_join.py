@@ -404,6 +404,11 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return tested(pairs, sets, "hashes", "u8", lambda na, nb, x, y: overlap_reaches(*sorted((x, y), key=len), int(required(na, nb, percent))))
 
 
+def both_sides(pairs: DataFrame) -> DataFrame:
+    """(node, n) of the nodes of pairs."""
+    return pairs.select(F.col("a").alias("node"), F.col("na").alias("n")).union(pairs.select("b", "nb")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id per row, with the hash of its text."""
     found = stored(profile(docs, id_column, text_column, size), "shingle-profile")
@@ -420,9 +425,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     def checked(pairs: DataFrame, label: str) -> DataFrame:
         """The pairs that link; only sets of nodes in pairs are made."""
-        nodes = pairs.select(F.col("a").alias("node"), F.col("na").alias("n")).union(pairs.select("b", "nb")).distinct()
-        sets = candidate_sets(docs, nodes, rows.where("n > 0"), order, id_column, text_column, size, percent)
-        return stored(linked(stored(candidates(pairs, sets, percent), f"{label}-counted"), sets, percent), label)
+        sets = candidate_sets(docs, both_sides(pairs), rows.where("n > 0"), order, id_column, text_column, size, percent)
+        counted = stored(candidates(pairs, sets, percent), f"{label}-counted")
+        return stored(linked(counted, sets.join(both_sides(counted), ["node", "n"], "left_semi"), percent), label)
 
     links = checked(first, "first-links")
     labels = components(links)
