@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from newsloom import rules
 from newsloom.functions import numbers, text
 from newsloom.operators.skew import top_n_per_key
+from newsloom.session import written
 
 MIN_ARTICLE_SCORE = 2.0
 MAX_EVENTS = 200
 MARKETS_PER_EVENT = 10
 BETS_PER_ENTITY = 5
 GRAM = 12
+PAIRS_PER_TASK = 1 << 20  # (search, event) pairs that a task adds up
+BROADCAST_PLACES = 1 << 19  # (term, event) rows that are sent to every task; more are met by shuffle
 
 
 # ------------------------------------------------------------------- events
@@ -124,21 +127,23 @@ def term_events(terms: DataFrame, events: DataFrame) -> DataFrame:
     return words.select("term", "word").join(places, "word").groupBy("term", "event_pos").agg(F.max(half).cast("bigint").alias("half"))
 
 
-def best_events(searches: DataFrame, key: str, terms: str, events: DataFrame, min_score: float) -> DataFrame:
+def best_events(
+    searches: DataFrame, key: str, terms: str, events: DataFrame, min_score: float, per_task: int = PAIRS_PER_TASK, sent: int = BROADCAST_PLACES
+) -> DataFrame:
     """Per search (`key`, array column `terms`) the live event with the highest score;
     the earliest event wins ties.
 
     Terms are looked up once each, however many searches share them, and the searches meet
-    (term, event, points) by term: an inner join, whose hot terms run-time re-planning splits, and which it turns into a
-    broadcast where the events are few. Score and position are packed in one long
+    (term, event, points) by term (see `met_events`). A frequent term meets many events, so the pairs are counted first and
+    dealt by search to as many tasks as keep `per_task` pairs each. Score and position are packed in one long
     (half points above, position below): choosing is then a plain max.
     """
     # explode_outer, as plain explode has Spark work out the terms a second time, in a filter
-    one_term = searches.select(key, F.explode_outer(terms).alias("term"))
-    known = term_events(one_term.select("term").where("term IS NOT NULL").distinct(), live(events))
+    one_term = written(searches.select(key, F.explode_outer(terms).alias("term")).where("term IS NOT NULL"), "search-terms")
+    known = written(term_events(one_term.select("term").distinct(), live(events)), "search-events")
     shift = F.lit(1 << 40)
     scored = (
-        one_term.join(known, "term")
+        met_events(one_term, key, known, per_task, sent)
         .groupBy(key, "event_pos")
         .agg(F.sum("half").alias("_half"))
         .where(F.col("_half") >= int(min_score * 2))
@@ -152,6 +157,27 @@ def best_events(searches: DataFrame, key: str, terms: str, events: DataFrame, mi
     )
 
 
+def met_events(one_term: DataFrame, key: str, known: DataFrame, per_task: int, sent: int) -> DataFrame:
+    """(key, event_pos, half) of each search's terms (key, term), dealt by key to tasks of about `per_task` rows. Up to `sent` rows of
+    `known` (term, event_pos, half) are sent to the tasks. More meet the searches by shuffle, a term of more than `per_task` pairs in slices of
+    its searches. Run-time re-planning would size these tasks by the rows they read, which are few, so their number is fixed."""
+    spark = one_term.sparkSession
+    listed = known.groupBy("term").agg(F.count(F.lit(1)).alias("_events"))
+    meeting = one_term.groupBy("term").agg(F.count(F.lit(1)).alias("_n")).join(listed, "term").withColumn("_pairs", F.col("_n") * F.col("_events"))
+    facts = meeting.agg(F.sum("_pairs").alias("pairs"), F.sum("_events").alias("places")).first()
+    tasks = max(-(-(facts.pairs or 0) // per_task), spark.sparkContext.defaultParallelism)
+    if (facts.places or 0) <= sent:
+        return one_term.repartition(tasks, key).join(F.broadcast(known), "term").select(key, "event_pos", "half")
+    # such terms are fewer than the tasks
+    hot = F.broadcast(meeting.where(F.col("_pairs") > per_task).select("term", F.ceil(F.col("_pairs") / per_task).alias("_slices")))
+    slices = F.coalesce("_slices", F.lit(1))
+    dealt = one_term.join(hot, "term", "left").select(key, "term", F.pmod(F.xxhash64(key), slices).alias("_slice"))
+    copied = known.join(hot, "term", "left").select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)).alias("_slice"))
+    by = ["term", "_slice"]
+    met = dealt.repartition(tasks, *by).join(copied.repartition(tasks, *by).hint("merge"), by)
+    return met.select(key, "event_pos", "half").repartition(tasks, key)
+
+
 def match_articles(articles: DataFrame, events: DataFrame, markets: DataFrame, title: str = "titre_clean") -> DataFrame:
     """article_id with score and the five market columns, for articles that match."""
     searches = articles.select("article_id", text.translated_title_terms(title).alias("terms"))

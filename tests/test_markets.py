@@ -142,3 +142,21 @@ def test_index_grows_in_line_with_titles(spark):
         places, grams = markets.title_index(spark.createDataFrame([(1, title)], "event_pos long, title string"))
         sizes.append(places.count() + grams.count())
     assert sizes[1] <= 11 * sizes[0]  # squared growth would be 100 times
+
+
+def test_frequent_terms_are_dealt_to_many_tasks(spark):
+    """Each of 400 searches meets each of 40 events: no task holds more than its share of the pairs, however the events reach it."""
+    rng = random.Random(5)
+    events = [(i, "the " + " ".join(words(rng, 4))) for i in range(40)]
+    searches = [(f"s{i}", list(dict.fromkeys(["the", *words(rng, 3)]))) for i in range(400)]
+    ev = spark.createDataFrame(events, EVENT).withColumns({"active": F.lit(True), "closed": F.lit(False)})
+    se = spark.createDataFrame(searches, "id string, terms array<string>")
+    one_term = se.select("id", F.explode("terms").alias("term"))
+    known = markets.term_events(one_term.select("term").distinct(), ev)
+    for sent in (0, 10_000):
+        met = markets.met_events(one_term, "id", known, 1_000, sent)
+        pairs = met.count()
+        per_task = [r.n for r in met.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert pairs >= 16_000 and len(per_task) >= pairs // 1_500 and max(per_task) < 4_000
+        got = {r["id"]: (r["score"], r["event_pos"]) for r in markets.best_events(se, "id", "terms", ev, 2.0, per_task=1_000, sent=sent).collect()}
+        assert got == brute_best(searches, events, 2.0)
