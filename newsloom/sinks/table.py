@@ -193,7 +193,7 @@ def refresh(spark: SparkSession, root: str, analytics_root: str, now: Column) ->
     paths = {}
     for name, df in analytics(spark, root).items():
         paths[name] = f"{analytics_root}/{name}"
-        df.withColumn("updated_at", now).coalesce(1).write.mode("overwrite").parquet(paths[name])
+        df.withColumn("updated_at", now).repartition(1).write.mode("overwrite").parquet(paths[name])
     return paths
 
 
@@ -208,7 +208,8 @@ def _write_rows(spark: SparkSession, root: str, rows: DataFrame, version: str) -
     rows.hint("rebalance", "slot").sortWithinPartitions("slot", "article_id").write.mode("errorifexists").parquet(folder)
     stored = spark.read.schema(_schema({c: t for c, t in ROWS.items() if c != "version"})).parquet(folder)
     listed = stored.select(F.col("_metadata.file_name").alias("file"), "slot").distinct()
-    listed.coalesce(1).write.mode("errorifexists").parquet(f"{root}/files/version={version}")
+    # small tables are one file; a shuffle to it leaves what they are worked out from in tasks of its own
+    listed.repartition(1).write.mode("errorifexists").parquet(f"{root}/files/version={version}")
     return stored
 
 
@@ -216,7 +217,7 @@ def _commit_with_deltas(spark: SparkSession, root: str, rows: DataFrame, version
     while True:
         records = commits(spark, root)
         folder = f"{root}/deltas/version={version}"
-        delta_of(spark, root, rows, version, records).coalesce(1).write.mode("overwrite").parquet(folder)
+        delta_of(spark, root, rows, version, records).repartition(1).write.mode("overwrite").parquet(folder)
         if before_commit:
             before_commit()
         if commit(spark, root, _taken(records) + 1, record):
@@ -243,7 +244,7 @@ def compact(spark: SparkSession, root: str) -> int | None:
     version = _new_version()
     _write_rows(spark, root, newest(_read(spark, root, "rows", _schema(ROWS), old)).drop("version"), version)
     sums = added_up(_read(spark, root, "deltas", _schema({**DELTA, "version": "string"}), old))
-    sums.coalesce(1).write.mode("errorifexists").parquet(f"{root}/deltas/version={version}")
+    sums.repartition(1).write.mode("errorifexists").parquet(f"{root}/deltas/version={version}")
     gone = {v for r in records.values() for v in r["replaces"]}
     number, record = _taken(records), {"version": version, "replaces": sorted({*old, *gone}), "runs": sorted({x for r in records.values() for x in r["runs"]})}
     while True:

@@ -127,3 +127,25 @@ def test_empty_table(spark, tmp_path):
     assert table.read(spark, root).columns == list(rules.GOLD_COLUMNS) and table.read(spark, root).count() == 0
     table.upsert(spark, root, rows(spark, 0, n=0), "arrival")
     assert table.read(spark, root).count() == 0 and all(df.count() == 0 for df in table.analytics(spark, root).values())
+
+
+def test_small_tables_are_worked_out_by_many_tasks(spark, tmp_path, monkeypatch):
+    """Deltas become one file, but the tasks that add them up stay as many as the shuffle has parts."""
+    from pyspark.sql import DataFrame
+
+    def by_task(spark, root, rows, version, records) -> DataFrame:
+        @F.udf("string")
+        def task(_):
+            from pyspark import TaskContext
+
+            return str(TaskContext.get().partitionId())
+
+        zero = [F.lit(0).cast(t).alias(m) for m, t in table.MEASURES.items()]
+        return spark.range(0, 8, 1, 8).select(F.lit("day").alias("tbl"), task("id").alias("key"), F.lit("s").alias("source"), *zero)
+
+    monkeypatch.setattr(table, "delta_of", by_task)
+    root = str(tmp_path / "t")
+    table.upsert(spark, root, rows(spark, 1), "arrival")
+    deltas = spark.read.parquet(f"{root}/deltas")
+    assert deltas.select("key").distinct().count() == 8
+    assert len(deltas.inputFiles()) == 1
