@@ -4,7 +4,7 @@ Vectors are compared in blocks: per table of random hyperplanes, rows sorted by
 of bounded size that overlap, so near rows meet in some block, and a third of all rows may be equal without any block growing. From the blocks
 come each row's core distance (to its k-th nearest) and a graph of mutual reachability (the larger of both core distances and
 the distance): the spanning trees of the blocks. Boruvka rounds as Spark jobs reduce it to a spanning forest; its edges,
-their weights on a grid, are contracted in rising order into the condensed tree: a component that reaches the least
+their weights on a grid, are contracted, all levels of the grid side by side, into the condensed tree: a component that reaches the least
 size is a cluster, smaller ones fall off the cluster they join, and two clusters that meet make a parent. Of the tree the
 clusters of the greatest stability (how long their rows stay) are taken. Clusters are as many as the least size
 allows, so only they are known to the driver; rows stay in Spark.
@@ -272,43 +272,76 @@ def grid(forest: DataFrame, levels: int) -> tuple[DataFrame, object]:
     return forest.select(F.col("a").alias("ca"), F.col("b").alias("cb"), level.alias("level")), lambda i: low * step**i
 
 
+def meetings(edges: DataFrame, sizes: DataFrame, levels: int) -> DataFrame:
+    """(level, c, parent, size): the components that meet at each level of the edges (ca, cb, level), and the smallest of those they meet. All
+    levels are worked out side by side: a range of levels is halved, the upper half goes on with the components that the lower one
+    leaves, until each range is one level. The rounds are as many as the halvings, and a round holds each edge once."""
+    def ends(e: DataFrame) -> DataFrame:
+        return e.select(F.col("ca").alias("c")).union(e.select(F.col("cb").alias("c"))).distinct()
+
+    def at(c: str, first: Column) -> Column:
+        return F.struct(first.cast("int").alias("first"), F.col(c).alias("c"))
+
+    def moved(c: str, by: int) -> Column:
+        return F.struct((F.col(f"{c}.first") + by).cast("int").alias("first"), F.col(f"{c}.c").alias("c"))
+
+    # an end of an edge is named by its range's first level and its component
+    edges = edges.select(at("ca", F.lit(0)).alias("ca"), at("cb", F.lit(0)).alias("cb"), "level")
+    sizes = sizes.select(at("c", F.lit(0)).alias("c"), "size").join(ends(edges), "c", "left_semi")
+    half = 1 << max(0, (levels - 1).bit_length() - 1)
+    while half and levels > 1:
+        middle = F.col("ca.first") + half
+        lower, upper = edges.where(F.col("level") < middle), edges.where(F.col("level") >= middle)
+        labels = joined_labels(lower)
+        upper = relabelled(upper, labels).select(moved("ca", half).alias("ca"), moved("cb", half).alias("cb"), "level")
+        joined = sizes.join(labels, "c", "left").groupBy(F.coalesce("parent", "c").alias("c")).agg(F.sum("size").alias("size"))
+        joined = joined.select(moved("c", half).alias("c"), "size").join(ends(upper), "c", "left_semi")
+        sizes = written(sizes.join(ends(lower), "c", "left_semi").union(joined), "density-sizes")
+        edges = written(lower.unionByName(upper), "density-levels")
+        half //= 2
+    told = joined_labels(edges).join(sizes, "c")
+    return written(told.select(F.col("c.first").alias("level"), F.col("c.c").alias("c"), F.col("parent.c").alias("parent"), "size"), "density-meeting")
+
+
+def contracted(tree_: Tree, told: DataFrame) -> DataFrame:
+    """(c, parent, cluster, level): the component each small one becomes part of, or the cluster it joins and when. Components that reach the least size are known
+    to the driver: no more than rows / least at a level."""
+    spark = told.sparkSession
+    large = told.groupBy("level", "parent").agg(F.sum("size").alias("size")).where(F.col("size") >= tree_.least).collect()
+    parts: dict[tuple, list] = {}
+    for r in told.where(F.col("size") >= tree_.least).collect():
+        parts.setdefault((r.level, r.parent), []).append(r)
+    holder: dict[int, int] = {}  # component: its cluster
+    own, inside = [], []
+    for g in sorted(large, key=lambda g: (g.level, g.parent)):
+        known = [r for r in parts.get((g.level, g.parent), []) if r.c in holder]
+        inside += [(g.level, r.c) for r in known]
+        clusters = sorted({holder.pop(r.c) for r in known})
+        holder[g.parent] = tree_.met(g.level, g.size - sum(r.size for r in known), clusters)
+        own.append((g.level, g.parent, holder[g.parent]))
+    named = told.join(F.broadcast(spark.createDataFrame(own, "level int, parent long, cluster int")), ["level", "parent"], "left")
+    small = named.join(F.broadcast(spark.createDataFrame(inside, "level int, c long")), ["level", "c"], "left_anti")
+    return small.where("cluster IS NOT NULL OR c <> parent").select("c", "parent", "cluster", F.when(F.col("cluster").isNotNull(), F.col("level")).alias("level"))
+
+
 def condensed(points: DataFrame, forest: DataFrame, least: int, levels: int = LEVELS, finish: int = FINISH) -> tuple[DataFrame, Tree, object]:
     """(p, cluster, level) at which each row falls off which cluster, the tree, and the weight of a level."""
     spark, tree_ = points.sparkSession, Tree(least)
     edges, value = grid(forest, levels)
     edges = written(edges, "density-levels")
-    sizes = points.select(F.col("p").alias("c"), F.lit(1).cast("long").alias("size"), F.lit(None).cast("int").alias("cluster"))
-    said: list[DataFrame] = []  # (c, parent, cluster, level): a component's next one, or the cluster it joined
-    while edges.count() > finish:
-        level = edges.agg(F.min("level")).first()[0]
-        now = edges.where(F.col("level") == level)
-        labels = joined_labels(now)
-        told = written(labels.join(sizes, "c"), "density-meeting")
-        groups = told.groupBy("parent").agg(F.sum("size").alias("size"), F.coalesce(F.sum(F.when(F.col("cluster").isNull(), F.col("size"))), F.lit(0)).alias("small"),
-                                            F.sort_array(F.collect_set("cluster")).alias("clusters"))
-        groups = written(groups, "density-groups")
-        # groups that hold a cluster are no more than rows / least
-        large = groups.where((F.size("clusters") > 0) | (F.col("size") >= least)).orderBy("parent").collect()
-        own = {g.parent: tree_.met(level, g.small, list(g.clusters)) for g in large}
-        known = F.broadcast(spark.createDataFrame(list(own.items()), "parent long, own int"))
-        joined = told.where("cluster IS NULL").join(known, "parent", "left")
-        said.append(written(joined.where("own IS NOT NULL OR c <> parent").select(
-            "c", "parent", F.col("own").alias("cluster"), F.when(F.col("own").isNotNull(), F.lit(level)).alias("level")), "density-said"))
-        merged = groups.join(known, "parent", "left").select(F.col("parent").alias("c"), "size", F.col("own").alias("cluster"))
-        sizes = written(sizes.join(labels.select("c"), "c", "left_anti").union(merged), "density-sizes")
-        edges = written(relabelled(edges.where(F.col("level") > level), labels), "density-levels")
-    rest = edges.orderBy("level", "ca", "cb").collect()
-    ends = edges.select(F.col("ca").alias("c")).union(edges.select(F.col("cb").alias("c"))).distinct()
-    nodes = sizes.join(ends, "c").collect()
-    events = contracted_here(tree_, {r.c: r.size for r in nodes}, {r.c: r.cluster for r in nodes if r.cluster is not None}, [(r.ca, r.cb, r.level) for r in rest])
+    sizes = points.select(F.col("p").alias("c"), F.lit(1).cast("long").alias("size"))
+    if edges.count() <= finish:
+        rest = edges.orderBy("level", "ca", "cb").collect()
+        ends = edges.select(F.col("ca").alias("c")).union(edges.select(F.col("cb").alias("c"))).distinct()
+        nodes = sizes.join(ends, "c").collect()
+        events = contracted_here(tree_, {r.c: r.size for r in nodes}, {}, [(r.ca, r.cb, r.level) for r in rest])
+        said = spark.createDataFrame([(c, c, k, level) for c, (k, level) in events.items()], "c long, parent long, cluster int, level int")
+    else:
+        said = contracted(tree_, meetings(edges, sizes, levels))
     apart = [i for i, c in enumerate(tree_.clusters) if c.parent is None]
     if len(apart) > 1:  # what no edge joins meets one step above the grid
         tree_.met(levels, 0, apart)
-    said.append(spark.createDataFrame([(c, c, k, level) for c, (k, level) in events.items()], "c long, parent long, cluster int, level int"))
-    facts = said[0]
-    for part in said[1:]:
-        facts = facts.union(part)
-    facts = written(facts, "density-facts")
+    facts = written(said, "density-facts")  # a component's next one, or the cluster it joined
     # a row's component moves on until one joined a cluster
     stops = points.select(F.col("p").alias("c")).join(facts.select("c", "parent", "cluster"), "c", "left")
     pointers = stops.select("c", F.when(F.col("cluster").isNull(), F.coalesce("parent", "c")).otherwise(F.col("c")).alias("parent"))

@@ -158,3 +158,18 @@ def test_odd_tables(spark):
     assert run([("a", None)]) == [("a", -1, 0.0)]
     assert run([("a", [1.0, 0.0])]) == [("a", -1, 0.0)]
     assert sorted(run([("a", [1.0, 0.0]), ("b", None), ("c", [0.0, 0.0])])) == [("a", -1, 0.0), ("b", -1, 0.0), ("c", -1, 0.0)]
+
+
+def test_rounds_do_not_grow_with_the_levels(spark, monkeypatch):
+    """The levels of the grid are contracted side by side, so their number adds halvings, not rounds of their own."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(c, s, (60, 2)) for c, s in ((0, 0.5), (4, 0.1), (9, 1.0))])
+    points = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "p long, v array<double>")
+    forest = D.written(D.spanning_forest(D.mutual_reachability(points)), "test-forest")
+    here, tree_, _ = D.condensed(points.select("p"), forest, 20)
+    expected = sorted(map(tuple, here.collect()), key=str), len(tree_.clusters)
+    calls, real = [], D.written
+    monkeypatch.setattr(D, "written", lambda df, label: calls.append(label) or real(df, label))
+    apart, other, _ = D.condensed(points.select("p"), forest, 20, finish=0)
+    assert (sorted(map(tuple, apart.collect()), key=str), len(other.clusters)) == expected
+    assert forest.select("w").distinct().count() > 100 and len(calls) < 120, len(calls)
