@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
@@ -91,34 +93,47 @@ def embedding_vectors(df: DataFrame, column: str = "embedding") -> DataFrame:
 
 def cluster(vectors: DataFrame, grid: tuple[int, ...] = GRID, seed: int = 7) -> DataFrame:
     """k-means over a small grid of sizes; the best silhouette decides. Adds `cluster`
-    and `membership`, the cosine to the own centre."""
-    best, best_score = None, None
+    and `membership`, the cosine to the own centre. A vector of zeros (a text without words) has no direction: it takes no part and is in cluster -1."""
+    directed = F.exists(vector_to_array("features"), lambda x: x != 0)
+    given, best, best_score = vectors.where(directed), None, None
+    if given.isEmpty():
+        return vectors.withColumns({"cluster": F.lit(-1), "membership": F.lit(0.0)}).drop("features")
     for k in grid:
-        model = KMeans(k=k, seed=seed, distanceMeasure="cosine", maxIter=20, predictionCol="cluster").fit(vectors)
-        if len(grid) > 1:
-            score = ClusteringEvaluator(predictionCol="cluster", distanceMeasure="cosine").evaluate(
-                model.transform(vectors)
-            )
-        else:
-            score = 0.0
+        model = KMeans(k=k, seed=seed, distanceMeasure="cosine", maxIter=20, predictionCol="cluster").fit(given)
+        found = model.transform(given)
+        if len(grid) > 1 and found.select("cluster").distinct().limit(2).count() == 2:
+            score = ClusteringEvaluator(predictionCol="cluster", distanceMeasure="cosine").evaluate(found)
+        else:  # there is nothing to compare
+            score = 0.0 if len(grid) == 1 else -1.0
         if best_score is None or score > best_score:
             best, best_score = model, score
     centres = [[float(x) for x in c] for c in best.clusterCenters()]
-    return assign(vectors, centres)
+    placed = assign(vectors.withColumn("_directed", F.coalesce(directed, F.lit(False))), centres)
+    placed = placed.withColumn("cluster", F.when(F.col("_directed"), F.col("cluster")).otherwise(-1)).drop("_directed")
+    # written, as sizes, their floor and the rows themselves are all asked for
+    return written(placed, "topic-clusters")
 
 
 def assign(vectors: DataFrame, centres: list[list[float]]) -> DataFrame:
     """`cluster`, the nearest centre by cosine (the first of equally near ones), and `membership`, that cosine. Centres
     are MAX_TOPICS at most and of fixed width, so they travel inside the plan."""
-    def norm(a: Column) -> Column:
-        return F.sqrt(F.aggregate(a, F.lit(0.0), lambda s, x: s + x * x))
-
-    def dot(a: Column, b: Column) -> Column:
-        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-
-    listed = F.array(*[F.array(*[F.lit(x) for x in c]) for c in centres])
-    own = F.col("_features")
-    cosines = F.transform(listed, lambda c: F.coalesce(F.try_divide(dot(own, c), norm(own) * norm(c)), F.lit(0.0)))
+    width = len(centres[0])
+    sound = all(x is not None and math.isfinite(x) for c in centres for x in c)
+    given = F.transform("_features", lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+    # entries of zero add nothing: of a text's wide vector only the others are gone through
+    kept = F.filter(given, lambda e: F.coalesce(e["x"] != 0, F.lit(True))) if sound else given
+    own = F.when(F.size("_features") == width, F.struct(kept.alias("e"), F.sqrt(F.aggregate(kept, F.lit(0.0), lambda s, e: s + e["x"] * e["x"])).alias("n")))
+
+    def centre(c: list[float]) -> Column:
+        values = F.array(*[F.lit(x) for x in c])
+        return F.struct(values.alias("c"), F.sqrt(F.aggregate(values, F.lit(0.0), lambda s, x: s + x * x)).alias("n"))
+
+    def cosine(o: Column, c: Column) -> Column:
+        dot = F.aggregate(o["e"], F.lit(0.0), lambda s, e: s + e["x"] * F.get(c["c"], e["i"]))
+        return F.coalesce(F.try_divide(dot, o["n"] * c["n"]), F.lit(0.0))
+
+    listed = F.array(*[centre(c) for c in centres])
+    cosines = text.let(own, lambda o: F.transform(listed, lambda c: cosine(o, c)))
     near = F.array_max(F.transform(cosines, lambda c, i: F.struct(c.alias("cosine"), (-i).alias("at"))))
     found = vectors.withColumn("_features", vector_to_array("features")).withColumn("_near", near)
     return (

@@ -90,3 +90,24 @@ def test_merging_follows_the_plain_rule(spark):
     ids = {r.t: r.to for r in spark.range(-1, 9).select(F.col("id").alias("t"), topics.merged_ids(steps, F.col("id")).alias("to")).collect()}
     assert ids[-1] == -1 and len(set(ids.values())) == 10 - len(steps) and all(ids[a] == ids[k] for _, k, a, _ in steps)
     assert topics.merge_topics(frame, sizes, 1.1) == []
+
+
+def test_wide_vectors_are_assigned_once(spark):
+    """Zero entries add nothing, and the clusters are worked out once, however often they are asked for."""
+    from pyspark.ml.linalg import Vectors
+
+    rng = random.Random(8)
+    given = [{i: rng.uniform(0.1, 1) for i in rng.sample(range(300), rng.randint(0, 9))} for _ in range(40)]
+    vectors = spark.createDataFrame([(k, Vectors.sparse(300, v)) for k, v in enumerate(given)], ["n", "features"])
+    centres = [[rng.choice([0.0, rng.random()]) for _ in range(300)] for _ in range(4)]
+    for r in topics.assign(vectors, centres).collect():
+        own = given[r.n]
+        size = sum(x * x for x in own.values()) ** 0.5
+        cosines = [sum(x * c[i] for i, x in own.items()) / (size * sum(y * y for y in c) ** 0.5) if own else 0.0 for c in centres]
+        assert r.cluster == cosines.index(max(cosines)) and abs(r.membership - max(cosines)) < 6e-5
+    found = topics.cluster(vectors, (2, 3))  # some vectors have no entries
+    assert {r.n for r in found.where("cluster = -1").collect()} == {k for k, v in enumerate(given) if not v}
+    same = spark.createDataFrame([(k, Vectors.sparse(300, {3: 1.0})) for k in range(9)], ["n", "features"])
+    assert {r.cluster for r in topics.cluster(same, (2, 3)).collect()} == {0}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "UDF" not in plan
