@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -122,11 +123,16 @@ def assign(vectors: DataFrame, centres: list[list[float]]) -> DataFrame:
     given = F.transform("_features", lambda x, i: F.struct(i.alias("i"), x.alias("x")))
     # entries of zero add nothing: of a text's wide vector only the others are gone through
     kept = F.filter(given, lambda e: F.coalesce(e["x"] != 0, F.lit(True))) if sound else given
-    own = F.when(F.size("_features") == width, F.struct(kept.alias("e"), F.sqrt(F.aggregate(kept, F.lit(0.0), lambda s, e: s + e["x"] * e["x"])).alias("n")))
+    length = lambda e: F.sqrt(F.aggregate(e, F.lit(0.0), lambda s, x: s + x["x"] * x["x"]))
+    own = text.let(kept, lambda e: F.when(F.size("_features") == width, F.struct(e.alias("e"), length(e).alias("n"))))
 
     def centre(c: list[float]) -> Column:
         values = F.array(*[F.lit(x) for x in c])
-        return F.struct(values.alias("c"), F.sqrt(F.aggregate(values, F.lit(0.0), lambda s, x: s + x * x)).alias("n"))
+        if sound:
+            norm = F.lit(math.sqrt(reduce(lambda s, x: s + x * x, c, 0.0)))
+        else:
+            norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda s, x: s + x * x))
+        return F.struct(values.alias("c"), norm.alias("n"))
 
     def cosine(o: Column, c: Column) -> Column:
         dot = F.aggregate(o["e"], F.lit(0.0), lambda s, e: s + e["x"] * F.get(c["c"], e["i"]))
