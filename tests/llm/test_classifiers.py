@@ -112,3 +112,32 @@ def test_slices_of_a_long_text_agree(monkeypatch):
     whole = model.logits(docs, vectors)
     monkeypatch.setattr(toxicity, "SLICE", 7)
     assert np.allclose(whole, model.logits(docs, vectors), atol=1e-4)
+
+
+def test_toxicity_is_learned_from_all_labelled_rows(spark):
+    """The toxic words of most rows are not among those the driver starts on, some only stand in texts longer than it takes."""
+    rnd, rows = random.Random(8), []
+    for i in range(1600):
+        words = sentence(rnd, "aa", rnd.randint(8, 40)).split()
+        if i % 4 == 0:
+            words[rnd.randrange(len(words))] = ("zorgum", "quexil", "vubnak", "jiptol")[i // 4 % 4]
+        if i % 16 == 12:
+            words = words * 12
+        rows.append((i, " ".join(words), "aa", int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, y int").repartition(3)
+    labels = docs.select("doc_id", docs.y.alias("toxic"))
+    model = toxicity.learn(docs, labels, rows=4, most_bytes=700)
+    got = {r.doc_id: r for r in toxicity.judge(docs, model, keep=["doc_id"]).collect()}
+    held = [(i, y) for i, _, _, y in rows if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert sum(got[i].predicted == y for i, y in held) >= 0.95 * len(held)
+
+
+def test_texts_that_reach_over_slices_are_learned_alike(monkeypatch):
+    rng = np.random.default_rng(2)
+    known = [[toxicity.NONE] * toxicity.FEATURES] + [toxicity.features(f"w{i}") for i in range(50)]
+    docs = [rng.integers(1, 51, n).astype("i4") for n in (0, 1, 7, 40, 90)]
+    labels = np.array([0, 1, 0, 1, 0], "f4")
+    whole = toxicity.fit(docs, known, labels, epochs=3)
+    monkeypatch.setattr(toxicity, "SLICE", 5)
+    pieces = toxicity.fit(docs, known, labels, epochs=3)
+    assert np.allclose(whole.embedding, pieces.embedding, atol=1e-3) and np.allclose(whole.kernel, pieces.kernel, atol=1e-3)
