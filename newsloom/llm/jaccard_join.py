@@ -12,7 +12,8 @@ T-occurrence search over inverted lists, by DivideSkip.
    node whose short lists end first lie in lists of both, so a pair needs T - max(L) occurrences to be a candidate. (They
    are counted on 32 bits of a hash, which may count some too many, never too few.)
 3. Long lists are never merged: for candidates only, the shingles of the smaller set are probed in the larger one by
-   binary search, until T is reached or out of reach.
+   binary search, until T is reached or out of reach. Before whole sets travel to be probed, pairs whose sketches (a bit or so
+   in eight per shingle) show too many shingles of one set that the other lacks are left out; a sketch never shows too many.
 
 Links are sought in two rounds, so that a group of near copies does not become all its pairs. First every
 member of a list meets only the list's smallest member of a fitting size, its neighbour in size and the member that has least
@@ -46,6 +47,7 @@ MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 MULTIPLIER = 0x9E3779B97F4A7C15
 ROWS_OUT = 200_000
 CANDIDATE_BITS = 1 << 25
+SKETCH = 8  # bits of a sketch for each shingle, at least
 BLOCK = 256  # members of a list that meet in one task: longer lists are dealt out by pairs of blocks
 
 
@@ -115,6 +117,22 @@ def occurrences(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """A set's shingles as bits of a table whose size is a power of two."""
+    bits = np.zeros(1 << max(3, (SKETCH * len(own) - 1).bit_length()), bool)
+    bits[((own >> np.uint64(32)) & np.uint64(len(bits) - 1)).astype("i8")] = True
+    return np.packbits(bits).tobytes()
+
+
+def most_in_common(na: int, nb: int, x: np.ndarray, y: np.ndarray) -> int:
+    """How large the overlap of two sets can be by their sketches: a bit that only one has stands for a shingle of its own, at least."""
+    while len(x) > len(y):
+        x = x[: len(x) // 2] | x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] | y[len(y) // 2 :]
+    return min(na - int(np.bitwise_count(x & ~y).sum()), nb - int(np.bitwise_count(y & ~x).sum()))
+
+
 def profile(docs: DataFrame, id_column: str, text_column: str, size: int) -> DataFrame:
     """Rows of kind 0: (doc_id, n, node, text_hash); rows of kind 1: (counter, number of documents in it)."""
 
@@ -323,7 +341,7 @@ def bitmap(hashes: DataFrame, column: str) -> bytes:
 
 
 def candidate_sets(docs: DataFrame, nodes: DataFrame, profiled: DataFrame, order: np.ndarray, id_column: str, text_column: str, size: int, percent: int) -> DataFrame:
-    """(node, n, short, hashes) for all of the listed nodes, and a few more; `short` are 32 bits for each short list. Texts are read again: a bit per hash of
+    """(node, n, short, sketch, hashes) for all of the listed nodes, and a few more; `short` are 32 bits for each short list. Texts are read again: a bit per hash of
     an id lets only rows through that may be the document a node is taken from, a bit per node only sets that may
     be wanted. Both tables are of fixed size; where they fill up, more sets pass, which does no harm."""
     ids = nodes.join(profiled, ["node", "n"]).groupBy("node", "n").agg(F.min("id").alias("id"))
@@ -336,10 +354,10 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame, profiled: DataFrame, order
 
         *maps, order = shared.get()
         by_id, by_node = (np.frombuffer(b, "u1") for b in maps)
-        words, seen, held, names = Words(), set(), [], ["node", "n", "short", "hashes"]
+        words, seen, held, names = Words(), set(), [], ["node", "n", "short", "sketch", "hashes"]
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), (pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=names)
 
         for batch in batches:
             spots = batch.column(1).to_numpy() & (CANDIDATE_BITS - 1)
@@ -351,7 +369,7 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame, profiled: DataFrame, order
                 if len(own) and node not in seen and by_node[bit >> 3] >> (bit & 7) & 1:
                     seen.add(node)
                     short = np.sort((rarest(own, order, percent) >> np.uint64(32)).astype("u4"))
-                    held.append((node, len(own), short.tobytes(), own.tobytes()))
+                    held.append((node, len(own), short.tobytes(), sketch(own), own.tobytes()))
                 if len(held) >= 500:
                     yield out()
                     held = []
@@ -360,7 +378,24 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame, profiled: DataFrame, order
         given_back()
 
     rows = docs.select(F.col(text_column), F.xxhash64(F.coalesce(F.col(id_column).cast("long"), F.lit(-1))))
-    return stored(rows.mapInArrow(task, "node long, n int, short binary, hashes binary"), "candidate-sets")
+    return stored(rows.mapInArrow(task, "node long, n int, short binary, sketch binary, hashes binary"), "candidate-sets")
+
+
+def only_of(sets: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
+    """The sets (node, n and one column) of nodes in the pairs, and a few more. They are many times larger than the pairs, so they are
+    not shuffled to be chosen: a bit per node, in a table of fixed size, tells which are left out where they are read."""
+    wanted = stored(both_sides(pairs).select("node"), "wanted-nodes")
+    shared = Shared(sets.sparkSession, bitmap(wanted, "node"))
+
+    def task(batches):
+        import pyarrow as pa
+
+        bits = np.frombuffer(shared.get(), "u1")
+        for batch in batches:
+            spots = batch.column(0).to_numpy() & (CANDIDATE_BITS - 1)
+            yield batch.filter(pa.array(((bits[spots >> 3] >> (spots & 7).astype("u1")) & 1).astype(bool)))
+
+    return sets.select("node", "n", column).mapInArrow(task, f"node long, n int, {column} binary")
 
 
 def overlap_reaches(small: np.ndarray, large: np.ndarray, need: int) -> bool:
@@ -378,7 +413,8 @@ def overlap_reaches(small: np.ndarray, large: np.ndarray, need: int) -> bool:
 
 
 def tested(pairs: DataFrame, sets: DataFrame, column: str, kind: str, test) -> DataFrame:
-    """The pairs (a, na, b, nb) for which test(na, nb, x, y) holds, x and y being a column of their sets."""
+    """The pairs (a, na, b, nb) for which test(na, nb, x, y) holds, x and y being a column of their sets. Each comes once: a set that
+    several tasks made is there as often."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col(column).alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col(column).alias("y"))
 
@@ -391,7 +427,7 @@ def tested(pairs: DataFrame, sets: DataFrame, column: str, kind: str, test) -> D
             yield batch.filter(pa.array(good, pa.bool_())).select([0, 1, 2, 3])
 
     joined = pairs.join(left, ["a", "na"]).join(right, ["b", "nb"]).select("a", "na", "b", "nb", "x", "y")
-    return joined.mapInArrow(task, "a long, na int, b long, nb int")
+    return joined.mapInArrow(task, "a long, na int, b long, nb int").distinct()
 
 
 def candidates(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -399,6 +435,11 @@ def candidates(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return tested(pairs, sets, "short", "u4", lambda na, nb, x, y: occurrences(*sorted((x, y), key=len)) >= occurrences_needed(na, nb, percent))
 
 
+def within_reach(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that can reach their overlap by their sketches."""
+    return tested(pairs, sets, "sketch", "u1", lambda na, nb, x, y: most_in_common(na, nb, x, y) >= required(na, nb, percent))
+
+
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that reach their overlap."""
     return tested(pairs, sets, "hashes", "u8", lambda na, nb, x, y: overlap_reaches(*sorted((x, y), key=len), int(required(na, nb, percent))))
@@ -427,7 +468,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         """The pairs that link; only sets of nodes in pairs are made."""
         sets = candidate_sets(docs, both_sides(pairs), rows.where("n > 0"), order, id_column, text_column, size, percent)
         counted = stored(candidates(pairs, sets, percent), f"{label}-counted")
-        return stored(linked(counted, sets.join(both_sides(counted), ["node", "n"], "left_semi"), percent), label)
+        near = stored(within_reach(counted, only_of(sets, counted, "sketch"), percent), f"{label}-near")
+        return stored(linked(near, only_of(sets, near, "hashes"), percent), label)
 
     links = checked(first, "first-links")
     labels = components(links)

@@ -80,6 +80,38 @@ def test_linked_sets_meet_often_enough_in_their_short_lists():
     assert refused
 
 
+def test_sketches_never_show_too_small_an_overlap():
+    import numpy as np
+
+    rnd, refused = random.Random(8), 0
+    for _ in range(2000):
+        both, one, two = rnd.randint(0, 90), rnd.randint(1, 40), rnd.randint(1, 40)
+        drawn = np.array([rnd.getrandbits(64) for _ in range(both + one + two)], "u8")
+        a, b = np.sort(drawn[: both + one]), np.sort(np.concatenate([drawn[:both], drawn[both + one :]]))
+        x, y = (np.frombuffer(op.sketch(s), "u1") for s in (a, b))
+        assert both <= op.most_in_common(len(a), len(b), x, y)
+        refused += op.most_in_common(len(a), len(b), x, y) < op.required(len(a), len(b), 75)
+    assert refused > 500
+
+
+def test_whole_sets_are_chosen_without_a_shuffle(spark):
+    sets = spark.range(500).selectExpr("id * 7919 as node", "10 as n", "cast(cast(id as string) as binary) as hashes", "cast('' as binary) as short")
+    pairs = spark.createDataFrame([(0, 10, 7919, 10), (7919 * 3, 10, 7919 * 400, 10)], "a long, na int, b long, nb int")
+    chosen = op.only_of(sets, pairs, "hashes")
+    assert "Exchange" not in chosen._jdf.queryExecution().executedPlan().toString()
+    assert chosen.columns == ["node", "n", "hashes"]
+    assert sorted(r.node for r in chosen.collect()) == [0, 7919, 7919 * 3, 7919 * 400]
+
+
+def test_a_pair_comes_once_however_often_its_sets_do(spark):
+    import numpy as np
+
+    own = np.arange(10, dtype="u8").tobytes()
+    sets = spark.createDataFrame([(1, 10, own), (1, 10, own), (2, 10, own), (2, 10, own), (2, 10, own)], "node long, n int, hashes binary")
+    pairs = spark.createDataFrame([(1, 10, 2, 10)], "a long, na int, b long, nb int")
+    assert [tuple(r) for r in op.linked(pairs, sets, 75).collect()] == [(1, 10, 2, 10)]
+
+
 def test_portions_hold_whole_lists():
     import numpy as np
     import pyarrow as pa
