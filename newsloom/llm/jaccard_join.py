@@ -149,6 +149,8 @@ def profile(docs: DataFrame, id_column: str, text_column: str, size: int) -> Dat
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in (np.ones(len(used), "i4"), used.astype("i8"), counts[used], np.zeros(len(used), "i8"), np.zeros(len(used), "i8"))], names=names)
+        batch = some = sets = None
+        given_back()
 
     rows = docs.select(F.col(id_column).cast("long"), F.col(text_column), F.xxhash64(text_column))
     return rows.mapInArrow(task, "kind int, id long, n long, node long, text_hash long")

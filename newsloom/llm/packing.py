@@ -25,12 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from newsloom.llm.common import ship, stored
+from newsloom.llm.common import given_back, let_go, ship, stored
 from newsloom.llm.tokens import default_vocabulary, seldom_collected, worker_encoder
 
 ship(__name__)
 
 SIZE = 2048
+AT_ONCE = 512  # texts that a task holds as strings
 BATCH_BYTES = 8 << 20
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, ids binary, part int, nth long"
 
@@ -51,22 +52,26 @@ def tokenised_pieces(docs: DataFrame, size: int = SIZE, vocabulary: str | None =
                             ("ids_crc32", pa.int64()), ("ids", pa.binary()), ("part", pa.int32()), ("nth", pa.int64())])
         rows, held = [], 0
         for batch in seldom_collected(batches):
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encoder.encode(text)
-                n, at, piece = len(ids) // 4, 0, 0
-                end = n % size or min(n, size)
-                while at < n:
-                    some = ids[4 * at : 4 * end]
-                    length = end - at
-                    rows.append((doc, piece, at, length, zlib.crc32(some), some, part, nth[length]))
-                    nth[length] += 1
-                    held += len(some)
-                    at, end, piece = end, end + size, piece + 1
-                if held >= BATCH_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-                    rows, held = [], 0
+            for k in range(0, batch.num_rows, AT_ONCE):
+                few = batch.slice(k, AT_ONCE)
+                for doc, text in zip(few.column(0).to_pylist(), few.column(1).to_pylist()):
+                    ids = encoder.encode(text)
+                    n, at, piece = len(ids) // 4, 0, 0
+                    end = n % size or min(n, size)
+                    while at < n:
+                        some = ids[4 * at : 4 * end]
+                        length = end - at
+                        rows.append((doc, piece, at, length, zlib.crc32(some), some, part, nth[length]))
+                        nth[length] += 1
+                        held += len(some)
+                        at, end, piece = end, end + size, piece + 1
+                    if held >= BATCH_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                        rows, held = [], 0
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+        rows = few = batch = None
+        given_back()
 
     return docs.select(F.col(id_column).cast("long"), F.col(text_column)).mapInArrow(task, PIECES)
 
@@ -172,6 +177,7 @@ def placer(context, places: list[tuple[int, int, int, int, int, int]]):
     def place(length, rank):
         import pandas as pd
 
+        let_go()  # all texts are encoded by now
         rows = shared.value
         l, r = length.to_numpy("i8"), rank.to_numpy("i8")
         out_seq, out_off = np.empty(len(l), "i8"), np.empty(len(l), "i8")

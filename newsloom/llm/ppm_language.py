@@ -25,14 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsloom.llm.common import bounded_sample, crc_of_id, fresh, Shared, ship
+from newsloom.llm.common import bounded_sample, crc_of_id, fresh, given_back, let_go, Shared, ship
 
 ship(__name__)
 
 ORDER = 3
 TRAIN_ROWS = 250
 TRAIN_BYTES = 20_000
-SLICE = 1 << 20
+SLICE = 1 << 16  # bytes that are judged at a time: their code lengths take many times as much memory
 EVIDENCE = 64  # bytes that the score takes into account
 LETTER = re.compile(r"[^\W\d_]")
 FOLD = bytes(32 if b in b"\t\n\v\f\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -217,17 +217,22 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None, text_
     keep = [c for c in (keep or docs.columns) if c not in names]
     schema = T.StructType([docs.schema[c] for c in keep]).add(names[0], "string").add(names[1], "double")
     shared, n = Shared(docs.sparkSession, model), len(keep)
+    at = keep.index(text_column) if text_column in keep else n  # a text that is kept is sent to the task once
     arrow = to_arrow_schema(schema)
 
     def task(batches):
         import pyarrow as pa
 
+        let_go()
         model = shared.get()
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 some = batch.slice(k, 512)
-                found = judge(model, some.column(n).to_pylist())
+                found = judge(model, some.column(at).to_pylist())
                 lang, score = pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())
                 yield pa.RecordBatch.from_arrays([*some.columns[:n], lang, score], names=arrow.names)
+        batch = some = model = None
+        given_back()
 
-    return docs.select(*keep, F.col(text_column).alias(fresh("judged_text", keep))).mapInArrow(task, schema)
+    judged = [] if at < n else [F.col(text_column).alias(fresh("judged_text", keep))]
+    return docs.select(*keep, *judged).mapInArrow(task, schema)

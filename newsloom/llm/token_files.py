@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import ship, stored
+from newsloom.llm.common import let_go, ship, stored
 from newsloom.llm.tokens import default_vocabulary, seldom_collected, worker_encoder
 from newsloom.session import scratch
 
@@ -255,6 +255,7 @@ def read_files(report: DataFrame, folder: str) -> DataFrame:
         import pyarrow as pa
         from pyarrow import fs
 
+        let_go()  # all texts are encoded by now
         store, base = fs.FileSystem.from_uri(folder)
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
         for batch in batches:

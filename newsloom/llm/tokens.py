@@ -13,7 +13,7 @@ import re
 
 import numpy as np
 
-from newsloom.llm.common import ship
+from newsloom.llm.common import kept, ship
 
 ship(__name__)
 
@@ -166,13 +166,8 @@ def seldom_collected(batches):
 
 def worker_encoder(vocabulary: str, end: int | None = 0) -> Encoder:
     """The encoder of this worker process, which serves one task after another and so goes on
-    remembering. It is kept in the library's module, as this one travels with each task."""
-    import tokenizers
-
-    kept = vars(tokenizers).setdefault("_newsloom_encoders", {})
-    if (vocabulary, end) not in kept:
-        kept[vocabulary, end] = Encoder(vocabulary, end)
-    return kept[vocabulary, end]
+    remembering, until a step that encodes nothing lets it go: it may hold hundreds of megabytes."""
+    return kept(("encoder", vocabulary, end), lambda: Encoder(vocabulary, end))
 
 
 def default_vocabulary() -> str:

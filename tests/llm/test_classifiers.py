@@ -55,6 +55,34 @@ def test_code_lengths_are_exact(monkeypatch):
                 assert abs(bits - plain_bits(samples[l], t)) < 1e-3 * max(1, bits)
 
 
+def test_memory_of_judging_follows_the_slice():
+    """A text of two megabytes, and many short ones: a few MB besides the texts themselves."""
+    import tracemalloc
+
+    rnd = random.Random(5)
+    model = ppm_language.train({l: [sentence(rnd, l, 30)] for l in SYLLABLES})
+    texts = [ppm_language.folded("the ing " * 250_000), *[ppm_language.folded("le ment " * 250)] * 1000]
+    tracemalloc.start()
+    try:
+        found = ppm_language.totals(model, texts)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 20e6
+    assert [model.languages[int(row.argmin())] for row in found] == ["aa"] + ["bb"] * 1000
+
+
+def test_a_text_is_sent_to_the_judge_once(spark):
+    rnd = random.Random(6)
+    model = ppm_language.train({l: [sentence(rnd, l, 30)] for l in SYLLABLES})
+    docs = spark.createDataFrame([(1, "the ing on", "x"), (2, None, None)], "doc_id long, text string, judged_text string")
+    for keep, sent in ((None, 3), (["doc_id"], 2), (["text"], 1)):
+        found = ppm_language.identify(docs, model, keep=keep)
+        assert found._jdf.queryExecution().analyzed().child().output().size() == sent
+        assert [r.lang_pred for r in found.collect()] == ["aa", "und"]
+        assert found.columns == [*(keep or docs.columns), "lang_pred", "score"]
+
+
 def documents(rnd, n):
     rows = []
     for i in range(n):

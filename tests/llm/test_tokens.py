@@ -16,6 +16,56 @@ ODD = [
 ]
 
 
+def test_encoders_are_kept_until_another_step_lets_them_go():
+    import gc
+    import weakref
+
+    from newsloom.llm.common import let_go
+    from newsloom.llm.tokens import worker_encoder
+
+    encoder = worker_encoder(default_vocabulary())
+    encoder.encode("some words to remember")
+    assert worker_encoder(default_vocabulary()) is encoder
+    still = weakref.ref(encoder)
+    del encoder
+    gc.collect()
+    assert still() is not None
+    let_go()
+    assert still() is None
+
+
+def test_steps_without_encoding_hold_no_encoder(spark):
+    """Each of these steps' tasks leaves a worker that keeps nothing: what is put there by an earlier step of the same worker is gone."""
+    from newsloom.llm import ppm_language
+    from newsloom.llm.common import kept
+
+    docs = spark.createDataFrame([(1, "some words")], "doc_id long, text string").coalesce(1)
+    model = ppm_language.train({"en": ["some words"]})
+    sent = {}
+
+    class Frame:  # takes the function that a step would send to its tasks
+        sparkSession, columns, schema = spark, docs.columns, docs.schema
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, task, _):
+            sent["task"] = task
+
+    ppm_language.identify(Frame(), model)
+    judge = sent["task"]
+
+    def task(batches):
+        import pyarrow as pa
+        import pyspark
+
+        kept("encoder", dict)["a"] = 1
+        found = list(judge(batches))
+        yield pa.RecordBatch.from_arrays([pa.array([sum(b.num_rows for b in found)]), pa.array(["_newsloom_kept" in vars(pyspark)])], names=["rows", "kept"])
+
+    assert [tuple(r) for r in docs.mapInArrow(task, "rows long, kept boolean").where("rows > 0").collect()] == [(1, False)]
+
+
 def expected(encoder, text):
     return [] if not text else encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
