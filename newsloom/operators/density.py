@@ -9,6 +9,9 @@ size is a cluster, smaller ones fall off the cluster they join, and two clusters
 clusters of the greatest stability (how long their rows stay) are taken. Clusters are as many as the least size
 allows, so only they are known to the driver; rows stay in Spark.
 
+Rounds over few edges cost more than what they work on. So once a stated number of edges is left (`HERE`, `FINISH`), the driver ends the rounds
+over plain arrays, with the same result.
+
 On a single block the graph is complete, and the result is that of comparing all pairs."""
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.session import written
@@ -29,7 +32,8 @@ BITS = 24
 BLOCK = 512
 OVERLAP = 64
 LEVELS = 200  # of the grid of weights
-FINISH = 50_000  # edges that one place contracts by itself
+HERE = 1_000_000  # edges (of 40 bytes) among which one place ends the spanning forest
+FINISH = 4_000_000  # edges (of 20 bytes) of the forest that one place contracts by itself
 NO_WEIGHT = 1e-3  # the grid begins at this share of the largest weight
 
 # tasks carry this module with them
@@ -54,17 +58,19 @@ def nearest(ids: np.ndarray, x: np.ndarray, core: np.ndarray, k: int) -> tuple:
 
 def tree(ids: np.ndarray, x: np.ndarray, core: np.ndarray, k: int) -> tuple:
     """(row, other, weight) of the block's least spanning tree by mutual reachability."""
+    n = len(ids)
     w = np.maximum(distances(x), np.maximum(core[:, None], core[None, :]))
-    near, via, open_ = w[0].copy(), np.zeros(len(ids), int), np.ones(len(ids), bool)
-    open_[0] = False
-    out = []
-    for _ in range(len(ids) - 1):
-        j = int(np.argmin(np.where(open_, near, np.inf)))
-        out.append((ids[via[j]], ids[j], near[j]))
-        open_[j] = False
-        closer = open_ & (w[j] < near)
-        near, via = np.where(closer, w[j], near), np.where(closer, j, via)
-    a, b, weight = (np.array(c) for c in zip(*out)) if out else (ids[:0], ids[:0], x[:0, 0])
+    w[:, 0] = np.inf  # what is in the tree is never nearer to it
+    near, via = w[0].copy(), np.zeros(n, int)
+    to, weight = np.zeros(n - 1, int), np.zeros(n - 1)
+    for i in range(n - 1):
+        j = int(near.argmin())
+        to[i], weight[i] = j, near[j]
+        near[j] = w[:, j] = np.inf
+        closer = w[j] < near
+        np.copyto(near, w[j], where=closer)
+        via[closer] = j
+    a, b = ids[via[to]], ids[to]
     return np.minimum(a, b), np.maximum(a, b), weight
 
 
@@ -86,28 +92,29 @@ def in_blocks(points: DataFrame, centre: list[float], use, k: int, tables: int,
     def task(batches):
         import pyarrow as pa
 
-        rows, held = [], None
+        rows, held, on = None, None, block - min(OVERLAP, block // 2)
 
         def found(rows):
-            ids, x, core = np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
-            a, b, w = use(ids, x, core, k)
+            a, b, w = use(*rows, k)
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(w, pa.float64())], names=["a", "b", "w"])
 
-        fresh = 0
         for batch in batches:
-            x = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, dimensions)
-            for t, p, v, core in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), x, batch.column(4).to_pylist()):
-                if t != held and rows:
-                    if fresh:
-                        yield found(rows)
-                    rows, fresh = [], 0
-                held = t
-                if len(rows) == block:
+            tables_ = batch.column(0).to_numpy()
+            own = [batch.column(2).to_numpy(), batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, dimensions), batch.column(4).to_numpy()]
+            cuts = [0, *(np.flatnonzero(np.diff(tables_)) + 1).tolist(), len(tables_)]
+            for begin, end in zip(cuts, cuts[1:]):
+                if begin == end:
+                    continue
+                part = [c[begin:end] for c in own]
+                if rows is not None and tables_[begin] != held:
                     yield found(rows)
-                    rows, fresh = rows[-min(OVERLAP, block // 2) :], 0
-                rows.append((p, v, core))
-                fresh += 1
-        if fresh:
+                    rows = None
+                held = tables_[begin]
+                rows = part if rows is None else [np.concatenate(c) for c in zip(rows, part)]
+                while len(rows[0]) > block:
+                    yield found([c[:block] for c in rows])
+                    rows = [c[on:] for c in rows]
+        if rows is not None:
             yield found(rows)
 
     spread = points.mapInArrow(keyed, "t int, sign long, p long, v array<double>, core double")
@@ -123,16 +130,41 @@ def mutual_reachability(points: DataFrame, k: int = NEIGHBOURS, tables: int = TA
     d = len(first[0].v)
     mean = points.agg(F.array(*[F.avg(F.get("v", F.lit(i))) for i in range(d)])).first()[0]
     plain = points.withColumn("core", F.lit(0.0))
-    near = in_blocks(plain, mean, nearest, k, tables, block, seed).groupBy("a", "b").agg(F.min("w").alias("w"))
+    # dealt out by one end, which serves both groupings
+    near = in_blocks(plain, mean, nearest, k, tables, block, seed).repartition("a").groupBy("a", "b").agg(F.min("w").alias("w"))
     cores = near.groupBy(F.col("a").alias("p")).agg(F.sort_array(F.collect_list("w")).alias("w")).select("p", F.get("w", F.least(F.lit(k), F.size("w")) - 1).alias("core"))
     cored = written(points.join(cores, "p", "left").select("p", "v", F.coalesce("core", F.lit(0.0)).alias("core")), "density-cores")
     return written(in_blocks(cored, mean, tree, k, tables, block, seed).groupBy("a", "b").agg(F.min("w").alias("w")), "density-edges")
 
 
 # ----------------------------------------------------------- spanning forest
-def pointers_resolved(pointers: DataFrame) -> DataFrame:
+def frame(spark: SparkSession, **columns: np.ndarray) -> DataFrame:
+    import pyarrow as pa
+
+    return spark.createDataFrame(pa.table(columns))
+
+
+def arrays(df: DataFrame) -> list[np.ndarray]:
+    return [c.to_numpy() for c in df.toArrow().columns]
+
+
+def ends_of(parents: np.ndarray) -> np.ndarray:
+    """The root that each pointer leads to."""
+    while True:
+        further = parents[parents]
+        if np.array_equal(further, parents):
+            return parents
+        parents = further
+
+
+def pointers_resolved(pointers: DataFrame, here: int = HERE) -> DataFrame:
     """(c, parent) with each parent a root, by doubling."""
     pointers = written(pointers, "density-pointers")
+    if pointers.count() <= here:
+        c, parent = arrays(pointers)
+        order = np.argsort(c)
+        c, parent = c[order], parent[order]
+        return frame(pointers.sparkSession, c=c, parent=c[ends_of(np.searchsorted(c, parent))])
     while True:
         further = pointers.select(F.col("c").alias("parent"), F.col("parent").alias("next"))
         moved = written(pointers.join(further, "parent").select("c", F.col("next").alias("parent"), (F.col("next") != F.col("parent")).alias("m")), "density-pointers")
@@ -149,11 +181,43 @@ def relabelled(edges: DataFrame, labels: DataFrame) -> DataFrame:
     return out.where("ca <> cb")
 
 
-def spanning_forest(edges: DataFrame) -> DataFrame:
+def forest_here(a: np.ndarray, b: np.ndarray, w: np.ndarray, ca: np.ndarray, cb: np.ndarray) -> np.ndarray:
+    """Which of the edges are in the least spanning forest of the components ca, cb; edges are in order of (w, a, b)."""
+    order = np.lexsort((b, a, w))
+    named, at = np.unique(np.concatenate([ca, cb]), return_inverse=True)
+    x, y = at[: len(ca)][order].astype(np.int32), at[len(ca) :][order].astype(np.int32)
+    number, nodes, chosen = np.arange(len(x), dtype=np.int32), np.arange(len(named), dtype=np.int32), []
+    while len(number):
+        best = np.full(len(named), -1, np.int32)  # the first edge of each component, as a place in `number`
+        for end in (x, y):
+            first = np.full(len(named), len(number), np.int32)
+            first[end[::-1]] = np.arange(len(end) - 1, -1, -1, dtype=np.int32)  # of several values the last one stays
+            best = np.where(best < 0, first, np.minimum(best, first))
+        own = np.flatnonzero(best < len(number)).astype(np.int32)
+        taken = best[own]
+        chosen.append(np.unique(number[taken]))
+        other = np.where(x[taken] == own, y[taken], x[taken])
+        parents = nodes.copy()
+        parents[own] = other
+        mutual = (parents[parents] == nodes) & (nodes < parents)
+        parents[mutual] = nodes[mutual]
+        parents = ends_of(parents)
+        x, y = parents[x], parents[y]
+        apart = x != y
+        x, y, number = x[apart], y[apart], number[apart]
+    return order[np.concatenate(chosen)] if chosen else order
+
+
+def spanning_forest(edges: DataFrame, here: int = HERE) -> DataFrame:
     """Edges (a, b, w) of the least spanning forest: in each round every component takes its lightest edge."""
     spark, chosen = edges.sparkSession, []
     open_ = written(edges.where("a <> b").select("a", "b", "w", F.col("a").alias("ca"), F.col("b").alias("cb")), "density-open")
-    while not open_.isEmpty():
+    while left := open_.count():
+        if left <= here:
+            a, b, w, *components = arrays(open_.select("a", "b", "w", "ca", "cb"))
+            at = forest_here(a, b, w, *components)
+            chosen.append(frame(spark, a=a[at], b=b[at], w=w[at]))
+            break
         sides = open_.select("ca", "cb", "a", "b", "w").union(open_.select("cb", "ca", "a", "b", "w"))
         best = sides.groupBy("ca").agg(F.min(F.struct("w", "a", "b", "cb")).alias("e"))
         best = written(best.select(F.col("ca").alias("c"), F.col("e.cb").alias("other"), "e.a", "e.b", "e.w"), "density-lightest")
@@ -161,7 +225,7 @@ def spanning_forest(edges: DataFrame) -> DataFrame:
         back = best.select(F.col("c").alias("other"), F.col("other").alias("c"), F.lit(True).alias("mutual"))
         root = F.coalesce(F.col("mutual"), F.lit(False)) & (F.col("c") < F.col("other"))
         parents = best.join(back, ["c", "other"], "left").select("c", F.when(root, F.col("c")).otherwise(F.col("other")).alias("parent"))
-        named = relabelled(open_, pointers_resolved(parents))
+        named = relabelled(open_, pointers_resolved(parents, here))
         low, high = F.least("ca", "cb"), F.greatest("ca", "cb")
         lightest = named.groupBy(low.alias("ca"), high.alias("cb")).agg(F.min(F.struct("w", "a", "b")).alias("e"))
         open_ = written(lightest.select("e.a", "e.b", "e.w", "ca", "cb"), "density-open")
@@ -226,39 +290,54 @@ class Tree:
         return sorted(x for i, c in enumerate(self.clusters) if c.parent is None for x in taken[i])
 
 
-def contracted_here(tree_: Tree, sizes: dict, clusters: dict, edges: list) -> dict:
-    """Contracts edges (a, b, level) among components with sizes and, where they have one, clusters. {component: (cluster, level)} of the
-    small ones that joined a cluster."""
-    up, members, events = {c: c for c in sizes}, {c: [c] for c in sizes}, {}
-    state = {c: clusters.get(c) for c in sizes}
-
-    def top(c):
-        while up[c] != c:
-            up[c] = up[up[c]]
-            c = up[c]
-        return c
-
-    by_level: dict = {}
-    for a, b, level in edges:
-        by_level.setdefault(level, []).append((a, b))
-    for level in sorted(by_level):
-        tops = {top(c) for e in by_level[level] for c in e}
-        for a, b in by_level[level]:
-            a, b = sorted((top(a), top(b)))
-            up[b] = a
-        groups: dict = {}
-        for c in sorted(tops):
-            groups.setdefault(top(c), []).append(c)
-        for first, group in groups.items():
-            small = [c for c in group if state[c] is None]
-            own = tree_.met(level, sum(sizes[c] for c in small), [state[c] for c in group if state[c] is not None])
-            if own is not None:
-                events.update({m: (own, level) for c in small for m in members[c]})
-                kept = []
-            else:
-                kept = [m for c in group for m in members[c]]
-            sizes[first], state[first], members[first] = sum(sizes[c] for c in group), own, kept
-    return events
+def contracted_here(tree_: Tree, c: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, level: np.ndarray) -> tuple:
+    """Contracts edges (a, b, level) among the components c, in ascending order, with sizes. Of each component the cluster it joins, or becomes part of, and
+    at which level; -1 for none."""
+    order = np.argsort(level, kind="stable")
+    x, y, level = np.searchsorted(c, a[order]).astype(np.int32), np.searchsorted(c, b[order]).astype(np.int32), level[order]
+    size = size.astype(np.int64)
+    up = np.arange(len(c), dtype=np.int32)  # towards the component that holds it, the smallest of its own
+    into = up.copy()  # the small component it became part of while small itself
+    state, cluster, joined = (np.full(len(c), -1, np.int32) for _ in range(3))
+
+    def top(i: np.ndarray) -> np.ndarray:
+        t = up[i]
+        while True:
+            further = up[t]
+            if np.array_equal(further, t):
+                up[i] = t
+                return t
+            t = further
+
+    cuts = [0, *(np.flatnonzero(np.diff(level)) + 1).tolist(), len(level)]
+    for begin, end in zip(cuts, cuts[1:]):
+        if begin == end:
+            continue
+        at = int(level[begin])
+        i, j = top(x[begin:end]), top(y[begin:end])
+        met = np.unique(np.concatenate([i, j]))
+        while len(i):
+            np.minimum.at(up, np.maximum(i, j), np.minimum(i, j))
+            i, j = top(i), top(j)
+            apart = i != j
+            i, j = i[apart], j[apart]
+        whole, group = np.unique(top(met), return_inverse=True)
+        small = state[met] < 0
+        rows = np.bincount(group, weights=np.where(small, size[met], 0), minlength=len(whole)).astype(np.int64)
+        held: dict[int, list[int]] = {}
+        for g, k in zip(group[~small].tolist(), state[met[~small]].tolist()):
+            held.setdefault(g, []).append(k)
+        own = np.full(len(whole), -1, np.int32)
+        for g in sorted({*held, *np.flatnonzero(rows >= tree_.least).tolist()}):
+            own[g] = tree_.met(at, int(rows[g]), held.get(g, []))
+        size[whole] = np.bincount(group, weights=size[met], minlength=len(whole)).astype(np.int64)
+        state[whole] = own
+        joins = own[group] >= 0
+        named = met[small & joins]
+        cluster[named], joined[named] = own[group[small & joins]], at
+        into[met[~joins]] = whole[group[~joins]]
+    last = ends_of(into)
+    return cluster[last], joined[last]
 
 
 def grid(forest: DataFrame, levels: int) -> tuple[DataFrame, object]:
@@ -330,17 +409,20 @@ def condensed(points: DataFrame, forest: DataFrame, least: int, levels: int = LE
     edges, value = grid(forest, levels)
     edges = written(edges, "density-levels")
     sizes = points.select(F.col("p").alias("c"), F.lit(1).cast("long").alias("size"))
-    if edges.count() <= finish:
-        rest = edges.orderBy("level", "ca", "cb").collect()
-        ends = edges.select(F.col("ca").alias("c")).union(edges.select(F.col("cb").alias("c"))).distinct()
-        nodes = sizes.join(ends, "c").collect()
-        events = contracted_here(tree_, {r.c: r.size for r in nodes}, {}, [(r.ca, r.cb, r.level) for r in rest])
-        said = spark.createDataFrame([(c, c, k, level) for c, (k, level) in events.items()], "c long, parent long, cluster int, level int")
+    here = edges.count() <= finish
+    if here:
+        a, b, level = arrays(edges)
+        c = np.unique(np.concatenate([a, b]))  # the rows that edges join, each of size 1
+        cluster, joined = contracted_here(tree_, c, np.ones(len(c), np.int64), a, b, level)
+        known = cluster >= 0
+        said = frame(spark, p=c[known], cluster=cluster[known], level=joined[known])
     else:
         said = contracted(tree_, meetings(edges, sizes, levels))
     apart = [i for i, c in enumerate(tree_.clusters) if c.parent is None]
     if len(apart) > 1:  # what no edge joins meets one step above the grid
         tree_.met(levels, 0, apart)
+    if here:
+        return points.select("p").join(said, "p", "left"), tree_, value
     facts = written(said, "density-facts")  # a component's next one, or the cluster it joined
     # a row's component moves on until one joined a cluster
     stops = points.select(F.col("p").alias("c")).join(facts.select("c", "parent", "cluster"), "c", "left")
@@ -369,13 +451,17 @@ def density_clusters(vectors: DataFrame, id_column: str, vector: Column, least:
     """id, topic_id and topic_prob of each row; -1 and 0 for rows in no cluster. `vector` gives arrays of one length;
     they are scaled to unit length (zero vectors stay). Rows without a vector are in no cluster. `least` rows make a cluster, a twentieth (at least 3) unless
     given. Topics are numbered by size, the largest 0; a row's probability is how long it stays, compared with the longest of its topic."""
-    norm = F.sqrt(F.aggregate(F.col("v"), F.lit(0.0), lambda s, x: s + x * x))
-    told = written(vectors.select(F.monotonically_increasing_id().alias("p"), F.col(id_column).alias("id"), vector.cast("array<double>").alias("v")), "density-rows")
-    points = told.where("v IS NOT NULL").select("p", F.when(norm > 0, F.transform("v", lambda x: x / norm)).otherwise(F.col("v")).alias("v"))
-    points = written(points, "density-points")
+    told = vectors.select(F.monotonically_increasing_id().alias("p"), F.col(id_column).alias("id"), vector.cast("array<double>").alias("v"))
+    # a table may be one file of few splits: its rows are dealt out
+    told = told.repartition(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), "p")
+    # a column of its own: inside the lambda it would be worked out for each entry
+    told = told.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))
+    scaled = F.when(F.col("norm") > 0, F.transform("v", lambda x: x / F.col("norm"))).otherwise(F.col("v"))
+    told = written(told.select("p", "id", scaled.alias("v")), "density-rows")
+    points = told.where("v IS NOT NULL").select("p", "v")
     n = points.count()
     least = least or max(3, n // 20)
-    forest = spanning_forest(mutual_reachability(points, k, tables, block, seed))
+    forest = spanning_forest(mutual_reachability(points, k, tables, block, seed), min(HERE, finish))
     if forest.isEmpty():
         return told.select(F.col("id").alias(id_column), F.lit(-1).alias("topic_id"), F.lit(0.0).alias("topic_prob"))
     fell, tree_, value = condensed(points.select("p"), forest, least, levels, finish)

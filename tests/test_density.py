@@ -173,3 +173,44 @@ def test_rounds_do_not_grow_with_the_levels(spark, monkeypatch):
     apart, other, _ = D.condensed(points.select("p"), forest, 20, finish=0)
     assert (sorted(map(tuple, apart.collect()), key=str), len(other.clusters)) == expected
     assert forest.select("w").distinct().count() > 100 and len(calls) < 120, len(calls)
+
+
+def test_few_edges_take_few_jobs(spark, monkeypatch):
+    """Rounds end in one place once few edges are left: before, each round of the forest was half a dozen jobs of its own."""
+    calls, real = [], D.written
+    monkeypatch.setattr(D, "written", lambda df, label: calls.append(label) or real(df, label))
+    got = found(spark, made_up(6), least=12)
+    assert {t for t, _ in got.values()} > {-1} and len(calls) < 12, calls
+
+
+def test_forest_of_one_place_is_that_of_the_rounds(spark):
+    rng = np.random.default_rng(1)
+    edges = sorted({(int(a), int(b)) for a, b in rng.integers(0, 120, size=(500, 2)) if a < b})
+    rows = [(a * 2**33 + 5, b * 2**33 + 5, float(w)) for (a, b), w in zip(edges, rng.integers(0, 4, size=len(edges)))]
+    df = spark.createDataFrame([*rows, (7, 7, 0.0)], "a long, b long, w double")
+    apart, mixed, one = (sorted(map(tuple, D.spanning_forest(df, n).collect())) for n in (0, 200, 10_000))
+    assert apart == mixed == one and len(one) > 100
+    assert D.spanning_forest(df.where("a = b")).collect() == []
+
+
+def test_blocks_are_cut_row_by_row(spark):
+    """Neighbouring blocks share OVERLAP rows, whatever the Arrow batches; the last may be shorter."""
+    points = spark.createDataFrame([(i, [float(i), 1.0], 0.0) for i in range(1000)], "p long, v array<double>, core double").coalesce(1)
+    sizes = lambda ids, x, core, k: (ids[:1], ids[-1:], np.array([float(len(set(ids)))]))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "70")
+    try:
+        got = D.in_blocks(points, [500.0, 0.0], sizes, 5, 2, 300, 7).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(r.w for r in got) == sorted([300, 300, 300, 1000 - 3 * (300 - D.OVERLAP)] * 2), got
+
+
+def test_length_is_worked_out_once_per_row(spark):
+    """Wide vectors cost in proportion to their width: the norm does not stand inside the lambda over the entries."""
+    wide = spark.range(4).select("id", F.array(*[F.rand(i) for i in range(3)]).alias("v"))
+    seen, real = [], D.written
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(D, "written", lambda df, label: (label == "density-rows" and seen.append(df._jdf.queryExecution().optimizedPlan().toString())) or real(df, label))
+        D.density_clusters(wide, "id", F.col("v"))
+    over_entries = next(x for x in seen[0].split("transform(")[1:])
+    assert "aggregate(" not in over_entries.split("END AS v")[0]
