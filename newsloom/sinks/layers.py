@@ -10,6 +10,11 @@ from newsloom import rules
 from newsloom.functions import dates
 from newsloom.operators import warehouse
 from newsloom.sinks import table
+from newsloom.sources.layers import folders
+
+#: Layers hold whole texts several times over, so they are compressed; files are of bounded size, so JSON need not be split.
+PARQUET, JSON = {"compression": "zstd"}, {"compression": "gzip"}
+
 
 def run_name(run_ts: Column) -> Column:
     """Names sort in time order; the letter keeps them from being read as numbers."""
@@ -23,7 +28,7 @@ def write_bronze(articles: DataFrame, root: str, run_ts: Column, key: str = "sou
     placed = articles.withColumn("pos", F.monotonically_increasing_id())
     own = [F.col(c).alias("article_source") if c == "source" else F.col(c) for c in rules.RAW_COLUMNS]
     out = _stamped(placed.select(*own, "pos", F.col(key).alias("source")), run_ts)
-    out.hint("rebalance", "source").write.mode("append").partitionBy("source", "date", "run").json(root)
+    out.hint("rebalance", "source").write.mode("append").options(**JSON).partitionBy("source", "date", "run").json(root)
 
 
 def write_envelopes(articles: DataFrame, root: str, run_ts: Column, key: str = "source") -> None:
@@ -38,20 +43,35 @@ def _stamped(df: DataFrame, run_ts: Column) -> DataFrame:
 
 
 def write_silver(df: DataFrame, root: str, run_ts: Column, json_root: str | None = None) -> None:
-    """Parquet by source, run date and run; a readable JSON copy where asked for. Rows
+    """Parquet by source, run date and run; a JSON copy where asked for. Rows
     are rebalanced by source first: small sources share a task and get one file, a
-    large one is split over many tasks by its size."""
-    out = _stamped(df, run_ts).hint("rebalance", "source")
-    out.write.mode("append").partitionBy("source", "date", "run").parquet(root)
+    large one is split over many tasks by its size. The copy is made of the files just written, so rows are worked out and shuffled once."""
+    spark = df.sparkSession
+    day, run = spark.range(1).select(F.date_format(run_ts, "yyyy-MM-dd"), run_name(run_ts)).first()
+    before = set(_files(spark, root, day, run)) if json_root else set()
+    out = df.withColumns({"date": F.lit(day), "run": F.lit(run)})
+    out.hint("rebalance", "source").write.mode("append").options(**PARQUET).partitionBy("source", "date", "run").parquet(root)
     if json_root:
-        readable = out.withColumn("date_publication", F.col("date_publication").cast("string"))
-        readable.write.mode("append").partitionBy("source", "date", "run").json(json_root)
+        paths = [p for p in _files(spark, root, day, run) if p not in before]
+        rows = spark.read.schema(out.schema).option("basePath", root).parquet(*paths) if paths else spark.createDataFrame([], out.schema)
+        readable = rows.withColumn("date_publication", F.col("date_publication").cast("string"))
+        readable.write.mode("append").options(**JSON).partitionBy("source", "date", "run").json(json_root)
+
+
+def _files(spark: SparkSession, root: str, day: str, run: str) -> list[str]:
+    """Files of a run."""
+    out = []
+    for r in folders(spark, root, "source", "date", "run", date=day, run=run):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(r["path"])
+        found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+        out += [f.getPath().toString() for f in found if f.isFile() and not f.getPath().getName().startswith((".", "_"))]
+    return out
 
 
 def write_gold(df: DataFrame, summary: DataFrame, root: str, topics_root: str, run_ts: Column) -> None:
     """Gold by run date with times as text, and the topic summary as JSON."""
     as_text = {c: F.col(c).cast("string") for c, t in df.dtypes if t.startswith("timestamp")}
-    _stamped(df.withColumns(as_text), run_ts).write.mode("append").partitionBy("date", "run").parquet(root)
+    _stamped(df.withColumns(as_text), run_ts).write.mode("append").options(**PARQUET).partitionBy("date", "run").parquet(root)
     _stamped(summary, run_ts).write.mode("append").partitionBy("date", "run").json(topics_root)
 
 
@@ -159,6 +179,10 @@ def purge(spark: SparkSession, candidates: DataFrame, roots: dict[str, str], del
     listed = candidates.withColumn("path", path)
     if delete:
         for row in listed.where("path IS NOT NULL").select("path").distinct().toLocalIterator():
-            folder = spark._jvm.org.apache.hadoop.fs.Path(row["path"])
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            remove(spark, row["path"])
     return listed
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -205,7 +205,7 @@ def _new_version() -> str:
 def _write_rows(spark: SparkSession, root: str, rows: DataFrame, version: str) -> DataFrame:
     """Rows by slot, and which file holds which slots. Returns them as stored."""
     folder = f"{root}/rows/version={version}"
-    rows.hint("rebalance", "slot").sortWithinPartitions("slot", "article_id").write.mode("errorifexists").parquet(folder)
+    rows.hint("rebalance", "slot").sortWithinPartitions("slot", "article_id").write.mode("errorifexists").option("compression", "zstd").parquet(folder)
     stored = spark.read.schema(_schema({c: t for c, t in ROWS.items() if c != "version"})).parquet(folder)
     listed = stored.select(F.col("_metadata.file_name").alias("file"), "slot").distinct()
     # small tables are one file; a shuffle to it leaves what they are worked out from in tasks of its own

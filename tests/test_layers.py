@@ -333,3 +333,32 @@ print("GOT", df.first()["full_text"][:6].split())
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "GOT ['a', 'word']" in done.stdout, done.stderr[-2000:]
+
+
+def test_silver_is_worked_out_once_for_both_copies(spark, tmp_path):
+    """The JSON copy is made of the files just written: a value that is another one each time is the same in both."""
+    root, copy = str(tmp_path / "silver"), str(tmp_path / "copy")
+    df = spark.createDataFrame([("1", "a b{c}", None), ("2", None, "2025-04-26 10:00:00"), ("3", "x", None)], "article_id string, source string, d string")
+    df = df.select("article_id", "source", F.expr("uuid()").alias("titre"), F.col("d").cast("timestamp").alias("date_publication"))
+    keys = ["article_id", "titre", "source", "date", "run"]
+    for n in (3, 6):  # a run that is written again is appended to both
+        sink.write_silver(df, root, run_ts(), copy)
+        stored = spark.read.parquet(root).select(*keys, F.col("date_publication").cast("string").alias("d"))
+        json_rows = spark.read.schema("article_id string, titre string, source string, date date, run string, date_publication string").json(copy).select(*keys, F.col("date_publication").alias("d"))
+        assert stored.count() == n and sorted(map(str, stored.collect())) == sorted(map(str, json_rows.collect()))
+    sink.write_silver(df.limit(0), str(tmp_path / "none"), run_ts(), str(tmp_path / "none-copy"))
+    assert spark.read.schema("article_id string").json(str(tmp_path / "none-copy")).count() == 0
+
+
+def test_daily_job_keeps_no_stage_and_stores_texts_compressed(spark, tmp_path):
+    from newsloom.plans import batch
+
+    rows = [article(article_id=str(i), url=f"https://news.example.org/{i}", langue="en", contenu=f"{i} {LONG_EN} " * 30) for i in range(60)]
+    roots = batch.Roots(str(tmp_path / "lake"))
+    batch.ingest(spark, raw_frame(spark, rows), roots, run_ts(), "2025-04-26")
+    gold = batch.build(spark, roots, None, None, run_ts(), "2025-04-26", model="skip")
+    texts = sum(len(r["contenu"]) for r in rows)
+    size = lambda layer: sum(f.stat().st_size for f in (tmp_path / "lake" / layer).rglob("*") if f.is_file())
+    assert gold.count() == 60 and source.bronze(spark, roots.bronze).count() == 60
+    assert size("bronze") < texts / 3 and size("silver_json") < texts / 3 and size("topics_stage") == 0
+    assert {f.name.split(".", 1)[1] for layer in ("silver", "gold") for f in (tmp_path / "lake" / layer).rglob("part-*")} == {"c000.zstd.parquet"}
