@@ -24,13 +24,15 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.session import written
+from newsloom.session import release, written
 
 NEIGHBOURS = 5
 TABLES = 6
 BITS = 24
 BLOCK = 512
 OVERLAP = 64
+RANGE = 32  # blocks that a task goes through, about
+SAMPLED = 40  # rows a range, to tell where it begins
 LEVELS = 200  # of the grid of weights
 HERE = 1_000_000  # edges (of 40 bytes) among which one place ends the spanning forest
 FINISH = 4_000_000  # edges (of 20 bytes) of the forest that one place contracts by itself
@@ -74,20 +76,54 @@ def tree(ids: np.ndarray, x: np.ndarray, core: np.ndarray, k: int) -> tuple:
     return np.minimum(a, b), np.maximum(a, b), weight
 
 
-def in_blocks(points: DataFrame, centre: list[float], use, k: int, tables: int, block: int, seed: int) -> DataFrame:
-    """(a, b, w) that `use` finds in blocks of neighbouring rows (p, v, core), for each table of hyperplanes."""
-    dimensions = len(centre)
+def signs_of(x: np.ndarray, tables: int, seed: int):
+    """Of each table the signs of the rows' projections, as a number."""
+    planes = np.random.default_rng(seed).normal(size=(tables, x.shape[1], BITS))
+    for t in range(tables):
+        yield (x @ planes[t] > 0) @ (1 << np.arange(BITS)[::-1])
+
+
+def range_of(signs: np.ndarray, p: np.ndarray, bounds: tuple) -> np.ndarray:
+    """The range that a row falls into: how many of the bounds (sign, p), in order, are not above it."""
+    of_sign, of_p = bounds
+    first, after = np.searchsorted(of_sign, signs, "left"), np.searchsorted(of_sign, signs, "right")
+    out = first.copy()
+    for at in np.unique(first[after > first]):  # bounds that share a sign
+        rows = np.flatnonzero((first == at) & (after > first))
+        out[rows] += np.searchsorted(of_p[at : after[rows[0]]], p[rows], "right")
+    return out
+
+
+def ranges(points: DataFrame, n: int, centre: list[float], tables: int, block: int, seed: int) -> list[tuple]:
+    """Bounds (signs, ps) that cut each table's rows into ranges of about RANGE blocks, from a sample of SAMPLED rows a range. Ranges only say which
+    task has which rows; all rows are in one of them."""
+    count = max(1, n // (RANGE * block))
+    if count == 1:
+        return [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * tables
+    step = max(1, n // (count * SAMPLED))
+    p, v = points.where(F.pmod(F.xxhash64("p"), F.lit(step)) == 0).select("p", "v").toArrow().columns
+    p, x = p.to_numpy(), v.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(centre)) - np.array(centre)
+    out = []
+    for signs in signs_of(x, tables, seed):
+        order = np.lexsort((p, signs))
+        at = order[np.arange(1, count) * len(p) // count] if len(p) else order
+        out.append((signs[at], p[at]))
+    return out
+
+
+def in_blocks(points: DataFrame, centre: list[float], use, k: int, tables: int, block: int, seed: int, cuts: list[tuple]) -> DataFrame:
+    """(a, b, w) that `use` finds in blocks of neighbouring rows (p, v, core), for each table of hyperplanes. `cuts`: the tables' `ranges`."""
+    dimensions, most = len(centre), max(len(c[0]) + 1 for c in cuts)
 
     def keyed(batches):
         import pyarrow as pa
 
-        planes = np.random.default_rng(seed).normal(size=(tables, dimensions, BITS))
         for batch in batches:
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dimensions) - np.array(centre)
-            for t in range(tables):
-                signs = (x @ planes[t] > 0) @ (1 << np.arange(BITS)[::-1])
+            for t, signs in enumerate(signs_of(x, tables, seed)):
+                part = pa.array(t * most + range_of(signs, batch.column(0).to_numpy(), cuts[t]), pa.int32())
                 number = pa.array(np.full(len(x), t), pa.int32())
-                yield pa.RecordBatch.from_arrays([number, pa.array(signs, pa.int64()), *batch.columns], names=["t", "sign", "p", "v", "core"])
+                yield pa.RecordBatch.from_arrays([part, number, pa.array(signs, pa.int64()), *batch.columns], names=["part", "t", "sign", "p", "v", "core"])
 
     def task(batches):
         import pyarrow as pa
@@ -117,8 +153,9 @@ def in_blocks(points: DataFrame, centre: list[float], use, k: int, tables: int,
         if rows is not None:
             yield found(rows)
 
-    spread = points.mapInArrow(keyed, "t int, sign long, p long, v array<double>, core double")
-    ordered = spread.repartitionByRange("t", "sign", "p").sortWithinPartitions("t", "sign", "p")
+    # not by repartitionByRange, which would work out all of it a second time to find its bounds
+    spread = points.mapInArrow(keyed, "part int, t int, sign long, p long, v array<double>, core double")
+    ordered = spread.repartitionById(tables * most, "part").drop("part").sortWithinPartitions("t", "sign", "p")
     return ordered.mapInArrow(task, "a long, b long, w double")
 
 
@@ -128,13 +165,15 @@ def mutual_reachability(points: DataFrame, k: int = NEIGHBOURS, tables: int = TA
     if not first:
         return points.sparkSession.createDataFrame([], "a long, b long, w double")
     d = len(first[0].v)
-    mean = points.agg(F.array(*[F.avg(F.get("v", F.lit(i))) for i in range(d)])).first()[0]
+    mean, n = points.agg(F.array(*[F.avg(F.get("v", F.lit(i))) for i in range(d)]), F.count(F.lit(1))).first()
+    cuts = ranges(points, n, mean, tables, block, seed)
     plain = points.withColumn("core", F.lit(0.0))
     # dealt out by one end, which serves both groupings
-    near = in_blocks(plain, mean, nearest, k, tables, block, seed).repartition("a").groupBy("a", "b").agg(F.min("w").alias("w"))
+    near = in_blocks(plain, mean, nearest, k, tables, block, seed, cuts).repartition("a").groupBy("a", "b").agg(F.min("w").alias("w"))
     cores = near.groupBy(F.col("a").alias("p")).agg(F.sort_array(F.collect_list("w")).alias("w")).select("p", F.get("w", F.least(F.lit(k), F.size("w")) - 1).alias("core"))
     cored = written(points.join(cores, "p", "left").select("p", "v", F.coalesce("core", F.lit(0.0)).alias("core")), "density-cores")
-    return written(in_blocks(cored, mean, tree, k, tables, block, seed).groupBy("a", "b").agg(F.min("w").alias("w")), "density-edges")
+    release(points.sparkSession)  # the rows of all tables
+    return written(in_blocks(cored, mean, tree, k, tables, block, seed, cuts).groupBy("a", "b").agg(F.min("w").alias("w")), "density-edges")
 
 
 # ----------------------------------------------------------- spanning forest
@@ -461,7 +500,10 @@ def density_clusters(vectors: DataFrame, id_column: str, vector: Column, least:
     points = told.where("v IS NOT NULL").select("p", "v")
     n = points.count()
     least = least or max(3, n // 20)
-    forest = spanning_forest(mutual_reachability(points, k, tables, block, seed), min(HERE, finish))
+    release(told.sparkSession)
+    edges = mutual_reachability(points, k, tables, block, seed)
+    release(told.sparkSession)
+    forest = spanning_forest(edges, min(HERE, finish))
     if forest.isEmpty():
         return told.select(F.col("id").alias(id_column), F.lit(-1).alias("topic_id"), F.lit(0.0).alias("topic_prob"))
     fell, tree_, value = condensed(points.select("p"), forest, least, levels, finish)

@@ -199,7 +199,7 @@ def test_blocks_are_cut_row_by_row(spark):
     sizes = lambda ids, x, core, k: (ids[:1], ids[-1:], np.array([float(len(set(ids)))]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "70")
     try:
-        got = D.in_blocks(points, [500.0, 0.0], sizes, 5, 2, 300, 7).collect()
+        got = D.in_blocks(points, [500.0, 0.0], sizes, 5, 2, 300, 7, D.ranges(points, 1000, [500.0, 0.0], 2, 300, 7)).collect()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert sorted(r.w for r in got) == sorted([300, 300, 300, 1000 - 3 * (300 - D.OVERLAP)] * 2), got
@@ -214,3 +214,19 @@ def test_length_is_worked_out_once_per_row(spark):
         D.density_clusters(wide, "id", F.col("v"))
     over_entries = next(x for x in seen[0].split("transform(")[1:])
     assert "aggregate(" not in over_entries.split("END AS v")[0]
+
+
+def test_ranges_hold_each_row_once_in_order(spark, monkeypatch):
+    """Tasks' rows are dealt out by bounds from a sample, in the order of signs and numbers, equal signs included; the rows are worked out once."""
+    monkeypatch.setattr(D, "RANGE", 1)
+    rows = [(i * 7 % 1009, [1.0, 0.0] if i % 3 else [float(i % 50), float(i % 17)]) for i in range(1009)]
+    points = spark.createDataFrame(rows, "p long, v array<double>").withColumn("core", F.lit(0.0))
+    cuts = D.ranges(points, 1009, [1.0, 0.5], 3, 100, 7)
+    p = np.array([r[0] for r in rows])
+    for signs, bounds in zip(D.signs_of(np.array([r[1] for r in rows]) - np.array([1.0, 0.5]), 3, 7), cuts):
+        order = np.lexsort((p, signs))
+        at = D.range_of(signs, p, bounds)
+        assert np.all(np.diff(at[order]) >= 0) and at.min() == 0 and at.max() == 9 and np.bincount(at).max() < 300
+    every = D.in_blocks(points, [1.0, 0.5], lambda ids, x, core, k: (ids, ids, core), 5, 3, 100, 7, cuts)
+    assert {(r.a, r["count"] >= 3) for r in every.groupBy("a").count().collect()} == {(i, True) for i in range(1009)}
+    assert "RangePartitioning" not in every._jdf.queryExecution().executedPlan().toString()
